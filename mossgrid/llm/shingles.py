@@ -10,8 +10,8 @@ copies cost nothing. Between classes:
   collisions in the sketch only move a shingle to the back.
 * The boundary is where the sum of both costs, measured on the class sizes, is least.
 
-Within a list, members are compared with one hub, then only with members of other components, hub after hub, so that a
-group of copies costs one comparison a member and no pair that could join two components is left out. Candidate pairs are
+Within a list, members are compared with one hub, then only with members of other components, so that a group of copies
+costs one comparison a member and no pair that could join two components is left out. Candidate pairs are
 verified on whole texts.
 """
 
@@ -30,7 +30,6 @@ from mossgrid.llm.common import LOWER, NOT_SPACE, U64, Counts, buffer, component
 WORDS = 5
 PERCENT = 80
 MOST_LIGHT = 24
-HUBS = 4
 
 
 def least_overlap(size: int, percent: int = PERCENT) -> int:
@@ -229,8 +228,8 @@ def shared_only(keys: DataFrame) -> DataFrame:
 def hub_pairs(members: DataFrame, first: bool, percent: int = PERCENT) -> DataFrame:
     """Pairs (a, b) of a list's hubs with its members in other components.
 
-    First, the smallest member is the hub. Later, hubs are the first few members outside the list's largest component;
-    pairs tried before are dropped by the caller, so the hubs move on until every pair across components has been tried.
+    First, the smallest member is the hub. Later, hubs are the members outside the list's largest component; the caller
+    drops pairs tried before and comes back until none is left.
     """
     if first:
         hubs = members.groupBy("key").agg(F.min(F.struct("doc_id", "n", "c")).alias("h")).select("key", "h.*")

@@ -35,32 +35,29 @@ def widths(root: int) -> tuple[np.ndarray, np.ndarray]:
 def lzw_encode(samples: bytes, root: int = 8) -> bytes:
     """The code stream of samples below 2**root, with a clear code first and whenever the table is full."""
     clear = 1 << root
-    segments, codes = [], []
-    table: dict[int, int] = {}
-    put, emit, free, full = table.setdefault, codes.append, (clear + 2) << 8, MOST_CODES << 8
-    it = iter(samples)
-    w = next(it, None)
-    if w is not None:  # codes are kept shifted by 8, so that code + sample is a key
-        w <<= 8
-        for b in it:
+    first, full = (clear + 2) << 8, MOST_CODES << 8
+    segments, table, free, at = [], {}, first, 1
+    put = table.setdefault
+    w = samples[0] << 8 if samples else 0  # codes are kept shifted by 8, so that code + sample is a key
+    while at < len(samples):
+        run = samples[at : at + ((full - free) >> 8)]  # each sample adds one string at most
+        for b in run:
             c = put(w + b, free)
             if c != free:
                 w = c
-                continue
-            emit(w)
-            w = b << 8
-            free += 256
-            if free == full:
-                segments.append(codes)
-                codes, free = [], (clear + 2) << 8
-                emit = codes.append
-                table.clear()
-        emit(w)
-    segments.append(codes)
+            else:  # the new key tells the code that ends here
+                w = b << 8
+                free += 256
+        at += len(run)
+        if free == full:
+            segments.append([k >> 8 for k in table])
+            table.clear()
+            free = first
+    segments.append([*(k >> 8 for k in table), w >> 8][: None if samples else 0])
     bits, _ = widths(root)
     all_codes, all_bits = [np.array([clear])], [bits[:1]]
     for k, seg in enumerate(segments):
-        all_codes.append(np.array([*seg, (clear if k < len(segments) - 1 else clear + 1) << 8], np.int64) >> 8)
+        all_codes.append(np.array([*seg, clear if k < len(segments) - 1 else clear + 1], np.int64))
         all_bits.append(bits[: len(seg) + 1])
     code, width = np.concatenate(all_codes), np.concatenate(all_bits)
     ends = np.cumsum(width)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mossgrid.llm import gif, langid, secrets, shingles
+from mossgrid.llm import gif, langid, licenses, mixing, secrets, shingles
 from mossgrid.llm.common import prepare
 
 
@@ -26,10 +26,19 @@ def op1_gif_media(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_bytes", F.octet_length("payload").cast("long").alias("payload_bytes"), F.sha2("payload", 256).alias("payload_sha256"), F.crc32(F.expr("substring(payload, -64, 64)")).alias("tail_crc32"), "media_bytes", "media_sha256", "feature")
 
 
+def op2_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan_licenses(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op3_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shingles.jaccard_groups(table(spark, sf_dir, "documents"))
 
 
+def op5_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed = mixing.mixed_sizes(table(spark, sf_dir, "documents"))
+    return mixed.select("doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"))
+
+
 def op6_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     prepare(spark)
     found = secrets.scan_secrets(table(spark, sf_dir, "documents").select("doc_id", "text")).drop("text")
@@ -44,5 +53,5 @@ def op8_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.predict(docs.select("doc_id", "held_out", "text"), model).select("doc_id", "held_out", "lang_pred", "score")
 
 
-QUERIES = {"op1_gif_media": op1_gif_media, "op3_ngram_jaccard": op3_ngram_jaccard, "op6_secrets": op6_secrets, "op8_language": op8_language}
-ORACLE_SQL: dict[str, str] = {}
+QUERIES = {f.__name__: f for f in (op1_gif_media, op2_licenses, op3_ngram_jaccard, op5_source_mix, op6_secrets, op8_language)}
+ORACLE_SQL = {"op2_licenses": licenses.sql(), "op5_source_mix": mixing.sql()}

@@ -113,7 +113,7 @@ def profiles(docs: DataFrame, k: int = WORDS) -> DataFrame:
 
 
 def list_keys(docs: DataFrame, frequent: np.ndarray, most_light: int, k: int = WORDS, percent: int = PERCENT) -> DataFrame:
-    """(doc_id, rare, common): keys of the lists that a document's set enters. rare ones are of shingles that the sketch bounds; common are frequent shingles and subsets."""
+    """(doc_id, rare, common, subsets): keys of the lists that a document's set enters. rare ones are of shingles that the sketch bounds; common ones of frequent shingles, which come after them in the order."""
     marks = docs.sparkSession.sparkContext.broadcast(np.packbits(frequent))
     bits = len(frequent).bit_length() - 1
 
@@ -122,20 +122,16 @@ def list_keys(docs: DataFrame, frequent: np.ndarray, most_light: int, k: int = W
             grams, at = shingle_sets(batch.column("text"), k)
             place = (grams >> U64(64 - bits)).astype(np.int64)
             often = (marks.value[place >> 3] >> (7 - (place & 7)).astype(np.uint8)) & 1 == 1
-            rare, common = [], []
+            rare, common, subsets = [], [], []
             for a, b in zip(at[:-1].tolist(), at[1:].tolist(), strict=True):
-                n, one, two = b - a, grams[:0], []
-                if n and n <= most_light:
-                    two.append(subset_keys(grams[a:b], percent))
-                if n and n >= least_overlap(most_light + 1, percent):
-                    p = prefix_length(n, percent)
-                    one = grams[a:b][~often[a:b]][:p]
-                    two.append(grams[a:b][often[a:b]][: p - len(one)])
-                rare.append(one)
-                common.append(np.concatenate(two) if two else one[:0])
-            yield pa.record_batch([batch.column("doc_id"), *(pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum([len(y) for y in x]))).astype(np.int32)), signed(np.concatenate(x))) for x in (rare, common))], ["doc_id", "rare", "common"])
+                n = b - a
+                p = prefix_length(n, percent) if n and n >= least_overlap(most_light + 1, percent) else 0
+                rare.append(grams[a:b][~often[a:b]][:p])
+                common.append(grams[a:b][often[a:b]][: p - len(rare[-1])])
+                subsets.append(subset_keys(grams[a:b], percent) if 0 < n <= most_light else grams[:0])
+            yield pa.record_batch([batch.column("doc_id"), *(pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum([len(y) for y in x]))).astype(np.int32)), signed(np.concatenate(x))) for x in (rare, common, subsets))], ["doc_id", "rare", "common", "subsets"])
 
-    return docs.mapInArrow(scan, "doc_id long, rare array<long>, common array<long>")
+    return docs.mapInArrow(scan, "doc_id long, rare array<long>, common array<long>, subsets array<long>")
 
 
 def verified(pairs: DataFrame, docs: DataFrame, k: int = WORDS, percent: int = PERCENT) -> DataFrame:
@@ -163,10 +159,6 @@ def verified(pairs: DataFrame, docs: DataFrame, k: int = WORDS, percent: int = P
     return joined.select("a", "b", "text_a", "text_b").mapInArrow(compare, "a long, b long, linked boolean").groupBy("a", "b").agg(F.max("linked").alias("linked"))
 
 
-def size_fits(n: str, m: str, percent: int = PERCENT) -> Column:
-    return (F.col(n) * 100 >= F.col(m) * percent) & (F.col(m) * 100 >= F.col(n) * percent)
-
-
 def jaccard_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = WORDS, percent: int = PERCENT) -> DataFrame:
     """(doc_id, n_shingles, component_id) for every row: component_id is the smallest id that links reach, the row's own included.
 
@@ -187,11 +179,13 @@ def jaccard_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     frequent = counts > mean + max(16.0, 6 * mean**0.5)
 
     reps = classes.where("rep is not null").select(F.col("rep").alias("doc_id"), "n").groupBy("doc_id").agg(F.max("n").alias("n"))
-    keyed = list_keys(docs, frequent, light, k, percent).join(reps, "doc_id")
+    keyed = list_keys(docs, frequent, light, k, percent).join(reps, "doc_id").withColumn("r", F.size("rare"))
     w = Window.partitionBy("key")
     # A rare shingle's list is short: the sketch never counts too few. Its rows meet once.
-    rare = keyed.select("doc_id", F.explode("rare").alias("key")).withColumn("members", F.count("*").over(w)).where("members > 1").select("key", "doc_id")
-    lists = kept(rare.unionByName(shared_only(keyed.select("doc_id", F.explode("common").alias("key")))).distinct().join(reps, "doc_id"), "lists")
+    rare = keyed.select(F.posexplode("rare").alias("pos", "key"), "doc_id", "n", "r").withColumn("members", F.count("*").over(w)).where("members > 1").select("key", "doc_id", "n", "r", "pos")
+    common = keyed.select(F.posexplode("common").alias("i", "key"), "doc_id", "n", "r").select("key", "doc_id", "n", "r", (F.col("r") + F.col("i")).alias("pos"))
+    subsets = keyed.select(F.explode("subsets").alias("key"), "doc_id", "n", "r").select("key", "doc_id", "n", "r", F.lit(0).alias("pos"))
+    lists = kept(rare.unionByName(shared_only(common.unionByName(subsets))), "lists")
 
     links = spark.createDataFrame([], "a long, b long")
     tried, labels, first = None, None, True
@@ -199,7 +193,7 @@ def jaccard_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         if labels is None:
             left = lists.withColumn("c", F.col("doc_id"))
         else:
-            left = lists.join(labels, lists.doc_id == labels.node, "left").select("key", "doc_id", "n", F.coalesce("component", "doc_id").alias("c"))
+            left = lists.join(labels, lists.doc_id == labels.node, "left").select("key", "doc_id", "n", "r", "pos", F.coalesce("component", "doc_id").alias("c"))
         pairs = hub_pairs(left, first, percent)
         if tried is not None:
             pairs = pairs.join(tried, ["a", "b"], "left_anti")
@@ -222,21 +216,31 @@ def jaccard_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 def shared_only(keys: DataFrame) -> DataFrame:
     """Rows of keys that more than one document has, without gathering a key's rows in one task."""
     many = keys.groupBy("key").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi")).where("lo < hi").select("key")
-    return keys.join(many, "key", "left_semi").select("key", "doc_id")
+    return keys.join(many, "key", "left_semi").select("key", "doc_id", "n", "r", "pos")
+
+
+def may_link(n: str, at: str, m: str, other: str, percent: int = PERCENT) -> Column:
+    """Whether sets of n and m shingles can link if this is their first common shingle, at these places in the order.
+
+    If it isn't the first, the list of the first one has the pair. The overlap is at most what is left of either set.
+    """
+    left = F.least(F.col(n) - F.col(at), F.col(m) - F.col(other))
+    return left * (100 + percent) >= (F.col(n) + F.col(m)) * percent
 
 
 def hub_pairs(members: DataFrame, first: bool, percent: int = PERCENT) -> DataFrame:
     """Pairs (a, b) of a list's hubs with its members in other components.
 
-    First, the smallest member is the hub. Later, hubs are the members outside the list's largest component; the caller
-    drops pairs tried before and comes back until none is left.
+    First, the hub is the member with the fewest rare shingles, which most copies are near to. Later, hubs are the members
+    outside the list's largest component; the caller drops pairs tried before and comes back until none is left.
     """
+    hub = F.struct("r", "doc_id", "n", "c", "pos")
     if first:
-        hubs = members.groupBy("key").agg(F.min(F.struct("doc_id", "n", "c")).alias("h")).select("key", "h.*")
+        hubs = members.groupBy("key").agg(F.min(hub).alias("h")).select("key", "h.*")
     else:
         sides = members.groupBy("key", "c").agg(F.count("*").alias("m"))
         largest = sides.groupBy("key").agg(F.max(F.struct("m", F.col("c").alias("top"))).alias("s"), F.count("*").alias("parts")).where("parts > 1").select("key", "s.top")
-        hubs = members.join(largest, "key").where("c <> top").select("key", "doc_id", "n", "c")
-    hubs = hubs.select("key", F.col("doc_id").alias("a"), F.col("n").alias("an"), F.col("c").alias("ac"))
-    joined = members.join(hubs, "key").where((F.col("c") != F.col("ac")) & size_fits("n", "an", percent))
+        hubs = members.join(largest, "key").where("c <> top").select("key", "doc_id", "n", "c", "pos")
+    hubs = hubs.select("key", F.col("doc_id").alias("a"), F.col("n").alias("an"), F.col("c").alias("ac"), F.col("pos").alias("apos"))
+    joined = members.join(hubs, "key").where((F.col("c") != F.col("ac")) & may_link("n", "pos", "an", "apos", percent))
     return joined.select(F.least("a", "doc_id").alias("a"), F.greatest("a", "doc_id").alias("b")).distinct()

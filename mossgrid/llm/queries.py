@@ -2,13 +2,19 @@
 
 from __future__ import annotations
 
+import os
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mossgrid.llm import gif, langid, licenses, mixing, secrets, shingles
+from mossgrid.llm import gif, imatch, langid, licenses, mixing, pagetext, secrets, sentencepieces, shingles, warc
 from mossgrid.llm.common import prepare
 
 
+#: The vocabulary file of op10 and of the pipeline's last stage.
+VOCABULARY = os.environ.get("PIECE_MODEL", "/opt/tokenizers/piece_bpe_32k.model")
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -34,6 +40,11 @@ def op3_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shingles.jaccard_groups(table(spark, sf_dir, "documents"))
 
 
+def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    index = warc.write_archives(table(spark, sf_dir, "pages"))
+    return warc.read_records(index).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op5_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.mixed_sizes(table(spark, sf_dir, "documents"))
     return mixed.select("doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"))
@@ -47,11 +58,33 @@ def op6_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", count("assign"), count("access"), count("hex"), F.sha2(spans(secrets.KINDS[:3]).cast("binary"), 256).alias("base_sha256"), spans(secrets.KINDS).alias("spans"))
 
 
+def op7_imatch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return imatch.edited_neighbours(docs, imatch.lexicon(docs), int(spark.conf.get("spark.sql.shuffle.partitions")))
+
+
 def op8_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang").withColumn("held_out", langid.held_out())
     model = langid.train(docs.where("not held_out"))
     return langid.predict(docs.select("doc_id", "held_out", "text"), model).select("doc_id", "held_out", "lang_pred", "score")
 
 
-QUERIES = {f.__name__: f for f in (op1_gif_media, op2_licenses, op3_ngram_jaccard, op5_source_mix, op6_secrets, op8_language)}
-ORACLE_SQL = {"op2_licenses": licenses.sql(), "op5_source_mix": mixing.sql()}
+def op9_page_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pagetext.extract_text(table(spark, sf_dir, "pages"))
+
+
+def piece_digests(docs: DataFrame) -> DataFrame:
+    """What encoding and decoding give for every row of (doc_id, text): the best segmentation, how far the others fall behind, and whether decoding restores the text."""
+    coded = sentencepieces.encode_texts(docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")), VOCABULARY)
+    best = F.col("nbest")[0]
+    coded = coded.select("doc_id", "text", best["ids"].alias("ids"), best["n_pieces"].cast("long").alias("n_pieces"), best["score"].alias("score"), F.size("nbest").cast("long").alias("n_best"), F.sha2(F.unhex(F.array_join(F.transform("nbest", lambda p: F.hex(p["ids"])), "")), 256).alias("nbest_sha256"), (best["score"] - F.element_at("nbest", -1)["score"]).alias("spread"))
+    back = sentencepieces.decode_ids(coded, VOCABULARY)
+    return back.select("doc_id", "n_pieces", F.sha2("ids", 256).alias("ids_sha256"), "score", "n_best", "spread", "nbest_sha256", (F.col("decoded") == F.replace("text", F.lit(sentencepieces.MARK), F.lit(" "))).alias("round_trip"))
+
+
+def op10_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return piece_digests(table(spark, sf_dir, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (op1_gif_media, op2_licenses, op3_ngram_jaccard, op4_warc, op5_source_mix, op6_secrets, op7_imatch, op8_language, op9_page_text, op10_pieces)}
+ORACLE_SQL = {"op2_licenses": licenses.sql(), "op4_warc": warc.sql(), "op5_source_mix": mixing.sql()}

@@ -14,7 +14,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from mossgrid.llm.common import pieces
+from mossgrid.llm.common import pieces, prepare
 
 MOST_CODES = 4096
 BINS = 16
@@ -243,6 +243,7 @@ def gif_frames(df: DataFrame, media: str = "media", whole: bool = True) -> DataF
     Null media give null frames and no error; damaged media null frames and the error's text. Other columns are kept, but
     for earlier ones named frames and gif_error, which are replaced.
     """
+    prepare(df.sparkSession)
     df = df.drop("frames", "gif_error")
 
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -263,6 +264,7 @@ def gif_frames(df: DataFrame, media: str = "media", whole: bool = True) -> DataF
 
 def store_texts(df: DataFrame, text: str = "text", width: int = 64) -> DataFrame:
     """Adds n_bytes (of the UTF-8 text; null is empty), payload_bytes (padded with bytes 0 to a positive multiple of width) and media, the payload as a GIF. Replaces columns so named."""
+    prepare(df.sparkSession)
     df = df.drop("n_bytes", "payload_bytes", "media")
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

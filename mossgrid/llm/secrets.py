@@ -16,7 +16,7 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from mossgrid.llm.common import pieces
+from mossgrid.llm.common import pieces, prepare
 
 #: In this order where spans start together. The base kinds' patterns.
 KINDS = ("assign", "access", "hex", "pem", "key", "jwt")
@@ -150,6 +150,7 @@ def scan_secrets(df: DataFrame, text: str = "text", redact: bool = False, mask:
 
     Null and empty texts have no secrets (null stays null). Other columns are kept; an earlier column secrets is replaced.
     """
+    prepare(df.sparkSession)
     df = df.drop("secrets")
     kind = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64())]))
 

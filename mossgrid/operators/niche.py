@@ -7,27 +7,21 @@ from pyspark.sql import functions as F
 
 from mossgrid.functions.common import classified
 
-ALL = Window.partitionBy()
-
-
 def taxon_abundance(abundance: DataFrame, taxonomy: DataFrame) -> DataFrame:
     """(taxon, sample, abundance, reads): sums over the members of each classified taxon."""
     known = taxonomy.where(classified(F.col("taxon"))).select("mag", "taxon")
     return abundance.join(known, "mag").groupBy("taxon", "sample").agg(F.sum("abundance").alias("abundance"), F.sum("reads").alias("reads"))
 
-
 def zero_fill(taxa: DataFrame, samples: DataFrame) -> DataFrame:
     """Every taxon in every sample; absent ones with zeros. Both sides are distinct names, after aggregation."""
     grid = taxa.select("taxon").distinct().crossJoin(samples.select("sample").distinct())
     return grid.join(taxa, ["taxon", "sample"], "left").select("taxon", "sample", F.coalesce("abundance", F.lit(0)).alias("abundance"), F.coalesce("reads", F.lit(0)).alias("reads"))
 
-
 def within_sample_percent(abundance: DataFrame) -> DataFrame:
     """Abundance as a percentage of its sample's total; a sample without any has 0."""
     total = F.sum("abundance").over(Window.partitionBy("sample"))
     return abundance.withColumn("abundance", F.coalesce(F.try_divide(F.col("abundance") * 100.0, total), F.lit(0.0)))
 
-
 def niche_stats(filled: DataFrame, min_percent: float = 0.001) -> DataFrame:
     """Per taxon: occupancy, reads, mean, CV with sample deviation, the bias sqrt(K / R) and the corrected CV (negatives kept)."""
     k = F.count("*").cast("double")
@@ -35,13 +29,11 @@ def niche_stats(filled: DataFrame, min_percent: float = 0.001) -> DataFrame:
     out = out.withColumn("raw_si_cv", F.try_divide("sd", "mean")).withColumn("expected_si_bias_sqrt_K_over_N", F.sqrt(F.try_divide("k", "total_reads")))
     return out.withColumn("corrected_si", F.col("raw_si_cv") - F.col("expected_si_bias_sqrt_K_over_N")).drop("sd", "k")
 
-
 def niche_eligible(stats: DataFrame, method: str, selected: Column, min_reads: int = 20) -> DataFrame:
     """Adds eligible. Supported: mean above 0, reads enough and (cv) a finite selected value."""
     finite = selected.isNotNull() & ~F.isnan(selected.cast("double")) if method == "cv" else F.lit(True)
     return stats.withColumn("eligible", F.coalesce((F.col("mean") > 0) & (F.col("total_reads") >= min_reads) & finite, F.lit(False)))
 
-
 def classify_niche(stats: DataFrame, method: str = "cv", cv_correct: bool = False, min_reads: int = 20) -> DataFrame:
     """Ranks supported taxa (name breaks ties) and labels tails of floor(n / 4). Occupancy turns the labels around."""
     if method not in ("cv", "occupancy") or (cv_correct and method != "cv"):
@@ -50,21 +42,19 @@ def classify_niche(stats: DataFrame, method: str = "cv", cv_correct: bool = Fals
     rows = niche_eligible(stats, method, selected, min_reads).withColumn("selected", selected)
     # One row per taxon: the only window over everything, after aggregation.
     rank = F.row_number().over(Window.partitionBy("eligible").orderBy("selected", "taxon"))
-    rows = rows.withColumn("cv_quartile_rank", F.when(F.col("eligible"), rank).cast("long")).withColumn("tail", F.floor(F.sum(F.col("eligible").cast("long")).over(ALL) / 4))
-    n = F.sum(F.col("eligible").cast("long")).over(ALL)
+    rows = rows.withColumn("cv_quartile_rank", F.when(F.col("eligible"), rank).cast("long")).withColumn("tail", F.floor(F.sum(F.col("eligible").cast("long")).over(Window.partitionBy()) / 4))
+    n = F.sum(F.col("eligible").cast("long")).over(Window.partitionBy())
     low, high = F.col("cv_quartile_rank") <= F.col("tail"), F.col("cv_quartile_rank") > n - F.col("tail")
     names = ("generalist", "specialist") if method == "cv" else ("specialist", "generalist")
     rows = rows.withColumn("niche", F.when(~F.col("eligible"), "unclassified_low_support").when(low, names[0]).when(high, names[1]).otherwise("intermediate"))
-    rows = rows.withColumn("cv_low_tail_max", F.when(F.col("eligible"), F.max(F.when(low, F.col("selected"))).over(ALL))).withColumn("cv_high_tail_min", F.when(F.col("eligible"), F.min(F.when(high, F.col("selected"))).over(ALL)))
-    rows = rows.withColumn("community_mean_corrected_si", F.avg(F.when(F.col("eligible"), F.col("corrected_si"))).over(ALL))
+    rows = rows.withColumn("cv_low_tail_max", F.when(F.col("eligible"), F.max(F.when(low, F.col("selected"))).over(Window.partitionBy()))).withColumn("cv_high_tail_min", F.when(F.col("eligible"), F.min(F.when(high, F.col("selected"))).over(Window.partitionBy())))
+    rows = rows.withColumn("community_mean_corrected_si", F.avg(F.when(F.col("eligible"), F.col("corrected_si"))).over(Window.partitionBy()))
     return rows.withColumn("method", F.lit(method)).withColumn("correct_cv_classification", F.lit("TRUE" if cv_correct else "FALSE")).drop("tail", "selected")
 
-
 def member_counts(abundance: DataFrame, taxonomy: DataFrame) -> DataFrame:
     mags = abundance.select("mag").distinct()
     return mags.join(taxonomy.where(classified(F.col("taxon"))), "mag").groupBy("taxon").agg(F.count_distinct("mag").alias("member_mags"))
 
-
 def niche_classification(abundance: DataFrame, taxonomy: DataFrame, rank: str = "family", metric: str = "relative_abundance", method: str = "cv", cv_correct: bool = False, min_reads: int = 20, min_percent: float = 0.001) -> DataFrame:
     """The whole chain from long abundances (mag, sample, abundance, reads) and taxonomy (mag, taxon)."""
     used = within_sample_percent(abundance) if method == "occupancy" and metric != "relative_abundance" else abundance
@@ -72,7 +62,6 @@ def niche_classification(abundance: DataFrame, taxonomy: DataFrame, rank: str =
     out = classify_niche(niche_stats(filled, min_percent), method, cv_correct, min_reads)
     return out.join(member_counts(abundance, taxonomy), "taxon", "left").withColumn("rank", F.lit(rank)).withColumn("abundance_metric", F.lit(metric))
 
-
 def niche_gate(abundance: DataFrame, taxonomy: DataFrame, least: int = 4) -> DataFrame:
     """One row (status, reason, mags, samples, taxa): whether there are MAGs, samples and classified taxa enough; the first that lacks is the reason."""
     a = abundance.agg(F.count_distinct("mag").alias("mags"), F.count_distinct("sample").alias("samples"))
@@ -81,7 +70,6 @@ def niche_gate(abundance: DataFrame, taxonomy: DataFrame, least: int = 4) -> Dat
     reason = F.when(F.col("mags") < least, "too_few_mags").when(F.col("samples") < least, "too_few_samples").when(F.col("taxa") < least, "too_few_taxa")
     return row.select(F.when(reason.isNull(), "run").otherwise("skipped").alias("status"), F.coalesce(reason, F.lit("pass")).alias("reason"), "mags", "samples", "taxa")
 
-
 def genome_to_taxon(taxonomy: DataFrame, niche: DataFrame) -> DataFrame:
     """(mag, taxon, niche, correct_cv_classification) of every MAG."""
     return taxonomy.join(niche.select("taxon", "niche", "correct_cv_classification"), "taxon", "left").select("mag", "taxon", "niche", "correct_cv_classification")

@@ -154,7 +154,9 @@ def read_records(index: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array([r[c] for r in rows], t) for c, t in fields.items()], list(fields))
 
     placed = index.select("file", "offset", "length").withColumn("block", F.floor(F.col("offset") / BLOCK))
-    return placed.repartition("file", "block").sortWithinPartitions("file", "offset").mapInArrow(read, schema)
+    # Index rows are small next to what they name, so the number of tasks follows the archived bytes.
+    size = placed.agg(F.sum("length")).first()[0] or 0
+    return placed.repartition(max(index.sparkSession.sparkContext.defaultParallelism, size // BLOCK + 1), "file", "block").sortWithinPartitions("file", "offset").mapInArrow(read, schema)
 
 
 def sql(table: str = "pages") -> str:

@@ -215,22 +215,19 @@ def id_filter(ids: DataFrame, bits: int = SKETCH_BITS) -> Callable:
 def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """(node, component): the smallest node reachable over links, for every node of a link.
 
-    Alternates large-star and small-star steps (each a grouping by node that keeps the smallest neighbour), which hold at
-    most as many edges as they got, and ends when no edge changes. Every step is a scratch table.
+    Alternates large-star and small-star steps (each a grouping by node that keeps the smallest neighbour) and ends when
+    every edge leads from a node of one edge to a root. Every step is a scratch table.
     """
     edges = kept(links.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).where("u <> v").distinct(), "edges")
     while True:
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-        large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
-        large = kept(large, "large")
+        large = kept(both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v"), "large")
         lower = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(lower, "u").select(F.explode(F.array(F.struct("u", F.col("m").alias("v")), F.struct(F.col("v").alias("u"), F.col("m").alias("v")))).alias("e")).select("e.*").where("u <> v").distinct()
-        small = kept(small, "small")
-        n, changed = small.count(), small.exceptAll(edges).limit(1).count()
-        same = not changed and n == edges.count()
-        edges = small
-        if same:
+        edges = kept(small, "small")
+        ends = edges.select(F.explode(F.array(F.struct(F.col("u").alias("node"), F.lit(1).alias("up"), F.lit(0).alias("down")), F.struct(F.col("v").alias("node"), F.lit(0).alias("up"), F.lit(1).alias("down")))).alias("e")).select("e.*")
+        if not ends.groupBy("node").agg(F.sum("up").alias("up"), F.sum("down").alias("down")).where("up > 1 or up > 0 and down > 0").agg(F.count("*")).first()[0]:
             break
     roots = edges.select(F.col("v").alias("node")).distinct().select("node", F.col("node").alias("component"))
     return edges.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(roots)

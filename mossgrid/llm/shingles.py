@@ -179,7 +179,7 @@ def jaccard_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     frequent = counts > mean + max(16.0, 6 * mean**0.5)
 
     reps = classes.where("rep is not null").select(F.col("rep").alias("doc_id"), "n").groupBy("doc_id").agg(F.max("n").alias("n"))
-    keyed = list_keys(docs, frequent, light, k, percent).join(reps, "doc_id").withColumn("r", F.size("rare"))
+    keyed = kept(list_keys(docs, frequent, light, k, percent).withColumn("r", F.size("rare")).join(reps, "doc_id"), "keys")  # read five times below
     w = Window.partitionBy("key")
     # A rare shingle's list is short: the sketch never counts too few. Its rows meet once.
     rare = keyed.select(F.posexplode("rare").alias("pos", "key"), "doc_id", "n", "r").withColumn("members", F.count("*").over(w)).where("members > 1").select("key", "doc_id", "n", "r", "pos")
@@ -201,8 +201,8 @@ def jaccard_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         if pairs.isEmpty():
             break
         found = kept(verified(pairs, docs, k, percent), "verified")
-        tried = pairs if tried is None else kept(tried.unionByName(pairs), "tried")
-        links = kept(links.unionByName(found.where("linked").select("a", "b")), "links")
+        tried = pairs if tried is None else tried.unionByName(pairs)
+        links = links.unionByName(found.where("linked").select("a", "b"))
         labels = kept(components(links), "labels")
         first = False
 

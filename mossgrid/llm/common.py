@@ -18,7 +18,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 BATCH_ROWS = 256
-BATCH_BYTES = 1 << 21
+BATCH_BYTES = 1 << 18
+ARROW_BYTES = 1 << 22
 SKETCH_BITS = 22
 CHUNK_BITS = 16
 
@@ -31,8 +32,9 @@ U64 = np.uint64
 
 
 def prepare(spark: SparkSession) -> None:
-    """Keeps Arrow batches small: long texts must not meet ten thousand to a batch."""
+    """Keeps Arrow batches small, in rows and in bytes: long texts must not meet in one batch."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", ARROW_BYTES)
 
 
 def scratch(spark: SparkSession, name: str) -> str:
@@ -145,22 +147,13 @@ class Counts:
     """Counters that a task adds hashed items to."""
 
     def __init__(self, bits: int = SKETCH_BITS) -> None:
-        self.bits, self.waiting, self.size = bits, [], 0
+        self.bits = bits
         self.total = np.zeros(1 << bits, np.uint32)
 
     def add(self, hashes: np.ndarray) -> None:
-        self.waiting.append((hashes >> U64(64 - self.bits)).astype(np.int32))
-        self.size += len(hashes)
-        if self.size >= 1 << 21:
-            self.flush()
-
-    def flush(self) -> None:
-        if self.size:
-            self.total += np.bincount(np.concatenate(self.waiting), minlength=1 << self.bits).astype(np.uint32)
-        self.waiting, self.size = [], 0
+        np.add.at(self.total, (hashes >> U64(64 - self.bits)).astype(np.int64), np.uint32(1))
 
     def chunks(self) -> Iterator[tuple[int, bytes]]:
-        self.flush()
         for k in range(1 << (self.bits - CHUNK_BITS)):
             part = self.total[k << CHUNK_BITS : (k + 1) << CHUNK_BITS]
             if part.any():
@@ -199,12 +192,10 @@ def id_filter(ids: DataFrame, bits: int = SKETCH_BITS) -> Callable:
     marks = np.packbits(merged_counts(ids.select(name).mapInArrow(count, "chunk int, counts binary"), bits) > 0)
     there = spark.sparkContext.broadcast(marks)
 
-    @F.pandas_udf("boolean")
-    def listed(x):  # noqa: ANN001, ANN202
-        at = (mix(x.fillna(0).to_numpy(np.int64).view(U64)) >> U64(64 - bits)).astype(np.int64)
-        import pandas as pd
-
-        return pd.Series((there.value[at >> 3] >> (7 - (at & 7)).astype(np.uint8)) & 1 == 1)
+    @F.arrow_udf("boolean")
+    def listed(x: pa.Array) -> pa.Array:
+        at = (mix(x.fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64).view(U64)) >> U64(64 - bits)).astype(np.int64)
+        return pa.array((there.value[at >> 3] >> (7 - (at & 7)).astype(np.uint8)) & 1 == 1, pa.bool_())
 
     return listed
 

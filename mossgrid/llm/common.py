@@ -109,6 +109,7 @@ def pieces(batches: Iterator[pa.RecordBatch], text: str) -> Iterator[pa.RecordBa
             end = max(start + 1, int(np.searchsorted(offsets, offsets[start] + BATCH_BYTES, "right")) - 1)
             yield batch.slice(start, end - start)
             start = end
+    pa.default_memory_pool().release_unused()  # workers outlive their tasks
 
 
 def word_spans(data: np.ndarray, offsets: np.ndarray, is_word: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:

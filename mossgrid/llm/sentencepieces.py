@@ -28,6 +28,7 @@ MARK = "▁"
 STRETCH = re.compile(r"\n|▁*[^▁\n]+|▁+")
 MOST_KEPT = 400_000
 LONGEST = 64
+SOLVED_AT_ONCE = 8192
 NONE = -(1 << 60)
 NBEST = 4
 PATHS = "array<struct<score:double,n_pieces:int,ids:binary>>"
@@ -270,12 +271,15 @@ class Encoder:
         short = [x for x in new if len(x) <= LONGEST]
         alone = [x for x in new if len(x) > LONGEST]
         names, packed, totals, gaps = [], [], [], []
-        if short:
-            ids, at, total, gap, solved = solve_many(self.v, short)
+        for first in range(0, len(short), SOLVED_AT_ONCE):
+            part = short[first : first + SOLVED_AT_ONCE]
+            ids, at, total, gap, solved = solve_many(self.v, part)
             raw, at = ids.tobytes(), (4 * at).tolist()
-            names, packed = short, [raw[a:b] for a, b in zip(at, at[1:], strict=False)]
-            totals, gaps = total.tolist(), gap.tolist()
-            alone += [short[k] for k in np.flatnonzero(~solved).tolist()]
+            names += part
+            packed += [raw[a:b] for a, b in zip(at, at[1:], strict=False)]
+            totals += total.tolist()
+            gaps += gap.tolist()
+            alone += [part[k] for k in np.flatnonzero(~solved).tolist()]
         place = {x: k for k, x in enumerate(names)}
         for x in alone:
             total, ids, gap = best_and_gap(self.v.lattice(x))

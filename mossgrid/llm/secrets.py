@@ -2,7 +2,8 @@
 
 Base kinds are patterns: assignments, access keys and long hex runs. Further kinds are reported only when what they hold
 parses: base64 or hex that decodes to a private key in DER with nested lengths that fit exactly, the framed fields of an
-OpenSSH key, or a signed token whose header and body are JSON objects and whose header names an algorithm.
+OpenSSH key, or a signed token whose header and body are JSON objects and whose header names an algorithm. Base64 is read
+in both alphabets and over line ends, real or escaped, and pieces of quoted strings; the key's own lengths say where it ends.
 """
 
 from __future__ import annotations
@@ -23,8 +24,17 @@ KINDS = ("assign", "access", "hex", "pem", "key", "jwt")
 ASSIGN = re.compile(r"(password|passwd|secret|token|api_?key)[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_.=-]+)", re.A | re.I)
 ACCESS = re.compile(r"AKIA[A-Z0-9]{16,}")
 HEX = re.compile(r"[0-9a-f]{24,}")
-PEM = re.compile(r"-----BEGIN ([A-Z0-9 ]{0,40}PRIVATE KEY)-----([A-Za-z0-9+/=\s:,.\-]*?)-----END \1-----")
-BLOB = re.compile(r"[A-Za-z0-9+/]{40,}={0,2}")
+PEM = re.compile(r"-----BEGIN ([A-Z0-9 ]{0,40}PRIVATE KEY)-----((?:(?!-----BEGIN)[A-Za-z0-9+/=\s:,.\-_\\\"'&])*?)-----END \1-----")
+#: What stands between base64 characters: white space, escaped line ends, the escape of a slash, a string that ends and goes on.
+BREAK = r"\s|\\+(?:[nrt]|u000[9aAdD]|(?=[/\s]))|[\"'](?:\\+[nr])*+\s*+(?:[+.,&\\]\s*+)?[\"']"
+RUN = re.compile(rf"([A-Za-z0-9+/_-]+)|\\+u002([bBfF])|(?:{BREAK})")
+BREAKS = re.compile(BREAK)
+PAD = rf"(?:{BREAK})*+(?:=|\\+u003[dD])"
+#: The first byte is 0x30, or the OpenSSH mark; not within a word, but an escaped line end may stand before.
+START = re.compile(r"M[A-P](?:(?<![A-Za-z0-9]..)|(?<=\\[nrt]..)|(?<=\\u000[9aAdD]..))")
+OPENSSH = re.compile(r"b3BlbnNzaC1rZXkt")
+HEAD_SYMBOLS = 24
+LEAST_SYMBOLS = 40
 HEX_BLOB = re.compile(r"[0-9A-Fa-f]{40,}")
 TOKEN = re.compile(r"eyJ[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+\.[A-Za-z0-9_-]*")
 DEEPEST = 16
@@ -114,9 +124,77 @@ def is_signed_token(token: str) -> bool:
     return isinstance(head, dict) and isinstance(body, dict) and isinstance(head.get("alg"), str) and head["alg"] != ""
 
 
+def symbols(text: str, at: int, most: int | None = None) -> tuple[str, int]:
+    """Base64 characters from a place on, most of them or up to what can't be base64, and the place after the last one."""
+    out, n, end = [], 0, at
+    while (most is None or n < most) and (m := RUN.match(text, at)):
+        at = m.end()
+        part = m[1] or ("+" if m[2] in "bB" else "/") if m[1] or m[2] else ""
+        if part:
+            over = 0 if most is None else max(0, n + len(part) - most)
+            out.append(part[: len(part) - over])
+            n, end = n + len(part) - over, at - over
+    return "".join(out), end
+
+
+def key_bytes(head: bytes) -> int | None:
+    """Length of a DER private key as its first bytes give it, or None if it doesn't start like one."""
+    long = head[1] & 0x7F if head[1] & 0x80 else 0
+    if head[0] != 0x30 or long > 4 or head[1] == 0x80:
+        return None
+    inner = head[2 + long :]
+    if inner[:2] not in (b"\x02\x01", b"\x02\x02") and not (inner[:1] == b"\x30" and (inner[2:3] == b"\x06" or inner[1] & 0x80)):
+        return None
+    return 2 + long + (int.from_bytes(head[2 : 2 + long], "big") if long else head[1])
+
+
+def openssh_bytes(data: bytes) -> int | None:
+    """Length of an OpenSSH key: its mark, three fields, the number of keys, a field of each and the private one."""
+    at = 15
+    for _ in range(3):
+        at += 4 + int.from_bytes(data[at : at + 4], "big")
+    fields = int.from_bytes(data[at : at + 4], "big") + 1
+    at += 4
+    if not 2 <= fields <= 65:
+        return None
+    for _ in range(fields):
+        at += 4 + int.from_bytes(data[at : at + 4], "big")
+    return at
+
+
+def base64_keys(text: str) -> list[tuple[int, int]]:
+    """Spans of private keys in base64 without regard to armour."""
+    found, last = [], 0
+    starts = [(m.start(), False) for m in START.finditer(text)]
+    if "b3BlbnNzaC1rZXkt" in text:
+        starts = sorted(starts + [(m.start(), True) for m in OPENSSH.finditer(text)])
+    for start, openssh in starts:
+        if start < last:
+            continue
+        if openssh:
+            body, _ = symbols(text, start)
+            size = openssh_bytes(unpacked(body[: len(body) // 4 * 4]) or b"")
+        else:
+            head, _ = symbols(text, start, HEAD_SYMBOLS)
+            size = key_bytes(unpacked(head)) if len(head) == HEAD_SYMBOLS else None
+        need = -(-size * 4 // 3) if size else 0
+        if not LEAST_SYMBOLS <= need <= len(text) - start:
+            continue
+        body, end = symbols(text, start, need)
+        data = unpacked(body) if len(body) == need else None
+        if data is None or text[end : end + 1].isascii() and text[end : end + 1].isalnum() or not is_private_key(data):
+            continue
+        if need % 4:
+            end = re.compile(rf"(?:{PAD}){{0,{4 - need % 4}}}").match(text, end).end()
+        found.append((start, end))
+        last = end
+    return found
+
+
 def confirmed_pem(label: str, body: str) -> bool:
-    lines = [x for x in body.split("\n") if ":" not in x]
-    data = unpacked("".join("".join(lines).split()))
+    lines = [x for x in re.split(r"\r?\n|\\+[nr]", body) if ":" not in x]
+    packed = re.sub(r"\\+u003[dD]", "=", BREAKS.sub("", "\n".join(lines)))
+    data = unpacked(packed.replace("\\u002b", "+").replace("\\u002B", "+").replace("\\u002f", "/").replace("\\u002F", "/"))
     return data is not None and (is_private_key(data) or ("Proc-Type:" in body and len(data) >= 64 and len(data) % 8 == 0))
 
 
@@ -131,12 +209,7 @@ def find_secrets(text: str) -> list[tuple[str, int, int]]:
     if "PRIVATE KEY-----" in text:
         found += [("pem", *m.span()) for m in PEM.finditer(text) if confirmed_pem(m[1], m[2])]
     inside = [(a, b) for k, a, b in found if k == "pem"]
-    for m in BLOB.finditer(text):
-        data = None
-        if m[0][:1] == "M" or m[0].startswith("b3BlbnNzaC1rZXkt"):  # the first byte is 0x30, or the OpenSSH mark
-            data = unpacked(m[0])
-        if data and is_private_key(data) and not any(a <= m.start() < b for a, b in inside):
-            found.append(("key", *m.span()))
+    found += [("key", a, b) for a, b in base64_keys(text) if not any(x <= a < y for x, y in inside)]
     for m in HEX_BLOB.finditer(text):
         if m[0][:2] == "30" and len(m[0]) % 2 == 0 and is_private_key(bytes.fromhex(m[0])):
             found.append(("key", *m.span()))

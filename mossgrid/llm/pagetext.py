@@ -2,7 +2,7 @@
 
 Element subtrees are hashed and counted per host in Spark; a subtree that recurs on most pages of its host is the site's,
 not the page's, and is deleted, as are elements whose tag, role or class says that they are menus, adverts and the like.
-Paragraphs, headings and other prose within the article stand even where pages share them. A host has few such subtrees
+Paragraphs, headings and other prose within the article stand whatever their class and even where pages share them. A host has few such subtrees
 (each needs a fixed part of its pages), so what a page is compared with is small whatever the host's size.
 """
 
@@ -32,20 +32,24 @@ PROSE = frozenset("p h1 h2 h3 h4 h5 h6 blockquote pre b i em strong span a u cod
 ENDS_P = BLOCKS - {"br", "body", "html", "head", "td", "th", "tr", "tbody", "thead", "tfoot", "caption"}
 ENDS_SAME = {"li": ("li", ("ul", "ol")), "dt": ("dt dd", ("dl",)), "dd": ("dt dd", ("dl",)), "tr": ("tr td th", ("table",)), "td": ("td th", ("tr",)), "th": ("td th", ("tr",)), "option": ("option", ("select",))}
 MARKS = frozenset("ad ads advert adverts advertisement advertising banner sponsor sponsored promo cookie cookies consent gdpr notice notices popup modal overlay newsletter subscribe subscription sidebar menu nav navbar navigation breadcrumb breadcrumbs pagination footer header masthead comment comments commentlist reply replies respond disqus share sharing social related recommended widget toolbar login signup search".split())
+#: What holds the page or its text; never itself unwanted or the site's.
+SHELL = frozenset("html body main article".split())
 ROLES = frozenset("navigation banner contentinfo complementary search dialog alert alertdialog form menu menubar toolbar".split())
 
 
-def unwanted(attributes: str) -> bool:
+def unwanted(attributes: str) -> str:
+    """The attribute, class, id or role, that says so; "" if none does. A role goes before the others."""
+    found = ""
     for name, a, b, c in NAMED.findall(attributes):
         value = (a or b or c).lower()
         if value in ROLES if name.lower() == "role" else not MARKS.isdisjoint(re.split(r"[^a-z0-9]+", value)):
-            return True
-    return False
+            found = "role" if "role" in (found, name.lower()) else name.lower()
+    return found
 
 
 def parse(page: str) -> list:
     """The page's tree: nodes are [tag, unwanted, start, end, children], children nodes or raw text."""
-    root = ["html", False, 0, len(page), []]
+    root = ["html", "", 0, len(page), []]
     stack, at, n = [root], 0, len(page)
     while at < n:
         m = TOKEN.search(page, at)
@@ -71,7 +75,7 @@ def parse(page: str) -> list:
             close(stack, ("p",), BLOCKS - {"p"}, m.start())
         if tag in ENDS_SAME:
             close(stack, tuple(ENDS_SAME[tag][0].split()), ENDS_SAME[tag][1], m.start())
-        node = [tag, "=" in m[3] and unwanted(m[3]), m.start(), n, []]
+        node = [tag, unwanted(m[3]) if "=" in m[3] and tag not in SHELL else "", m.start(), n, []]
         stack[-1][4].append(node)
         if tag in VOID or m[3].endswith("/"):
             node[3] = at
@@ -107,7 +111,7 @@ def subtrees(page: str) -> set[int]:
         inside = inside or node[0] in ("article", "main")
         for x in node[4]:
             if isinstance(x, list):
-                if x[0] not in ("html", "body", "article", "main", "br", "meta", "link") and not (inside and x[0] in PROSE):
+                if x[0] not in SHELL and x[0] not in ("br", "meta", "link") and not (inside and x[0] in PROSE):
                     out.add(digest(page, x))
                 todo.append((x, inside))
     return out
@@ -118,7 +122,10 @@ def main_text(page: str, site: frozenset = frozenset()) -> str:
     root = parse(page)
 
     def wanted(x: list, inside: bool) -> bool:
-        return not (x[1] or x[0] in DROPPED) and not (site and not (inside and x[0] in PROSE) and x[0] not in ("html", "body", "article", "main") and digest(page, x) in site)
+        prose = inside and x[0] in PROSE
+        if x[0] in DROPPED or (x[1] and not (prose and x[1] != "role")):
+            return False
+        return not (site and not prose and x[0] not in SHELL and digest(page, x) in site)
 
     def first(tag: str) -> list:
         found, todo = [], [root]

@@ -199,6 +199,16 @@ def test_page_text(spark):
     assert pagetext.extract_text(spark.createDataFrame([], "page_id long, url string, html string")).count() == 0
 
 
+@pytest.mark.parametrize("tag", ["html", "body", "main", "article"])
+@pytest.mark.parametrize("mark", ['class="no-sidebar"', 'class="post comment-open"', "id=search", 'class="category-social" role="main"'])
+def test_containers_stand_whatever_their_class(tag, mark):
+    page = "<html><body><nav>menu</nav><main><article><h1 class='page-header'>Title</h1><p class='promo' id=notice>one <span class=search-term>two</span></p><div class=share>tweet</div><p role=navigation>next</p></article></main><div class=sidebar>links</div></body></html>"
+    marked = page.replace(f"<{tag}>", f"<{tag} {mark}>")
+    assert marked != page and pagetext.main_text(marked) == "Title\none two"
+    plain = "<html><body><div class=sidebar>links</div><div><p>one</p></div></body></html>"
+    assert pagetext.main_text(plain.replace("<body>", "<body class=no-sidebar>")) == "one"
+
+
 # I-Match
 
 

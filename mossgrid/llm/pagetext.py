@@ -1,9 +1,9 @@
 """Main text of web pages with site template removal.
 
-Element subtrees are hashed and counted per host in Spark; a subtree that recurs on most pages of its host is the site's,
-not the page's, and is deleted, as are elements whose tag, role or class says that they are menus, adverts and the like.
-Paragraphs, headings and other prose within the article stand whatever their class and even where pages share them. A host has few such subtrees
-(each needs a fixed part of its pages), so what a page is compared with is small whatever the host's size.
+Element subtrees are hashed and counted per host in Spark; a subtree that recurs across different pages of its host is the
+site's, not the page's, and is deleted, as are elements whose tag, role or class says that they are menus, adverts and the like.
+Paragraphs, headings and other prose within the article stand whatever their class and even where pages share them.
+Counts are joined back to the subtrees of each page, so a page is compared with its own subtrees only, however many a host has.
 """
 
 from __future__ import annotations
@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from mossgrid.llm.common import kept, pieces, prepare
 
 LEAST_PAGES = 3
-PART = 0.5
+PART = 0.01
 TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([A-Za-z][A-Za-z0-9:-]*)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+|[^>]*)>", re.S)
 NAMED = re.compile(r"(?:^|\s)(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 #: Element names of the HTML standard by what they are here.
@@ -169,23 +169,26 @@ def host(url: Column) -> Column:
 
 
 def site_templates(pages: DataFrame, least: int = LEAST_PAGES, part: float = PART) -> DataFrame:
-    """(host, site): hashes of the subtrees on at least `part` of a host's pages, and on `least` pages. Pages without a host have no site."""
+    """(host, page, site): for each different page of (host, page, html), hashes of its subtrees that stand on `least` different pages of the host and on at least `part` of them. Pages without a host have no site."""
 
     def hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in pieces(batches, "html"):
-            rows = [(h, x) for h, page in zip(batch.column("host").to_pylist(), batch.column("html").to_pylist(), strict=True) for x in (*subtrees(page or ""), None)]
-            yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.string()), pa.array([r[1] for r in rows], pa.int64())], ["host", "tree"])
+            found = [(*subtrees(page or ""), None) for page in batch.column("html").to_pylist()]
+            at = pa.array([k for k, x in enumerate(found) for _ in x], pa.int64())
+            yield pa.RecordBatch.from_arrays([batch.column("host").take(at), batch.column("page").take(at), pa.array([x for one in found for x in one], pa.int64())], ["host", "page", "tree"])
 
-    seen = pages.where("host <> ''").select("host", "html").mapInArrow(hashes, "host string, tree long").groupBy("host", "tree").agg(F.count("*").alias("n"))
-    seen = kept(seen.where((F.col("n") >= least) | F.col("tree").isNull()), "subtrees")
+    trees = pages.where("host <> ''").select("host", "page", "html").mapInArrow(hashes, "host string, page long, tree long").distinct()
+    trees = kept(trees, "subtrees")
+    seen = trees.groupBy("host", "tree").agg(F.count("*").alias("n"))
     totals = seen.where("tree is null").select("host", F.col("n").alias("pages"))
-    return seen.where("tree is not null").join(totals, "host").where(F.col("n") >= part * F.col("pages")).groupBy("host").agg(F.collect_list("tree").alias("site"))
+    sites = seen.where((F.col("n") >= least) & F.col("tree").isNotNull()).join(totals, "host").where(F.col("n") >= part * F.col("pages")).select("host", "tree")
+    return trees.join(sites, ["host", "tree"]).groupBy("host", "page").agg(F.collect_list("tree").alias("site"))
 
 
 def extract_text(pages: DataFrame, least: int = LEAST_PAGES, part: float = PART) -> DataFrame:
-    """(page_id, url, text, n_chars) of every row of (page_id, url, html). Null or empty html has empty text; a null url has no site. Repeated rows count as pages each."""
+    """(page_id, url, text, n_chars) of every row of (page_id, url, html). Null or empty html has empty text; a null url has no site. Rows with equal html on a host count as one page."""
     prepare(pages.sparkSession)
-    pages = pages.select("page_id", "url", F.coalesce("html", F.lit("")).alias("html"), host(F.col("url")).alias("host"))
+    pages = pages.select("page_id", "url", F.coalesce("html", F.lit("")).alias("html"), host(F.col("url")).alias("host")).withColumn("page", F.xxhash64("html"))
     sites = kept(site_templates(pages, least, part), "sites")
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -193,4 +196,4 @@ def extract_text(pages: DataFrame, least: int = LEAST_PAGES, part: float = PART)
             texts = [main_text(page, frozenset(site or ())) for page, site in zip(batch.column("html").to_pylist(), batch.column("site").to_pylist(), strict=True)]
             yield pa.RecordBatch.from_arrays([batch.column("page_id"), batch.column("url"), pa.array(texts, pa.string()), pa.array(map(len, texts), pa.int64())], ["page_id", "url", "text", "n_chars"])
 
-    return pages.join(sites, "host", "left").select("page_id", "url", "html", "site").mapInArrow(read, "page_id long, url string, text string, n_chars long")
+    return pages.join(sites, ["host", "page"], "left").select("page_id", "url", "html", "site").mapInArrow(read, "page_id long, url string, text string, n_chars long")

@@ -209,6 +209,18 @@ def test_containers_stand_whatever_their_class(tag, mark):
     assert pagetext.main_text(plain.replace("<body>", "<body class=no-sidebar>")) == "one"
 
 
+def test_templates_of_one_layout_among_many(spark):
+    layout = lambda k: f"<div><span>Layout {k} of the site</span></div>"
+    rows = [(i, f"http://big.org/{i}", f"<body>{layout(i % 5)}<div><p>own {i}</p></div></body>") for i in range(100)]
+    rows += [(200 + i, f"http://small.org/{i}", f"<body>{layout(0)}<div><p>own {200 + i}</p></div></body>") for i in range(3)]
+    rows += [(300 + i, f"http://copies.org/{i}", "<body><div><p>one page under many names</p></div></body>") for i in range(5)]
+    rows += [(400 + i, f"http://huge.org/{i}", f"<body>{layout(i if i > 2 else 0)}<div><p>own {400 + i}</p></div></body>") for i in range(400)]
+    got = {r.page_id: r.text for r in pagetext.extract_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert all(got[i] == f"own {i}" for i in (*range(100), *range(200, 203)))
+    assert {got[i] for i in range(300, 305)} == {"one page under many names"}
+    assert got[400] == "Layout 0 of the site\nown 400" and got[410] == "Layout 10 of the site\nown 410" and len(got) == len(rows)
+
+
 # I-Match
 
 

@@ -17,7 +17,7 @@ def sketches(contigs: DataFrame, k: int = 21, scale: int = 50, min_size: int = 1
 
 
 def candidate_pairs(sketch: DataFrame) -> DataFrame:
-    """(g1, g2, shared) of genomes that share hashes, over one genome of each equal sketch."""
+    """(g1, g2, shared) of genomes that share hashes. dereplicate_sketches() gives it one genome of each equal sketch."""
     a, b = (sketch.select(F.col("genome").alias(g), "hash") for g in ("g1", "g2"))
     return a.join(b, "hash").where("g1 < g2").groupBy("g1", "g2").agg(F.count("*").alias("shared"))
 
@@ -64,3 +64,19 @@ def dereplicate(genomes: DataFrame, pairs: DataFrame, ani: float = 99, af: float
     to = edges.join(chosen.select(F.col("genome").alias("v")), "v", "left_semi").join(chosen.select(F.col("genome").alias("u")), "u", "left_anti")
     best = to.groupBy("u").agg(F.min(F.struct(-F.col("ani"), F.col("vo"), F.col("v"))).alias("b")).select(F.col("u").alias("genome"), F.col("b.v").alias("representative"))
     return union(own, best)
+
+
+def dereplicate_sketches(genomes: DataFrame, sketch: DataFrame, k: int = 21, ani: float = 99, af: float = 30) -> DataFrame:
+    """(genome, representative) of every genome: dereplicate() over the best genome of each equal sketch; the others follow it.
+
+    genomes: (genome, quality_score, total_bp), names not null; sketch: (genome, hash). A genome without a sketch is its own
+    representative. Genomes with equal sketches have the same neighbours and each other, so the result is that over all pairs.
+    """
+    order = F.struct(-F.col("quality_score"), -F.col("total_bp"), F.col("genome"))
+    classes = genomes.join(sketch_classes(sketch), "genome", "left").withColumn("rep", F.coalesce("rep", "genome"))
+    classes = kept(classes.select("genome", "quality_score", "total_bp", "rep"), "classes")
+    heads = kept(classes.groupBy("rep").agg(F.min(order).alias("o")).select("rep", F.col("o.genome").alias("head")), "heads")
+    best = genomes.join(heads.select(F.col("head").alias("genome")), "genome", "left_semi")
+    pairs = sketch_ani(sketch.join(heads.select(F.col("head").alias("genome")), "genome", "left_semi"), k)
+    found = dereplicate(best, pairs, ani, af).withColumnRenamed("genome", "head")
+    return classes.join(heads, "rep").join(found, "head").select("genome", "representative")

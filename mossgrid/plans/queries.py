@@ -302,12 +302,13 @@ UNION ALL SELECT mag, 'inconsistent' FROM c GROUP BY mag HAVING count(DISTINCT c
 
 
 def dereplicate(spark: SparkSession, d: str) -> DataFrame:
-    """Documents as genomes: representatives and members at 99 % identity and 30 % aligned fraction."""
+    """Documents as genomes: representatives and members at 99 % identity and 30 % aligned fraction. Documents without a sampled k-mer represent themselves; rows without an id are no genomes."""
     to = scratch(spark, "sketch")
-    similarity.sketches(contigs(spark, d), K, SCALE).write.parquet(to)
+    dna = contigs(spark, d).where("genome is not null")
+    similarity.sketches(dna, K, SCALE).write.parquet(to)
     sketch = spark.read.parquet(to)
-    genomes = sketch.groupBy("genome").agg(F.count("*").alias("total_bp")).withColumn("quality_score", F.col("genome") * 7919 % 101)
-    return similarity.dereplicate(genomes, similarity.sketch_ani(sketch, K)).select("genome", "representative")
+    genomes = dna.groupBy("genome").agg(F.sum(F.length("seq").cast("long")).alias("total_bp")).withColumn("quality_score", F.col("genome") * 7919 % 101)
+    return similarity.dereplicate_sketches(genomes, sketch, K)
 
 
 QUERIES = {

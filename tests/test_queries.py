@@ -1,10 +1,14 @@
+import hashlib
+import itertools
 import math
+import random
+import re
 
 import duckdb
 import pytest
 
-from mossgrid.operators import annotation, niche, quality
-from mossgrid.plans.queries import ORACLE_SQL, QUERIES
+from mossgrid.operators import annotation, niche, quality, similarity
+from mossgrid.plans.queries import K, ORACLE_SQL, QUERIES, SCALE
 
 DATA = "/root/testdata/sf0.001"
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
@@ -51,3 +55,41 @@ def test_cutoff_comes_before_best_hit_and_fefe_needs_a_second_hit(spark):
     assert {r.protein_id: r.subject for r in annotation.terminal_hits(hits).collect()}[1] == "r"
     confirmed = annotation.confirm_fefe(hits.where("protein_id > 1"), hits.where("protein_id = 2 OR protein_id = 4").drop("class"))
     assert sorted((r.protein_id, r.FeFe_subject) for r in confirmed.collect()) == [(2, "f"), (4, None)]
+
+
+def greedy(genomes, sketch, k=21, ani=99, af=30):
+    """genomes: {genome: (quality, length)}; sketch: {genome: hashes}. One genome after the other, against all representatives."""
+    chosen, near, order = [], {}, lambda g: (-genomes[g][0], -genomes[g][1], g)
+    for a, b in itertools.combinations(genomes, 2):
+        shared, n = len(sketch[a] & sketch[b]), sorted((len(sketch[a]), len(sketch[b])))
+        if shared and (x := 100 * (shared / n[0]) ** (1 / k)) >= ani and 100 * shared / n[0] >= af:
+            near[a, b] = near[b, a] = x
+    for g in sorted(genomes, key=order):
+        if not any((g, r) in near for r in chosen):
+            chosen.append(g)
+    return {g: g if g in chosen else min((r for r in chosen if (g, r) in near), key=lambda r: (-near[g, r], order(r))) for g in genomes}
+
+
+def test_dereplicate_equals_greedy(spark):
+    docs = duckdb.sql(f"SELECT doc_id, coalesce(text, '') FROM '{DATA}/documents.parquet' WHERE doc_id IS NOT NULL").fetchall()
+    dna = {i: re.sub("[^a-z]", "", t).translate(str.maketrans("abcdefghijklmnopqrstuvwxyz", ("ACGT" * 7)[:26])) for i, t in docs}
+    flip = str.maketrans("ACGT", "TGCA")
+    words = lambda x: {min(w, w.translate(flip)[::-1]) for w in (x[i : i + K] for i in range(len(x) - K + 1))}
+    sketch = {i: {h for w in words(x) if (h := int(hashlib.md5(w.encode()).hexdigest()[:15], 16)) % SCALE == 0} for i, x in dna.items()}
+    want = greedy({i: (i * 7919 % 101, len(x)) for i, x in dna.items()}, sketch, K)
+    got = QUERIES["dereplicate"](spark, DATA).collect()
+    assert len(got) == len(want) and {r.genome: r.representative for r in got} == want
+    assert any(not x for x in sketch.values()) and any(g != r for g, r in want.items())
+
+
+def test_equal_sketches_are_joined_once(spark):
+    draw = random.Random(7)
+    bases = [set(draw.sample(range(1, 10**9), 60)) for _ in range(3)]
+    kinds = [*bases, *(set(draw.sample(sorted(b), 55)) for b in bases), *(b | set(draw.sample(range(10**9, 2 * 10**9), 8)) for b in bases), set()]
+    sketch = {i: draw.choice(kinds) for i in range(60)}
+    genomes = {i: (draw.randrange(5), draw.randrange(3)) for i in range(60)}
+    rows = spark.createDataFrame([(i, h) for i, x in sketch.items() for h in x], "genome long, hash long")
+    frame = spark.createDataFrame([(i, float(q), n) for i, (q, n) in genomes.items()], "genome long, quality_score double, total_bp long")
+    for limit in (99, 99.6):
+        got = similarity.dereplicate_sketches(frame, rows, 21, limit).collect()
+        assert {r.genome: r.representative for r in got} == greedy(genomes, sketch, 21, limit) and len(got) == 60

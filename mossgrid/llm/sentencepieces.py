@@ -210,18 +210,57 @@ def forward(ends: list) -> list[int]:
     return best
 
 
+class Step:
+    """An arc of the lattice after the way from the text's end to it, which is found by parent links. Ways are ordered as tuples of their arcs' ids from the end; jump links meet where two ways part in logarithmic time."""
+
+    __slots__ = ("at", "depth", "gone", "ids", "jump", "up")
+
+    def __init__(self, up: Step | None, ids: tuple[int, ...], at: int, gone: int) -> None:
+        self.up, self.ids, self.at, self.gone = up, ids, at, gone
+        if up is None:
+            self.depth, self.jump = 0, self
+        else:
+            over = up.jump
+            self.depth = up.depth + 1
+            self.jump = over.jump if up.depth - over.depth == over.depth - over.jump.depth else up
+
+    def above(self, depth: int) -> Step:
+        x = self
+        while x.depth > depth:
+            x = x.jump if x.jump.depth >= depth else x.up
+        return x
+
+    def __lt__(self, other: Step) -> bool:
+        depth = min(self.depth, other.depth)
+        x, y = self.above(depth), other.above(depth)
+        if x is y:
+            return self.depth < other.depth
+        while x.up is not y.up:
+            x, y = (x.up, y.up) if x.jump is y.jump else (x.jump, y.jump)
+        return x.ids < y.ids
+
+    def way(self) -> tuple[int, ...]:
+        """The pieces of the way, in the text's order."""
+        out, x = [], self
+        while x.up is not None:
+            out += x.ids
+            x = x.up
+        return tuple(out)
+
+
 def n_best(ends: list, n: int, best: list[int] | None = None) -> list[tuple[int, tuple[int, ...]]]:
     """The n best segmentations as (score, ids), best first; equal scores in order of their ids from the end."""
     best = best or forward(ends)
-    agenda = [(-best[-1], (), len(ends) - 1, 0)]
+    agenda = [(-best[-1], Step(None, (), len(ends) - 1, 0))]
     out = []
     while agenda and len(out) < n:
-        f, back, at, g = heapq.heappop(agenda)
-        if at == 0:
-            out.append((-f, tuple(x for part in reversed(back) for x in part)))
+        f, step = heapq.heappop(agenda)
+        if step.at == 0:
+            out.append((-f, step.way()))
             continue
-        for i, ids, s in ends[at]:
-            heapq.heappush(agenda, (-(best[i] + s + g), (*back, ids), i, g + s))
+        gone = step.gone
+        for i, ids, s in ends[step.at]:
+            heapq.heappush(agenda, (-(best[i] + s + gone), Step(step, ids, i, gone + s)))
     return out
 
 

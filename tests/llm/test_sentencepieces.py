@@ -1,9 +1,11 @@
+import heapq
 import itertools
 import random
+import tracemalloc
 
 import numpy as np
 
-from mossgrid.llm.sentencepieces import MARK, UNIT, Decoder, Encoder, Vocabulary, decode_ids, encode_texts, n_best
+from mossgrid.llm.sentencepieces import MARK, UNIT, Decoder, Encoder, Vocabulary, decode_ids, encode_texts, forward, n_best
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 
@@ -51,6 +53,42 @@ def test_round_trip_with_the_public_vocabulary():
             assert decoder.decode(np.frombuffer(ids, "<i4")) == text
 
 
+def with_whole_paths(ends, n):
+    best, out = forward(ends), []
+    agenda = [(-best[-1], (), len(ends) - 1, 0)]
+    while agenda and len(out) < n:
+        f, back, at, g = heapq.heappop(agenda)
+        if at == 0:
+            out.append((-f, tuple(x for part in reversed(back) for x in part)))
+            continue
+        for i, ids, s in ends[at]:
+            heapq.heappush(agenda, (-(best[i] + s + g), (*back, ids), i, g + s))
+    return out
+
+
+def test_parent_links_keep_the_order_of_equal_scores():
+    v, draw = small(), random.Random(5)
+    v.score = {p: (i, -(1 + len(p) // 3) * 10) for p, (i, _) in v.score.items()}
+    for size in (3, 9, 40, 300):
+        for letters in ("a", "ab", "abc", "abcé"):
+            ends = v.lattice("".join(draw.choice(letters) for _ in range(size)))
+            assert n_best(ends, 9) == with_whole_paths(ends, 9)
+
+
+def test_long_stretch_without_spaces_in_bounded_memory():
+    v, draw = Vocabulary.load(MODEL), random.Random(6)
+    text = "".join(draw.choice("abcdefghijklmnopqrstuvwxyzABCXYZ0123456789+/=(){};日本語é") for _ in range(100_000))
+    ends = v.lattice(text)
+    tracemalloc.start()
+    found = n_best(ends, 4)
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert len(set(found)) == 4 and [s for s, _ in found] == sorted((s for s, _ in found), reverse=True) and most < 500e6
+    decoder = Decoder(v.names, {i: b for b, i in v.bytes.items()})
+    coded = Encoder(v).encode(text)
+    assert len(coded) == 4 and all(decoder.decode(np.frombuffer(ids, "<i4")) == text for _, ids in coded)
+
+
 def test_tables(spark):
     rows = [(1, "a cab", "x"), (1, "a cab", "x"), (2, None, "y"), (None, "", None)]
     df = spark.createDataFrame(rows, "doc_id long, text string, nbest string")

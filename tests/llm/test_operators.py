@@ -5,9 +5,10 @@ import random
 import re
 import zlib
 
+import duckdb
 import pytest
 
-from mossgrid.llm import gif, imatch, langid, licenses, mixing, pagetext, secrets, warc
+from mossgrid.llm import gif, imatch, langid, licenses, mixing, pagetext, queries, secrets, warc
 
 NOISE = "doc_id long, text string, lang string, source string, score double"
 
@@ -247,6 +248,22 @@ def test_fingerprints(spark):
     assert imatch.edited_neighbours(df.limit(0), lex, 4).count() == 0
 
 
+# SQL
+
+
+@pytest.mark.parametrize("name", sorted(queries.ORACLE_SQL))
+def test_query_equals_sql(spark, name):
+    con = duckdb.connect()
+    for t in ("documents", "pages"):
+        con.sql(f"CREATE VIEW {t} AS SELECT * FROM '/root/testdata/sf0.001/{t}.parquet'")
+    want = con.sql(queries.ORACLE_SQL[name])
+    plain = lambda v: float(f"{v:.9g}") if isinstance(v, float) else v
+    rows = lambda x: sorted((tuple(map(plain, r)) for r in x), key=str)
+    got = queries.QUERIES[name](spark, "/root/testdata/sf0.001")
+    assert sorted(got.columns) == sorted(want.columns)
+    assert rows(got.select(*want.columns).collect()) == rows(want.fetchall())
+
+
 # Pipeline
 
 

@@ -11,13 +11,16 @@ place there; scores are whole numbers in units of 2**-20. Characters without a p
 
 from __future__ import annotations
 
+import hashlib
 import heapq
 import math
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute
 from pyspark.sql import DataFrame
 
 from mossgrid.llm.common import pieces as batches_of
@@ -29,11 +32,22 @@ STRETCH = re.compile(r"\n|▁*[^▁\n]+|▁+")
 MOST_KEPT = 400_000
 LONGEST = 64
 SOLVED_AT_ONCE = 8192
-NONE = -(1 << 60)
+NONE = -(1 << 30)
+NO_OTHER = 1 << 62
 NBEST = 4
 PATHS = "array<struct<score:double,n_pieces:int,ids:binary>>"
 
 
+def stretches_of(text: str) -> list[str]:
+    """The parts of STRETCH. Splitting at a mark finds them too, unless spaces stand together, and is faster."""
+    if not text:
+        return []
+    if "  " in text or MARK in text or "\0" in text or text[0] == " ":
+        return STRETCH.findall(MARK + text.replace(" ", MARK))
+    parts = (MARK + text.replace(" ", "\0" + MARK).replace("\n", "\0\n\0")).split("\0")
+    return [x for x in parts if x] if "\n" in text else parts
+
+
 def grown(h: np.ndarray, points: np.ndarray) -> np.ndarray:
     """Hashes of strings made longer by a code point."""
     h = (h ^ (points.astype(np.uint64) + np.uint64(0x9E3779B97F4A7C15))) * np.uint64(0xBF58476D1CE4E5B9)
@@ -45,113 +59,104 @@ def utf32(text: str) -> np.ndarray:
 
 
 class HashTable:
-    """Pieces by the hash of their code points, for many strings at once. A second table takes those whose place is taken."""
+    """Pieces and their prefixes by the hash of their code points, for many strings at once; sorted, with the first place of each bucket."""
 
     BITS = 20
 
-    def __init__(self, names: list[str], ids: list[int], scores: list[int]) -> None:
-        hashes = np.zeros(len(names), np.uint64)
-        for k, name in enumerate(names):
-            h = np.zeros(1, np.uint64)
-            for c in utf32(name):
-                h = grown(h, np.array([c], np.uint32))
-            hashes[k] = h[0]
-        self.hash, self.id, self.score = np.append(hashes, np.uint64(0)), np.array([*ids, -1], np.int32), np.array([*scores, NONE], np.int64)
-        self.first, self.second = (np.full(1 << self.BITS, len(names), np.int32) for _ in range(2))
-        for k, h in enumerate(hashes.tolist()):
-            for table, at in ((self.first, h >> (64 - self.BITS)), (self.second, h & ((1 << self.BITS) - 1))):
-                if table[at] == len(names):
-                    table[at] = k
-                    break
-            else:
-                raise ValueError("two pieces share both places")
+    def __init__(self, pieces: dict[str, tuple[int, int]], prefixes: set[str]) -> None:
+        names = sorted(prefixes, key=len)
+        lengths = np.fromiter(map(len, names), np.int64, len(names))
+        points, at = utf32("".join(names)), np.cumsum(lengths) - lengths
+        hashes, live = np.zeros(len(names), np.uint64), np.arange(len(names))
+        for k in range(int(lengths.max(initial=0))):
+            live = live[lengths[live] > k]
+            hashes[live] = grown(hashes[live], points[at[live] + k])
+        order = np.argsort(hashes)
+        if len(names) > 1 and (np.diff(hashes[order]) == 0).any():
+            raise ValueError("two pieces share a hash")
+        found = [pieces.get(names[k], (-1, NONE)) for k in order.tolist()]
+        self.hash = np.append(hashes[order], np.uint64(0))
+        self.id, self.score = np.array([*(x[0] for x in found), -1], np.int32), np.array([*(x[1] for x in found), NONE], np.int32)
+        self.first = np.searchsorted(self.hash[:-1] >> np.uint64(64 - self.BITS), np.arange((1 << self.BITS) + 1, dtype=np.uint64)).astype(np.int32)
+        self.deepest = int(np.diff(self.first).max(initial=0))
 
     def find(self, h: np.ndarray) -> np.ndarray:
-        """Places in id and score; the last place for strings that are no piece."""
-        k = self.first[(h >> np.uint64(64 - self.BITS)).astype(np.int64)]
-        other = self.second[(h & np.uint64((1 << self.BITS) - 1)).astype(np.int64)]
-        k = np.where(self.hash[k] == h, k, other)
-        return np.where(self.hash[k] == h, k, len(self.hash) - 1)
+        """Places in id and score; the last place for strings that no piece starts with."""
+        bucket = (h >> np.uint64(64 - self.BITS)).astype(np.int64)
+        at, out = self.first[bucket], np.full(len(h), len(self.id) - 1, np.int64)
+        left = np.flatnonzero(self.first[bucket + 1] > at)
+        for _ in range(self.deepest):
+            k = at[left]
+            hit = self.hash[k] == h[left]
+            out[left[hit]] = k[hit]
+            left = left[~hit]
+            at[left] += 1
+        return out
 
 
 def solve_many(v: Vocabulary, words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """best_and_gap of many short stretches at once: ids, their offsets, totals, gaps, and whether each could be solved (no byte pieces needed)."""
-    lengths = np.array([len(w) for w in words], np.int64)
+    """best_and_gap of many short stretches at once: ids, how many each has, totals, gaps, and whether each could be solved (no byte pieces needed).
+
+    Viterbi scores of the best and the second best way to each place go forward, for all stretches together. Of equal
+    ways the one whose last piece is shorter is the best.
+    """
+    lengths = np.fromiter(map(len, words), np.int64, len(words))
     order = np.argsort(-lengths, kind="stable")  # stretches of at least j characters are the first ones
-    points = utf32("".join(words[k] for k in order.tolist()))
-    n, size = lengths[order], len(points)
+    points = utf32("".join([words[k] for k in order.tolist()]))
+    n, size, many = lengths[order], len(points), len(words)
     at = np.cumsum(n) - n
-    room = np.repeat(at + n, n) - np.arange(size)  # characters from here to the end of the stretch
-    most = min(v.longest, int(n[0]))
-    piece = np.full((most + 1, size + 1), len(v.table.id) - 1, np.int32)
-    h, live = np.zeros(size, np.uint64), np.arange(size)
-    for k in range(1, most + 1):
-        live = live[room[live] >= k]
-        h[live] = grown(h[live], points[live + k - 1])
-        piece[k, live] = v.table.find(h[live])
-    gain = v.table.score[piece]
-    # Places are numbered through all stretches with one more for each end.
-    begin = at + np.arange(len(n))
-    char = np.arange(size) + np.repeat(np.arange(len(n)), n)
-    best, back = np.full(size + len(n), NONE, np.int64), np.full(size + len(n), NONE, np.int64)
-    best[begin], back[begin + n] = 0, 0
-    longest = int(n[0])
-    many = np.searchsorted(-n, -np.arange(1, longest + 1), "right")
-    for j in range(1, longest + 1):
-        m = many[j - 1]
-        b, a, top = begin[:m], at[:m], np.full(m, NONE, np.int64)
-        for k in range(1, min(most, j) + 1):
-            np.maximum(top, best[b + j - k] + gain[k, a + j - k], out=top)
-        best[b + j] = np.maximum(top, NONE)
-    ends, stops = begin + n, at + n
+    owner = np.repeat(np.arange(many), n)
+    room = (at + n)[owner] - np.arange(size)  # characters from here to the end of the stretch
+    arcs, live, h, k = [], np.arange(size), np.zeros(size, np.uint64), 0
+    while len(live):
+        k += 1
+        inside = room[live] >= k
+        live, h = live[inside], h[inside]
+        h = grown(h, points[live + k - 1])
+        entry = v.table.find(h)
+        known = entry < len(v.table.id) - 1
+        live, h, entry = live[known], h[known], entry[known]
+        arcs.append((live + owner[live], entry))
+    # Places are numbered through all stretches with one more for each end, after as many as the longest piece has characters.
+    most = len(arcs)
+    gain, piece = np.full((most + size + many, most), NONE, np.int32), np.full((most + size + many, most), -1, np.int32)
+    for k, (start, entry) in enumerate(arcs):
+        gain[most + start + k + 1, k], piece[most + start + k + 1, k] = v.table.score[entry], v.table.id[entry]
+    begin = most + at + np.arange(many)
+    best, second = (np.full(most + size + many, NONE, np.int32) for _ in range(2))  # a stretch of LONGEST characters stays above NONE, twice NONE is no overflow
+    taken, pieces = (np.zeros(most + size + many, np.int64) for _ in range(2))
+    best[begin] = 0
+    longest = int(n[0]) if many else 0
+    upto = np.searchsorted(-n, -np.arange(1, longest + 1), "right")
+    rows, back = np.arange(many), np.arange(1, most + 1)
     for j in range(1, longest + 1):
-        m = many[j - 1]
-        e, a, top = ends[:m], stops[:m], np.full(m, NONE, np.int64)
-        for k in range(1, min(most, j) + 1):
-            np.maximum(top, back[e - j + k] + gain[k, a - j], out=top)
-        back[e - j] = np.maximum(top, NONE)
-    total = best[ends]
-    solved = total > NONE // 2
-    spare = np.zeros((most + 1, size), bool)  # pieces off the best way
-    for k in range(1, most + 1):
-        spare[k] = gain[k, :size] > NONE
-    words_at, steps, ids = [], [], []
-    place, step = np.where(solved, n, 0), 0
-    while True:
-        left = np.flatnonzero(place > 0)
-        if not len(left):
-            break
-        here, taken = place[left], np.zeros(len(left), np.int64)
-        for k in range(1, most + 1):
-            i = here - k
-            fits = (taken == 0) & (i >= 0)
-            f = np.flatnonzero(fits)
-            w = left[f]
-            hit = best[begin[w] + i[f]] + gain[k, at[w] + i[f]] == best[begin[w] + here[f]]
-            hit &= gain[k, at[w] + i[f]] > NONE
-            taken[f[hit]] = k
-        i = at[left] + here - taken
-        spare[taken, i] = False
-        words_at.append(left)
-        steps.append(np.full(len(left), step))
-        ids.append(v.table.id[piece[taken, i]])
-        place[left] = here - taken
-        step += 1
-    gap = np.full(len(n), 1 << 62, np.int64)
-    owner = np.repeat(np.arange(len(n)), n)
-    for k in range(1, most + 1):
-        i = np.flatnonzero(spare[k])
-        w = owner[i]
-        np.minimum.at(gap, w, total[w] - (best[char[i]] + gain[k, i] + back[char[i] + k]))
-    if ids:
-        words_at, steps, ids = map(np.concatenate, (words_at, steps, ids))
-        sort = np.lexsort((-steps, order[words_at]))
-        ids, owners = ids[sort], order[words_at][sort]
-    else:
-        ids, owners = np.zeros(0, np.int32), np.zeros(0, np.int64)
+        to, k = begin[: upto[j - 1]] + j, min(most, j)
+        come, won = to[:, None] - back[:k], gain[to, :k]
+        ways = best[come] + won
+        top, row = ways.argmax(axis=1), rows[: len(to)]
+        best[to] = np.maximum(ways[row, top], NONE)
+        ways[row, top] = NONE
+        second[to] = np.maximum(np.maximum(ways, second[come] + won).max(axis=1), NONE)
+        taken[to], pieces[to] = top + 1, pieces[come[row, top]] + 1
+    ends = begin + n
+    solved, total = best[ends] > NONE, best[ends].astype(np.int64)
+    gap = np.where(second[ends] > NONE, total - second[ends], NO_OTHER)
+    counts = np.zeros(many, np.int64)
+    counts[order] = np.where(solved, pieces[ends], 0)
+    out = np.empty(int(counts.sum()), np.int32)
+    last = np.cumsum(counts)[order] - 1
+    left = np.flatnonzero(solved)
+    place = ends[left]
+    while len(left):
+        step = taken[place]
+        out[last[left]] = piece[place, step - 1]
+        last[left] -= 1
+        place = place - step
+        more = place > begin[left]
+        left, place = left[more], place[more]
     undo = np.empty_like(order)
-    undo[order] = np.arange(len(order))
-    return ids.astype("<i4"), np.searchsorted(owners, np.arange(len(words) + 1)), total[undo], np.where(gap > 1 << 59, 1 << 62, gap)[undo], solved[undo]
+    undo[order] = np.arange(many)
+    return out, counts, total[undo], gap[undo], solved[undo]
 
 
 class Vocabulary:
@@ -159,6 +164,7 @@ class Vocabulary:
 
     def __init__(self, names: list[str], kinds: list[str]) -> None:
         self.names, self.kinds = names, kinds
+        self.key = hashlib.sha256("\0".join((*names, *kinds)).encode("utf-8", "surrogatepass")).hexdigest()
         self.bytes = {int(p[3:5], 16): i for i, (p, k) in enumerate(zip(names, kinds, strict=True)) if k == "byte"}
         place = 0
         self.score: dict[str, tuple[int, int]] = {}
@@ -171,7 +177,7 @@ class Vocabulary:
             raise ValueError("a piece spans stretches")
         self.starts = {p[:k] for p in self.score for k in range(1, len(p) + 1)}
         self.longest = max(map(len, self.score), default=1)
-        self.table = HashTable(list(self.score), [x[0] for x in self.score.values()], [x[1] for x in self.score.values()])
+        self.table = HashTable(self.score, self.starts)
 
     @classmethod
     def load(cls, path: str) -> Vocabulary:
@@ -296,83 +302,91 @@ class Encoder:
         self.clear()
 
     def clear(self) -> None:
-        self.at, self.ids = {}, []
-        self.totals, self.gaps = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.at: dict[str, int] = {}
+        self.ids = np.zeros(0, np.int32)
+        self.start, self.count, self.totals, self.gaps = (np.zeros(0, np.int64) for _ in range(4))
 
-    def prepare(self, texts: list[str]) -> list[list[str]]:
-        """The texts' stretches. Those not met before are solved: short ones together, long ones and those with byte pieces one by one."""
-        split = [STRETCH.findall(MARK + x.replace(" ", MARK)) if x else [] for x in texts]
-        if len(self.ids) >= MOST_KEPT:
-            self.clear()
-        new = list(set().union(*split).difference(self.at))
-        if not new:
-            return split
+    def solve(self, new: list[str]) -> None:
+        """Solves stretches not met before: short ones together, long ones and those with byte pieces one by one."""
         short = [x for x in new if len(x) <= LONGEST]
         alone = [x for x in new if len(x) > LONGEST]
-        names, packed, totals, gaps = [], [], [], []
         for first in range(0, len(short), SOLVED_AT_ONCE):
             part = short[first : first + SOLVED_AT_ONCE]
-            ids, at, total, gap, solved = solve_many(self.v, part)
-            raw, at = ids.tobytes(), (4 * at).tolist()
-            names += part
-            packed += [raw[a:b] for a, b in zip(at, at[1:], strict=False)]
-            totals += total.tolist()
-            gaps += gap.tolist()
-            alone += [part[k] for k in np.flatnonzero(~solved).tolist()]
-        place = {x: k for k, x in enumerate(names)}
-        for x in alone:
-            total, ids, gap = best_and_gap(self.v.lattice(x))
-            k = place.setdefault(x, len(packed))
-            if k == len(packed):
-                packed.append(b"")
-                totals.append(0)
-                gaps.append(0)
-            packed[k], totals[k], gaps[k] = np.array(ids, "<i4").tobytes(), total, 1 << 62 if gap is None else gap
-        base = len(self.ids)
-        self.at.update({x: base + k for x, k in place.items()})
-        self.ids += packed
-        self.totals, self.gaps = np.concatenate((self.totals, np.array(totals, np.int64))), np.concatenate((self.gaps, np.array(gaps, np.int64)))
-        return split
+            ids, counts, totals, gaps, solved = solve_many(self.v, part)
+            if not solved.all():
+                alone += [part[k] for k in np.flatnonzero(~solved).tolist()]
+                part, counts, totals, gaps = [part[k] for k in np.flatnonzero(solved).tolist()], counts[solved], totals[solved], gaps[solved]
+            self.keep(part, ids, counts, totals, gaps)
+        if alone:
+            found = [best_and_gap(self.v.lattice(x)) for x in alone]
+            counts = [len(ids) for _, ids, _ in found]
+            self.keep(alone, np.array([i for _, ids, _ in found for i in ids], np.int32), np.array(counts), np.array([x[0] for x in found]), np.array([NO_OTHER if x[2] is None else x[2] for x in found]))
+
+    def keep(self, names: list[str], ids: np.ndarray, counts: np.ndarray, totals: np.ndarray, gaps: np.ndarray) -> None:
+        base, held = len(self.at), len(self.ids)
+        self.at.update(zip(names, range(base, base + len(names)), strict=True))
+        self.ids = np.concatenate((self.ids, ids))
+        self.start = np.concatenate((self.start, held + np.cumsum(counts) - counts))
+        self.count, self.totals, self.gaps = (np.concatenate(x) for x in ((self.count, counts), (self.totals, totals), (self.gaps, gaps)))
 
     def others(self, stretch: str, n: int) -> list[tuple[int, bytes]]:
-        """Segmentations after the best: (loss, ids)."""
+        """Segmentations after the best, by A-star search: (loss, ids)."""
         key = (stretch, n)
         if key not in self.more:
             if len(self.more) >= MOST_KEPT // 10:
                 self.more.clear()
             k = self.at[stretch]
+            own = self.ids[self.start[k] : self.start[k] + self.count[k]].tobytes()
             found = [(int(self.totals[k]) - s, np.array(ids, "<i4").tobytes()) for s, ids in n_best(self.v.lattice(stretch), n)]
-            same = next((i for i, x in enumerate(found) if x[1] == self.ids[k]), 0)
+            same = next((i for i, x in enumerate(found) if x[1] == own), 0)
             self.more[key] = found[:same] + found[same + 1 :]
         return self.more[key]
 
     def encode(self, text: str, n: int = NBEST) -> list[tuple[float, bytes]]:
-        return self.join(self.prepare([text])[0], n)
-
-    def join(self, stretches: list[str], n: int = NBEST) -> list[tuple[float, bytes]]:
-        """The n best segmentations of a text as (score, little-endian 32-bit ids). An empty text has one, without pieces."""
-        if not stretches:
-            return [(0.0, b"")]
-        own = list(map(self.at.__getitem__, stretches))
-        parts = list(map(self.ids.__getitem__, own))
-        at = np.array(own)
-        total = int(self.totals[at].sum())
-        out = [(total / UNIT, b"".join(parts))]
-        if n > 1:
-            # Any of the n best differs from the best only in the n - 1 stretches that lose least.
-            gaps = self.gaps[at]
-            least = np.argpartition(gaps, n - 2)[: n - 1] if len(gaps) >= n else np.arange(len(gaps))
-            edge = gaps[least].max()
-            where = sorted([*np.flatnonzero(gaps < edge).tolist(), *np.flatnonzero(gaps == edge)[: len(least) - int((gaps < edge).sum())].tolist()])
-            ways = [(0, ())]
-            for k in where:
-                more = self.others(stretches[k], n) if gaps[k] < 1 << 62 else []
-                ways = heapq.nsmallest(n, ways + [(loss + a, (*change, (k, ids))) for loss, change in ways for a, ids in more])
-            for loss, change in ways[1:]:
-                other = list(parts)
-                for k, ids in change:
-                    other[k] = ids
-                out.append(((total - loss) / UNIT, b"".join(other)))
+        return self.encode_all([text], n)[0]
+
+    def encode_all(self, texts: list[str], n: int = NBEST) -> list[list[tuple[float, bytes]]]:
+        """The n best segmentations of each text as (score, little-endian 32-bit ids). An empty text has one, without pieces."""
+        split = [stretches_of(x) for x in texts]
+        flat = list(chain.from_iterable(split))
+        if len(self.at) >= MOST_KEPT:
+            self.clear()
+        own: dict = dict.fromkeys(flat)  # most stretches stand in a batch several times
+        own.update(zip(own, list(map(self.at.get, own)), strict=True))
+        new = [x for x, k in own.items() if k is None]
+        self.solve(new)
+        own.update(zip(new, map(self.at.__getitem__, new), strict=True))
+        at = np.fromiter(map(own.__getitem__, flat), np.int64, len(flat))
+        counts, gaps, totals = self.count[at], self.gaps[at], self.totals[at]
+        ends = np.concatenate(([0], np.cumsum(counts)))
+        ids = self.ids[np.arange(ends[-1]) + np.repeat(self.start[at] - ends[:-1], counts)].astype("<i4").tobytes()
+        out, b = [], 0
+        for stretches in split:
+            a, b = b, b + len(stretches)
+            whole, places = ids[4 * ends[a] : 4 * ends[b]], 4 * (ends[a : b + 1] - ends[a])
+            out.append(self.ways(stretches, whole, places, int(totals[a:b].sum()), gaps[a:b], n))
+        return out
+
+    def ways(self, stretches: list[str], whole: bytes, places: np.ndarray, total: int, gaps: np.ndarray, n: int) -> list[tuple[float, bytes]]:
+        """The best segmentation of a text and, merged from those of its stretches, the next ones. places: where the stretches' ids begin, and the end."""
+        out = [(total / UNIT, whole)]
+        if n == 1 or not stretches:
+            return out
+        # Any of the n best differs from the best only in the n - 1 stretches that lose least.
+        least = np.argpartition(gaps, n - 2)[: n - 1] if len(gaps) >= n else np.arange(len(gaps))
+        edge = gaps[least].max()
+        under = np.flatnonzero(gaps < edge)
+        where = sorted([*under.tolist(), *np.flatnonzero(gaps == edge)[: len(least) - len(under)].tolist()])
+        ways = [(0, ())]
+        for k in where:
+            more = self.others(stretches[k], n) if gaps[k] < NO_OTHER else []
+            ways = heapq.nsmallest(n, ways + [(loss + a, (*change, (k, ids))) for loss, change in ways for a, ids in more])
+        for loss, change in ways[1:]:
+            parts, at = [], 0
+            for k, ids in change:
+                parts += [whole[at : places[k]], ids]
+                at = places[k + 1]
+            out.append(((total - loss) / UNIT, b"".join([*parts, whole[at:]])))
         return out
 
 
@@ -401,6 +415,17 @@ class Decoder:
         return "".join(out).removeprefix(" ")
 
 
+_ENCODERS: dict[str, Encoder] = {}
+
+
+def own_encoder(key: str, parts: Callable[[], tuple[list[str], list[str]]]) -> Encoder:
+    """This process's encoder of a vocabulary, which outlives its task with the stretches it has solved; one vocabulary at a time."""
+    if key not in _ENCODERS:
+        _ENCODERS.clear()
+        _ENCODERS[key] = Encoder(Vocabulary(*parts()))
+    return _ENCODERS[key]
+
+
 def encode_texts(df: DataFrame, path: str, text: str = "text", n: int = NBEST, column: str = "nbest") -> DataFrame:
     """Adds nbest, the n best segmentations of each whole text, best first: score, n_pieces and ids (little-endian 32-bit).
 
@@ -410,16 +435,20 @@ def encode_texts(df: DataFrame, path: str, text: str = "text", n: int = NBEST, c
     prepare(df.sparkSession)
     df = df.drop(column)
     v = Vocabulary.load(path)
-    shared = df.sparkSession.sparkContext.broadcast((v.names, v.kinds))
-    kind = pa.list_(pa.struct([("score", pa.float64()), ("n_pieces", pa.int32()), ("ids", pa.binary())]))
+    shared, key = df.sparkSession.sparkContext.broadcast((v.names, v.kinds)), v.key
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(Vocabulary(*shared.value))
+        encoder = own_encoder(key, lambda: shared.value)
         for batch in batches_of(batches, text):
-            texts = batch.column(text).to_pylist()
-            split = encoder.prepare([x or "" for x in texts])
-            found = [None if x is None else [{"score": s, "n_pieces": len(ids) // 4, "ids": ids} for s, ids in encoder.join(one, n)] for x, one in zip(texts, split, strict=True)]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found, kind)], [*batch.schema.names, column])
+            texts = batch.column(text)
+            found = encoder.encode_all([x or "" for x in texts.to_pylist()], n)
+            flat = list(chain.from_iterable(found))
+            ids = pa.array([x for _, x in flat], pa.binary())
+            ways = pa.StructArray.from_arrays([pa.array([x for x, _ in flat], pa.float64()), pa.array([len(x) // 4 for _, x in flat], pa.int32()), ids], ["score", "n_pieces", "ids"])
+            lists = pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum([len(x) for x in found]))), pa.int32()), ways)
+            if texts.null_count:
+                lists = pa.compute.if_else(texts.is_valid(), lists, pa.scalar(None, lists.type))
+            yield pa.RecordBatch.from_arrays([*batch.columns, lists], [*batch.schema.names, column])
 
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema)
     return df.mapInArrow(encode, f"{fields}, `{column}` {PATHS}")

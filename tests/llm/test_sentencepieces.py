@@ -5,7 +5,7 @@ import tracemalloc
 
 import numpy as np
 
-from mossgrid.llm.sentencepieces import MARK, UNIT, Decoder, Encoder, Vocabulary, decode_ids, encode_texts, forward, n_best
+from mossgrid.llm.sentencepieces import MARK, NO_OTHER, STRETCH, UNIT, Decoder, Encoder, Vocabulary, best_and_gap, decode_ids, encode_texts, forward, n_best, solve_many, stretches_of
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 
@@ -40,9 +40,28 @@ def test_n_best_against_all_segmentations():
 def test_many_stretches_at_once_equal_one_by_one():
     v, draw = small(), random.Random(4)
     texts = ["".join(draw.choice("abc") for _ in range(draw.randrange(1, 30))) for _ in range(100)]
-    together = Encoder(v)
-    split = together.prepare(texts)
-    assert [together.join(x) for x in split] == [Encoder(v).encode(x) for x in texts]
+    assert Encoder(v).encode_all(texts) == [Encoder(v).encode(x) for x in texts]
+
+
+def test_stretches():
+    draw = random.Random(8)
+    for _ in range(3000):
+        text = "".join(draw.choice("ab  \n\n▁\0é" if draw.random() < 0.3 else "ab \n") for _ in range(draw.randrange(12)))
+        assert stretches_of(text) == (STRETCH.findall(MARK + text.replace(" ", MARK)) if text else [])
+
+
+def test_stretches_at_once_equal_the_search():
+    v, draw = Vocabulary.load(MODEL), random.Random(7)
+    words = ["".join(draw.choice("aeinrstül▁é日") for _ in range(draw.randrange(1, 70))) for _ in range(300)]
+    ids, counts, totals, gaps, solved = solve_many(v, words)
+    ends = np.cumsum(counts)
+    for k, word in enumerate(words):
+        total, way, gap = best_and_gap(v.lattice(word))
+        if solved[k]:
+            assert (totals[k], tuple(ids[ends[k] - counts[k] : ends[k]].tolist()), gaps[k]) == (total, way, NO_OTHER if gap is None else gap)
+        else:
+            assert counts[k] == 0 and any(c not in v.score for c in word)
+    assert solved.sum() > 100
 
 
 def test_round_trip_with_the_public_vocabulary():

@@ -5,8 +5,10 @@ copies grow with the square root of its size up to that multiple. Whole copies a
 are ranked by random odds over inclusion odds (Pareto order sampling) and taken in that order until the source's words are
 met, so that the sample has a fixed size in words. Ranks come from a hash of the id: reruns agree.
 
-What is gathered for each source is a sum per size class and per rank bucket; a cut falls in one bucket, and only its rows
-are sorted. A source of any share of the rows is spread over all tasks.
+What is gathered for each source is a sum per size class and, level by level, 64 sums of ever finer rank buckets; a cut
+falls in one of the finest buckets, and only its different places are sorted. A source of any share of the rows is spread
+over all tasks, as are sources however many. Of rows that share a place in the order (one id, size and text) as many are
+taken as fit.
 """
 
 from __future__ import annotations
@@ -19,8 +21,11 @@ from mossgrid.llm.common import kept
 WEIGHTS = (3, 1, 2)
 BUDGET = 1.5
 MOST = 2
-BUCKETS = 4096
+LEVELS = 3
+LEVEL_BITS = 6
 SEED = "mix-1"
+#: Columns that the operator adds for itself; documents can't have them.
+INSIDE = frozenset("_s _mix _text _rate _id_text _expected _whole _part _rank _bucket _cut _last _row _no _file _skip".split())
 SIZE = r"[^\x20\x09-\x0D]+"
 
 
@@ -34,50 +39,75 @@ def uniform(id_text: Column, seed: str = SEED) -> Column:
     return (F.conv(F.substring(F.md5(F.concat(id_text, F.lit(f"|{seed}"))), 1, 13), 16, 10).cast("long") + F.lit(0.5)) / F.lit(float(1 << 52))
 
 
+def running(df: DataFrame, order: list[Column], **sums: Column) -> DataFrame:
+    """Adds sums up to and with each row in a total order over all rows: sorted in ranges, summed within each, ranges' sums before it added. Only a row per range meets in one task."""
+    ranges = kept(df.orderBy(*order).withColumn("_range", F.spark_partition_id()), "ranges")
+    per = ranges.groupBy("_range").agg(*(F.sum(x).alias(f"_{k}") for k, x in sums.items()))
+    before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    per = per.select("_range", *(F.coalesce(F.sum(f"_{k}").over(before), F.lit(0)).alias(f"_{k}") for k in sums))
+    inside = Window.partitionBy("_range").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    return ranges.join(per, "_range").select(*df.columns, *((F.col(f"_{k}") + F.sum(x).over(inside)).alias(k) for k, x in sums.items()))
+
+
 def source_targets(sizes: DataFrame, weights: tuple = WEIGHTS, budget: float = BUDGET, most: int = MOST) -> DataFrame:
-    """(source, source_size, target) from (source, size): weights repeat over the sources in code point order, null last. One row per source is gathered to fill the budget."""
+    """(source, source_size, target) from (source, size): weights repeat over the sources in code point order, null last."""
     per = sizes.groupBy("source").agg(F.sum("size").alias("source_size"))
-    place = F.row_number().over(Window.orderBy(F.col("source").asc_nulls_last())) - 1
-    weighed = per.withColumn("w", F.element_at(F.array(*map(F.lit, weights)), place % len(weights) + 1))
-    cap = (F.col("source_size") * most).cast("double")
-    order = Window.orderBy("ratio", F.col("source").asc_nulls_last())
-    level = weighed.withColumn("cap", cap).withColumn("ratio", F.col("cap") / F.col("w"))
-    level = level.withColumn("below", F.coalesce(F.sum("cap").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0.0))).withColumn("rest", F.sum("w").over(order.rowsBetween(0, Window.unboundedFollowing)))
-    level = level.withColumn("total", F.sum("source_size").over(Window.partitionBy()))
-    level = level.withColumn("lift", (F.lit(budget) * F.col("total") - F.col("below")) / F.col("rest"))
-    level = level.withColumn("level", F.min(F.when(F.col("lift") <= F.col("ratio"), F.struct("ratio", "lift"))).over(Window.partitionBy())["lift"])
-    return level.select("source", "source_size", F.least("cap", F.coalesce(F.col("level"), F.lit(0.0)) * F.col("w")).alias("target"))
+    by_name = F.col("source").asc_nulls_last()
+    numbered = running(per, [by_name], place=F.lit(1))
+    weighed = numbered.withColumn("w", F.element_at(F.array(*map(F.lit, weights)), ((F.col("place") - 1) % len(weights) + 1).cast("int")))
+    weighed = weighed.withColumn("cap", (F.col("source_size") * most).cast("double")).withColumn("ratio", F.col("cap") / F.col("w"))
+    filled = kept(running(weighed, [F.col("ratio"), by_name], caps=F.col("cap"), ws=F.col("w")), "filled")
+    whole = filled.agg(F.sum("source_size").alias("size"), F.sum("w").alias("w")).first()
+    # Sources below the level are full; what they leave is shared by the weights of the rest.
+    lift = (F.lit(budget * (whole["size"] or 0)) - (F.col("caps") - F.col("cap"))) / (F.lit(whole["w"] or 0) - F.col("ws") + F.col("w"))
+    level = filled.withColumn("lift", lift).where("lift <= ratio").agg(F.min(F.struct("ratio", "lift")).alias("x")).select("x.lift").first()["lift"]
+    return filled.select("source", "source_size", F.least("cap", F.lit(float(level or 0)) * F.col("w")).alias("target"))
 
 
 def same(a: Column, b: Column) -> Column:
     return a.eqNullSafe(b)
 
 
+def joined(rows: DataFrame, by_source: DataFrame, how: str = "inner") -> DataFrame:
+    """rows with the columns of a table that has one row per source."""
+    return rows.join(by_source.withColumnRenamed("source", "_s"), same(F.col("source"), F.col("_s")), how).drop("_s")
+
+
 def plan_mix(sizes: DataFrame, weights: tuple = WEIGHTS, budget: float = BUDGET, most: int = MOST, seed: str = SEED) -> DataFrame:
-    """What every source takes: (source, source_size, target, rate, bucket, cut) for `copies`. sizes: (doc_id, source, size), read several times."""
+    """What every source takes, as (source, source_size, target, _mix) for `mix`. sizes: (doc_id, source, size, and optionally _text, a hash of the text), read several times."""
+    sizes = sizes if "_text" in sizes.columns else sizes.withColumn("_text", F.lit(0).cast("long"))
     targets = kept(source_targets(sizes, weights, budget, most), "targets")
     classes = sizes.withColumn("m", measure()).groupBy("source", "m").agg(F.sum("size").alias("words"))
     down = Window.partitionBy("source").orderBy(F.desc("m"))
     rates = classes.withColumn("above", F.coalesce(F.sum("words").over(down.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).withColumn("under", F.sum(F.col("m") * F.col("words")).over(down.rowsBetween(0, Window.unboundedFollowing)))
-    rates = rates.join(targets.withColumnRenamed("source", "s"), same(F.col("source"), F.col("s")))
+    rates = joined(rates, targets)
     rates = rates.withColumn("rate", F.try_divide(F.col("target") - most * F.col("above"), F.col("under").cast("double"))).where(F.col("rate") * F.col("m") <= most)
     rates = rates.groupBy("source").agg(F.max_by("rate", "m").alias("rate"))
-    plan = targets.join(rates.withColumnRenamed("source", "s"), same(F.col("source"), F.col("s")), "left").select("source", "source_size", "target", F.when(F.col("target") < most * F.col("source_size"), F.col("rate")).alias("rate"))
-    plan = kept(plan, "rates")
-
-    drawn = with_ranks(sizes, plan, most, seed)
-    sums = drawn.groupBy("source", "bucket").agg(F.sum(F.when(F.col("part") > 0, F.col("size"))).alias("words"), F.sum(F.col("whole") * F.col("size")).alias("sure"), F.first("target").alias("target"))
-    by_rank = Window.partitionBy("source").orderBy("bucket")
-    sums = sums.withColumn("rest", F.col("target") - F.sum("sure").over(Window.partitionBy("source"))).withColumn("upto", F.sum(F.coalesce("words", F.lit(0))).over(by_rank))
-    cut = sums.where("upto > rest").groupBy("source").agg(F.min(F.struct("bucket", (F.col("upto") - F.coalesce("words", F.lit(0))).alias("before"), "rest")).alias("c")).select(F.col("source").alias("s"), "c.*")
-    cut = kept(cut.withColumnRenamed("bucket", "at"), "cuts")
-    inside = drawn.join(cut, same(F.col("source"), F.col("s")) & (F.col("bucket") == F.col("at"))).where("part > 0")
-    # Rows of one place (repeated rows) are taken or left together with their place in the order, so count them as they come.
-    order = Window.partitionBy("source").orderBy("rank", "id_text", "size")
-    inside = inside.withColumn("sum", F.col("before") + F.sum("size").over(order.rowsBetween(Window.unboundedPreceding, 0)))
-    taken = inside.where(F.col("sum") - F.col("size") / 2 <= F.col("rest")).groupBy("source").agg(F.max(F.struct("rank", "id_text", "size")).alias("cut")).withColumnRenamed("source", "t")
-    joined = plan.join(cut.select("s", "at"), same(F.col("source"), F.col("s")), "left").join(taken, same(F.col("source"), F.col("t")), "left")
-    return kept(joined.select("source", "source_size", "target", "rate", F.col("at").alias("cut_bucket"), "cut"), "plan")
+    plan = joined(targets, rates, "left").withColumn("rate", F.when(F.col("target") < most * F.col("source_size"), F.col("rate")))
+    plan = kept(plan.select("source", "source_size", "target", F.struct("rate").alias("_mix")), "rates")
+
+    drawn = with_ranks(sizes, plan, most, seed).select("source", "size", "target", "_text", *(F.col(f"_{x}").alias(x) for x in ("id_text", "whole", "part", "rank", "bucket")))
+    sure = drawn.groupBy("source").agg(F.first("target").alias("target"), F.sum(F.col("whole") * F.col("size")).alias("sure"))
+    cut = kept(sure.select("source", (F.col("target") - F.col("sure")).alias("rest"), F.lit(0).cast("long").alias("at"), F.lit(0).cast("long").alias("before")), "rest")
+    for level in range(1, LEVELS + 1):
+        shift = LEVEL_BITS * (LEVELS - level)
+        inside = joined(drawn.where("part > 0"), cut).where(F.shiftright("bucket", shift + LEVEL_BITS) == F.col("at"))
+        sums = inside.groupBy("source", F.shiftright("bucket", shift).alias("b")).agg(F.sum("size").alias("words"), F.first("before").alias("before"), F.first("rest").alias("rest"))
+        sums = sums.withColumn("upto", F.col("before") + F.sum("words").over(Window.partitionBy("source").orderBy("b").rowsBetween(Window.unboundedPreceding, 0)))
+        first = sums.where("upto > rest").groupBy("source").agg(F.min(F.struct("b", (F.col("upto") - F.col("words")).alias("before"), "rest")).alias("c"))
+        cut = kept(first.select("source", "c.rest", F.col("c.b").alias("at"), "c.before"), "cuts")
+    # Rows of one place are counted, then places are added up in their order.
+    inside = joined(drawn.where("part > 0"), cut).where("bucket = at")
+    places = inside.groupBy("source", "rank", "id_text", "size", "_text").agg(F.count("*").alias("n"), F.first("before").alias("before"), F.first("rest").alias("rest"))
+    order = Window.partitionBy("source").orderBy("rank", "id_text", "size", "_text")
+    places = places.withColumn("start", F.col("before") + F.sum(F.col("size") * F.col("n")).over(order.rowsBetween(Window.unboundedPreceding, 0)) - F.col("size") * F.col("n"))
+    fits = lambda k: F.col("start") + k * F.col("size") - F.col("size") / 2 <= F.col("rest")
+    guess = F.coalesce(F.floor(F.try_divide(F.col("rest") - F.col("start"), F.col("size").cast("double")) + 0.5), F.when(fits(F.lit(1)), F.col("n")).otherwise(0))
+    places = places.withColumn("k", F.greatest(F.least(guess, F.col("n")), F.lit(0)))
+    places = places.withColumn("k", F.when((F.col("k") > 0) & ~fits(F.col("k")), F.col("k") - 1).when((F.col("k") < F.col("n")) & fits(F.col("k") + 1), F.col("k") + 1).otherwise(F.col("k")))
+    last = places.where("k > 0").groupBy("source").agg(F.max(F.struct(F.struct("rank", "id_text", "size", "_text").alias("place"), F.col("k").alias("take"), F.col("n").alias("ties"))).alias("last"))
+    plan = joined(joined(plan, cut.select("source", F.col("at").alias("cut_bucket")), "left"), last, "left")
+    return kept(plan.select("source", "source_size", "target", F.struct("_mix.rate", "cut_bucket", "last").alias("_mix")), "plan")
 
 
 def measure() -> Column:
@@ -86,35 +116,62 @@ def measure() -> Column:
 
 
 def with_ranks(rows: DataFrame, plan: DataFrame, most: int = MOST, seed: str = SEED) -> DataFrame:
-    """Adds whole copies, the inclusion probability of one more (part), and the rank and its bucket."""
-    joined = rows.join(plan.withColumnRenamed("source", "plan_source"), same(F.col("source"), F.col("plan_source")), "left").drop("plan_source")
-    copies = F.when(F.col("rate").isNull(), F.lit(float(most))).otherwise(F.least(F.lit(float(most)), F.col("rate") * measure()))
-    joined = joined.withColumn("id_text", F.coalesce(F.col("doc_id").cast("string"), F.lit(""))).withColumn("expected", copies).withColumn("whole", F.floor("expected"))
-    joined = joined.withColumn("part", F.col("expected") - F.col("whole")).withColumn("rank", F.when(F.col("part") > 0, rank_value(F.col("part"), uniform(F.col("id_text"), seed))))
-    return joined.withColumn("bucket", F.coalesce(F.floor(F.col("rank") * BUCKETS), F.lit(0)))
+    """Adds source_size, target and _mix of the source's plan; whole copies, the inclusion probability of one more (_part), and the rank and its finest bucket."""
+    out = joined(rows, plan, "left").withColumn("_rate", F.col("_mix.rate"))
+    expected = F.when(F.col("_rate").isNull(), F.lit(float(most))).otherwise(F.least(F.lit(float(most)), F.col("_rate") * measure()))
+    out = out.withColumn("_id_text", F.coalesce(F.col("doc_id").cast("string"), F.lit(""))).withColumn("_expected", expected).withColumn("_whole", F.floor("_expected"))
+    out = out.withColumn("_part", F.col("_expected") - F.col("_whole")).withColumn("_rank", F.when(F.col("_part") > 0, rank_value(F.col("_part"), uniform(F.col("_id_text"), seed))))
+    fine = F.least(F.floor(F.col("_rank") * float(1 << LEVEL_BITS * LEVELS)), F.lit((1 << LEVEL_BITS * LEVELS) - 1))
+    return out.withColumn("_bucket", F.coalesce(fine, F.lit(0)).cast("long"))
 
 
 def mix(rows: DataFrame, plan: DataFrame, most: int = MOST, seed: str = SEED) -> DataFrame:
-    """Adds copies, source_size and target to rows of (doc_id, source, size, ...)."""
+    """Adds copies, source_size and target to rows of (doc_id, source, size, _text, ...); _text goes.
+
+    Where only some of the rows of one place are taken, those rows are written down and numbered by file and place in it.
+    """
     drawn = with_ranks(rows, plan, most, seed)
-    chosen = (F.col("part") > 0) & (F.col("cut_bucket").isNull() | (F.col("bucket") < F.col("cut_bucket")) | F.coalesce((F.col("bucket") == F.col("cut_bucket")) & (F.struct("rank", "id_text", "size") <= F.col("cut")), F.lit(False)))
-    return drawn.withColumn("copies", F.col("whole") + F.when(chosen, 1).otherwise(0)).drop("id_text", "expected", "whole", "part", "rank", "bucket", "rate", "cut_bucket", "cut")
+    last, place = F.col("_mix.last"), F.struct("_rank", "_id_text", "size", "_text")
+    drawn = drawn.withColumn("_cut", F.col("_mix.cut_bucket")).withColumn("_last", last["place"])
+    before = (F.col("_part") > 0) & (F.col("_cut").isNull() | (F.col("_bucket") < F.col("_cut")) | F.coalesce((F.col("_bucket") == F.col("_cut")) & (place < F.col("_last")), F.lit(False)))
+    at = F.coalesce((F.col("_part") > 0) & (F.col("_bucket") == F.col("_cut")) & (place == F.col("_last")), F.lit(False))
+    columns = [*rows.drop("_text").columns, "source_size", "target"]
+    out = lambda df, more: df.select(*columns, (F.col("_whole") + F.when(more, 1).otherwise(0)).alias("copies"))
+    if plan.where("_mix.last.take < _mix.last.ties").isEmpty():
+        return out(drawn, before | at)
+    split = at & (last["take"] < last["ties"])
+    tied = kept(drawn.where(split), "ties").select("*", F.struct("_metadata.file_path", "_metadata.row_index").alias("_row"))
+    files = tied.groupBy("source", F.col("_row.file_path").alias("_file")).agg(F.count("*").alias("n"))
+    files = files.withColumn("_skip", F.sum("n").over(Window.partitionBy("source").orderBy("_file")) - F.col("n")).select(F.col("source").alias("_s"), "_file", "_skip")
+    tied = tied.withColumn("_no", F.row_number().over(Window.partitionBy("source", "_row.file_path").orderBy("_row.row_index")))
+    tied = tied.join(files, same(F.col("source"), F.col("_s")) & (F.col("_row.file_path") == F.col("_file")))
+    return out(drawn.where(~split), before | at).unionByName(out(tied, F.col("_no") + F.col("_skip") <= last["take"]))
+
+
+def sized(docs: DataFrame) -> list[Column]:
+    """size and _text of documents."""
+    return [F.coalesce(F.regexp_count("text", F.lit(SIZE)), F.lit(0)).cast("long").alias("size"), F.xxhash64("text").alias("_text")]
 
 
 def mix_documents(docs: DataFrame, weights: tuple = WEIGHTS, budget: float = BUDGET, most: int = MOST, seed: str = SEED) -> DataFrame:
     """Adds size, source_size, target and copies to every row of documents (doc_id, source, text, ...).
 
-    Null text has size 0. A null source is a source of its own, last in order. A null id ranks as an empty one; rows of one
-    id, text and source stand together in the order. Documents without words take no words. Tables may be empty.
+    Null text has size 0. A null source is a source of its own, last in order. A null id ranks as an empty one. Rows of one
+    id and text share a place in the order, and as many of them are taken as fit. Documents without words take no words.
+    Tables may be empty. Other columns stay, whatever their names; earlier ones of the four names are replaced, and names
+    of INSIDE are an error.
     """
-    docs = docs.drop("size", "source_size", "target", "copies").withColumn("size", F.coalesce(F.regexp_count("text", F.lit(SIZE)), F.lit(0)).cast("long"))
-    sizes = kept(docs.select("doc_id", "source", "size"), "sizes")
+    docs = docs.drop("size", "source_size", "target", "copies")
+    if clash := INSIDE.intersection(docs.columns):
+        raise ValueError(f"columns {sorted(clash)} are used inside")
+    docs = docs.select("*", *sized(docs))
+    sizes = kept(docs.select("doc_id", "source", "size", "_text"), "sizes")
     return mix(docs, plan_mix(sizes, weights, budget, most, seed), most, seed)
 
 
 def mixed_sizes(docs: DataFrame, weights: tuple = WEIGHTS, budget: float = BUDGET, most: int = MOST, seed: str = SEED) -> DataFrame:
     """The same for sizes only: (doc_id, source, size, source_size, target, copies); texts are read once."""
-    sizes = kept(docs.select("doc_id", "source", F.coalesce(F.regexp_count("text", F.lit(SIZE)), F.lit(0)).cast("long").alias("size")), "sizes")
+    sizes = kept(docs.select("doc_id", "source", *sized(docs)), "sizes")
     return mix(sizes, plan_mix(sizes, weights, budget, most, seed), most, seed)
 
 

@@ -6,6 +6,7 @@ import re
 import zlib
 
 import duckdb
+import pyarrow as pa
 import pytest
 
 from mossgrid.llm import gif, imatch, langid, licenses, mixing, pagetext, queries, secrets, warc
@@ -167,6 +168,32 @@ def test_mixing(spark):
     assert mixing.mix_documents(docs(spark, [])).count() == 0
 
 
+def mixed_by_sql(rows):
+    con = duckdb.connect()
+    kinds = (("doc_id", pa.int64()), ("text", pa.string()), ("lang", pa.string()), ("source", pa.string()), ("score", pa.float64()))
+    con.register("documents", pa.table({n: pa.array(c, k) for c, (n, k) in zip(zip(*rows, strict=True), kinds, strict=True)}))
+    return sorted(con.sql(f"SELECT doc_id, size, source_size, target, taken FROM ({mixing.sql()})").fetchall(), key=str)
+
+
+@pytest.mark.parametrize("same_id", [7, None])
+def test_mix_of_repeated_rows_equals_sql(spark, same_id):
+    rows = [(same_id, "w w w w w w", "en", "a", 0.0)] * 2000 + [(i, "w " * (i % 9), "en", "b", 0.0) for i in range(9000)] + [(5, "x y", "en", "c", 1.0)] * 3 + [(6, "", "en", "c", 1.0)] * 2
+    df = spark.createDataFrame(rows, NOISE)
+    got = mixing.mixed_sizes(df).selectExpr("doc_id", "size", "source_size", "target", "copies * size AS taken").collect()
+    assert sorted(map(tuple, got), key=str) == mixed_by_sql(rows)
+    again = mixing.mix_documents(df.repartition(5)).selectExpr("doc_id", "size", "source_size", "target", "copies * size AS taken").collect()
+    assert sorted(map(tuple, again), key=str) == mixed_by_sql(rows)
+
+
+def test_mix_keeps_columns_of_any_name(spark):
+    names = ["rate", "rank", "part", "bucket", "whole", "expected", "cut", "at", "s", "m", "w"]
+    df = docs(spark, ["a b", "c", "d e f", None]).selectExpr("*", *(f"'{n}' AS `{n}`" for n in names), "9 AS size")
+    got = mixing.mix_documents(df).collect()
+    assert len(got) == 4 and all(r[n] == n for r in got for n in names) and sorted(r.size for r in got) == [0, 1, 2, 3]
+    with pytest.raises(ValueError):
+        mixing.mix_documents(df.withColumn("_mix", df.rate))
+
+
 # WARC
 
 

@@ -20,11 +20,16 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps of each group of linked documents the one with the smallest id, once. Rows without an id stay."""
-    groups = shingles.jaccard_groups(docs)
-    gone = groups.where("doc_id <> component_id").select("doc_id").distinct()
-    left = docs.where("doc_id is not null").join(gone, "doc_id", "left_anti").dropDuplicates(["doc_id"])
-    return left.select(*COLUMNS).unionByName(docs.where("doc_id is null").select(*COLUMNS))
+    """Keeps one row of each group of linked rows: the one with the smallest id (none is last), then by a hash of its columns.
+
+    Every row is a document of its own here, so different texts under one id both stay, repeated rows and copies without an
+    id go. Rows without words are linked with nothing and stay. Tables may be empty.
+    """
+    rows = kept(docs.select(*COLUMNS).withColumn("_row", F.monotonically_increasing_id()), "rows")
+    groups = shingles.jaccard_groups(rows, id_col="_row")
+    order = rows.select(F.col("_row").alias("doc_id"), F.struct(F.col("doc_id").isNull(), "doc_id", F.xxhash64(*COLUMNS), "_row").alias("order"))
+    first = groups.join(order, "doc_id").groupBy("component_id").agg(F.min("order").alias("order")).select("order._row")
+    return rows.join(first, "_row", "left_semi").select(*COLUMNS)
 
 
 def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -34,18 +39,18 @@ def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Rows of the mix: a document stands as often as it is taken."""
+    """Rows of the mix: a document stands as often as it is taken. Documents of null source are a source of their own."""
     mixed = mixing.mix_documents(docs).where("copies > 0")
     return mixed.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))).select(*COLUMNS)
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of every row, as digests."""
+    """Pieces of every row, as digests; null text is empty."""
     return piece_digests(docs)
 
 
 STAGES = [("language", language), ("near_duplicates", near_duplicates), ("secrets", mask_secrets), ("mix", mix), ("pieces", encode)]
-#: Naive Bayes, A-star search and key parsing have no SQL; the pipeline is tested against a plain version.
+#: Naive Bayes, A-star search and key parsing have no SQL; tests/llm compares every stage and run() with plain versions.
 ORACLE_SQL = None
 
 

@@ -1,12 +1,13 @@
 """What the training-data operators share: scratch tables, batches of whole texts as numpy arrays, and fixed-size sketches.
 
 Texts reach Python in Arrow batches. A batch is one byte buffer with offsets, so words are found and hashed for all its
-documents at once. Sketches have a fixed number of counters, whatever the input: each task adds up its own rows, and what
-tasks send is merged by counter range, streaming.
+documents at once. Sketches have a number of counters that is chosen from the input's size up to 2**MOST_BITS: each task
+adds up its own rows, and what tasks send is merged by counter range, streaming.
 """
 
 from __future__ import annotations
 
+import math
 import tempfile
 import uuid
 import zlib
@@ -20,7 +21,8 @@ from pyspark.sql import functions as F
 BATCH_ROWS = 256
 BATCH_BYTES = 1 << 18
 ARROW_BYTES = 1 << 22
-SKETCH_BITS = 22
+LEAST_BITS = 16
+MOST_BITS = 24
 CHUNK_BITS = 16
 
 _ASCII = np.arange(256, dtype=np.uint8)
@@ -141,13 +143,18 @@ def signed(x: np.ndarray) -> pa.Array:
     return pa.array(x.view(np.int64))
 
 
-# Fixed-size sketches
+# Sketches
+
+
+def sketch_bits(items: int, per_counter: int = 32) -> int:
+    """Counters (as a power of two) that get so many items each, within LEAST_BITS and MOST_BITS (64 MB of counters in a task)."""
+    return min(MOST_BITS, max(LEAST_BITS, math.ceil(math.log2(max(1, items / per_counter)))))
 
 
 class Counts:
     """Counters that a task adds hashed items to."""
 
-    def __init__(self, bits: int = SKETCH_BITS) -> None:
+    def __init__(self, bits: int) -> None:
         self.bits = bits
         self.total = np.zeros(1 << bits, np.uint32)
 
@@ -161,7 +168,7 @@ class Counts:
                 yield k, zlib.compress(part.tobytes(), 1)
 
 
-def merged_counts(chunks: DataFrame, bits: int = SKETCH_BITS) -> np.ndarray:
+def merged_counts(chunks: DataFrame, bits: int) -> np.ndarray:
     """The sum of the tasks' counters: rows (chunk, counts) are added up chunk by chunk as they stream past. 2**bits counters come to the driver, whatever the input."""
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -179,9 +186,10 @@ def merged_counts(chunks: DataFrame, bits: int = SKETCH_BITS) -> np.ndarray:
     return total
 
 
-def id_filter(ids: DataFrame, bits: int = SKETCH_BITS) -> Callable:
-    """A Column function that holds for every id in ids and for few others: 2**bits bits, broadcast. Use it before an exact join."""
+def id_filter(ids: DataFrame) -> Callable:
+    """A Column function that holds for every id in ids and for few others: 16 bits an id up to 2**MOST_BITS, broadcast. Use it before an exact join."""
     spark, name = ids.sparkSession, ids.columns[0]
+    bits = sketch_bits(16 * ids.count(), 1)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sketch = Counts(bits)

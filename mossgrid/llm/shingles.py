@@ -25,11 +25,14 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from mossgrid.llm.common import LOWER, NOT_SPACE, U64, Counts, buffer, components, id_filter, kept, merged_counts, mix, pieces, prepare, random_words, signed, span_hashes, word_spans
+from mossgrid.llm.common import LOWER, NOT_SPACE, U64, Counts, buffer, components, id_filter, kept, merged_counts, mix, pieces, prepare, random_words, signed, sketch_bits, span_hashes, word_spans
 
 WORDS = 5
 PERCENT = 80
 MOST_LIGHT = 24
+#: Bytes of a word and its separator, to size the sketch by; from here on numbers stand for rows without an id.
+WORD_BYTES = 6
+NO_ID = 1 << 62
 
 
 def least_overlap(size: int, percent: int = PERCENT) -> int:
@@ -95,11 +98,11 @@ def shingle_sets(column: pa.Array, k: int = WORDS) -> tuple[np.ndarray, np.ndarr
     return np.concatenate(sets) if sets else np.zeros(0, U64), np.concatenate(([0], np.cumsum([len(x) for x in sets]))).astype(np.int64)
 
 
-def profiles(docs: DataFrame, k: int = WORDS) -> DataFrame:
+def profiles(docs: DataFrame, bits: int, k: int = WORDS) -> DataFrame:
     """One pass over the texts: (doc_id, n, s1, s2) with the set's size and 128-bit signature, and rows (chunk, counts) of the tasks' shingle counts."""
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sketch = Counts()
+        sketch = Counts(bits)
         for batch in pieces(batches, "text"):
             grams, at = shingle_sets(batch.column("text"), k)
             sketch.add(grams)
@@ -163,22 +166,26 @@ def jaccard_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     """(doc_id, n_shingles, component_id) for every row: component_id is the smallest id that links reach, the row's own included.
 
     Null or empty text: no shingles, own component. Rows of one id are one document (a link of any of its rows counts).
-    A null id keeps a null component unless its set equals another's. Ties and repeated rows need no rule: classes are sets.
+    Every row without an id is a document of its own and links like any other; a component in which no row has an id is
+    null. Ids are below NO_ID. Ties and repeated rows need no rule: classes are sets. Tables may be empty.
     """
     spark = docs.sparkSession
     prepare(spark)
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    scanned = kept(profiles(docs, k), "profiles")
+    if not docs.where("doc_id is null").isEmpty():  # such rows get numbers behind all ids, which a table holds fast
+        docs = kept(docs.withColumn("doc_id", F.coalesce("doc_id", F.lit(NO_ID) + F.monotonically_increasing_id())), "numbered")
+    bits = sketch_bits((docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0) // WORD_BYTES)
+    scanned = kept(profiles(docs, bits, k), "profiles")
     rows = scanned.where("chunk is null").select("doc_id", "n", "s1", "s2")
     classes = kept(rows.where("n > 0").groupBy("n", "s1", "s2").agg(F.min("doc_id").alias("rep"), F.count("*").alias("copies")), "classes")
-    counts = merged_counts(scanned.where("chunk is not null"))
+    counts = merged_counts(scanned.where("chunk is not null"), bits)
     sizes = classes.agg(F.sum("n").alias("own"), F.sum(F.col("n") * F.col("copies")).alias("all")).first()
     small = {r.n: r.c for r in classes.where(F.col("n") <= MOST_LIGHT).groupBy("n").agg(F.count("*").alias("c")).collect()}
     light = boundary(small, sizes["all"] / sizes["own"] if sizes["own"] else 1.0, percent)
     mean = float(counts.sum(dtype=np.uint64)) / len(counts)
     frequent = counts > mean + max(16.0, 6 * mean**0.5)
 
-    reps = classes.where("rep is not null").select(F.col("rep").alias("doc_id"), "n").groupBy("doc_id").agg(F.max("n").alias("n"))
+    reps = classes.select(F.col("rep").alias("doc_id"), "n").groupBy("doc_id").agg(F.max("n").alias("n"))
     keyed = kept(list_keys(docs, frequent, light, k, percent).withColumn("r", F.size("rare")).join(reps, "doc_id"), "keys")  # read five times below
     w = Window.partitionBy("key")
     # A rare shingle's list is short: the sketch never counts too few. Its rows meet once.
@@ -210,7 +217,8 @@ def jaccard_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         labels = spark.createDataFrame([], "node long, component long")
     moved = classes.join(labels, classes.rep == labels.node, "left").where("copies > 1 or component is not null").select("n", "s1", "s2", F.coalesce("component", "rep").alias("component"))
     out = rows.join(moved, ["n", "s1", "s2"], "left")
-    return out.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component", "doc_id").alias("component_id"))
+    named = lambda c: F.when(c < NO_ID, c)
+    return out.select(named(F.col("doc_id")).alias("doc_id"), F.col("n").alias("n_shingles"), named(F.coalesce("component", "doc_id")).alias("component_id"))
 
 
 def shared_only(keys: DataFrame) -> DataFrame:

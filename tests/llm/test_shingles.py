@@ -75,8 +75,7 @@ def test_subsets_are_shared_by_linked_sets():
 
 def test_empty_table_and_null_ids(spark):
     assert got(spark, []) == []
-    assert sorted(map(str, got_null(spark))) == sorted(map(str, [(None, 1, None), (4, 1, 4), (None, 1, 4)]))
-
-
-def got_null(spark):
-    return [tuple(r) for r in jaccard_groups(spark.createDataFrame([(None, "q", None, None), (4, "r", None, None), (None, "r", None, None)], SCHEMA)).collect()]
+    long = " ".join(f"w{i}" for i in range(40))
+    rows = [(None, "q"), (4, "r"), (None, "r"), (None, long), (9, long + " end"), (None, long + " end end"), (None, "s t"), (None, "s  t"), (None, None)]
+    found = [tuple(r) for r in jaccard_groups(spark.createDataFrame(rows, "doc_id long, text string")).collect()]
+    assert sorted(map(str, found)) == sorted(map(str, [(None, 1, None), (4, 1, 4), (None, 1, 4), (None, 36, 9), (9, 37, 9), (None, 38, 9), (None, 1, None), (None, 1, None), (None, 0, None)]))

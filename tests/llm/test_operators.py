@@ -179,6 +179,50 @@ def test_licenses(spark):
     assert licenses.scan_licenses(docs(spark, [])).count() == 0
 
 
+def plain_labels(text):
+    """Labels and best containment, each window against each template."""
+    words = re.findall(licenses.WORD, "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or ""))
+    found, best = set(), 0.0
+    for label, names, template in licenses.TEMPLATES:
+        want, length = set(template.split()), 1
+        while length < len(template.split()):
+            length *= 2
+        for begin in range(0, len(words), length):
+            own = want & set(words[begin : begin + 2 * length])
+            if len(own) >= 0.8 * len(want) and set(names.split()) <= own:
+                found.add(label)
+                best = max(best, len(own) / len(want))
+    for phrase, label in licenses.PHRASES.items():
+        n = len(phrase.split())
+        if any(words[i : i + n] == phrase.split() for i in range(len(words))):
+            found.add(label)
+            best = 1.0
+    return ",".join(sorted(found)), best
+
+
+def test_licenses_over_lines_and_near_misses(spark):
+    draw = random.Random(9)
+    texts = ["released under the license", "licensed under the license version 2 0", "Licensed under CC BY 4.0", "Licensed under CC BY-SA 4.0", "Released under the Apache License", "released under the\n * MIT\n * license", None, ""]
+    for _, _, template in licenses.TEMPLATES:
+        words = template.split()
+        for lost in (0, 0.1, 0.3):
+            left = [w for w in words if draw.random() >= lost]
+            before = ["x"] * draw.randrange(700)
+            texts.append(" ".join(before) + "\n# " + "".join(w + draw.choice([" ", " ", "\n# ", ", "]) for w in left) + " y" * draw.randrange(300))
+    rows = licenses.scan_licenses(docs(spark, texts)).collect()
+    got = {r.doc_id: (r.labels, round(r.score, 9)) for r in rows}
+    assert got == {i: (x, round(y, 9)) for i, (x, y) in enumerate(map(plain_labels, texts))}
+    assert [got[i][0] for i in range(6)] == ["", "", "", "cc-by-sa", "apache", "mit"]
+    assert all(t[0] in got[8 + 3 * k][0].split(",") for k, t in enumerate(licenses.TEMPLATES))
+
+
+def test_licenses_keep_columns_of_any_name(spark):
+    names = ["key", "low", "words", "own", "w", "block", "template", "at", "begin", "label", "more", "best"]
+    df = docs(spark, ["Released under the MIT license", None]).selectExpr("*", *(f"'{n}' AS `{n}`" for n in names), "'old' AS labels")
+    rows = licenses.scan_licenses(df).collect()
+    assert len(rows) == 2 and all(r[n] == n for r in rows for n in names) and sorted(r.labels for r in rows) == ["", "mit"]
+
+
 # Mixing
 
 

@@ -4,12 +4,17 @@ Element subtrees are hashed and counted per host in Spark; a subtree that recurs
 site's, not the page's, and is deleted, as are elements whose tag, role or class says that they are menus, adverts and the like.
 Paragraphs, headings and other prose within the article stand whatever their class and even where pages share them.
 Counts are joined back to the subtrees of each page, so a page is compared with its own subtrees only, however many a host has.
+
+A subtree's hash is that of its start tag, its texts and its children's hashes, so all of a page's take one pass. Damaged
+pages: an element that nothing closes ends with the page or where the standard's parser ends it; a title, frame or text
+area without an end tag is empty, a script or style without one holds the rest of the page.
 """
 
 from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -25,8 +30,10 @@ TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([A-Za-z][A-Za-z0-9:-]*)
 NAMED = re.compile(r"(?:^|\s)(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 #: Element names of the HTML standard by what they are here.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style noscript template iframe textarea svg math title".split())
-DROPPED = RAW | frozenset("head nav header footer aside form button select option dialog menu object canvas audio video map".split())
+RAW = frozenset("script style noscript template iframe textarea title".split())
+CODE = frozenset("script style".split())
+FOREIGN = frozenset("svg math".split())
+DROPPED = RAW | FOREIGN | frozenset("head nav header footer aside form button select option dialog menu object canvas audio video map".split())
 BLOCKS = frozenset("address article aside blockquote body br caption center dd details div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 head header hr html li main nav ol p pre section summary table tbody td tfoot th thead tr ul".split())
 PROSE = frozenset("p h1 h2 h3 h4 h5 h6 blockquote pre b i em strong span a u code sub sup small mark q cite br li dd dt td th tr".split())
 ENDS_P = BLOCKS - {"br", "body", "html", "head", "td", "th", "tr", "tbody", "thead", "tfoot", "caption"}
@@ -48,71 +55,76 @@ def unwanted(attributes: str) -> str:
 
 
 def parse(page: str) -> list:
-    """The page's tree: nodes are [tag, unwanted, start, end, children], children nodes or raw text."""
-    root = ["html", "", 0, len(page), []]
-    stack, at, n = [root], 0, len(page)
+    """The page's tree: nodes are [tag, unwanted, start tag, children, hash], children nodes or raw text. A raw element's start tag is all of it."""
+    root = ["html", "", "", [], 0]
+    stack, nodes, opened, ends, at, n = [root], [], Counter(), {}, 0, len(page)
+
+    def pop(k: int) -> None:
+        opened.subtract(x[0] for x in stack[k:])
+        del stack[k:]
+
+    def close(tags: tuple, walls: frozenset | tuple) -> None:
+        """Ends the nearest open element of these tags, unless another of walls stands between."""
+        if not any(opened[x] for x in tags):
+            return
+        for k in range(len(stack) - 1, 0, -1):
+            if stack[k][0] in tags:
+                pop(k)
+                return
+            if stack[k][0] in walls:
+                return
+
     while at < n:
         m = TOKEN.search(page, at)
         if m is None:
-            stack[-1][4].append(page[at:])
+            stack[-1][3].append(page[at:])
             break
         if m.start() > at:
-            stack[-1][4].append(page[at : m.start()])
+            stack[-1][3].append(page[at : m.start()])
         at = m.end()
         if m[2] is None:
             continue
         tag = m[2].lower()
         if m[1]:
-            for k in range(len(stack) - 1, 0, -1):
-                if stack[k][0] == tag:
-                    for node in stack[k:]:
-                        node[3] = m.start()
-                    stack[k][3] = at
-                    del stack[k:]
-                    break
+            if opened[tag]:
+                pop(next(k for k in range(len(stack) - 1, 0, -1) if stack[k][0] == tag))
             continue
         if tag in ENDS_P:
-            close(stack, ("p",), BLOCKS - {"p"}, m.start())
+            close(tuple(FOREIGN), ())
+            close(("p",), BLOCKS - {"p"})
         if tag in ENDS_SAME:
-            close(stack, tuple(ENDS_SAME[tag][0].split()), ENDS_SAME[tag][1], m.start())
-        node = [tag, unwanted(m[3]) if "=" in m[3] and tag not in SHELL else "", m.start(), n, []]
-        stack[-1][4].append(node)
-        if tag in VOID or m[3].endswith("/"):
-            node[3] = at
-        elif tag in RAW:
-            end = re.compile(rf"</{tag}\s*>", re.I).search(page, at)
-            at = node[3] = end.end() if end else n
-        else:
+            close(tuple(ENDS_SAME[tag][0].split()), ENDS_SAME[tag][1])
+        if tag in RAW:
+            if tag not in ends:
+                ends[tag] = re.compile(rf"</{tag}\s*>", re.I)
+            end = ends[tag] and ends[tag].search(page, at)
+            if end is None:
+                ends[tag] = None  # none further on either
+            at = end.end() if end else n if tag in CODE else at
+        node = [tag, unwanted(m[3]) if "=" in m[3] and tag not in SHELL else "", page[m.start() : at], [], 0]
+        stack[-1][3].append(node)
+        nodes.append(node)
+        if not (tag in VOID or tag in RAW or m[3].endswith("/")):
             stack.append(node)
+            opened[tag] += 1
+    for node in reversed(nodes):  # children come before their parents
+        h = xxhash.xxh64(" ".join(node[2].split()).encode())
+        for x in node[3]:
+            h.update(x[4].to_bytes(8, "big", signed=True) if isinstance(x, list) else b" " + " ".join(x.split()).encode())
+        node[4] = h.intdigest() - (1 << 63)
     return root
 
 
-def close(stack: list, tags: tuple, walls: frozenset | tuple, at: int) -> None:
-    """Ends the nearest open element of these tags, unless another of walls stands between."""
-    for k in range(len(stack) - 1, 0, -1):
-        if stack[k][0] in tags:
-            for node in stack[k:]:
-                node[3] = at
-            del stack[k:]
-            return
-        if stack[k][0] in walls:
-            return
-
-
-def digest(page: str, node: list) -> int:
-    return xxhash.xxh64_intdigest(" ".join(page[node[2] : node[3]].split()).encode()) - (1 << 63)
-
-
 def subtrees(page: str) -> set[int]:
     """Hashes of the subtrees that may be the site's: every element but prose in the article and what surrounds it all."""
     out, todo = set(), [(parse(page), False)]
     while todo:
         node, inside = todo.pop()
         inside = inside or node[0] in ("article", "main")
-        for x in node[4]:
+        for x in node[3]:
             if isinstance(x, list):
                 if x[0] not in SHELL and x[0] not in ("br", "meta", "link") and not (inside and x[0] in PROSE):
-                    out.add(digest(page, x))
+                    out.add(x[4])
                 todo.append((x, inside))
     return out
 
@@ -125,13 +137,13 @@ def main_text(page: str, site: frozenset = frozenset()) -> str:
         prose = inside and x[0] in PROSE
         if x[0] in DROPPED or (x[1] and not (prose and x[1] != "role")):
             return False
-        return not (site and not prose and x[0] not in SHELL and digest(page, x) in site)
+        return not (site and not prose and x[0] not in SHELL and x[4] in site)
 
     def first(tag: str) -> list:
         found, todo = [], [root]
         while todo:
             node = todo.pop()
-            for x in reversed(node[4]):
+            for x in reversed(node[3]):
                 if isinstance(x, list) and wanted(x, False) and node[0] != tag:
                     todo.append(x)
             if node[0] == tag:
@@ -159,7 +171,7 @@ def main_text(page: str, site: frozenset = frozenset()) -> str:
                 if x[0] in BLOCKS:
                     flush()
                     todo.append(None)
-                todo.extend(reversed(x[4]))
+                todo.extend(reversed(x[3]))
         flush()
     return "\n".join(blocks)
 

@@ -311,6 +311,25 @@ def test_containers_stand_whatever_their_class(tag, mark):
     assert pagetext.main_text(plain.replace("<body>", "<body class=no-sidebar>")) == "one"
 
 
+def test_damaged_pages():
+    for page in ("<article><p>one</p><svg><path d='x'><p>two</p></article>", "<article><p>one<title><p>two</article>", "<article><p>one<iframe src=x><p>two", "<article>one<svg><g/></svg><p>two</b></i>", "<article><p>one</p><p>two</p><script>var x = 1"):
+        assert pagetext.main_text(page) == "one\ntwo"
+    assert pagetext.main_text("<p>one</p><style>p{}") == "one"
+
+
+@pytest.mark.parametrize("part", ["<div>", "<b>", "<p>", "<li>", "</i>", "<svg>", "<title>", "<script>", "<nav>", "<table><tr><td>", "<a href='", "<!--", "< ", "&amp", "<div></span>"])
+def test_hostile_pages_in_linear_time(part):
+    page = "<body><b><p>x" + part * (300_000 // len(part)) + "<p>y</body>"
+    began = time.process_time()
+    pagetext.subtrees(page), pagetext.main_text(page, frozenset([1]))
+    assert time.process_time() - began < 4
+
+
+def test_equal_subtrees_have_equal_hashes():
+    one, two = (pagetext.parse(f"<body>{x}<div class='a'>{y}<p>b\n <i>c</i></p></div>")[3][0][3] for x, y in (("z", "t  u"), ("<hr><br>", " t\nu ")))
+    assert one[-1][4] == two[-1][4] and one[-1][4] != pagetext.parse("<body><div class='a'>t u<p>b<i>c </i></p>d</div>")[3][0][3][0][4]
+
+
 def test_templates_of_one_layout_among_many(spark):
     layout = lambda k: f"<div><span>Layout {k} of the site</span></div>"
     rows = [(i, f"http://big.org/{i}", f"<body>{layout(i % 5)}<div><p>own {i}</p></div></body>") for i in range(100)]

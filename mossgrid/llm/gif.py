@@ -17,6 +17,9 @@ from pyspark.sql import DataFrame
 from mossgrid.llm.common import pieces, prepare
 
 MOST_CODES = 4096
+#: A canvas or image with more pixels, or frames with more bytes in all, is an error: headers can claim any size.
+MOST_PIXELS = 1 << 24
+MOST_BYTES = 1 << 29
 BINS = 16
 FRAME = "struct<index:int,start_ms:bigint,delay_ms:int,left:int,top:int,width:int,height:int,disposal:int,transparent:int,mode:string,pixels:binary,histogram:array<bigint>>"
 FRAME_ARROW = pa.struct([("index", pa.int32()), ("start_ms", pa.int64()), *((n, pa.int32()) for n in ("delay_ms", "left", "top", "width", "height", "disposal", "transparent")), ("mode", pa.string()), ("pixels", pa.binary()), ("histogram", pa.list_(pa.int64()))])
@@ -101,13 +104,13 @@ def lzw_decode(stream: bytes, root: int, want: int) -> np.ndarray:
                 break
         c = np.concatenate(codes)
         if len(c):
-            parts.append(strings(c, clear))
+            parts.append(strings(c, clear, want - got))
             got += len(parts[-1])
     return np.concatenate(parts)[:want] if parts else np.zeros(0, np.uint8)
 
 
-def strings(codes: np.ndarray, clear: int) -> np.ndarray:
-    """The samples of one segment's codes. Entry i of its table is code i's string and the sample after it, so each code but a plain sample copies from where an earlier one stands."""
+def strings(codes: np.ndarray, clear: int, want: int) -> np.ndarray:
+    """The samples of one segment's codes, those of further codes left out when there are as many as wanted. Entry i of its table is code i's string and the sample after it, so each code but a plain sample copies from where an earlier one stands."""
     n = len(codes)
     own = np.arange(n)
     plain = codes < clear
@@ -124,7 +127,11 @@ def strings(codes: np.ndarray, clear: int) -> np.ndarray:
             break
         up = further
     length += 1
-    starts = np.cumsum(length) - length
+    ends = np.cumsum(length)
+    if ends[-1] > want + MOST_CODES:
+        n = int(np.searchsorted(ends, want)) + 1
+        codes, entry, plain, length, ends = codes[:n], entry[:n], plain[:n], length[:n], ends[:n]
+    starts = ends - length
     source = (np.arange(int(length.sum())) + np.repeat(starts[entry] - starts, length)).astype(np.int32)
     while True:
         further = source[source]
@@ -157,11 +164,12 @@ def encode_gif(samples: bytes, width: int = 64, rows: int = 1024, delay_cs: int
     return b"".join([*out, b"\x3b"])
 
 
-def decode_gif(data: bytes, whole: bool = True) -> list[dict]:
+def decode_gif(data: bytes, whole: bool = True, most_pixels: int = MOST_PIXELS, most_bytes: int = MOST_BYTES) -> Iterator[dict]:
     """Frames as they show: the canvas after each image is drawn (whole), or that image's rectangle of it.
 
     mode L holds one sample a pixel, where everything shown is grey and opaque; else RGBA. Disposal 2 clears the rectangle
-    before the next image, 3 restores what was there. Raises ValueError, IndexError or struct.error on damaged data.
+    before the next image, 3 restores what was there. Damaged data and data beyond the bounds raise ValueError, IndexError
+    or struct.error, after the frames before the damage.
     """
     if data[:6] not in (b"GIF87a", b"GIF89a"):
         raise ValueError("no GIF header")
@@ -173,8 +181,8 @@ def decode_gif(data: bytes, whole: bool = True) -> list[dict]:
         palette = np.frombuffer(data, np.uint8, 3 * n, at).reshape(-1, 3)
         at += 3 * n
     canvas = None
-    frames, clock, disposal, delay, see_through = [], 0, 0, 0, -1
-    while data[at] != 0x3B:
+    number, size, clock, disposal, delay, see_through = 0, 0, 0, 0, 0, -1
+    while data[at : at + 1] != b"\x3b":
         if data[at] == 0x21:
             label = data[at + 1]
             body, at = blocks(data, at + 2)
@@ -193,16 +201,22 @@ def decode_gif(data: bytes, whole: bool = True) -> list[dict]:
             at += 3 * n
         if colours is None or not 1 <= data[at] <= 8:
             raise ValueError("no palette, or a code size out of range")
+        if w * h > most_pixels:
+            raise ValueError(f"an image of more than {most_pixels} pixels")
         root = data[at]
         stream, at = blocks(data, at + 1)
         index = lzw_decode(stream, root, w * h)
         covers = not whole or (left, top, w, h) == (0, 0, width, height)
-        if covers and len(index) == w * h and see_through < 0 and not own & 0x40 and left + w <= width and top + h <= height and data[at] == 0x3B and is_grey(colours) and index.max(initial=0) < len(colours):
+        if covers and len(index) == w * h and see_through < 0 and not own & 0x40 and left + w <= width and top + h <= height and data[at : at + 1] == b"\x3b" and is_grey(colours) and index.max(initial=0) < len(colours):
             value = colours[:, 0][index]  # the last image, opaque and grey: nothing beneath it shows
             bins = np.bincount(value >> 4, minlength=BINS).tolist()
-            frames.append({"index": len(frames), "start_ms": clock, "delay_ms": delay * 10, "left": left, "top": top, "width": w, "height": h, "disposal": disposal, "transparent": -1, "mode": "L", "pixels": value.tobytes(), "histogram": bins * 3})
-            break
+            if size + len(value) > most_bytes:
+                raise ValueError(f"frames of more than {most_bytes} bytes")
+            yield {"index": number, "start_ms": clock, "delay_ms": delay * 10, "left": left, "top": top, "width": w, "height": h, "disposal": disposal, "transparent": -1, "mode": "L", "pixels": value.tobytes(), "histogram": bins * 3}
+            return
         if canvas is None:
+            if width * height > most_pixels:
+                raise ValueError(f"a canvas of more than {most_pixels} pixels")
             canvas = np.zeros((height, width, 4), np.uint8)
         shown = np.zeros(w * h, bool)
         shown[: len(index)] = index != see_through
@@ -223,25 +237,31 @@ def decode_gif(data: bytes, whole: bool = True) -> list[dict]:
         view = canvas if whole else area
         grey = bool((view[..., 3] == 255).all() and (view[..., 0] == view[..., 1]).all() and (view[..., 1] == view[..., 2]).all())
         solid = view[view[..., 3] == 255]
-        frames.append({"index": len(frames), "start_ms": clock, "delay_ms": delay * 10, "left": left, "top": top, "width": view.shape[1], "height": view.shape[0], "disposal": disposal, "transparent": see_through, "mode": "L" if grey else "RGBA", "pixels": (view[..., 0] if grey else view).tobytes(), "histogram": np.concatenate([np.bincount(solid[:, k] >> 4, minlength=BINS) for k in range(3)]).tolist()})
+        pixels = (view[..., 0] if grey else view).tobytes()
+        size += len(pixels)
+        if size > most_bytes:
+            raise ValueError(f"frames of more than {most_bytes} bytes")
+        histogram = np.concatenate([np.bincount(solid[:, k] >> 4, minlength=BINS) for k in range(3)]).tolist()
+        yield {"index": number, "start_ms": clock, "delay_ms": delay * 10, "left": left, "top": top, "width": view.shape[1], "height": view.shape[0], "disposal": disposal, "transparent": see_through, "mode": "L" if grey else "RGBA", "pixels": pixels, "histogram": histogram}
+        number += 1
         clock += delay * 10
         if disposal == 2:
             area[...] = 0
         elif disposal == 3:
             canvas = before
         disposal, delay, see_through = 0, 0, -1
-    return frames
 
 
 def is_grey(colours: np.ndarray) -> bool:
     return bool((colours == colours[:, :1]).all())
 
 
-def gif_frames(df: DataFrame, media: str = "media", whole: bool = True) -> DataFrame:
+def gif_frames(df: DataFrame, media: str = "media", whole: bool = True, most_pixels: int = MOST_PIXELS, most_bytes: int = MOST_BYTES) -> DataFrame:
     """Adds frames (array of timed frames with their pixels and a histogram of 3 x 16 colour bins) and gif_error.
 
-    Null media give null frames and no error; damaged media null frames and the error's text. Other columns are kept, but
-    for earlier ones named frames and gif_error, which are replaced.
+    Null media give null frames and no error; damaged media, and media beyond the bounds, the error's text and the frames
+    before the damage, null where there are none. A file without images has no frames. Repeated rows have equal results.
+    Tables may be empty. Other columns are kept, but for earlier ones named frames and gif_error, which are replaced.
     """
     prepare(df.sparkSession)
     df = df.drop("frames", "gif_error")
@@ -250,12 +270,14 @@ def gif_frames(df: DataFrame, media: str = "media", whole: bool = True) -> DataF
         for batch in pieces(batches, media):
             frames, errors = [], []
             for data in batch.column(media).to_pylist():
+                shown, error = [], None
                 try:
-                    frames.append(None if data is None else decode_gif(data, whole))
-                    errors.append(None)
+                    for frame in decode_gif(data, whole, most_pixels, most_bytes) if data is not None else ():
+                        shown.append(frame)
                 except (ValueError, IndexError, struct.error) as e:
-                    frames.append(None)
-                    errors.append(f"damaged: {e}")
+                    error = f"damaged: {e}"
+                frames.append(shown if shown or data is not None and error is None else None)
+                errors.append(error)
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(frames, pa.list_(FRAME_ARROW)), pa.array(errors, pa.string())], [*batch.schema.names, "frames", "gif_error"])
 
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema)

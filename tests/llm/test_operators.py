@@ -3,6 +3,7 @@ import hashlib
 import json
 import random
 import re
+import struct
 import time
 import zlib
 
@@ -42,7 +43,7 @@ def test_palettes_disposal_and_transparency():
     palette = bytes([0, 0, 0, 255, 0, 0, 0, 255, 0, 0, 0, 255])
     head = b"GIF89a\x02\0\x02\0\x81\0\0" + palette
     data = head + image(0, 0, 2, 2, [1, 1, 1, 1]) + image(0, 0, 1, 1, [2], disposal=3) + image(1, 1, 1, 1, [3], disposal=2, clear=0) + image(0, 0, 2, 1, [0, 2], clear=0) + b"\x3b"
-    frames = gif.decode_gif(data)
+    frames = list(gif.decode_gif(data))
     red, green, blue, none = b"\xff\0\0\xff", b"\0\xff\0\xff", b"\0\0\xff\xff", b"\0\0\0\0"
     assert [f["pixels"] for f in frames] == [red * 4, green + red * 3, red * 3 + blue, red + green + red + none]
     assert [f["start_ms"] for f in frames] == [0, 50, 100, 150] and frames[1]["histogram"][15] == 3
@@ -60,6 +61,24 @@ def test_gif_tables(spark):
     assert gif.gif_frames(gif.store_texts(docs(spark, []))).count() == 0
 
 
+def test_hostile_and_unfinished_gifs(spark):
+    head = lambda w, h: b"GIF89a" + struct.pack("<HHBBB", w, h, 0x81, 0, 0) + bytes(range(12))
+    full = gif.lzw_encode(bytes([1]) * 300_000, 2)
+    packed = b"".join(bytes([len(full[i : i + 255])]) + full[i : i + 255] for i in range(0, len(full), 255)) + b"\0"
+    rows = {
+        "canvas": head(65535, 65535) + image(0, 0, 1, 1, [1]) + image(0, 0, 1, 1, [1]) + b";",
+        "image": head(2, 2) + b"\x2c" + struct.pack("<HHHHB", 0, 0, 65535, 65535, 0) + b"\x02" + packed + b";",
+        "no trailer": head(1, 1) + image(0, 0, 1, 1, [1]) + image(0, 0, 1, 1, [2]),
+        "cut": head(1, 1) + image(0, 0, 1, 1, [1]) + image(0, 0, 1, 1, [2])[:-4],
+        "longer stream": head(1, 1) + b"\x2c" + struct.pack("<HHHHB", 0, 0, 1, 1, 0) + b"\x02" + packed + b";",
+        "none": head(1, 1) + b";",
+    }
+    df = spark.createDataFrame(list(rows.items()), "name string, media binary")
+    got = {r.name: (None if r.frames is None else len(r.frames), r.gif_error is not None) for r in gif.gif_frames(df).collect()}
+    assert got == {"canvas": (None, True), "image": (None, True), "no trailer": (2, True), "cut": (1, True), "longer stream": (1, False), "none": (0, False)}
+    assert [r.gif_error is not None for r in gif.gif_frames(df.where("name = 'none' or name = 'longer stream'"), most_bytes=0).collect()].count(True) == 1
+
+
 # Secrets
 
 

@@ -7,6 +7,7 @@ adds up its own rows, and what tasks send is merged by counter range, streaming.
 
 from __future__ import annotations
 
+import ctypes
 import math
 import tempfile
 import uuid
@@ -100,8 +101,16 @@ def buffer(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data, offsets - offsets[0]
 
 
+def release() -> None:
+    """Gives memory that a task has freed back to the system: Python workers outlive their tasks."""
+    pa.default_memory_pool().release_unused()
+    if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):
+        trim(0)
+
+
 def pieces(batches: Iterator[pa.RecordBatch], text: str) -> Iterator[pa.RecordBatch]:
     """The same rows in batches of about BATCH_BYTES of text at most; a longer text stands alone."""
+    release()
     for batch in batches:
         if not batch.num_rows:
             continue
@@ -111,7 +120,7 @@ def pieces(batches: Iterator[pa.RecordBatch], text: str) -> Iterator[pa.RecordBa
             end = max(start + 1, int(np.searchsorted(offsets, offsets[start] + BATCH_BYTES, "right")) - 1)
             yield batch.slice(start, end - start)
             start = end
-    pa.default_memory_pool().release_unused()  # workers outlive their tasks
+    release()
 
 
 def word_spans(data: np.ndarray, offsets: np.ndarray, is_word: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:

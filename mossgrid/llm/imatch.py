@@ -1,8 +1,10 @@
 """I-Match document fingerprints.
 
 Terms whose document frequency lies in a band (neither common nor rare) form the lexicon. A fingerprint has one part per
-randomised subset of the lexicon: the hash of the document's distinct terms in that subset, in sorted order. Subsets are
-drawn at several rates, so that long and short documents alike have parts that few terms decide and that edits spare.
+randomised subset of the lexicon: the hash of the document's distinct terms in that subset, sorted and each counted once
+(hashes of terms are summed, which no order changes). Subsets are drawn at several rates, so that long and short documents
+alike have parts that few terms decide and that edits spare. Two fingerprints are compared at the sparsest rate at which
+half of the parts stand in either.
 
 The band is set as parts of the number of documents, so the lexicon can't outgrow the mean number of distinct terms of a
 document over the lower part: its size has a bound whatever the corpus, and it is broadcast.
@@ -23,10 +25,12 @@ from mossgrid.llm.common import LOWER, NOT_SPACE, U64, buffer, mix, pieces, prep
 LEAST_PART = 1e-3
 MOST_PART = 0.1
 LEAST_DOCS = 2
-#: Of the lexicon's terms, one in so many is in a subset, and so many subsets are drawn at each rate.
-RATES = (2, 8, 32, 128)
-SUBSETS = 6
+#: Of the lexicon's terms, one in so many is in a subset, and so many subsets are drawn at each rate; each rate divides the next.
+RATES = (1, 4, 16, 64, 256, 1024)
+SUBSETS = 12
 EMPTY = "-"
+RANGE_BYTES = 1 << 25
+MOST_RANGES = 20_000
 
 
 def terms(column: pa.Array, lexicon: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
@@ -49,7 +53,7 @@ def terms(column: pa.Array, lexicon: np.ndarray | None = None) -> tuple[np.ndarr
 
 
 def lexicon(docs: DataFrame, text: str = "text", least: float = LEAST_PART, most: float = MOST_PART) -> np.ndarray:
-    """Sorted hashes of the terms in the band. Document frequencies cover all rows; null texts count as documents without terms."""
+    """Sorted hashes of the terms in the band, whose ends count. Document frequencies cover all rows, repeated ones each time; null and empty texts count as documents without terms. Empty tables have an empty lexicon."""
     prepare(docs.sparkSession)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -78,34 +82,39 @@ def lexicon(docs: DataFrame, text: str = "text", least: float = LEAST_PART, most
 
 
 def fingerprints(column: pa.Array, words: np.ndarray) -> np.ndarray:
-    """Parts of each row's fingerprint, 0 where a subset has none of its terms. A row without any lexicon term has its whole text's hash in every part."""
+    """Parts of each row's fingerprint by rate, 0 where a subset has none of its terms. A row without any lexicon term has its whole text's hash in every part."""
     found, at = terms(column, words)
-    seeds = random_words(len(RATES) * SUBSETS, 11)
-    out = np.zeros((len(column), len(seeds)), U64)
-    for k, seed in enumerate(seeds):
-        drawn = mix(found ^ seed)
-        inside = drawn % U64(RATES[k // SUBSETS]) == 0
-        sums = np.concatenate((np.zeros(1, U64), np.cumsum(np.where(inside, mix(drawn), U64(0)), dtype=U64)))
-        n = np.concatenate(([0], np.cumsum(inside)))
-        out[:, k] = np.where(n[at[1:]] > n[at[:-1]], mix(sums[at[1:]] - sums[at[:-1]]) | U64(1), U64(0))
-    for i in np.flatnonzero(~out.any(axis=1)).tolist():
+    row = np.repeat(np.arange(len(column)), np.diff(at))
+    out = np.zeros((len(column), len(RATES), SUBSETS), U64)
+    for k, seed in enumerate(random_words(SUBSETS, 11)):
+        drawn, own = mix(found ^ seed), row
+        for j, rate in enumerate(RATES):  # a rate's subset lies in that of the rate before
+            inside = drawn % U64(rate) == 0
+            drawn, own = drawn[inside], own[inside]
+            np.add.at(out[:, j, k], own, mix(drawn ^ U64(rate)))
+            out[own, j, k] |= U64(1)
+    for i in np.flatnonzero(np.diff(at) == 0).tolist():
         text = column[i].as_py() or ""
         out[i] = mix(np.frombuffer(hashlib.md5(text.encode()).digest()[:8], U64)) | U64(1)
     return out
 
 
 def shown(parts: np.ndarray) -> list[str]:
-    return ["".join(f"{x >> 32:08x}" if x else EMPTY for x in row) for row in parts.tolist()]
+    return ["".join(f"{x >> 40:06x}" if x else EMPTY for x in row) for row in parts.reshape(len(parts), -1).tolist()]
 
 
 def likeness(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Equal parts among those that either row has."""
-    either = ((a != 0) | (b != 0)).sum(axis=1)
-    return np.where(either > 0, ((a == b) & (a != 0)).sum(axis=1) / np.maximum(either, 1), 1.0)
+    """Equal parts among those that either row has, at the sparsest rate of which half of the parts are there, else at the first."""
+    either = ((a != 0) | (b != 0)).sum(axis=2)
+    equal = ((a == b) & (a != 0)).sum(axis=2)
+    rate = len(RATES) - 1 - (either[:, ::-1] >= SUBSETS / 2).argmax(axis=1)
+    rate = np.where((either >= SUBSETS / 2).any(axis=1), rate, 0)
+    rows = np.arange(len(a))
+    return equal[rows, rate] / np.maximum(either[rows, rate], 1)
 
 
 def fingerprint_documents(docs: DataFrame, words: np.ndarray, text: str = "text") -> DataFrame:
-    """Adds fingerprint to every row; an earlier column of the name is replaced."""
+    """Adds fingerprint to every row; an earlier column of the name is replaced. Null text is empty; equal texts have equal fingerprints. Tables may be empty."""
     prepare(docs.sparkSession)
     docs = docs.drop("fingerprint")
     shared = docs.sparkSession.sparkContext.broadcast(words)
@@ -118,30 +127,62 @@ def fingerprint_documents(docs: DataFrame, words: np.ndarray, text: str = "text"
     return docs.mapInArrow(add, f"{fields}, fingerprint string")
 
 
-def in_order(docs: DataFrame, partitions: int) -> DataFrame:
+def in_order(docs: DataFrame) -> DataFrame:
     """Rows by descending id in ranges of their own, each range followed by a copy of the row that comes next (guard).
 
-    Texts move once. Range bounds and each range's first id come to the driver: a few numbers per range. Null ids are last;
-    rows of one id stand in order of their texts.
+    Texts move once. The number of ranges follows the bytes of text. Their bounds are quantiles of the ids; an id that has
+    more rows than a range should (or null) is split by a hash of the texts, in whose order rows of one id stand. A few
+    numbers per range come to the driver.
     """
-    cuts = sorted({int(x) for x in docs.approxQuantile("doc_id", [k / partitions for k in range(1, partitions)], 0.2 / partitions)}) if partitions > 1 else []
-    bounds = F.array(*[F.lit(x) for x in cuts]).cast("array<bigint>")
-    ranged = docs.withColumn("range", F.when(F.col("doc_id").isNull(), -1).otherwise(F.size(F.filter(bounds, lambda x: x <= F.col("doc_id")))))
-    first = {r["range"]: r.top for r in ranged.groupBy("range").agg(F.max("doc_id").alias("top")).collect()}
-    order = sorted(first, reverse=True)
-    after = dict(zip(order, order[1:] + order[:1], strict=True))
-    wanted = [F.when((F.col("range") == after[r]) & F.col("doc_id").eqNullSafe(F.lit(first[after[r]])), F.lit(r)) for r in order]
-    to = F.array_compact(F.array(*wanted)) if wanted else F.array().cast("array<int>")
-    both = F.concat(F.array(F.struct("range", F.lit(False).alias("guard"))), F.transform(to, lambda r: F.struct(r.cast("int").alias("range"), F.lit(True).alias("guard"))))
-    spread = ranged.withColumn("p", F.explode(both)).select("doc_id", "text", "p.range", "p.guard")
-    return spread.repartition(partitions, "range").sortWithinPartitions(F.desc("range"), "guard", F.desc_nulls_last("doc_id"), "text")
-
-
-def edited_neighbours(docs: DataFrame, words: np.ndarray, partitions: int) -> DataFrame:
+    spark = docs.sparkSession
+    docs = docs.withColumn("key", F.bitwise_not(F.xxhash64("text")))
+    whole = docs.agg(F.count("*").alias("n"), F.sum(F.octet_length("text")).alias("size")).first()
+    ranges = min(MOST_RANGES, max(spark.sparkContext.defaultParallelism, (whole["size"] or 0) // RANGE_BYTES + 1, 1))
+    ids = docs.where("doc_id is not null")
+    cuts = sorted({int(x) for x in ids.approxQuantile("doc_id", [k / ranges for k in range(1, ranges)], 0.2 / ranges)}) if ranges > 1 and whole["n"] else []
+    hot = {r.doc_id: r.n for r in docs.groupBy("doc_id").agg(F.count("*").alias("n")).where(F.col("n") > max(1, whole["n"] // ranges)).collect()}
+    # Bounds in descending order of (id, key): an id's bound stands before all of its rows, those inside a hot id at equal steps of the key.
+    lowest, top = -(1 << 63), 1 << 63
+    bounds = {(x, top) for x in cuts} | {(lowest if x is None else x, top) for x in hot}
+    bounds |= {(lowest if x is None else x, top - ((k << 64) // parts)) for x, n in hot.items() if (parts := n * ranges // whole["n"] + 1) for k in range(1, parts)}
+    bounds = np.array(sorted(bounds), dtype=[("id", np.int64), ("key", object)])
+    split = {int(x): np.array([int(k) for k in bounds["key"][bounds["id"] == x][:-1]], np.int64) for x in {lowest if i is None else i for i in hot}}
+    bound_ids, last = bounds["id"].copy(), len(bounds)
+
+    @F.arrow_udf("int")
+    def range_of(i: pa.Array, key: pa.Array) -> pa.Array:
+        """The number of bounds that stand before a row: the ranges are numbered in its descending order."""
+        i, key = i.fill_null(lowest).to_numpy(zero_copy_only=False), key.to_numpy(zero_copy_only=False)
+        below = np.searchsorted(bound_ids, i, "left")  # bounds of lower ids come after
+        for x, inner in split.items():
+            own = i == x
+            if own.any():
+                below[own] += np.searchsorted(inner, key[own], "left")
+        return pa.array(last - below, pa.int32())
+
+    ranged = docs.withColumn("range", range_of("doc_id", "key"))
+    first = {r["range"]: (r.top["i"], r.top["key"]) for r in ranged.groupBy("range").agg(F.max(F.struct(F.coalesce("doc_id", F.lit(lowest)).alias("i"), "key")).alias("top")).collect()}
+    order = sorted(first)
+    before = dict(zip(order, order[-1:] + order[:-1], strict=True))
+    firsts = spark.sparkContext.broadcast({first[r]: before[r] for r in order})
+
+    @F.arrow_udf("int")
+    def guard_of(i: pa.Array, key: pa.Array) -> pa.Array:
+        return pa.array(map(firsts.value.get, zip(i.fill_null(lowest).to_pylist(), key.to_pylist(), strict=True)), pa.int32())
+
+    row = lambda r, guard: F.struct(r.alias("range"), F.lit(guard).alias("guard"))
+    guard = guard_of("doc_id", "key")
+    both = ranged.withColumn("to", guard).withColumn("p", F.explode(F.array_compact(F.array(row(F.col("range"), False), F.when(F.col("to").isNotNull(), row(F.col("to"), True))))))
+    spread = both.select("doc_id", "text", "key", "p.range", "p.guard")
+    return spread.repartitionById(last + 1, F.col("range")).sortWithinPartitions("range", "guard", F.desc_nulls_last("doc_id"), F.desc("key"), "text")
+
+
+def edited_neighbours(docs: DataFrame, words: np.ndarray) -> DataFrame:
     """Every row of (doc_id, text) with its fingerprint, that of its edited text, and their likeness and that to the next row's.
 
     The edited text has its last third replaced by as many first characters of the next row's; the last row's next is the
-    first. Null texts are empty.
+    first. Null texts are empty. Null ids are last; rows of one id stand in order of a hash of their texts, so repeated rows
+    are neighbours. Other columns than doc_id and text don't come back. Tables may be empty.
     """
     prepare(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(words)
@@ -182,4 +223,4 @@ def edited_neighbours(docs: DataFrame, words: np.ndarray, partitions: int) -> Da
             yield done()
 
     schema = "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double"
-    return in_order(docs, partitions).mapInArrow(compare, schema)
+    return in_order(docs).mapInArrow(compare, schema)

@@ -60,7 +60,7 @@ def op6_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op7_imatch(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return imatch.edited_neighbours(docs, imatch.lexicon(docs), int(spark.conf.get("spark.sql.shuffle.partitions")))
+    return imatch.edited_neighbours(docs, imatch.lexicon(docs))
 
 
 def op8_language(spark: SparkSession, sf_dir: str) -> DataFrame:

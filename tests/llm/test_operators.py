@@ -371,7 +371,7 @@ def test_fingerprints(spark):
     rows = [(i, t, "en", "s", 0.0) for i, t in enumerate(texts)] + [(None, "no id here", "en", "s", 0.0), (3, texts[3], "en", "s", 0.0)]
     df = spark.createDataFrame(rows, NOISE)
     lex = imatch.lexicon(df, least=0.0, most=0.5)
-    got = imatch.edited_neighbours(df, lex, 4).collect()
+    got = imatch.edited_neighbours(df, lex).collect()
     assert len(got) == len(rows)
     order = sorted(((r[0], r[1] or "") for r in rows), key=lambda x: (x[0] is None, -(x[0] or 0), x[1]))
     want = {}
@@ -384,7 +384,24 @@ def test_fingerprints(spark):
     assert sum(r.near_edited for r in full) > 3 * sum(r.near_next for r in full) and all(0 <= r.near_edited <= 1 for r in got)
     plain = {r.doc_id: r.fingerprint for r in imatch.fingerprint_documents(df, lex).where("doc_id is not null").collect()}
     assert all(plain[r.doc_id] == r.fingerprint for r in got if r.doc_id is not None)
-    assert imatch.edited_neighbours(df.limit(0), lex, 4).count() == 0
+    assert imatch.edited_neighbours(df.limit(0), lex).count() == 0
+
+
+def test_neighbours_of_ids_that_many_rows_share(spark):
+    texts = [None, "", "one and the same"] + [f"text {i} " * (i % 7) + "é" for i in range(400)]
+    ids = [None] * 150 + [5] * 130 + [-(1 << 40)] * 20 + list(range(6, 106))
+    rows = [(i, texts[(k * 7) % len(texts)] if k % 3 else texts[2]) for k, i in enumerate(ids)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    keyed = df.selectExpr("doc_id", "coalesce(text, '') AS text", "~xxhash64(coalesce(text, '')) AS key").collect()
+    order = sorted(((r.doc_id, r.text, r.key) for r in keyed), key=lambda x: (x[0] is None, -(x[0] or 0), -x[2]))
+    want = []
+    for k, (i, t, _) in enumerate(order):
+        n, f = len(t) // 3, order[(k + 1) % len(order)][1]
+        want.append((i, hashlib.sha256((t[: len(t) - n] + f[:n]).encode()).hexdigest()))
+    got = imatch.edited_neighbours(df, imatch.lexicon(df)).select("doc_id", "edited_sha256").collect()
+    assert sorted(map(str, map(tuple, got))) == sorted(map(str, want))
+    placed = imatch.in_order(df.selectExpr("doc_id", "coalesce(text, '') AS text")).where("not guard").groupBy("range").count().collect()
+    assert len(placed) > 8 and max(r["count"] for r in placed) <= 150
 
 
 # SQL

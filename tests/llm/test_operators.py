@@ -301,10 +301,24 @@ def test_warc(spark):
     assert all(r.payload_digest == hashlib.sha1(same.encode()).hexdigest() for r in back if r.page_id in (1, 2, 3))
     assert [r.payload for r in warc.read_records(index.where("page_id = 5")).collect()] == ["é".encode()]
     assert warc.read_records(warc.write_archives(df.limit(0))).count() == 0
+    con = duckdb.connect()
+    con.register("pages", pa.table({"page_id": pa.array([r[0] for r in rows], pa.int64()), "html": pa.array([r[2] for r in rows], pa.string())}))
+    want = con.sql(f"SELECT page_id, payload_bytes, payload_digest, record_type, refers_to FROM ({warc.sql()})").fetchall()
+    assert sorted(map(str, want)) == sorted(str((r.page_id, r.payload_bytes, r.payload_digest, r.record_type, r.refers_to)) for r in back)
     with pytest.raises(ValueError):
         warc.parse(warc.record(1, "u", b"abc", "0" * 40, None, False))
 
 
+def test_large_groups_of_pages_in_parts(spark, monkeypatch, tmp_path):
+    monkeypatch.setattr(warc, "SALT_ROWS", 10)
+    rows = [(i, f"http://a/{i}", ("x" if i % 3 else "y") * 1200 if i < 100 else "z" * 1500 + str(i), "d", 1) for i in range(120)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string, digest string, salt int")
+    index = warc.write_archives(df, f"{tmp_path}/a b")
+    back = {r.page_id: (r.record_type, r.refers_to) for r in warc.read_records(index).collect()}
+    assert back == {i: ("response", None) if i >= 98 else ("revisit", 98 if i % 3 else 99) for i in range(120)}
+    assert all(r.file.startswith("file:/") for r in index.collect())
+
+
 # Page text
 
 

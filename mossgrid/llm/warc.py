@@ -12,10 +12,11 @@ import re
 import uuid
 import zlib
 from collections.abc import Iterator
+from urllib.parse import unquote
 
 import pyarrow as pa
 import pyarrow.fs
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from mossgrid.llm.common import kept, pieces, prepare, scratch
@@ -25,6 +26,9 @@ MOST_FILE = 1 << 30
 GAP = 1 << 16
 MOST_READ = 1 << 22
 BLOCK = 1 << 25
+SALT_ROWS = 100_000
+MOST_SALTS = 4096
+MOST_BROADCAST = 100_000
 DATE = "1970-01-01T00:00:00Z"
 #: Fixed value: the profile that the format names for records of an equal payload.
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
@@ -32,12 +36,20 @@ INDEX = "page_id long, url string, file string, offset long, length long, digest
 
 
 def store(path: str) -> tuple[pyarrow.fs.FileSystem, str]:
-    """The file system of a URI and the path in it. A file: URI or a plain path is local; others need what Arrow has for them."""
+    """The file system of a URI, as `qualified` gives it, and the path in it; others than file: need what Arrow has for them."""
     if path.startswith("file:") or "://" not in path:
         return pyarrow.fs.LocalFileSystem(), re.sub("^file:/*", "/", path)
     return pyarrow.fs.FileSystem.from_uri(path)
 
 
+def qualified(spark: SparkSession, folder: str) -> str:
+    """The folder with the scheme that Spark gives it, so that every process opens the same one: a plain path belongs to the default file system."""
+    probe = f"{folder}/probe-{uuid.uuid4().hex}"
+    spark.range(1).coalesce(1).write.parquet(probe)
+    file = unquote(spark.read.parquet(probe).select("_metadata.file_path").first()[0])
+    return file[: file.rindex("/probe-")]
+
+
 def record_id(page_id: int | None) -> str:
     return f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_OID, str(page_id))}>"
 
@@ -81,19 +93,31 @@ def with_revisits(pages: DataFrame, least: int = LEAST_REVISIT) -> DataFrame:
     """Adds digest, revisit and refers_to: of rows with equal payloads of at least `least` bytes, those with another page_id than the largest revisit it.
 
     A null page_id never is the largest; equal rows of the largest page_id are all responses. Payloads that only rows
-    without a page_id have are responses.
+    without a page_id have are responses. Groups are (digest, largest page_id), written first: their size then decides how
+    they meet the payloads, which move only where groups are many, and a group of many rows moves in several parts.
     """
     pages = pages.select(F.col("page_id").cast("long").alias("page_id"), "url", F.coalesce("html", F.lit("")).cast("binary").alias("payload")).withColumn("digest", F.sha1("payload"))
-    groups = pages.where(F.octet_length("payload") >= least).groupBy("digest").agg(F.max("page_id").alias("last"), F.count("*").alias("n")).where("n > 1 and last is not null").select("digest", "last")
-    # Groups are written first: their size then decides how they meet the payloads, which move only where groups are many.
-    out = pages.join(kept(groups, "groups"), "digest", "left").withColumn("revisit", F.col("last").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("last")))
+    groups = pages.where(F.octet_length("payload") >= least).groupBy("digest").agg(F.max("page_id").alias("last"), F.count("*").alias("n")).where("n > 1 and last is not null")
+    # A group of many rows stands under several salts, and each row looks for one of them.
+    salts = F.least(F.floor(F.col("n") / SALT_ROWS), F.lit(MOST_SALTS - 1)).cast("int")
+    groups = kept(groups.select("digest", "last", F.explode(F.sequence(F.lit(0), salts)).alias("salt"), (salts + 1).alias("salts")), "groups")
+    large = groups.where("salt = 0 and salts > 1").select("digest", "salts")
+    large = F.broadcast(large) if large.count() <= MOST_BROADCAST else large  # one group for SALT_ROWS pages at most
+    row_salt = F.pmod(F.xxhash64("page_id", "url"), F.coalesce("salts", F.lit(1))).cast("int")
+    salted = pages.join(large, "digest", "left").withColumn("salt", row_salt).drop("salts")
+    out = salted.join(groups.select("digest", "salt", "last"), ["digest", "salt"], "left").drop("salt")
+    out = out.withColumn("revisit", F.col("last").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("last")))
     return out.select("page_id", "url", "payload", "digest", "revisit", F.when(F.col("revisit"), F.col("last")).alias("refers_to"))
 
 
 def write_archives(pages: DataFrame, folder: str | None = None, least: int = LEAST_REVISIT) -> DataFrame:
-    """Writes (page_id, url, html) as archives below folder (a scratch folder if None) and returns the index, itself a table."""
+    """Writes (page_id, url, html) as archives below folder (a scratch folder if None) and returns the index, itself a table.
+
+    Null html is empty. Repeated rows have a record each. Other columns are left out, whatever their names. Tables may be
+    empty. The folder is on a file system that Spark and Arrow both know.
+    """
     prepare(pages.sparkSession)
-    folder = folder or scratch(pages.sparkSession, "warc")
+    folder = qualified(pages.sparkSession, folder or scratch(pages.sparkSession, "warc"))
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         files, base = store(folder)
@@ -164,5 +188,5 @@ def sql(table: str = "pages") -> str:
 WITH p AS (SELECT page_id, coalesce(html, '') AS h FROM {table}),
 d AS (SELECT page_id, strlen(h)::BIGINT AS n, sha1(h) AS digest FROM p),
 g AS (SELECT *, CASE WHEN n >= {LEAST_REVISIT} THEN max(page_id) OVER (PARTITION BY digest) ELSE page_id END AS last FROM d)
-SELECT page_id, n AS payload_bytes, digest AS payload_digest, CASE WHEN last = page_id THEN 'response' ELSE 'revisit' END AS record_type,
- CASE WHEN last <> page_id THEN last END::BIGINT AS refers_to FROM g"""
+SELECT page_id, n AS payload_bytes, digest AS payload_digest, CASE WHEN last IS NULL OR last IS NOT DISTINCT FROM page_id THEN 'response' ELSE 'revisit' END AS record_type,
+ CASE WHEN last IS DISTINCT FROM page_id THEN last END::BIGINT AS refers_to FROM g"""

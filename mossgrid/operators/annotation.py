@@ -8,23 +8,26 @@ from pyspark.sql import functions as F
 from mossgrid.functions.common import union
 
 COMMON = ("protein_id", "MAG", "MAG_contig_raw_id", "MAG_contig_id", "MAG_contig_gene_id")
+FEFE = ("FeFe_subject", "FeFe_identity", "FeFe_evalue", "FeFe_bitscore")
 #: Identity cutoffs of terminal-enzyme classes; 0.50 otherwise.
 CUTOFFS = {0.80: ("PsaA",), 0.75: ("HbsT",), 0.70: ("PsbA", "IsoA", "AtpA", "YgfK", "ARO"), 0.60: ("CoxL", "MmoX", "AmoA", "NxrA", "NuoF", "RbcL", "NiFe", "FeFe", "Fe"), 0.40: ("RHO",)}
 OTHER_CUTOFF = 0.50
 
 
 def best_hit(hits: DataFrame, by: str = "protein_id") -> DataFrame:
-    """The best hit of each protein: bitscore, then E-value, identity and subject."""
-    w = Window.partitionBy(by).orderBy(F.desc("bitscore"), "evalue", F.desc("identity"), "subject")
-    return hits.withColumn("place", F.row_number().over(w)).where("place = 1").drop("place")
+    """The best hit of each protein: bitscore, then E-value, identity and subject. Each task keeps its best before anything moves."""
+    order = F.struct(F.col("bitscore").isNull(), -F.col("bitscore"), "evalue", F.col("identity").isNull(), -F.col("identity"), "subject")
+    rest = [c for c in hits.columns if c != by]
+    return hits.groupBy(by).agg(F.min_by(F.struct(*rest), order).alias("_best")).select(*(F.col(f"_best.{c}").alias(c) if c != by else F.col(c) for c in hits.columns))
 
 
 def hydrogenase_hits(hits: DataFrame, best_only: bool = False, evalue: float = 1e-50, identity: float = 0.5, coverage: float = 0.9) -> DataFrame:
     """Qualifying hits with their rank within the protein."""
     ok = hits.where((F.col("evalue") <= evalue) & (F.col("identity") >= identity) & (F.col("query_coverage") >= coverage))
+    if best_only:
+        return best_hit(ok).withColumn("hit_rank", F.lit(1).cast("long"))
     w = Window.partitionBy("protein_id").orderBy(F.desc("bitscore"), "evalue", F.desc("identity"), "subject")
-    ranked = ok.withColumn("hit_rank", F.row_number().over(w).cast("long"))
-    return ranked.where("hit_rank = 1") if best_only else ranked
+    return ok.withColumn("hit_rank", F.row_number().over(w).cast("long"))
 
 
 def required_identity(name: str = "class"):  # noqa: ANN201
@@ -79,9 +82,28 @@ def gene_counts(annotations: DataFrame, function: str = "function") -> DataFrame
     return named.groupBy("MAG", function).agg(F.count_distinct("MAG_contig_gene_id").alias("genes"))
 
 
-def stack_annotations(**branches: DataFrame) -> DataFrame:
-    """The five common columns of every branch, with the branch's name."""
-    return union(*(df.select(*COMMON).withColumn("branch", F.lit(name)) for name, df in branches.items()))
+def hydrogenase_table(confirmed: DataFrame, gene_map: DataFrame) -> DataFrame:
+    """The reported table: common columns, the matched reference and its group, and the second hit of FeFe rows. confirmed: hits with their group and FeFe evidence."""
+    named = confirmed.select("protein_id", F.col("subject").alias("HydDB_subject"), "HydDB_group", F.col("class").alias("Gene"), *FEFE)
+    return map_back(named, gene_map).select(*COMMON[1:], "Gene", "HydDB_subject", "HydDB_group", *FEFE)
+
+
+def terminal_table(best: DataFrame, gene_map: DataFrame, titles: DataFrame) -> DataFrame:
+    """The reported table: common columns, the reference, its title (subject, title) and the identity that its class requires."""
+    named = best.join(titles.select("subject", "title"), "subject", "left").select("protein_id", F.col("class").alias("Gene"), F.col("subject").alias("Reference"), F.col("title").alias("Reference_title"), "Required_identity")
+    return map_back(named, gene_map).select(*COMMON[1:], "Gene", "Reference", "Reference_title", "Required_identity")
+
+
+def kegg_table(annotated: DataFrame, gene_map: DataFrame) -> DataFrame:
+    """The reported table: common columns, gene name and description of the KO. annotated: (protein_id, KO, KO_gene_name, KO_description)."""
+    return map_back(annotated.withColumnRenamed("KO", "Gene"), gene_map).select(*COMMON[1:], "Gene", "KO_gene_name", "KO_description")
+
+
+def stack_annotations(skip: tuple = (), **branches: DataFrame) -> DataFrame:
+    """The five common columns of every branch, with the branch's name; branches in skip are left out."""
+    if unknown := set(skip) - branches.keys():
+        raise ValueError(f"no such branches: {sorted(unknown)}")
+    return union(*(df.select(*COMMON).withColumn("branch", F.lit(name)) for name, df in branches.items() if name not in skip))
 
 
 def pending_mags(mags: DataFrame, ledger: DataFrame) -> DataFrame:

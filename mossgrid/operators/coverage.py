@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from mossgrid.functions.common import kept
+
 METRICS = ("relative_abundance", "rpkm", "tpm", "mean")
 
 
@@ -28,20 +30,29 @@ def covered_fraction(alignments: DataFrame, lengths: DataFrame) -> DataFrame:
 def abundance_metrics(covered: DataFrame, totals: DataFrame, min_fraction: float = 0.1, rpkm_total: str = "mapped") -> DataFrame:
     """Relative abundance and mean (gated by covered fraction), RPKM, TPM and counts (ungated), with an `unmapped` row per sample.
 
-    totals: (sample, total_reads). One pass gives both the gated and the ungated metrics.
+    totals: (sample, total_reads). One pass gives both the gated and the ungated metrics; covered is written once, as a row
+    per sample and genome is little next to its alignments.
     """
-    w = Window.partitionBy("sample")
-    df = covered.join(totals, "sample").withColumn("depth", F.try_divide(F.col("aligned_bp").cast("double"), "length"))
-    df = df.withColumn("mean", F.when(F.col("covered_fraction") >= min_fraction, F.col("depth")).otherwise(0.0))
-    df = df.withColumn("mapped", F.sum("reads").over(w)).withColumn("rate", F.try_divide(F.col("reads").cast("double"), "length"))
+    depth = F.try_divide(F.col("aligned_bp").cast("double"), "length")
+    df = covered.withColumn("mean", F.when(F.col("covered_fraction") >= min_fraction, depth).otherwise(0.0)).withColumn("rate", F.try_divide(F.col("reads").cast("double"), "length"))
+    df = kept(df.select("sample", "mag", "reads", "mean", "rate"), "covered")
+    sums = df.groupBy("sample").agg(F.sum("reads").alias("mapped"), F.sum("rate").alias("rates"), F.sum("mean").alias("means"))
+    per_sample = kept(totals.select("sample", "total_reads").join(sums, "sample", "left"), "samples")
+    df = df.join(per_sample, "sample")
     per = F.col("mapped") if rpkm_total == "mapped" else F.col("total_reads")
-    share = F.coalesce(F.try_divide("mean", F.sum("mean").over(w)), F.lit(0.0))
-    df = df.withColumn("relative_abundance", 100 * F.try_divide(F.col("mapped").cast("double"), "total_reads") * share)
-    df = df.withColumn("rpkm", F.try_divide(F.col("rate") * 1e9, per)).withColumn("tpm", F.try_divide(F.col("rate") * 1e6, F.sum("rate").over(w)))
-    rows = df.select("sample", "mag", *METRICS, "reads")
-    mapped = totals.join(covered.groupBy("sample").agg(F.sum("reads").alias("mapped")), "sample", "left").withColumn("mapped", F.coalesce("mapped", F.lit(0)))
-    none = F.lit(None).cast("double")
-    rest = mapped.select("sample", F.lit("unmapped").alias("mag"), (100 * (1 - F.coalesce(F.try_divide(F.col("mapped").cast("double"), "total_reads"), F.lit(0.0)))).alias("relative_abundance"), none.alias("rpkm"), none.alias("tpm"), none.alias("mean"), (F.col("total_reads") - F.col("mapped")).alias("reads"))
+    share = F.coalesce(F.try_divide("mean", "means"), F.lit(0.0))
+    rows = df.select(
+        "sample",
+        "mag",
+        (100 * F.try_divide(F.col("mapped").cast("double"), "total_reads") * share).alias("relative_abundance"),
+        F.try_divide(F.col("rate") * 1e9, per).alias("rpkm"),
+        F.try_divide(F.col("rate") * 1e6, "rates").alias("tpm"),
+        "mean",
+        "reads",
+    )
+    mapped, none = F.coalesce("mapped", F.lit(0)), F.lit(None).cast("double")
+    unmapped = 100 * (1 - F.coalesce(F.try_divide(mapped.cast("double"), F.col("total_reads")), F.lit(0.0)))
+    rest = per_sample.select("sample", F.lit("unmapped").alias("mag"), unmapped.alias("relative_abundance"), none.alias("rpkm"), none.alias("tpm"), none.alias("mean"), (F.col("total_reads") - mapped).alias("reads"))
     return rows.unionByName(rest)
 
 
@@ -55,6 +66,13 @@ def abundance_matrix(long: DataFrame, metric: str | Column, samples: list, by: t
     return long.groupBy(*by).pivot("sample", samples).agg(F.first(value)).na.fill(0)
 
 
+def abundance_table(long: DataFrame, samples: list, metrics: tuple = (*METRICS, "reads"), by: tuple = ("mag",)) -> DataFrame:
+    """Genomes by samples for all metrics asked for, columns `<sample>_<metric>`. Absent cells are 0."""
+    if unknown := set(metrics) - {*METRICS, "reads"}:
+        raise ValueError(f"no such metrics: {sorted(unknown)}")
+    return long.groupBy(*by).pivot("sample", samples).agg(*(F.first(m).alias(m) for m in metrics)).na.fill(0)
+
+
 def differential_coverage(alignments: DataFrame, groups: DataFrame) -> DataFrame:
     """(group, contig, sample, depth) of alignments whose (sample, assembly) pair is in a coverage group."""
     kept = alignments.join(groups, ["sample", "assembly"])

@@ -32,10 +32,17 @@ def gunc_status(bins: DataFrame, gunc: DataFrame | None, least_score: float = 0.
 
 
 def rna_quality(rna: DataFrame) -> DataFrame:
-    """Per genome: distinct tRNA types and which rRNA genes were found."""
+    """Per genome: distinct tRNA types, which rRNA genes were found, and the predictions' errors, joined by semicolons ("" if none)."""
     is_trna, is_rrna = F.col("kind") == "tRNA", F.col("kind") == "rRNA"
     found = lambda t: F.coalesce(F.max(is_rrna & (F.col("type") == t)), F.lit(False)).alias(f"rrna_{t}")
-    return rna.groupBy("genome").agg(F.count_distinct(F.when(is_trna, F.col("type"))).alias("trna_types"), *map(found, RRNA))
+    errors = F.array_join(F.array_sort(F.collect_set("error")), ";").alias("error") if "error" in rna.columns else F.lit("").alias("error")
+    return rna.groupBy("genome").agg(F.count_distinct(F.when(is_trna, F.col("type"))).alias("trna_types"), *map(found, RRNA), errors)
+
+
+def rna_report(rna: DataFrame, domains: DataFrame, trna_pass: int | None = None, rrna_pass: bool = False) -> DataFrame:
+    """The reported table: (genome, domain, trna_types, rrna_5S, rrna_16S, rrna_23S, pass, error). domains: (genome, domain); a genome without one has null."""
+    found = rna_quality(rna).withColumn("pass", rna_status(trna_pass, rrna_pass)).join(domains.select("genome", "domain"), "genome", "left")
+    return found.select("genome", "domain", "trna_types", *(f"rrna_{t}" for t in RRNA), "pass", "error")
 
 
 def rna_status(trna_pass: int | None, rrna_pass: bool, predicted: bool = True) -> Column:

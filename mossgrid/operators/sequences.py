@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from mossgrid.functions.common import reverse_complement
+from mossgrid.functions.common import kept, reverse_complement, running
 
 
 def filter_contigs(contigs: DataFrame, min_len: int = 1500) -> DataFrame:
@@ -26,8 +26,17 @@ def numbered(df: DataFrame, group: str, size: Column, name: str) -> Column:
 
 
 def rename_contigs(contigs: DataFrame, group: str = "sample") -> DataFrame:
-    """Adds new_id `<group>_<n>`, contigs by length and name."""
-    return contigs.withColumn("new_id", F.concat_ws("_", F.col(group).cast("string"), numbered(contigs, group, F.length("seq"), "contig_id").cast("string")))
+    """Adds new_id `<group>_<n>`, contigs by length and name.
+
+    Numbers are given to (group, contig_id, length) in one order over all groups, sorted in ranges, so neither sequences nor
+    a large group meet in one task; contig_id is unique in its group.
+    """
+    slim = contigs.select(F.col(group).alias("_group"), F.col("contig_id").alias("_contig"), F.length("seq").alias("_length"))
+    placed = kept(running(slim, [F.col("_group"), F.col("_length").desc(), F.col("_contig")], _place=F.lit(1)), "places")
+    first = placed.groupBy(F.col("_group").alias("_g")).agg(F.min("_place").alias("_first"))
+    number = (F.col("_place") - F.col("_first") + 1).cast("string")
+    named = placed.join(first, F.col("_group").eqNullSafe(F.col("_g"))).select("_group", "_contig", F.concat_ws("_", F.col("_group").cast("string"), number).alias("new_id"))
+    return contigs.join(named, F.col(group).eqNullSafe(F.col("_group")) & F.col("contig_id").eqNullSafe(F.col("_contig"))).drop("_group", "_contig")
 
 
 def name_bins(stats: DataFrame, tool: str, group: str = "sample") -> DataFrame:
@@ -40,10 +49,10 @@ def extract_bins(contigs: DataFrame, contig2bin: DataFrame) -> DataFrame:
 
 
 def kmers(df: DataFrame, key: str, k: int) -> DataFrame:
-    """(key, kmer): canonical k-mers of every sequence; those with other letters than ACGT are left out."""
-    seq = F.upper("seq")
-    spread = df.where(F.length("seq") >= k).select(key, seq.alias("seq")).select(key, F.explode(F.transform(F.sequence(F.lit(1), F.length("seq") - k + 1), lambda i: F.substring("seq", i, F.lit(k)))).alias("forward"))
-    return spread.where(F.col("forward").rlike("^[ACGT]+$")).select(key, F.least("forward", reverse_complement(F.col("forward"))).alias("kmer"))
+    """(key, kmer): canonical k-mers of every sequence; those with other letters than ACGT are left out. One pass over a sequence finds a word at each place."""
+    found = F.regexp_extract_all(F.upper("seq"), F.lit(f"(?=([ACGT]{{{k}}}))"), F.lit(1))
+    spread = df.where(F.length("seq") >= k).select(key, F.explode(found).alias("forward"))
+    return spread.select(key, F.least("forward", reverse_complement(F.col("forward"))).alias("kmer"))
 
 
 def tetranucleotides(df: DataFrame, key: str, k: int = 4) -> DataFrame:

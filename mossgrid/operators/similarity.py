@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from mossgrid.functions.common import kept, union
@@ -16,10 +16,28 @@ def sketches(contigs: DataFrame, k: int = 21, scale: int = 50, min_size: int = 1
     return found if min_size <= 1 else found.join(found.groupBy("genome").count().where(F.col("count") >= min_size), "genome", "left_semi")
 
 
-def candidate_pairs(sketch: DataFrame) -> DataFrame:
-    """(g1, g2, shared) of genomes that share hashes. dereplicate_sketches() gives it one genome of each equal sketch."""
-    a, b = (sketch.select(F.col("genome").alias(g), "hash") for g in ("g1", "g2"))
-    return a.join(b, "hash").where("g1 < g2").groupBy("g1", "g2").agg(F.count("*").alias("shared"))
+def candidate_pairs(sketch: DataFrame, least: float = 0.0) -> DataFrame:
+    """(g1, g2, shared), g1 < g2, of genomes that share at least that part of the smaller one's hashes, and any at all.
+
+    The smaller of such a pair shares one of its rarest hashes, as many as it may lack and one: only those are looked up,
+    against the sketches of genomes of its size or more. So a hash that most genomes hold brings pairs only where a genome
+    has nothing rarer. With least 0 every shared hash is looked up.
+    """
+    held = sketch.groupBy("hash").agg(F.count("*").alias("held"))
+    sizes = sketch.groupBy("genome").agg(F.count("*").alias("n"))
+    rows = kept(sketch.join(held, "hash").join(sizes, "genome").where("held > 1"), "held")  # a hash of one genome pairs nothing
+    order = Window.partitionBy("genome").orderBy("held", "hash")  # a genome's own sketch, which its length bounds
+    shared_alone = F.col("n") - F.count("*").over(Window.partitionBy("genome"))
+    place = F.row_number().over(order) + shared_alone  # hashes that no other genome holds come first
+    need = F.greatest(F.ceil(F.lit(least) * F.col("n") - 1e-9), F.lit(1))
+    prefix = rows.withColumn("place", place).where(F.col("place") <= F.col("n") - need + 1).select(F.col("genome").alias("a"), F.col("n").alias("an"), "hash")
+    larger = rows.select(F.col("genome").alias("b"), F.col("n").alias("bn"), "hash")
+    found = prefix.join(larger, "hash").where("an < bn or an = bn and a <> b").select(F.least("a", "b").alias("g1"), F.greatest("a", "b").alias("g2"))
+    pairs = kept(found.distinct(), "candidates")
+    one, two = (rows.select(F.col("genome").alias(g), "hash") for g in ("g1", "g2"))
+    counted = pairs.join(one, "g1").join(two, ["g2", "hash"]).groupBy("g1", "g2").agg(F.count("*").alias("shared"))
+    smaller = counted.join(sizes.select(F.col("genome").alias("g1"), F.col("n").alias("x")), "g1").join(sizes.select(F.col("genome").alias("g2"), F.col("n").alias("y")), "g2")
+    return smaller.where(F.col("shared") >= F.lit(least) * F.least("x", "y") - 1e-9).select("g1", "g2", "shared")
 
 
 def sketch_classes(sketch: DataFrame) -> DataFrame:
@@ -29,13 +47,13 @@ def sketch_classes(sketch: DataFrame) -> DataFrame:
     return sums.join(reps, ["n", "a", "b"]).select("genome", "rep")
 
 
-def sketch_ani(sketch: DataFrame, k: int = 21) -> DataFrame:
-    """(g1, g2, ani, af1, af2) in percent: identity from the k-th root of containment, aligned fractions from shared parts."""
+def sketch_ani(sketch: DataFrame, k: int = 21, ani: float = 0) -> DataFrame:
+    """(g1, g2, ani, af1, af2) in percent of pairs from an identity on: identity from the k-th root of containment, aligned fractions from shared parts."""
     sizes = sketch.groupBy("genome").agg(F.count("*").alias("n"))
     one, two = (sizes.select(F.col("genome").alias(g), F.col("n").alias(n)) for g, n in (("g1", "n1"), ("g2", "n2")))
-    pairs = candidate_pairs(sketch).join(one, "g1").join(two, "g2")
-    ani = 100 * F.pow(F.col("shared") / F.least("n1", "n2"), 1.0 / k)
-    return pairs.select("g1", "g2", ani.alias("ani"), (100 * F.col("shared") / F.col("n1")).alias("af1"), (100 * F.col("shared") / F.col("n2")).alias("af2"))
+    pairs = candidate_pairs(sketch, (ani / 100) ** k).join(one, "g1").join(two, "g2")
+    identity = 100 * F.pow(F.col("shared") / F.least("n1", "n2"), 1.0 / k)
+    return pairs.select("g1", "g2", identity.alias("ani"), (100 * F.col("shared") / F.col("n1")).alias("af1"), (100 * F.col("shared") / F.col("n2")).alias("af2"))
 
 
 def dereplicate(genomes: DataFrame, pairs: DataFrame, ani: float = 99, af: float = 30) -> DataFrame:
@@ -77,6 +95,6 @@ def dereplicate_sketches(genomes: DataFrame, sketch: DataFrame, k: int = 21, ani
     classes = kept(classes.select("genome", "quality_score", "total_bp", "rep"), "classes")
     heads = kept(classes.groupBy("rep").agg(F.min(order).alias("o")).select("rep", F.col("o.genome").alias("head")), "heads")
     best = genomes.join(heads.select(F.col("head").alias("genome")), "genome", "left_semi")
-    pairs = sketch_ani(sketch.join(heads.select(F.col("head").alias("genome")), "genome", "left_semi"), k)
+    pairs = sketch_ani(sketch.join(heads.select(F.col("head").alias("genome")), "genome", "left_semi"), k, ani)
     found = dereplicate(best, pairs, ani, af).withColumnRenamed("genome", "head")
     return classes.join(heads, "rep").join(found, "head").select("genome", "representative")

@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mossgrid.functions.common import scratch
-from mossgrid.operators import annotation, coverage, manifests, niche, quality, sequences, similarity
+from mossgrid.functions.common import kept
+from mossgrid.operators import annotation, coverage, manifests, niche, quality, refine, sequences, similarity
 
 K = 21
 SCALE = 50
@@ -52,14 +52,19 @@ CLASS = "CASE split_part(p_type, ' ', 1) WHEN 'ECONOMY' THEN 'PsaA' WHEN 'MEDIUM
 HITS = f"SELECT l_orderkey AS protein_id, l_partkey AS subject, {CLASS} AS class, (100 - 5 * round(100 * l_discount)) / 100 AS identity, (100 - 5 * round(100 * l_tax)) / 100 AS query_coverage, l_extendedprice AS bitscore FROM lineitem JOIN part ON l_partkey = p_partkey"
 
 
+#: Letters that stand for bases, in this order A, C, G, T and again; upper-case ones like lower-case ones.
+LETTERS = "abcdefghijklmnopqrstuvwxyzàâäáåæçèéêëíîïñòóôöùúûüýßœÿ"
+UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZÀÂÄÁÅÆÇÈÉÊËÍÎÏÑÒÓÔÖÙÚÛÜÝ"
+BASES = ("ACGT" * 16)[: len(LETTERS)] + ("ACGT" * 16)[: len(UPPER)]
+
+
 def contigs(spark: SparkSession, d: str) -> DataFrame:
-    """Documents as contigs: letters mapped onto ACGT, the rest left out."""
-    letters = "abcdefghijklmnopqrstuvwxyz"
-    seq = F.translate(F.regexp_replace(F.coalesce("text", F.lit("")), "[^a-z]", ""), letters, ("ACGT" * 7)[:26])
+    """Documents as contigs: letters of either case mapped onto ACGT, the rest left out."""
+    seq = F.regexp_replace(F.translate(F.coalesce("text", F.lit("")), LETTERS + UPPER, BASES), "[^ACGT]", "")
     return t(spark, d, "documents").select(F.col("source").alias("sample"), F.col("source").alias("bin"), F.col("doc_id").alias("contig_id"), F.col("doc_id").alias("genome"), seq.alias("seq"))
 
 
-SEQ = f"SELECT doc_id, source, translate(regexp_replace(coalesce(text, ''), '[^a-z]', '', 'g'), 'abcdefghijklmnopqrstuvwxyz', '{('ACGT' * 7)[:26]}') AS seq FROM documents"
+SEQ = f"SELECT doc_id, source, regexp_replace(translate(coalesce(text, ''), '{LETTERS + UPPER}', '{BASES}'), '[^ACGT]', '', 'g') AS seq FROM documents"
 
 
 def niche_query(method: str = "cv", correct: bool = False):  # noqa: ANN201
@@ -67,7 +72,7 @@ def niche_query(method: str = "cv", correct: bool = False):  # noqa: ANN201
         metric, least = ("relative_abundance", 0.001) if method == "cv" else ("mean", 4.0)
         out = niche.niche_classification(abundance(spark, d), taxonomy(spark, d), "family", metric, method, correct, 20, least)
         r = lambda c: F.round(F.col(c), 6).alias(c)
-        return out.select("taxon", F.col("member_mags").cast("long").alias("member_mags"), F.col("total_reads").cast("long").alias("total_reads"), r("overall_occupancy"), r("raw_si_cv"), r("corrected_si"), "eligible", "niche", "cv_quartile_rank", r("cv_low_tail_max"), r("cv_high_tail_min"), r("community_mean_corrected_si"), "correct_cv_classification")
+        return out.select("taxon", F.col("member_mags").cast("long").alias("member_mags"), F.col("total_reads").cast("long").alias("total_reads"), r("overall_occupancy"), r("raw_si_cv"), r("corrected_si"), "eligible", "niche", "reason", "cv_quartile_rank", r("cv_low_tail_max"), r("cv_high_tail_min"), r("community_mean_corrected_si"), "correct_cv_classification")
 
     return query
 
@@ -87,6 +92,7 @@ r AS (SELECT *, row_number() OVER (PARTITION BY eligible ORDER BY sel, taxon) AS
 l AS (SELECT *, CASE WHEN NOT eligible THEN 'unclassified_low_support' WHEN k <= n // 4 THEN '{low}' WHEN k > n - n // 4 THEN '{high}' ELSE 'intermediate' END AS niche FROM r),
 m AS (SELECT p_brand AS taxon, count(DISTINCT mag) AS member_mags FROM a JOIN part ON mag = p_partkey GROUP BY 1)
 SELECT taxon, member_mags::BIGINT AS member_mags, total_reads::BIGINT AS total_reads, round(overall_occupancy, 6) AS overall_occupancy, round(raw_si_cv, 6) AS raw_si_cv, round(corrected_si, 6) AS corrected_si, eligible, niche,
+ CASE WHEN NOT eligible THEN concat_ws(';', CASE WHEN NOT mean > 0 THEN 'not_found' END, CASE WHEN total_reads < 20 THEN 'too_few_reads' END, CASE WHEN sel IS NULL THEN 'no_finite_value' END) WHEN k <= n // 4 THEN 'low_tail' WHEN k > n - n // 4 THEN 'high_tail' ELSE 'between_tails' END AS reason,
  CASE WHEN eligible THEN k END::BIGINT AS cv_quartile_rank,
  round(CASE WHEN eligible THEN max(sel) FILTER (eligible AND k <= n // 4) OVER () END, 6) AS cv_low_tail_max,
  round(CASE WHEN eligible THEN min(sel) FILTER (eligible AND k > n - n // 4) OVER () END, 6) AS cv_high_tail_min,
@@ -124,18 +130,25 @@ r AS (SELECT *, concat_ws(';', CASE WHEN completeness < 50 THEN 'low_completenes
 SELECT bin, completeness, contamination, quality_score, pass_gunc, pass_rna, why = '' AS selected, CASE WHEN why = '' THEN 'pass' ELSE why END AS reason FROM r"""
 
 
-def rna_quality(spark: SparkSession, d: str) -> DataFrame:
+def rna_rows(spark: SparkSession, d: str) -> DataFrame:
+    """Events as predictions: a tRNA type and perhaps an rRNA gene each; one in 97 has an error."""
     events = t(spark, d, "events")
     kind = F.col("event_type")
     rrna = F.when(kind == "click", "5S").when(kind == "view", "16S").when(kind == "error", "23S")
     genome = F.col("user_id").alias("genome")
-    rna = events.select(genome, F.lit("tRNA").alias("kind"), F.col("props").alias("type")).unionByName(events.select(genome, F.lit("rRNA").alias("kind"), rrna.alias("type")))
-    return quality.rna_quality(rna).withColumn("trna_types", F.col("trna_types").cast("long")).withColumn("pass_rna", quality.rna_status(6, True))
+    error = F.when(F.col("event_id") % 97 == 0, F.concat(F.lit("no hit in "), F.col("event_type")))
+    return events.select(genome, F.lit("tRNA").alias("kind"), F.col("props").alias("type"), error.alias("error")).unionByName(events.select(genome, F.lit("rRNA").alias("kind"), rrna.alias("type"), F.lit(None).cast("string").alias("error")))
+
+
+def rna_quality(spark: SparkSession, d: str) -> DataFrame:
+    domains = t(spark, d, "events").where("user_id % 10 <> 0").select(F.col("user_id").alias("genome"), F.when(F.col("user_id") % 2 == 0, "Bacteria").otherwise("Archaea").alias("domain")).distinct()
+    return quality.rna_report(rna_rows(spark, d), domains, 6, True).withColumn("trna_types", F.col("trna_types").cast("long"))
 
 
 RNA_SQL = """
-WITH q AS (SELECT user_id AS genome, count(DISTINCT props)::BIGINT AS trna_types, bool_or(event_type = 'click') AS rrna_5S, bool_or(event_type = 'view') AS rrna_16S, bool_or(event_type = 'error') AS rrna_23S FROM events GROUP BY 1)
-SELECT genome, trna_types, "rrna_5S", "rrna_16S", "rrna_23S", CASE WHEN trna_types >= 6 AND "rrna_5S" AND "rrna_16S" AND "rrna_23S" THEN 'true' ELSE 'false' END AS pass_rna FROM q"""
+WITH q AS (SELECT user_id AS genome, count(DISTINCT props)::BIGINT AS trna_types, bool_or(event_type = 'click') AS rrna_5S, bool_or(event_type = 'view') AS rrna_16S, bool_or(event_type = 'error') AS rrna_23S,
+ coalesce(array_to_string(list_sort(list(DISTINCT 'no hit in ' || event_type) FILTER (event_id % 97 = 0)), ';'), '') AS error FROM events GROUP BY 1)
+SELECT genome, CASE WHEN genome % 10 <> 0 THEN CASE genome % 2 WHEN 0 THEN 'Bacteria' ELSE 'Archaea' END END AS domain, trna_types, "rrna_5S", "rrna_16S", "rrna_23S", CASE WHEN trna_types >= 6 AND "rrna_5S" AND "rrna_16S" AND "rrna_23S" THEN 'true' ELSE 'false' END AS pass, error FROM q"""
 
 
 def covered(spark: SparkSession, d: str) -> DataFrame:
@@ -203,10 +216,7 @@ def gene_counts(spark: SparkSession, d: str) -> DataFrame:
 
 def ko_annotation(spark: SparkSession, d: str) -> DataFrame:
     """KO = part key; descriptions exist for the smaller sizes only."""
-    part = t(spark, d, "part")
-    lookup = annotation.ko_descriptions_from_list(part.where("p_size <= 25").select(F.col("p_partkey").alias("knum"), F.concat_ws("; ", "p_brand", "p_type").alias("definition")))
-    rows = t(spark, d, "lineitem").select(F.col("l_orderkey").alias("protein_id"), F.col("l_partkey").alias("KO"))
-    return annotation.annotate_ko(rows, lookup).groupBy("KO", "KO_gene_name", "KO_description").agg(F.count("*").alias("genes"))
+    return annotation.annotate_ko(*ko_lookup(spark, d)).groupBy("KO", "KO_gene_name", "KO_description").agg(F.count("*").alias("genes"))
 
 
 def contig_stats(spark: SparkSession, d: str) -> DataFrame:
@@ -301,14 +311,202 @@ SELECT p_partkey AS mag, 'missing' AS problem FROM part WHERE p_partkey NOT IN (
 UNION ALL SELECT mag, 'inconsistent' FROM c GROUP BY mag HAVING count(DISTINCT classification) > 1"""
 
 
+def genomes_of(dna: DataFrame) -> DataFrame:
+    return dna.groupBy("genome").agg(F.sum(F.length("seq").cast("long")).alias("total_bp")).withColumn("quality_score", F.col("genome") * 7919 % 101)
+
+
+def representatives(dna: DataFrame) -> DataFrame:
+    sketch = kept(similarity.sketches(dna, K, SCALE), "sketch")
+    return similarity.dereplicate_sketches(genomes_of(dna), sketch, K)
+
+
 def dereplicate(spark: SparkSession, d: str) -> DataFrame:
     """Documents as genomes: representatives and members at 99 % identity and 30 % aligned fraction. Documents without a sampled k-mer represent themselves; rows without an id are no genomes."""
-    to = scratch(spark, "sketch")
-    dna = contigs(spark, d).where("genome is not null")
-    similarity.sketches(dna, K, SCALE).write.parquet(to)
-    sketch = spark.read.parquet(to)
-    genomes = dna.groupBy("genome").agg(F.sum(F.length("seq").cast("long")).alias("total_bp")).withColumn("quality_score", F.col("genome") * 7919 % 101)
-    return similarity.dereplicate_sketches(genomes, sketch, K)
+    return representatives(contigs(spark, d).where("genome is not null"))
+
+
+def selected_bins(spark: SparkSession, d: str) -> DataFrame:
+    return candidates(spark, d).where("bin is not null")
+
+
+def dereplication_pass(spark: SparkSession, d: str) -> DataFrame:
+    """The quality summary with what dereplication of the selected genomes kept."""
+    summary = kept(selected_bins(spark, d), "summary")
+    dna = contigs(spark, d).join(summary.where("selected").select(F.col("bin").alias("genome")).distinct(), "genome", "left_semi")
+    found = representatives(dna).select(F.col("representative").alias("bin"))
+    return quality.dereplication_status(summary, found).select("bin", "selected", "reason", "dereplication_pass")
+
+
+def sketch_pairs(spark: SparkSession, d: str) -> DataFrame:
+    """Pairs of genomes from 95 % identity on."""
+    sketch = kept(similarity.sketches(contigs(spark, d).where("genome is not null"), K, SCALE), "sketch")
+    pairs = similarity.sketch_ani(sketch, K, 95)
+    return pairs.where("ani >= 95").select("g1", "g2", *(F.round(c, 6).alias(c) for c in ("ani", "af1", "af2")))
+
+
+def near_sql(genomes: str) -> str:
+    """Tables up to near(g1, g2, ani, f1, f2): pairs of genomes that share hashes, both ways."""
+    return f"""
+s AS ({SEQ}), own AS (SELECT doc_id, seq FROM s WHERE doc_id IS NOT NULL AND {genomes}),
+km AS (SELECT doc_id AS g, substr(seq, i, {K}) AS f FROM (SELECT doc_id, seq, unnest(range(1, length(seq) - {K - 2})) AS i FROM own WHERE length(seq) >= {K})),
+sk AS (SELECT g, h FROM (SELECT DISTINCT g, ('0x' || substr(md5(least(f, {RC.format("f")})), 1, 15))::BIGINT AS h FROM km) WHERE h % {SCALE} = 0),
+sizes AS (SELECT g, count(*) AS n FROM sk GROUP BY g),
+near AS (SELECT g1, g2, 100 * pow(shared / least(a.n, b.n), 1.0::DOUBLE / {K}) AS ani, 100 * shared / a.n AS f1, 100 * shared / b.n AS f2 FROM (SELECT x.g AS g1, y.g AS g2, count(*) AS shared FROM sk x JOIN sk y ON x.h = y.h AND x.g <> y.g GROUP BY 1, 2) JOIN sizes a ON a.g = g1 JOIN sizes b ON b.g = g2)"""
+
+
+def greedy_sql(genomes: str = "true") -> str:
+    """Tables up to rep(g, representative): one genome after the other in order of quality, each a representative unless an earlier one is near."""
+    return f"""{near_sql(genomes)},
+ok AS (SELECT * FROM near WHERE ani >= 99 AND greatest(f1, f2) >= 30),
+ord AS (SELECT doc_id AS g, row_number() OVER (ORDER BY doc_id * 7919 % 101 DESC, sum(length(seq)) DESC, doc_id) AS k FROM own GROUP BY doc_id),
+step AS (SELECT k, ord.g, coalesce(l, []) AS l FROM ord LEFT JOIN (SELECT g1, list(g2) AS l FROM ok GROUP BY g1) ON g1 = g),
+walk(i, reps) AS (SELECT 0::BIGINT, []::BIGINT[] UNION ALL SELECT i + 1, CASE WHEN list_has_any(reps, l) THEN reps ELSE list_append(reps, g) END FROM walk JOIN step ON k = i + 1),
+chosen AS (SELECT unnest(reps) AS g FROM (SELECT reps FROM walk ORDER BY i DESC LIMIT 1)),
+rep AS (SELECT g, g AS representative FROM chosen UNION ALL SELECT g1, first(g2 ORDER BY ani DESC, k) FROM ok JOIN ord ON ord.g = g2 WHERE g2 IN (SELECT g FROM chosen) AND g1 NOT IN (SELECT g FROM chosen) GROUP BY g1)"""
+
+
+SELECTED = "(doc_id * 7919) % 101 >= 50 AND (doc_id * 104729) % 21 <= 10 AND doc_id NOT IN (SELECT doc_id FROM labels WHERE toxic = 1)"
+
+
+def candidate_bins(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+    """Vectors as contigs of four samples, two binners (label, id modulo 7), and two in three with a marker of twelve."""
+    v = t(spark, d, "embeddings").select(F.col("vec_id").alias("contig"), (F.col("vec_id") % 4).alias("sample"), "label")
+    one = v.select("sample", F.lit("label").alias("binner"), F.col("label").cast("long").alias("bin"), "contig")
+    two = v.select("sample", F.lit("modulo").alias("binner"), (F.col("contig") % 7).alias("bin"), "contig")
+    markers = v.where("contig % 3 <> 0").select("sample", "contig", (F.floor(F.col("contig") / 4) % 12).alias("marker"))
+    return one.unionByName(two), markers
+
+
+def bin_scores(spark: SparkSession, d: str) -> DataFrame:
+    out = refine.score_bins(*candidate_bins(spark, d), 12)
+    return out.select("sample", "binner", "bin", F.col("contigs").cast("long").alias("contigs"), *(F.round(c, 6).alias(c) for c in ("completeness", "contamination", "quality_score")))
+
+
+SCORES_SQL = """WITH v AS (SELECT vec_id AS contig, vec_id % 4 AS sample, label FROM embeddings),
+c AS (SELECT sample, 'label' AS binner, label::BIGINT AS bin, contig FROM v UNION ALL SELECT sample, 'modulo', contig % 7, contig FROM v),
+m AS (SELECT sample, binner, bin, contig // 4 % 12 AS marker, count(*) AS n FROM c WHERE contig % 3 <> 0 GROUP BY 1, 2, 3, 4),
+p AS (SELECT sample, binner, bin, count(*) AS d, sum(n) AS n FROM m GROUP BY 1, 2, 3),
+z AS (SELECT sample, binner, bin, count(*) AS contigs FROM c GROUP BY 1, 2, 3)
+SELECT sample, binner, bin, contigs, round(coalesce(d, 0) * 100.0 / 12, 6)::DOUBLE AS completeness, round((coalesce(n, 0) - coalesce(d, 0)) * 100.0 / 12, 6)::DOUBLE AS contamination,
+ round(coalesce(d, 0) * 100.0 / 12 - 5 * ((coalesce(n, 0) - coalesce(d, 0)) * 100.0 / 12), 6)::DOUBLE AS quality_score FROM z LEFT JOIN p USING (sample, binner, bin)"""
+
+
+def refine_bins(spark: SparkSession, d: str) -> DataFrame:
+    """Bins without common contigs. Vectors are many to a marker, so any contamination is let pass."""
+    return refine.refine_bins(*candidate_bins(spark, d), 50, 1e9, "metawrap", "checkm").select("sample", "binner", "bin", "contig", F.col("round").cast("long").alias("round"))
+
+
+def refined_counts(spark: SparkSession, d: str) -> DataFrame:
+    """Bins per sample; the fifth sample has none."""
+    bins = refine_bins(spark, d).select("sample", "binner", "bin").distinct()
+    samples = t(spark, d, "embeddings").select((F.col("vec_id") % 5).alias("sample"))
+    return quality.refined_counts(samples, bins).select("sample", F.col("bins").cast("long").alias("bins"))
+
+
+def gene_map(spark: SparkSession, d: str) -> DataFrame:
+    """Orders as proteins: customer modulo 400 is the MAG."""
+    o = t(spark, d, "orders")
+    mag = (F.col("o_custkey") % 400).cast("string")
+    return o.select(F.col("o_orderkey").alias("protein_id"), mag.alias("MAG"), F.col("o_custkey").cast("string").alias("MAG_contig_raw_id"), F.concat_ws("_", mag, "o_custkey").alias("MAG_contig_id"), F.concat_ws("_", mag, "o_custkey", "o_orderkey").alias("MAG_contig_gene_id"))
+
+
+MAPPED = "SELECT o_orderkey AS protein_id, (o_custkey % 400)::VARCHAR AS \"MAG\", o_custkey::VARCHAR AS \"MAG_contig_raw_id\", (o_custkey % 400) || '_' || o_custkey AS \"MAG_contig_id\", (o_custkey % 400) || '_' || o_custkey || '_' || o_orderkey AS \"MAG_contig_gene_id\" FROM orders"
+
+
+def hydrogenase_table(spark: SparkSession, d: str) -> DataFrame:
+    """Part sizes up to 40 are groups of the reference, whose class is FeFe for one in three; even parts are in the second database."""
+    part = t(spark, d, "part").where("p_size <= 40")
+    kind = F.when(F.col("p_size") % 3 == 0, "FeFe").when(F.col("p_size") % 3 == 1, "NiFe").otherwise("Fe")
+    groups = part.select(F.col("p_partkey").alias("id"), F.col("p_brand").alias("HydDB_group"), kind.alias("class"))
+    all_hits = hits(spark, d)
+    found = annotation.add_hyd_group(annotation.hydrogenase_hits(all_hits).drop("class"), groups)
+    second = all_hits.where("subject % 2 = 0").withColumn("subject", F.concat(F.lit("F"), "subject"))
+    return annotation.hydrogenase_table(annotation.confirm_fefe(found, second), gene_map(spark, d))
+
+
+HYD_TABLE_SQL = f"""WITH h AS ({HITS}), g AS (SELECT p_partkey AS subject, p_brand AS "HydDB_group", CASE p_size % 3 WHEN 0 THEN 'FeFe' WHEN 1 THEN 'NiFe' ELSE 'Fe' END AS "Gene" FROM part WHERE p_size <= 40),
+f AS (SELECT protein_id, 'F' || subject AS subject, identity, bitscore, row_number() OVER (PARTITION BY protein_id ORDER BY bitscore DESC, identity DESC, 'F' || subject) AS k FROM h WHERE subject % 2 = 0),
+j AS (SELECT h.protein_id, h.subject, "HydDB_group", "Gene", f.subject AS fs, f.identity AS fi, f.bitscore AS fb FROM h LEFT JOIN g USING (subject) LEFT JOIN f ON f.protein_id = h.protein_id AND k = 1 WHERE h.identity >= 0.5 AND query_coverage >= 0.9)
+SELECT "MAG", "MAG_contig_raw_id", "MAG_contig_id", "MAG_contig_gene_id", "Gene", subject AS "HydDB_subject", "HydDB_group", CASE WHEN "Gene" = 'FeFe' THEN fs END AS "FeFe_subject", CASE WHEN "Gene" = 'FeFe' THEN fi END AS "FeFe_identity", CASE WHEN "Gene" = 'FeFe' THEN 1e-60::DOUBLE END AS "FeFe_evalue", CASE WHEN "Gene" = 'FeFe' THEN fb END AS "FeFe_bitscore"
+FROM j JOIN ({MAPPED}) USING (protein_id) WHERE "Gene" IS DISTINCT FROM 'FeFe' OR fs IS NOT NULL"""
+
+
+def terminal_table(spark: SparkSession, d: str) -> DataFrame:
+    titles = t(spark, d, "part").select(F.col("p_partkey").alias("subject"), F.col("p_name").alias("title"))
+    return annotation.terminal_table(annotation.terminal_hits(hits(spark, d)), gene_map(spark, d), titles)
+
+
+TERMINAL_TABLE_SQL = f'WITH {TERMINAL} SELECT "MAG", "MAG_contig_raw_id", "MAG_contig_id", "MAG_contig_gene_id", class AS "Gene", subject AS "Reference", p_name AS "Reference_title", cutoff AS "Required_identity" FROM b JOIN ({MAPPED}) USING (protein_id) LEFT JOIN part ON p_partkey = subject WHERE k = 1'
+
+
+def ko_lookup(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+    part = t(spark, d, "part")
+    lookup = annotation.ko_descriptions_from_list(part.where("p_size <= 25").select(F.col("p_partkey").alias("knum"), F.concat_ws("; ", "p_brand", "p_type").alias("definition")))
+    return t(spark, d, "lineitem").select(F.col("l_orderkey").alias("protein_id"), F.col("l_partkey").alias("KO")), lookup
+
+
+def kegg_table(spark: SparkSession, d: str) -> DataFrame:
+    return annotation.kegg_table(annotation.annotate_ko(*ko_lookup(spark, d)), gene_map(spark, d))
+
+
+def missing_ko_descriptions(spark: SparkSession, d: str) -> DataFrame:
+    return annotation.missing_ko_descriptions(annotation.annotate_ko(*ko_lookup(spark, d)))
+
+
+def abundance_table(spark: SparkSession, d: str) -> DataFrame:
+    """All samples side by side in two metrics."""
+    wide = coverage.abundance_table(coverage.assigned_only(metrics(spark, d)), list(range(8)), ("mean", "reads"))
+    return wide.select("mag", *(F.round(F.col(f"`{k}_mean`"), 6).alias(f"s{k}_mean") for k in range(8)), *(F.col(f"`{k}_reads`").cast("long").alias(f"s{k}_reads") for k in range(8)))
+
+
+def abundance_taxonomy(spark: SparkSession, d: str) -> DataFrame:
+    """Abundances with the ranks of a lineage: brand, type, container of words; two batches of each merged."""
+    rows = abundance(spark, d)
+    whole = annotation.merge_abundance(rows.where("mag % 2 = 0"), rows.where("mag % 2 = 1"))
+    lineage = t(spark, d, "part").select(F.col("p_partkey").alias("mag"), F.concat_ws(";", F.lit("d__Bacteria"), "p_brand", F.get(F.split("p_type", " "), F.lit(0)), F.get(F.split("p_type", " "), F.lit(1))).alias("classification"))
+    return annotation.add_taxonomy(whole, lineage).select("mag", "sample", F.col("abundance").cast("long").alias("abundance"), F.col("reads").cast("long").alias("reads"), "domain", "phylum", "class", "order", "family")
+
+
+ABUNDANCE_TAXONOMY_SQL = """SELECT l_partkey AS mag, l_suppkey % 8 AS sample, sum(l_quantity::BIGINT)::BIGINT AS abundance, count(*)::BIGINT AS reads, 'd__Bacteria' AS domain, any_value(p_brand) AS phylum,
+ split_part(any_value(p_type), ' ', 1) AS class, nullif(split_part(any_value(p_type), ' ', 2), '') AS "order", NULL::VARCHAR AS family FROM lineitem JOIN part ON l_partkey = p_partkey GROUP BY 1, 2"""
+
+
+def multi_coverage_groups(spark: SparkSession, d: str) -> DataFrame:
+    """Suppliers of the first nations are read against each other's assemblies."""
+    reads, _ = manifest(spark, d)
+    listed = t(spark, d, "supplier").where("s_nationkey < 5").select(F.col("s_name").alias("sample"))
+    return manifests.coverage_groups(reads, multi=listed).select(F.col("group").alias("grp"), "sample", "assembly")
+
+
+def niche_gate_skip(spark: SparkSession, d: str) -> DataFrame:
+    """Three orders of parts are too few taxa for classes."""
+    return niche.niche_gate(abundance(spark, d), t(spark, d, "part").select(F.col("p_partkey").alias("mag"), (F.col("p_partkey") % 3).cast("string").alias("taxon")))
+
+
+def contig_features(spark: SparkSession, d: str) -> DataFrame:
+    """Sums of the features of every source's documents: the frequencies of one are 1."""
+    rows = sequences.contig_features(contigs(spark, d).where("contig_id is not null"))
+    return rows.select("contig_id", F.size("features").cast("long").alias("features"), F.round(F.aggregate("features", F.lit(0.0), lambda a, x: a + x), 6).alias("total"), F.round(F.array_max("features"), 6).alias("largest"))
+
+
+FEATURES_SQL = f"""WITH s AS ({SEQ}), k AS (SELECT doc_id, substr(seq, i, 4) AS f FROM (SELECT doc_id, seq, unnest(range(1, length(seq) - 2)) AS i FROM s WHERE doc_id IS NOT NULL AND length(seq) >= 4)),
+n AS (SELECT doc_id, least(f, {RC.format("f")}) AS kmer, count(*) AS n FROM k GROUP BY 1, 2)
+SELECT doc_id AS contig_id, 136::BIGINT AS features, 1.0::DOUBLE AS total, round(max(n) / sum(n), 6) AS largest FROM n GROUP BY 1"""
+
+
+def kmer_profile(spark: SparkSession, d: str) -> DataFrame:
+    """Documents as reads against those of labelled quality as genomes."""
+    dna = contigs(spark, d).where("contig_id is not null").select(F.col("contig_id").alias("read_id"), "seq")
+    known = t(spark, d, "labels").where("quality = 1").select(F.col("doc_id").alias("read_id"))
+    genomes = dna.join(known, "read_id", "left_semi").select(F.col("read_id").alias("genome"), "seq")
+    return coverage.kmer_profile(dna, genomes, K).select("read_id", "mag", F.col("shared").cast("long").alias("shared"), F.round("fraction", 6).alias("fraction"))
+
+
+PROFILE_SQL = f"""WITH s AS ({SEQ}), km AS (SELECT DISTINCT doc_id, least(f, {RC.format("f")}) AS kmer FROM (SELECT doc_id, substr(seq, i, {K}) AS f FROM (SELECT doc_id, seq, unnest(range(1, length(seq) - {K - 2})) AS i FROM s WHERE doc_id IS NOT NULL AND length(seq) >= {K}))),
+hit AS (SELECT a.doc_id AS read_id, b.doc_id AS mag, count(*) AS shared FROM km a JOIN km b USING (kmer) WHERE b.doc_id IN (SELECT doc_id FROM labels WHERE quality = 1) GROUP BY 1, 2),
+best AS (SELECT *, row_number() OVER (PARTITION BY read_id ORDER BY shared DESC, mag DESC) AS k FROM hit),
+size AS (SELECT doc_id AS read_id, count(*) AS n FROM km GROUP BY 1)
+SELECT read_id, mag, shared::BIGINT AS shared, round(shared / n, 6) AS fraction FROM best JOIN size USING (read_id) WHERE k = 1 AND shared / n >= 0.5"""
 
 
 QUERIES = {
@@ -317,6 +515,9 @@ QUERIES = {
     "hydrogenase_hits": hydrogenase_hits, "terminal_hits": terminal_hits, "gene_counts": gene_counts, "ko_annotation": ko_annotation, "contig_stats": contig_stats, "contig_rename": contig_rename, "bin_export": bin_export,
     "tetranucleotide": tetranucleotide, "pending_mags": pending_mags, "merged_annotations": merged_annotations, "manifest_violations": manifest_violations, "coverage_groups": coverage_groups,
     "differential_coverage": differential_coverage, "taxonomy_check": taxonomy_check, "dereplicate": dereplicate,
+    "dereplication_pass": dereplication_pass, "sketch_pairs": sketch_pairs, "bin_scores": bin_scores, "refine_bins": refine_bins, "refined_counts": refined_counts,
+    "hydrogenase_table": hydrogenase_table, "terminal_table": terminal_table, "kegg_table": kegg_table, "missing_ko_descriptions": missing_ko_descriptions, "abundance_table": abundance_table,
+    "abundance_taxonomy": abundance_taxonomy, "multi_coverage_groups": multi_coverage_groups, "niche_gate_skip": niche_gate_skip, "contig_features": contig_features, "kmer_profile": kmer_profile,
 }
 
 ORACLE_SQL = {
@@ -331,4 +532,15 @@ ORACLE_SQL = {
     "contig_rename": f"WITH s AS ({SEQ}) SELECT doc_id AS contig_id, source || '_' || row_number() OVER (PARTITION BY source ORDER BY length(seq) DESC, doc_id) AS new_id FROM s",
     "bin_export": f"WITH s AS ({SEQ}) SELECT source AS to_bin, s.doc_id AS contig_id, sha256(seq) AS seq_sha256 FROM s JOIN labels l ON s.doc_id = l.doc_id WHERE quality = 1",
     "tetranucleotide": TETRA_SQL, "pending_mags": "SELECT p_partkey AS mag FROM part WHERE p_size > 25", "merged_annotations": MERGED_SQL, "manifest_violations": MANIFEST_SQL, "coverage_groups": GROUPS_SQL, "differential_coverage": DIFF_SQL, "taxonomy_check": TAXONOMY_SQL,
+    "dereplicate": f"WITH RECURSIVE {greedy_sql()} SELECT g AS genome, representative FROM rep",
+    "dereplication_pass": f"WITH RECURSIVE {greedy_sql(SELECTED)}, q AS ({QUALITY_SQL}) SELECT bin, selected, reason, CASE WHEN NOT selected THEN 'Not evaluated' WHEN bin IN (SELECT representative FROM rep) THEN 'TRUE' ELSE 'FALSE' END AS dereplication_pass FROM q WHERE bin IS NOT NULL",
+    "sketch_pairs": f"WITH {near_sql('true')} SELECT g1, g2, round(ani, 6) AS ani, round(f1, 6) AS af1, round(f2, 6) AS af2 FROM near WHERE g1 < g2 AND ani >= 95",
+    "bin_scores": SCORES_SQL, "hydrogenase_table": HYD_TABLE_SQL, "terminal_table": TERMINAL_TABLE_SQL,
+    "kegg_table": f'SELECT "MAG", "MAG_contig_raw_id", "MAG_contig_id", "MAG_contig_gene_id", l_partkey AS "Gene", CASE WHEN p_size <= 25 THEN p_brand END AS "KO_gene_name", CASE WHEN p_size <= 25 THEN p_type END AS "KO_description" FROM lineitem JOIN ({MAPPED}) ON protein_id = l_orderkey LEFT JOIN part ON l_partkey = p_partkey',
+    "missing_ko_descriptions": "SELECT count(DISTINCT l_partkey) AS missing FROM lineitem LEFT JOIN part ON l_partkey = p_partkey WHERE p_size IS NULL OR p_size > 25",
+    "abundance_table": f"WITH {METRICS} SELECT mag, {', '.join(f'round(coalesce(max(mean) FILTER (sample = {k}), 0), 6) AS s{k}_mean, coalesce(max(reads) FILTER (sample = {k}), 0)::BIGINT AS s{k}_reads' for k in range(8))} FROM z WHERE mag <> 'unmapped' GROUP BY mag",
+    "abundance_taxonomy": ABUNDANCE_TAXONOMY_SQL,
+    "multi_coverage_groups": "SELECT 'multi' AS grp, a.s_name AS sample, b.s_name AS assembly FROM supplier a, supplier b WHERE a.s_nationkey < 5 AND b.s_nationkey < 5 UNION ALL SELECT s_name, s_name, s_name FROM supplier WHERE s_nationkey >= 5",
+    "niche_gate_skip": "SELECT 'skipped' AS status, 'too_few_taxa' AS reason, count(DISTINCT l_partkey) AS mags, count(DISTINCT l_suppkey % 8) AS samples, count(DISTINCT l_partkey % 3) AS taxa FROM lineitem",
+    "contig_features": FEATURES_SQL, "kmer_profile": PROFILE_SQL,
 }

@@ -72,12 +72,12 @@ def contig_features(df: DataFrame, key: str = "contig_id", depth: DataFrame | No
 
 
 def cluster_contigs(features: DataFrame, k: int, key: str = "contig_id", seed: int = 1) -> DataFrame:
-    """(key, bin): bisecting k-means over standardised features. It makes no claim to equal a binner."""
+    """(key, bin): k-means over standardised features. It makes no claim to equal a binner."""
     from pyspark.ml import Pipeline
-    from pyspark.ml.clustering import BisectingKMeans
+    from pyspark.ml.clustering import KMeans
     from pyspark.ml.feature import StandardScaler
     from pyspark.ml.functions import array_to_vector
 
     vectors = features.select(key, array_to_vector("features").alias("raw"))
-    model = Pipeline(stages=[StandardScaler(inputCol="raw", outputCol="features", withMean=True), BisectingKMeans(k=k, seed=seed, predictionCol="bin")]).fit(vectors)
+    model = Pipeline(stages=[StandardScaler(inputCol="raw", outputCol="features", withMean=True), KMeans(k=k, seed=seed, predictionCol="bin")]).fit(vectors)
     return model.transform(vectors).select(key, F.col("bin").cast("long").alias("bin"))

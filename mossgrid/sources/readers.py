@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
-import gzip
+import io
+import re
 from collections.abc import Iterator
+from typing import BinaryIO
 
+import pyarrow.fs as pafs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
@@ -64,8 +67,21 @@ def read_fasta(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     return rows
 
 
+def qualified(spark: SparkSession, paths: list[str]) -> list[str]:
+    """The files as URIs of the file systems that Spark finds them on; a plain path belongs to the default one. Only names are read."""
+    found = spark.read.format("binaryFile").load(paths).select("path").collect()
+    return sorted({r.path for r in found})
+
+
+def opened(uri: str) -> BinaryIO:
+    """A file's bytes, unpacked if its name ends in .gz. Others than file: need a file system that Arrow knows."""
+    local = re.sub("^file:/*", "/", uri) if uri.startswith("file:") or "://" not in uri else None
+    files, path = (pafs.LocalFileSystem(), local) if local else pafs.FileSystem.from_uri(uri)
+    return files.open_input_stream(path, compression="gzip" if path.endswith(".gz") else None)
+
+
 class FastqSource(DataSource):
-    """FASTQ files, one partition a file, streamed. Option `paths`: local files separated by newlines."""
+    """FASTQ files, one partition a file, streamed. Option `paths`: URIs separated by newlines."""
 
     @classmethod
     def name(cls) -> str:
@@ -86,29 +102,54 @@ class FastqReader(DataSourceReader):
         return [InputPartition(p) for p in self.paths]
 
     def read(self, partition: InputPartition) -> Iterator[tuple]:
-        path = partition.value.removeprefix("file://")
-        with (gzip.open if path.endswith(".gz") else open)(path, "rt") as f:
+        with io.TextIOWrapper(io.BufferedReader(opened(partition.value)), "ascii", "replace") as f:
             while head := f.readline():
                 if head.strip():
                     seq, _, qual = f.readline().strip(), f.readline(), f.readline().strip()
-                    yield path, head[1:].split()[0], seq, qual
+                    yield partition.value, head[1:].split()[0], seq, qual
 
 
 def read_fastq(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """(file, read_id, seq, qual) of plain or gzipped FASTQ on any storage that Spark and Arrow both know."""
     spark.dataSource.register(FastqSource)
-    return spark.read.format("fastq").option("paths", "\n".join(paths)).load()
+    return spark.read.format("fastq").option("paths", "\n".join(qualified(spark, paths))).load()
 
 
-def read_alignments(spark: SparkSession, path: str) -> DataFrame:
-    """PAF rows as (read_id, contig, start, aligned_len, identity_pct, aligned_pct)."""
+def read_manifest_reads(spark: SparkSession, manifest: DataFrame) -> DataFrame:
+    """(sample, mate, file, read_id, seq, qual) of every file that a reads manifest names. The manifest is a list of files, small next to them."""
+    named = manifest.select("sample", F.posexplode("reads").alias("mate", "path")).collect()
+    rows = [(r.sample, r.mate + 1, uri) for r in named for uri in qualified(spark, [r.path])]
+    files = spark.createDataFrame(rows, "sample string, mate int, file string")
+    reads = read_fastq(spark, sorted({r[2] for r in rows}))
+    return reads.join(F.broadcast(files), "file").select("sample", "mate", "file", "read_id", "seq", "qual")
+
+
+def read_alignments(spark: SparkSession, path: str, sample: str | None = None) -> DataFrame:
+    """PAF rows as (sample, read_id, contig, start, aligned_len, identity_pct, aligned_pct)."""
     paf = read_tsv(spark, path, "read_id string, qlen long, qs long, qe long, strand string, contig string, tlen long, ts long, te long, matches long, block long, mapq int")
-    pct = lambda a, b: 100 * F.try_divide(F.col(a).cast("double"), F.col(b))
-    return paf.select("read_id", "contig", F.col("ts").alias("start"), (F.col("te") - F.col("ts")).alias("aligned_len"), pct("matches", "block").alias("identity_pct"), (100 * F.try_divide((F.col("qe") - F.col("qs")).cast("double"), F.col("qlen"))).alias("aligned_pct"))
+    pct = lambda a, b: 100 * F.try_divide(a.cast("double"), b)
+    return paf.select(F.lit(sample).cast("string").alias("sample"), "read_id", "contig", F.col("ts").alias("start"), (F.col("te") - F.col("ts")).alias("aligned_len"), pct(F.col("matches"), F.col("block")).alias("identity_pct"), pct(F.col("qe") - F.col("qs"), F.col("qlen")).alias("aligned_pct"))
+
+
+def cigar_length(cigar: Column, operations: str) -> Column:
+    """Bases of a CIGAR text under some of its operations."""
+    return F.aggregate(F.regexp_extract_all(cigar, F.lit(f"(\\d+)[{operations}]"), F.lit(1)), F.lit(0).cast("long"), lambda s, x: s + x.cast("long"))
+
+
+def read_sam(spark: SparkSession, path: str, sample: str | None = None) -> DataFrame:
+    """Mapped SAM records in the columns of read_alignments. Identity is that of aligned columns without the edit distance (NM), null where it isn't given."""
+    fields = F.split("value", "\t")
+    rows = spark.read.text(path).where("value not like '@%' and value <> ''").select(fields.alias("f"), F.regexp_extract("value", "\tNM:i:(\\d+)", 1).alias("nm"))
+    rows = rows.select(F.get("f", F.lit(0)).alias("read_id"), F.get("f", F.lit(1)).cast("int").alias("flag"), F.get("f", F.lit(2)).alias("contig"), F.get("f", F.lit(3)).cast("long").alias("pos"), F.get("f", F.lit(5)).alias("cigar"), F.when(F.col("nm") != "", F.col("nm").cast("long")).alias("nm"))
+    rows = rows.where((F.col("flag").bitwiseAND(4) == 0) & (F.col("contig") != "*"))
+    columns, of_read, whole = (cigar_length(F.col("cigar"), x) for x in ("MID=X", "MI=X", "MIS=XH"))
+    pct = lambda a, b: 100 * F.try_divide(a.cast("double"), b)
+    return rows.select(F.lit(sample).cast("string").alias("sample"), "read_id", "contig", (F.col("pos") - 1).alias("start"), sam_aligned_length(F.col("cigar")).alias("aligned_len"), pct(columns - F.col("nm"), columns).alias("identity_pct"), pct(of_read, whole).alias("aligned_pct"))
 
 
 def sam_aligned_length(cigar: Column) -> Column:
     """Reference bases of a CIGAR text."""
-    return F.aggregate(F.regexp_extract_all(cigar, F.lit("(\\d+)[MDN=X]"), F.lit(1)), F.lit(0).cast("long"), lambda s, x: s + x.cast("long"))
+    return cigar_length(cigar, "MDN=X")
 
 
 def renamed(df: DataFrame, **columns: str) -> DataFrame:
@@ -132,8 +173,27 @@ def read_taxonomy(spark: SparkSession, paths: list[str]) -> DataFrame:
     return union(*(renamed(read_tsv(spark, p), mag="user_genome", classification="classification") for p in paths))
 
 
-def read_hits(spark: SparkSession, path: str) -> DataFrame:
-    return read_tsv(spark, path, "protein_id string, subject string, identity double, query_coverage double, evalue double, bitscore double")
+def read_rna_gff(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """(genome, kind, type, error) from GFF files of RNA predictions, one a genome: tRNA types and rRNA genes by their product or name."""
+    rows = read_tsv(spark, path, "seqid string, source string, feature string, start long, stop long, score string, strand string, phase string, attributes string")
+    named = F.regexp_extract("attributes", "(?i)(?:^|;)(?:product|name)=([^;]*)", 1)
+    genome = F.regexp_replace(F.regexp_extract("_metadata.file_name", "^.*$", 0), "[.]gff3?([.]gz)?$", "")
+    trna, rrna = F.regexp_extract(named, "(?i)tRNA[-_ ]([A-Za-z]+)", 1), F.regexp_extract(named, "(?i)(5|16|23)S", 1)
+    of_type = F.when(F.col("feature") == "tRNA", trna).when(rrna != "", F.concat(rrna, F.lit("S")))
+    return rows.where("feature in ('tRNA', 'rRNA')").select(genome.alias("genome"), F.col("feature").alias("kind"), of_type.alias("type"), F.lit(None).cast("string").alias("error")).where("type <> ''")
+
+
+def read_hits(spark: SparkSession, path: str, lengths: DataFrame | None = None) -> DataFrame:
+    """(protein_id, subject, identity, query_coverage, evalue, bitscore), parts of 1, from the 12 tabular columns of BLAST and DIAMOND.
+
+    Coverage needs the queries' lengths: from (protein_id, length), or a 13th column with them where lengths is None.
+    """
+    twelve = "protein_id string, subject string, pident double, length long, mismatch long, gapopen long, qstart long, qend long, sstart long, send long, evalue double, bitscore double"
+    rows = read_tsv(spark, path, twelve + ", qlen long")
+    if lengths is not None:
+        rows = rows.drop("qlen").join(lengths.select("protein_id", F.col("length").alias("qlen")), "protein_id", "left")
+    covered = F.try_divide((F.abs(F.col("qend") - F.col("qstart")) + 1).cast("double"), F.col("qlen"))
+    return rows.select("protein_id", "subject", (F.col("pident") / 100).alias("identity"), covered.alias("query_coverage"), "evalue", "bitscore")
 
 
 def read_contig2bin(spark: SparkSession, path: str) -> DataFrame:

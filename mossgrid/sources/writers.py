@@ -2,6 +2,13 @@
 
 from __future__ import annotations
 
+import re
+import uuid
+from collections.abc import Iterator
+from urllib.parse import unquote
+
+import pyarrow as pa
+import pyarrow.fs as pafs
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -22,12 +29,48 @@ def write_genome_list(mags: DataFrame, path: str) -> None:
     mags.select("mag").distinct().orderBy("mag").write.text(path)
 
 
-def write_mag_fasta(contigs: DataFrame, path: str) -> None:
-    """FASTA text in a folder for each MAG; contigs by number. For the final catalogue, which is small next to its inputs."""
-    rows = contigs.repartition("mag").sortWithinPartitions("mag", "contig_id")
-    rows.select("mag", F.concat(F.lit(">"), "contig_id", F.lit("\n"), "seq").alias("value")).write.partitionBy("mag").text(path)
+def write_mag_fasta(contigs: DataFrame, path: str, suffix: str = ".fa") -> DataFrame:
+    """One FASTA file `<mag><suffix>` for each genome of (mag, contig_id, seq), contigs by number; returns (mag, file, contigs).
+
+    A genome is what one file holds, so one task writes it, record by record. A file appears under its name when it is whole:
+    tasks that are tried again write it anew. The folder is on storage that Spark and Arrow both know.
+    """
+    spark = contigs.sparkSession
+    probe = f"{path}/_probe-{uuid.uuid4().hex}"
+    spark.range(1).coalesce(1).write.parquet(probe)
+    found = unquote(spark.read.parquet(probe).select("_metadata.file_path").first()[0])
+    folder = found[: found.rindex("/_probe-")]
+
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        local = folder.startswith("file:")
+        files, base = (pafs.LocalFileSystem(), re.sub("^file:/*", "/", folder)) if local else pafs.FileSystem.from_uri(folder)
+        name, out, count, draft = None, None, 0, f"{base}/_{uuid.uuid4().hex}"
+
+        def done() -> pa.RecordBatch:
+            out.close()
+            files.move(draft, f"{base}/{name}{suffix}")
+            return pa.record_batch([pa.array([name]), pa.array([f"{folder}/{name}{suffix}"]), pa.array([count], pa.int64())], ["mag", "file", "contigs"])
+
+        for batch in batches:
+            for mag, contig, seq in zip(*(x.to_pylist() for x in batch.columns), strict=True):
+                if mag != name:
+                    if out is not None:
+                        yield done()
+                    name, count, out = mag, 0, files.open_output_stream(draft)
+                out.write(f">{contig}\n{seq}\n".encode())
+                count += 1
+        if out is not None:
+            yield done()
+
+    rows = contigs.select(F.col("mag").cast("string").alias("mag"), F.col("contig_id").cast("string").alias("contig_id"), "seq", F.coalesce(F.try_to_number(F.regexp_extract(F.col("contig_id").cast("string"), "([0-9]+)$", 1), F.lit("9999999999")), F.lit(0)).alias("number"))
+    ordered = rows.repartition("mag").sortWithinPartitions("mag", "number", "contig_id").select("mag", "contig_id", "seq")
+    written = f"{path}/_written-{uuid.uuid4().hex}"
+    ordered.mapInArrow(write, "mag string, file string, contigs long").write.parquet(written)
+    return spark.read.parquet(written)
 
 
 def write_niche_provenance(status: DataFrame, path: str) -> None:
-    """The gate's row as JSON."""
-    status.write.json(path)
+    """The gate's row as JSON, and its status line as text."""
+    status.write.json(f"{path}/json")
+    line = F.concat_ws("\t", F.lit("niche"), "status", "reason", *(F.concat(F.lit(f"{c}="), F.col(c).cast("string")) for c in ("mags", "samples", "taxa")))
+    status.select(line.alias("value")).coalesce(1).write.text(f"{path}/status")

@@ -7,8 +7,8 @@ import re
 import duckdb
 import pytest
 
-from mossgrid.operators import annotation, niche, quality, similarity
-from mossgrid.plans.queries import K, ORACLE_SQL, QUERIES, SCALE
+from mossgrid.operators import annotation, niche, quality, refine, sequences, similarity
+from mossgrid.plans.queries import BASES, K, LETTERS, ORACLE_SQL, QUERIES, SCALE, UPPER
 
 DATA = "/root/testdata/sf0.001"
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
@@ -72,7 +72,7 @@ def greedy(genomes, sketch, k=21, ani=99, af=30):
 
 def test_dereplicate_equals_greedy(spark):
     docs = duckdb.sql(f"SELECT doc_id, coalesce(text, '') FROM '{DATA}/documents.parquet' WHERE doc_id IS NOT NULL").fetchall()
-    dna = {i: re.sub("[^a-z]", "", t).translate(str.maketrans("abcdefghijklmnopqrstuvwxyz", ("ACGT" * 7)[:26])) for i, t in docs}
+    dna = {i: re.sub("[^ACGT]", "", t.translate(str.maketrans(LETTERS + UPPER, BASES))) for i, t in docs}
     flip = str.maketrans("ACGT", "TGCA")
     words = lambda x: {min(w, w.translate(flip)[::-1]) for w in (x[i : i + K] for i in range(len(x) - K + 1))}
     sketch = {i: {h for w in words(x) if (h := int(hashlib.md5(w.encode()).hexdigest()[:15], 16)) % SCALE == 0} for i, x in dna.items()}
@@ -82,6 +82,107 @@ def test_dereplicate_equals_greedy(spark):
     assert any(not x for x in sketch.values()) and any(g != r for g, r in want.items())
 
 
+def test_candidate_pairs_share_enough_of_the_smaller_sketch(spark):
+    draw = random.Random(3)
+    common = set(range(10, 16))  # held by all
+    sketch = {i: common | set(draw.sample(range(100, 160), draw.randrange(1, 30))) for i in range(40)} | {40: {1}, 41: set(common), 42: set(common)}
+    df = spark.createDataFrame([(i, h) for i, x in sketch.items() for h in x], "genome long, hash long")
+    for least in (0.0, 0.5, 0.81, 1.0):
+        want = {(a, b, n) for a in sketch for b in sketch if a < b and (n := len(sketch[a] & sketch[b])) and n >= least * min(len(sketch[a]), len(sketch[b]))}
+        assert {tuple(r) for r in similarity.candidate_pairs(df, least).collect()} == want and want
+
+
+def plain_refine(bins, markers, com, con):
+    """bins: {(sample, binner, bin): contigs}; markers: {(sample, contig): [marker]}."""
+    total = len({m for x in markers.values() for m in x})
+    left, out, number = {k: set(v) for k, v in bins.items()}, set(), 0
+    while True:
+        number += 1
+        place = {}
+        for (sample, binner, name), own in left.items():
+            found = [m for c in own for m in markers.get((sample, c), [])]
+            complete, extra = 100 * len(set(found)) / total, 100 * (len(found) - len(set(found))) / total
+            if own and complete >= com and extra <= con:
+                place[sample, binner, name] = (-(complete - 5 * extra), -len(own), binner, name)
+        if not place:
+            return out
+        won = [k for k in place if all(place[k] <= place[j] for j in place if j[0] == k[0] and left[j] & left[k])]
+        gone = {(k[0], c) for k in won for c in left[k]}
+        out |= {(*k, c, number) for k in won for c in left[k]}
+        left = {k: {c for c in own if (k[0], c) not in gone} for k, own in left.items()}
+
+
+def test_refine_bins_equals_plain(spark):
+    draw = random.Random(4)
+    bins, markers = {}, {}
+    for sample in ("s1", "s2", "none"):
+        for c in range(60):
+            if sample != "none" and draw.random() < 0.5:
+                markers[sample, c] = [draw.randrange(8) for _ in range(draw.choice([1, 1, 2]))]
+            for binner in ("a", "b", "c"):
+                bins.setdefault((sample, binner, draw.randrange(5)), set()).add(c)
+    frame = spark.createDataFrame([(*k, c) for k, own in bins.items() for c in own], "sample string, binner string, bin long, contig long")
+    found = spark.createDataFrame([(s, c, m) for (s, c), x in markers.items() for m in x], "sample string, contig long, marker long")
+    for com, con in ((50, 100), (50, 50), (95, 10)):
+        low, high = quality.refinement_thresholds(com, con)
+        got = {tuple(r) for r in refine.refine_bins(frame, found, com, con).collect()}
+        assert got == plain_refine(bins, markers, low, high)
+        assert len({(s, c) for s, _, _, c, _ in got}) == len(got) and not any(r[0] == "none" for r in got)
+    assert refine.refine_bins(frame.limit(0), found).count() == 0
+
+
+def test_refined_counts_and_the_empty_cohort(spark):
+    samples = spark.createDataFrame([("a",), ("b",)], "sample string")
+    counts = quality.refined_counts(samples, spark.createDataFrame([("a", 1), ("a", 2)], "sample string, bin long"))
+    assert {tuple(r) for r in counts.collect()} == {("a", 2), ("b", 0)}
+    quality.require_bins(counts)
+    with pytest.raises(ValueError, match="No refined FASTA bins were collected"):
+        quality.require_bins(counts.where("sample = 'b'"))
+
+
+def test_niche_stats_without_a_grid_equal_those_with_zeros(spark):
+    draw = random.Random(5)
+    rows = [(f"t{i}", f"s{k}", draw.choice([0.0, 3.5, 3.5, 700.25]), draw.randrange(5)) for i in range(20) for k in range(6) if draw.random() < 0.7] + [("same", f"s{k}", 0.1, 9) for k in range(6)]
+    df = spark.createDataFrame(rows, "taxon string, sample string, abundance double, reads long")
+    for least in (0.001, 0.0):
+        for r in niche.niche_stats(df, 6, least).collect():
+            values = [v for t, _, v, _ in rows if t == r.taxon]
+            values += [0.0] * (6 - len(values))
+            mean = sum(values) / 6
+            sd = math.sqrt(sum((v - mean) ** 2 for v in values) / 5)
+            assert r.mean == pytest.approx(mean) and r.overall_occupancy == pytest.approx(sum(v >= least for v in values) / 6)
+            assert r.raw_si_cv is None if mean == 0 else r.raw_si_cv == pytest.approx(sd / mean, abs=1e-9)
+
+
+def test_contigs_are_numbered_within_groups(spark):
+    draw = random.Random(6)
+    rows = [(draw.choice(["a", "b", None]), i, "A" * draw.randrange(1, 9)) for i in range(200)]
+    got = {r.contig_id: r.new_id for r in sequences.rename_contigs(spark.createDataFrame(rows, "sample string, contig_id long, seq string")).collect()}
+    for group in ("a", "b", None):
+        order = sorted((r for r in rows if r[0] == group), key=lambda r: (-len(r[2]), r[1]))
+        assert all(got[r[1]] == (f"{group}_{k}" if group else str(k)) for k, r in enumerate(order, 1))
+
+
+def test_branches_can_be_left_out(spark):
+    row = spark.createDataFrame([("p", "m", "r", "c", "g")], ", ".join(f"{c} string" for c in annotation.COMMON))
+    assert {r.branch for r in annotation.stack_annotations(skip=("ko",), ko=row, cazy=row).collect()} == {"cazy"}
+    with pytest.raises(ValueError):
+        annotation.stack_annotations(skip=("other",), ko=row)
+
+
+def test_old_and_new_annotations_of_one_setting_merge(spark):
+    old, new = (spark.createDataFrame([(k, "1e-50")], "mag long, evalue string") for k in (1, 2))
+    assert annotation.merge_annotations(old, new, ("evalue",)).count() == 2
+    with pytest.raises(ValueError):
+        annotation.merge_annotations(old, new.selectExpr("mag", "'1e-5' AS evalue"), ("evalue",))
+
+
+def test_clusters_of_contigs(spark):
+    rows = [(i, [float(i % 2), 1.0 - i % 2, 0.5]) for i in range(40)]
+    got = sequences.cluster_contigs(spark.createDataFrame(rows, "contig_id long, features array<double>"), 2).collect()
+    assert len({r.bin for r in got if r.contig_id % 2}) == 1 and len({r.bin for r in got}) == 2
+
+
 def test_equal_sketches_are_joined_once(spark):
     draw = random.Random(7)
     bases = [set(draw.sample(range(1, 10**9), 60)) for _ in range(3)]

@@ -9,8 +9,6 @@ from __future__ import annotations
 
 import ctypes
 import math
-import tempfile
-import uuid
 import zlib
 from collections.abc import Callable, Iterator
 
@@ -19,6 +17,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from mossgrid.functions.common import kept, scratch  # noqa: F401
+
 BATCH_ROWS = 256
 BATCH_BYTES = 1 << 18
 ARROW_BYTES = 1 << 22
@@ -35,30 +35,11 @@ U64 = np.uint64
 
 
 def prepare(spark: SparkSession) -> None:
-    """Keeps Arrow batches small, in rows and in bytes: long texts must not meet in one batch."""
+    """Keeps Arrow batches small, in rows and in bytes: long texts must not meet in one batch. The session keeps these settings, since plans run later."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", ARROW_BYTES)
 
 
-def scratch(spark: SparkSession, name: str) -> str:
-    """A new folder below spark.checkpoint.dir, which driver and executors share. A local run without it gets a temporary one."""
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
-        root = getattr(scratch, "own", None) or tempfile.mkdtemp(prefix="spark-")
-        scratch.own = root
-    return f"{root}/{name}-{uuid.uuid4().hex}"
-
-
-def kept(df: DataFrame, name: str, by: str | None = None) -> DataFrame:
-    """Writes the rows as a scratch table and reads it: lineage ends there, and lost executors cost no recomputation."""
-    spark = df.sparkSession
-    to = scratch(spark, name)
-    (df.write.partitionBy(by) if by else df.write).parquet(to)
-    return spark.read.schema(df.schema).parquet(to)
-
-
 def mix(x: np.ndarray) -> np.ndarray:
     """A bijection of 64-bit words that spreads every input bit (the finalizer of splitmix64)."""
     x = x.astype(U64, copy=True)

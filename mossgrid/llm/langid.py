@@ -20,7 +20,8 @@ from mossgrid.llm.common import U64, pieces, prepare
 BITS = 16
 ORDERS = (2, 3)
 SCALE = 1 << 12
-MOST_LANGUAGES = 1000
+#: With so many, a task's counters and the broadcast matrix take 64 MB each.
+MOST_LANGUAGES = 256
 UNKNOWN = "und"
 _LETTER = np.zeros(0, bool)
 
@@ -71,7 +72,11 @@ def features(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
 
 
 def train(labelled: DataFrame, text: str = "text", lang: str = "lang", most_languages: int = MOST_LANGUAGES) -> tuple[list[str], np.ndarray]:
-    """(languages, scaled log probabilities) from all rows with a language and a text. More than most_languages labels are an error, not dropped."""
+    """(languages, scaled log probabilities) from all rows with a language and a text, repeated ones each time.
+
+    Rows without either teach nothing, nor do texts without a letter; a table without such rows gives a model that knows no
+    language. Languages have equal priors. More than most_languages labels are an error, not dropped.
+    """
     prepare(labelled.sparkSession)
     rows = labelled.where(F.col(lang).isNotNull() & F.col(text).isNotNull()).select(F.col(text).alias("text"), F.col(lang).alias("lang"))
     names = sorted(r[0] for r in rows.select("lang").distinct().limit(most_languages + 1).collect())
@@ -87,7 +92,7 @@ def train(labelled: DataFrame, text: str = "text", lang: str = "lang", most_lang
             langs = batch.column("lang").to_pylist()
             index = {x: k for k, x in enumerate(sorted(set(langs)))}
             own = np.repeat(np.array([index[x] for x in langs]), np.diff(at))
-            got = np.bincount((own << BITS) + found, minlength=len(index) << BITS).reshape(len(index), -1)
+            got = np.bincount((own << BITS) + found, minlength=len(index) << BITS).reshape(len(index), -1).astype(np.uint32)
             for x, k in index.items():
                 sums[x] = sums[x] + got[k] if x in sums else got[k]
         for x, c in sums.items():
@@ -97,10 +102,10 @@ def train(labelled: DataFrame, text: str = "text", lang: str = "lang", most_lang
         sums: dict[str, np.ndarray] = {}
         for batch in batches:
             for x, c in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                c = np.frombuffer(zlib.decompress(c), np.int64)
+                c = np.frombuffer(zlib.decompress(c), np.uint32).astype(np.int64)
                 sums[x] = sums[x] + c if x in sums else c
         for x, c in sums.items():
-            yield pa.record_batch([pa.array([x]), pa.array([zlib.compress(c.tobytes(), 1)], pa.binary())], ["lang", "counts"])
+            yield pa.record_batch([pa.array([x]), pa.array([zlib.compress(c.astype(np.int64).tobytes(), 1)], pa.binary())], ["lang", "counts"])
 
     schema = "lang string, counts binary"
     merged = {r.lang: np.frombuffer(zlib.decompress(r.counts), np.int64) for r in rows.mapInArrow(count, schema).repartition(16, "lang").mapInArrow(add, schema).collect()}
@@ -109,7 +114,7 @@ def train(labelled: DataFrame, text: str = "text", lang: str = "lang", most_lang
 
 
 def predict(df: DataFrame, model: tuple[list[str], np.ndarray], text: str = "text") -> DataFrame:
-    """Adds lang_pred and score, the posterior of the predicted language under equal priors, with evidence counted per n-gram's square root length.
+    """Adds lang_pred, the language of the highest likelihood under equal priors, and score, its posterior with the evidence divided by the square root of the number of n-grams (the plain posterior is 1 for nearly every text).
 
     `und` with score 0 where the text is null or has no letter, or no language was learned. A tie goes to the language
     first in name order. Earlier columns of these names are replaced.

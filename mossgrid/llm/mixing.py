@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from mossgrid.llm.common import kept
+from mossgrid.functions.common import kept, running
 
 WEIGHTS = (3, 1, 2)
 BUDGET = 1.5
@@ -39,16 +39,6 @@ def uniform(id_text: Column, seed: str = SEED) -> Column:
     return (F.conv(F.substring(F.md5(F.concat(id_text, F.lit(f"|{seed}"))), 1, 13), 16, 10).cast("long") + F.lit(0.5)) / F.lit(float(1 << 52))
 
 
-def running(df: DataFrame, order: list[Column], **sums: Column) -> DataFrame:
-    """Adds sums up to and with each row in a total order over all rows: sorted in ranges, summed within each, ranges' sums before it added. Only a row per range meets in one task."""
-    ranges = kept(df.orderBy(*order).withColumn("_range", F.spark_partition_id()), "ranges")
-    per = ranges.groupBy("_range").agg(*(F.sum(x).alias(f"_{k}") for k, x in sums.items()))
-    before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
-    per = per.select("_range", *(F.coalesce(F.sum(f"_{k}").over(before), F.lit(0)).alias(f"_{k}") for k in sums))
-    inside = Window.partitionBy("_range").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    return ranges.join(per, "_range").select(*df.columns, *((F.col(f"_{k}") + F.sum(x).over(inside)).alias(k) for k, x in sums.items()))
-
-
 def source_targets(sizes: DataFrame, weights: tuple = WEIGHTS, budget: float = BUDGET, most: int = MOST) -> DataFrame:
     """(source, source_size, target) from (source, size): weights repeat over the sources in code point order, null last."""
     per = sizes.groupBy("source").agg(F.sum("size").alias("source_size"))

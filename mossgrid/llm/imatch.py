@@ -29,7 +29,7 @@ LEAST_DOCS = 2
 RATES = (1, 4, 16, 64, 256, 1024)
 SUBSETS = 12
 EMPTY = "-"
-RANGE_BYTES = 1 << 25
+RANGE_BYTES = 1 << 24
 MOST_RANGES = 20_000
 
 

@@ -87,4 +87,4 @@ def op10_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (op1_gif_media, op2_licenses, op3_ngram_jaccard, op4_warc, op5_source_mix, op6_secrets, op7_imatch, op8_language, op9_page_text, op10_pieces)}
-ORACLE_SQL = {"op2_licenses": licenses.sql(), "op4_warc": warc.sql(), "op5_source_mix": mixing.sql()}
+ORACLE_SQL = {"op2_licenses": licenses.sql(), "op3_ngram_jaccard": shingles.sql(), "op4_warc": warc.sql(), "op5_source_mix": mixing.sql()}

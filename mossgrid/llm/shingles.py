@@ -252,3 +252,16 @@ def hub_pairs(members: DataFrame, first: bool, percent: int = PERCENT) -> DataFr
     hubs = hubs.select("key", F.col("doc_id").alias("a"), F.col("n").alias("an"), F.col("c").alias("ac"), F.col("pos").alias("apos"))
     joined = members.join(hubs, "key").where((F.col("c") != F.col("ac")) & may_link("n", "pos", "an", "apos", percent))
     return joined.select(F.least("a", "doc_id").alias("a"), F.greatest("a", "doc_id").alias("b")).distinct()
+
+
+def sql(table: str = "documents") -> str:
+    """The same groups in DuckDB's SQL, for ids that stand once: shared shingles of all pairs counted, then whatever links reach."""
+    upper, lower = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+    return rf"""
+WITH RECURSIVE d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{upper}', '{lower}'), '[^\x20\x09-\x0D]+') AS w FROM {table}),
+sh AS (SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) >= {WORDS} THEN list_transform(range(1, len(w) - {WORDS - 2}), lambda i: array_to_string(w[i : i + {WORDS - 1}], ' ')) WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END) AS s FROM d),
+n AS (SELECT doc_id, count(*) AS n FROM sh GROUP BY doc_id),
+pair AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c FROM sh a JOIN sh b USING (s) WHERE a.doc_id <> b.doc_id GROUP BY 1, 2),
+link AS (SELECT x, y FROM pair JOIN n a ON a.doc_id = x JOIN n b ON b.doc_id = y WHERE 100 * c >= {PERCENT} * (a.n + b.n - c)),
+reach(doc_id, to_id) AS (SELECT doc_id, doc_id FROM d UNION SELECT reach.doc_id, y FROM reach JOIN link ON x = to_id)
+SELECT d.doc_id, coalesce(n, 0)::BIGINT AS n_shingles, component_id FROM d LEFT JOIN n ON n.doc_id = d.doc_id LEFT JOIN (SELECT doc_id, min(to_id) AS component_id FROM reach GROUP BY doc_id) r ON r.doc_id = d.doc_id"""

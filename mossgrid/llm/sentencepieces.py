@@ -28,7 +28,7 @@ from mossgrid.llm.common import prepare
 UNIT = 1 << 20
 MARK = "▁"
 STRETCH = re.compile(r"\n|▁*[^▁\n]+|▁+")
-MOST_KEPT = 400_000
+MOST_KEPT = 200_000
 LONGEST = 64
 SOLVED_AT_ONCE = 8192
 NONE = -(1 << 30)
@@ -331,7 +331,7 @@ class Encoder:
         """Segmentations after the best, by A-star search: (loss, ids)."""
         key = (stretch, n)
         if key not in self.more:
-            if len(self.more) >= MOST_KEPT // 10:
+            if len(self.more) >= MOST_KEPT // 20:
                 self.more.clear()
             k = self.at[stretch]
             own = self.ids[self.start[k] : self.start[k] + self.count[k]].tobytes()

@@ -7,7 +7,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mossgrid.llm import gif, imatch, langid, licenses, linededup, mixing, pagetext, secrets, sentencepieces, shingles, vectorcodes, warc
+from mossgrid.llm import gif, imatch, langid, lexical, licenses, linededup, mixing, pagetext, secrets, sentencepieces, shingles, vectorcodes, warc
 from mossgrid.llm.common import prepare
 
 
@@ -86,6 +86,11 @@ def op10_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     return piece_digests(table(spark, sf_dir, "documents"))
 
 
+def op11_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    index = lexical.build_index(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return lexical.search(index, table(spark, sf_dir, "benchmark"))
+
+
 def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     prepare(spark)
     coded = vectorcodes.vector_codes(table(spark, sf_dir, "embeddings"))
@@ -97,5 +102,5 @@ def op13_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept_lines.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
 
 
-QUERIES = {f.__name__: f for f in (op1_gif_media, op2_licenses, op3_ngram_jaccard, op4_warc, op5_source_mix, op6_secrets, op7_imatch, op8_language, op9_page_text, op10_pieces, op12_vector_codes, op13_line_dedup)}
-ORACLE_SQL = {"op2_licenses": licenses.sql(), "op3_ngram_jaccard": shingles.sql(), "op4_warc": warc.sql(), "op5_source_mix": mixing.sql(), "op12_vector_codes": vectorcodes.sql(), "op13_line_dedup": linededup.sql()}
+QUERIES = {f.__name__: f for f in (op1_gif_media, op2_licenses, op3_ngram_jaccard, op4_warc, op5_source_mix, op6_secrets, op7_imatch, op8_language, op9_page_text, op10_pieces, op11_ranked_search, op12_vector_codes, op13_line_dedup)}
+ORACLE_SQL = {"op2_licenses": licenses.sql(), "op3_ngram_jaccard": shingles.sql(), "op4_warc": warc.sql(), "op5_source_mix": mixing.sql(), "op11_ranked_search": lexical.sql(), "op12_vector_codes": vectorcodes.sql(), "op13_line_dedup": linededup.sql()}

@@ -6,7 +6,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from mossgrid.functions.common import kept
+from mossgrid.functions.kmers import counted_codes
 
+#: Positions of a contig that are united together.
+TILE = 1 << 14
 METRICS = ("relative_abundance", "rpkm", "tpm", "mean")
 
 
@@ -14,17 +17,28 @@ def filter_alignments(alignments: DataFrame, identity: float = 95, aligned: floa
     return alignments.where((F.col("identity_pct") >= identity) & (F.col("aligned_pct") >= aligned))
 
 
-def merge_intervals(alignments: DataFrame) -> DataFrame:
-    """Bases that each alignment is first to cover: a running maximum of ends, per sample, genome and contig."""
-    w = Window.partitionBy("sample", "mag", "contig").orderBy("start", "end").rowsBetween(Window.unboundedPreceding, -1)
-    spans = alignments.withColumn("end", F.col("start") + F.col("aligned_len"))
-    return spans.withColumn("covered", F.greatest(F.col("end") - F.greatest("start", F.coalesce(F.max("end").over(w), F.col("start"))), F.lit(0)))
+def covered_bases(alignments: DataFrame, tile: int = TILE) -> DataFrame:
+    """(sample, mag, contig, covered): positions under at least one alignment, by tiles of a contig.
+
+    Spans are cut at the tiles' edges, so tiles are independent. Of the spans that start at one place the longest is kept
+    before the shuffle, which leaves a tile at most as many as it has positions, however deep it is. Spans without a length,
+    or with a null, cover nothing.
+    """
+    spans = alignments.select("sample", "mag", "contig", "start", (F.col("start") + F.col("aligned_len")).alias("end")).where("end > start")
+    tiles = spans.withColumn("tile", F.explode(F.sequence(F.floor(F.col("start") / tile), F.floor((F.col("end") - 1) / tile))))
+    cut = tiles.select("sample", "mag", "contig", "tile", F.greatest(F.col("start"), F.col("tile") * tile).alias("start"), F.least(F.col("end"), (F.col("tile") + 1) * tile).alias("end"))
+    longest = cut.groupBy("sample", "mag", "contig", "tile", "start").agg(F.max("end").alias("end"))
+    before = Window.partitionBy("sample", "mag", "contig", "tile").orderBy("start").rowsBetween(Window.unboundedPreceding, -1)
+    new = F.col("end") - F.greatest("start", F.coalesce(F.max("end").over(before), F.col("start")))
+    return longest.withColumn("covered", F.greatest(new, F.lit(0))).groupBy("sample", "mag", "contig").agg(F.sum("covered").alias("covered"))
 
 
-def covered_fraction(alignments: DataFrame, lengths: DataFrame) -> DataFrame:
-    """(sample, mag, reads, aligned_bp, covered_bases, length, covered_fraction) of filtered alignments; lengths: (mag, length)."""
-    sums = merge_intervals(alignments).groupBy("sample", "mag").agg(F.count("*").alias("reads"), F.sum("aligned_len").alias("aligned_bp"), F.sum("covered").alias("covered_bases"))
-    return sums.join(lengths.select("mag", "length"), "mag").withColumn("covered_fraction", F.try_divide("covered_bases", "length"))
+def covered_fraction(alignments: DataFrame, lengths: DataFrame, tile: int = TILE) -> DataFrame:
+    """(sample, mag, reads, aligned_bp, covered_bases, length, covered_fraction) of filtered alignments; lengths: (mag, length). Genomes without a length are left out; rows without a sample or genome too."""
+    sums = alignments.groupBy("sample", "mag").agg(F.count("*").alias("reads"), F.sum("aligned_len").alias("aligned_bp"))
+    covered = covered_bases(alignments, tile).groupBy("sample", "mag").agg(F.sum("covered").alias("covered_bases"))
+    sums = sums.join(covered, ["sample", "mag"], "left").withColumn("covered_bases", F.coalesce("covered_bases", F.lit(0).cast("long")))
+    return sums.join(lengths.select("mag", "length"), "mag").select("mag", "sample", "reads", "aligned_bp", "covered_bases", "length", F.try_divide("covered_bases", "length").alias("covered_fraction"))
 
 
 def abundance_metrics(covered: DataFrame, totals: DataFrame, min_fraction: float = 0.1, rpkm_total: str = "mapped") -> DataFrame:
@@ -79,13 +93,39 @@ def differential_coverage(alignments: DataFrame, groups: DataFrame) -> DataFrame
     return kept.groupBy("group", "contig", "sample").agg(F.try_divide(F.sum("aligned_len").cast("double"), F.first("contig_len")).alias("depth"))
 
 
+#: What tells apart the sets of genomes that hold a k-mer: their number and two sums of their hashes.
+CLASS = ("genomes", "mixed", "summed")
+
+
 def kmer_profile(reads: DataFrame, genomes: DataFrame, k: int = 21, min_shared: float = 0.5) -> DataFrame:
-    """(read_id, mag, shared, fraction): each read's best genome by shared k-mers. Genome k-mers are distinct pairs, so a join can't multiply a read's."""
-    from mossgrid.operators.sequences import kmers
-
-    own = kmers(reads, "read_id", k).distinct()
-    known = kmers(genomes.withColumnRenamed("genome", "mag"), "mag", k).distinct()
-    hits = own.join(known, "kmer").groupBy("read_id", "mag").agg(F.count("*").alias("shared"))
-    sizes = own.groupBy("read_id").agg(F.count("*").alias("n"))
-    best = hits.groupBy("read_id").agg(F.max_by(F.struct("mag", "shared"), F.struct("shared", "mag")).alias("b")).select("read_id", "b.*")
-    return best.join(sizes, "read_id").select("read_id", "mag", "shared", (F.col("shared") / F.col("n")).alias("fraction")).where(F.col("fraction") >= min_shared)
+    """(read_id, mag, shared, fraction): each read's best genome by shared k-mers (of equal ones the last by name), if it shares that part of the read's.
+
+    K-mers held by an equal set of genomes are a class. Reads meet classes, not genomes, so a k-mer of all genomes brings a
+    read one row; reads of equal class counts are one profile, whose counts spread to genomes once. Of a profile the classes
+    of most genomes are left out, as far as a genome can't reach min_shared by them alone, and only asked about genomes
+    that its other classes name. Reads and genomes without a k-mer have no rows.
+    """
+    own = counted_codes(reads, k, "read_id").select("read_id", "code").distinct()
+    known = kept(counted_codes(genomes.withColumnRenamed("genome", "mag"), k, "mag").select("mag", "code").distinct(), "known")
+    named = F.xxhash64("mag")
+    sets = kept(known.groupBy("code").agg(F.count("*").alias("genomes"), F.bit_xor(named).alias("mixed"), F.sum(named % 2147483629).alias("summed"), F.max("mag").alias("last")), "sets")
+    members = kept(known.join(sets.groupBy(*CLASS).agg(F.min("code").alias("code")), "code").select(*CLASS, "mag"), "members")
+    hits = own.join(sets, "code", "left").groupBy("read_id", *CLASS, "last").agg(F.count("*").alias("shared"))
+    entry = F.when(F.col("genomes").isNotNull(), F.struct((-F.col("genomes")).alias("rarity"), *CLASS, "last", "shared"))
+    found = kept(hits.groupBy("read_id").agg(F.sum("shared").alias("size"), F.array_sort(F.collect_list(entry)).alias("profile")).where(F.size("profile") > 0), "profiles")
+    profiles = kept(found.select("profile").distinct().withColumn("number", F.monotonically_increasing_id()), "numbered")
+
+    need = F.ceil(F.aggregate("profile", F.lit(0).cast("long"), lambda a, x: a + x["shared"]) * min_shared - 1e-9)
+    start = F.struct(F.lit(0).cast("long").alias("sum"), F.lit(0).alias("n"), F.lit(True).alias("on"))
+    fits = lambda a, x: a["on"] & (a["sum"] + x["shared"] < need)
+    heavy = F.aggregate("profile", start, lambda a, x: F.struct(F.when(fits(a, x), a["sum"] + x["shared"]).otherwise(a["sum"]).alias("sum"), F.when(fits(a, x), a["n"] + 1).otherwise(a["n"]).alias("n"), fits(a, x).alias("on")))["n"]
+    several = profiles.where(F.size("profile") > 1).withColumn("heavy", heavy)
+    part = lambda first, n: several.select("number", F.explode(F.slice("profile", first, n)).alias("x")).select("number", *(f"x.{c}" for c in CLASS), "x.shared")
+    light = kept(part(F.col("heavy") + 1, F.size("profile")).join(members, list(CLASS)).groupBy("number", "mag").agg(F.sum("shared").alias("shared")), "light")
+    asked = light.select("number", "mag").join(part(F.lit(1), F.col("heavy")), "number").join(members, [*CLASS, "mag"]).select("number", "mag", "shared")
+    sums = light.unionByName(asked).groupBy("number", "mag").agg(F.sum("shared").alias("shared"))
+    best = sums.groupBy("number").agg(F.max(F.struct("shared", "mag")).alias("b")).select("number", "b.mag", "b.shared")
+    single = profiles.where(F.size("profile") == 1).select("number", F.col("profile")[0]["last"].alias("mag"), F.col("profile")[0]["shared"].alias("shared"))
+    per_profile = profiles.join(best.unionByName(single), "number").select("profile", "mag", "shared")
+    fraction = F.col("shared") / F.col("size")
+    return found.join(per_profile, "profile").select("read_id", "mag", "shared", fraction.alias("fraction")).where(F.col("fraction") >= min_shared)

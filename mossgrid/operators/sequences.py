@@ -5,7 +5,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from mossgrid.functions.common import kept, reverse_complement, running
+from mossgrid.functions.common import kept, running
+from mossgrid.functions.kmers import canonical_index, counted_codes, summed_counts
+
+#: Up to this k the counts of a sequence are one array.
+ARRAY_K = 5
 
 
 def filter_contigs(contigs: DataFrame, min_len: int = 1500) -> DataFrame:
@@ -48,27 +52,31 @@ def extract_bins(contigs: DataFrame, contig2bin: DataFrame) -> DataFrame:
     return contigs.join(contig2bin, ["sample", "contig_id"])
 
 
-def kmers(df: DataFrame, key: str, k: int) -> DataFrame:
-    """(key, kmer): canonical k-mers of every sequence; those with other letters than ACGT are left out. One pass over a sequence finds a word at each place."""
-    found = F.regexp_extract_all(F.upper("seq"), F.lit(f"(?=([ACGT]{{{k}}}))"), F.lit(1))
-    spread = df.where(F.length("seq") >= k).select(key, F.explode(found).alias("forward"))
-    return spread.select(key, F.least("forward", reverse_complement(F.col("forward"))).alias("kmer"))
-
-
 def tetranucleotides(df: DataFrame, key: str, k: int = 4) -> DataFrame:
-    """(key, kmer, n): counts of canonical k-mers."""
-    return kmers(df, key, k).groupBy(key, "kmer").agg(F.count("*").alias("n"))
+    """(key, kmer, n): counts of canonical k-mers; those with other letters than ACGT are left out. Null sequences are empty."""
+    if k <= ARRAY_K:
+        names, _ = canonical_index(k)
+        spread = summed_counts(df, k, key).select(key, F.explode(F.arrays_zip(F.array(*map(F.lit, names)).alias("kmer"), F.col("counts").alias("n"))).alias("x"))
+        return spread.select(key, "x.kmer", "x.n").where("n > 0")
+    letter = lambda place: F.substring(F.lit("ACGT"), (F.shiftright("code", 2 * place).bitwiseAND(F.lit(3)) + 1).cast("int"), F.lit(1))
+    return counted_codes(df, k, key).groupBy(key, "code").agg(F.sum("n").alias("n")).select(key, F.concat(*(letter(p) for p in range(k - 1, -1, -1))).alias("kmer"), "n")
 
 
 def contig_features(df: DataFrame, key: str = "contig_id", depth: DataFrame | None = None) -> DataFrame:
-    """(key, features): frequencies of the 136 canonical tetranucleotides in name order, and the log of each depth given."""
-    letters = "ACGT"
-    flip = str.maketrans("ACGT", "TGCA")
-    words = sorted({min(w, w.translate(flip)[::-1]) for w in (a + b + c + d for a in letters for b in letters for c in letters for d in letters)})
-    wide = tetranucleotides(df, key).groupBy(key).pivot("kmer", words).agg(F.first("n")).na.fill(0)
-    total = sum((F.col(w) for w in words), F.lit(0))
-    out = wide.select(key, F.array(*((F.col(w) / total).alias(w) for w in words)).alias("features"))
-    return out if depth is None else out.join(depth, key, "left").withColumn("features", F.concat("features", F.array(F.log1p(F.coalesce("depth", F.lit(0.0)))))).drop("depth")
+    """(key, features): frequencies of the 136 canonical tetranucleotides in name order, and the log of each depth given.
+
+    Sequences without a tetranucleotide have no row. depth: (key, depth) with one depth, or (key, depths) with a vector of
+    them, as depth_vectors() gives; a contig that isn't in it has depth 0 everywhere.
+    """
+    total = F.aggregate("counts", F.lit(0).cast("long"), lambda a, x: a + x)
+    out = summed_counts(df, 4, key).select(key, F.transform("counts", lambda x: x / total).alias("features"))
+    if depth is None:
+        return out
+    if "depths" not in depth.columns:
+        depth = depth.select(key, F.array(F.coalesce("depth", F.lit(0.0))).alias("depths"))
+    size = depth.select(F.max(F.size("depths"))).first()[0] or 0
+    logs = F.transform(F.coalesce("depths", F.array_repeat(F.lit(0.0), size)), lambda x: F.log1p(x))
+    return out.join(depth.select(key, "depths"), key, "left").select(key, F.concat("features", logs).alias("features"))
 
 
 def cluster_contigs(features: DataFrame, k: int, key: str = "contig_id", seed: int = 1) -> DataFrame:

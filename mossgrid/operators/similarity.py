@@ -6,13 +6,12 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from mossgrid.functions.common import kept, union
-from mossgrid.operators.sequences import kmers
+from mossgrid.functions.kmers import sampled_hashes
 
 
 def sketches(contigs: DataFrame, k: int = 21, scale: int = 50, min_size: int = 1) -> DataFrame:
-    """(genome, hash): canonical k-mers whose hash is a multiple of scale (FracMinHash)."""
-    h = F.conv(F.substring(F.md5("kmer"), 1, 15), 16, 10).cast("long")
-    found = kmers(contigs, "genome", k).select("genome", h.alias("hash")).where(F.col("hash") % scale == 0).distinct()
+    """(genome, hash): canonical k-mers whose hash is a multiple of scale (FracMinHash). Only sampled hashes leave the scan; k up to 31."""
+    found = sampled_hashes(contigs, k, scale).distinct()
     return found if min_size <= 1 else found.join(found.groupBy("genome").count().where(F.col("count") >= min_size), "genome", "left_semi")
 
 

@@ -484,14 +484,17 @@ def niche_gate_skip(spark: SparkSession, d: str) -> DataFrame:
 
 
 def contig_features(spark: SparkSession, d: str) -> DataFrame:
-    """Sums of the features of every source's documents: the frequencies of one are 1."""
+    """The whole vector of every document, in millionths: 136 frequencies in the order of their names."""
     rows = sequences.contig_features(contigs(spark, d).where("contig_id is not null"))
-    return rows.select("contig_id", F.size("features").cast("long").alias("features"), F.round(F.aggregate("features", F.lit(0.0), lambda a, x: a + x), 6).alias("total"), F.round(F.array_max("features"), 6).alias("largest"))
+    millionths = F.array_join(F.transform("features", lambda x: F.floor(x * 1e6 + 0.5).cast("string")), ",")
+    return rows.select("contig_id", F.size("features").cast("long").alias("features"), F.round(F.array_max("features"), 6).alias("largest"), millionths.alias("vector"))
 
 
 FEATURES_SQL = f"""WITH s AS ({SEQ}), k AS (SELECT doc_id, substr(seq, i, 4) AS f FROM (SELECT doc_id, seq, unnest(range(1, length(seq) - 2)) AS i FROM s WHERE doc_id IS NOT NULL AND length(seq) >= 4)),
-n AS (SELECT doc_id, least(f, {RC.format("f")}) AS kmer, count(*) AS n FROM k GROUP BY 1, 2)
-SELECT doc_id AS contig_id, 136::BIGINT AS features, 1.0::DOUBLE AS total, round(max(n) / sum(n), 6) AS largest FROM n GROUP BY 1"""
+n AS (SELECT doc_id, least(f, {RC.format("f")}) AS kmer, count(*) AS n FROM k GROUP BY 1, 2), whole AS (SELECT doc_id, sum(n) AS total FROM n GROUP BY 1),
+b AS (SELECT unnest(['A', 'C', 'G', 'T']) AS x), w AS (SELECT a.x || c.x || g.x || t.x AS f FROM b a, b c, b g, b t), names AS (SELECT DISTINCT least(f, {RC.format("f")}) AS kmer FROM w),
+v AS (SELECT whole.doc_id, names.kmer, coalesce(n.n, 0) / total AS x FROM whole CROSS JOIN names LEFT JOIN n ON n.doc_id = whole.doc_id AND n.kmer = names.kmer)
+SELECT doc_id AS contig_id, count(*)::BIGINT AS features, round(max(x), 6) AS largest, string_agg(floor(x * 1e6 + 0.5)::BIGINT::VARCHAR, ',' ORDER BY kmer) AS vector FROM v GROUP BY 1"""
 
 
 def kmer_profile(spark: SparkSession, d: str) -> DataFrame:

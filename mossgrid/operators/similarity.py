@@ -5,9 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from mossgrid.functions.common import kept, union
+from mossgrid.functions.common import kept, running, union
 from mossgrid.functions.kmers import sampled_hashes
 
+#: Undecided genomes that a hash lists in the first round.
+FRONT = 32
+
 
 def sketches(contigs: DataFrame, k: int = 21, scale: int = 50, min_size: int = 1) -> DataFrame:
     """(genome, hash): canonical k-mers whose hash is a multiple of scale (FracMinHash). Only sampled hashes leave the scan; k up to 31."""
@@ -83,17 +86,95 @@ def dereplicate(genomes: DataFrame, pairs: DataFrame, ani: float = 99, af: float
     return union(own, best)
 
 
+def _index(sketch: DataFrame, least: float) -> DataFrame:
+    """(hash, g, n, prefix) of a written sketch (g, hash), without hashes of one genome. A genome's prefix is its rarest hashes, as many as a near one of its size or more may lack and one."""
+    held = sketch.groupBy("hash").agg(F.count("*").alias("held"))
+    sizes = sketch.groupBy("g").agg(F.count("*").alias("n"))
+    rows = kept(sketch.join(held, "hash").where("held > 1").join(sizes, "g"), "held")
+    order = Window.partitionBy("g").orderBy("held", "hash")  # a genome's own sketch, which its length bounds
+    place = F.row_number().over(order) + F.col("n") - F.count("*").over(Window.partitionBy("g"))
+    need = F.greatest(F.ceil(F.lit(least) * F.col("n") - 1e-9), F.lit(1))
+    return kept(rows.withColumn("place", place).select("hash", "g", "n", (F.col("place") <= F.col("n") - need + 1).alias("prefix")), "index")
+
+
+def _met(one: DataFrame, two: DataFrame, where: str) -> DataFrame:
+    """(a, b) of rows of the index that meet under a hash of the smaller one's prefix."""
+    x, y = (df.select("hash", F.col("g").alias(c), F.col("n").alias(f"{c}n"), F.col("prefix").alias(f"{c}p")) for df, c in ((one, "a"), (two, "b")))
+    return x.join(y, "hash").where(f"({where}) AND (ap AND an <= bn OR bp AND bn <= an)").select("a", "b").distinct()
+
+
+def _near(pairs: DataFrame, index: DataFrame, k: int, ani: float, af: float) -> DataFrame:
+    """(a, b, ani) of the pairs that are near."""
+    own = index.select("g", "hash", "n")
+    x, y = (own.select(F.col("g").alias(c), "hash", F.col("n").alias(f"{c}n")) for c in ("a", "b"))
+    shared = pairs.join(x, "a").join(y, ["b", "hash"]).groupBy("a", "b").agg(F.count("*").alias("shared"), F.first(F.least("an", "bn")).alias("smaller"))
+    found = shared.withColumn("ani", 100 * F.pow(F.col("shared") / F.col("smaller"), 1.0 / k))
+    return found.where((F.col("ani") >= ani) & (100 * F.col("shared") / F.col("smaller") >= af)).select("a", "b", "ani")
+
+
+def _picked(ready: DataFrame, edges: DataFrame) -> DataFrame:
+    """Of the ready genomes (g) those that the greedy order chooses; edges: (a, b), a before b and near, for every b that is ready. An a that isn't ready keeps its b from being chosen."""
+    chosen = None
+    while True:
+        picked = kept(ready.join(edges.select(F.col("b").alias("g")), "g", "left_anti"), "picked")
+        if picked.isEmpty():
+            return chosen if chosen is not None else picked
+        chosen = picked if chosen is None else union(chosen, picked)
+        covered = kept(edges.join(picked.select(F.col("g").alias("a")), "a", "left_semi").select("b").distinct(), "covered")
+        ready = kept(ready.join(picked, "g", "left_anti").join(covered.select(F.col("b").alias("g")), "g", "left_anti"), "ready")
+        edges = kept(edges.join(covered, "b", "left_anti").join(covered.select(F.col("b").alias("a")), "a", "left_anti"), "edges")
+
+
+def representatives(ranks: DataFrame, sketch: DataFrame, k: int = 21, ani: float = 99, af: float = 30, front: int = FRONT) -> DataFrame:
+    """(g, representative) of every rank in ranks (g, from the best), by an index of representatives; sketch: (g, hash).
+
+    In a round, a hash lists the first `front` undecided genomes that hold it. A genome that is among them under all of its
+    hashes is ready: whatever near genome comes before it is listed beside it. Ready genomes without an undecided near one
+    before them become representatives, and all other genomes are looked up in the lists of the new representatives only.
+    So a group of near genomes costs its members times its representatives, and front pairs at most in each list. The front
+    doubles by the round, so a round can be needed for each doubling up to the longest list.
+    """
+    index = _index(kept(sketch.select("g", "hash"), "sketch"), (ani / 100) ** k)
+    # Hashes of no prefix bring no pairs; they only count.
+    listed = kept(index.join(index.where("prefix").select("hash").distinct(), "hash", "left_semi"), "listed")
+    left, found, chosen = kept(ranks.select("g"), "left"), None, None
+    while not left.isEmpty():
+        live = listed.join(left, "g", "left_semi")
+        first = live.withColumn("at", F.row_number().over(Window.partitionBy("hash").orderBy("g"))).where(F.col("at") <= front).drop("at")
+        first = kept(first, "front")
+        held = live.groupBy("g").agg(F.count("*").alias("all")).join(first.groupBy("g").agg(F.count("*").alias("first")), "g", "left")
+        waiting = held.where("first IS NULL OR first < all").select("g")
+        ready = kept(left.join(waiting, "g", "left_anti"), "ready")
+        pairs = _met(first, first.join(ready, "g", "left_semi"), "a < b")
+        edges = kept(_near(pairs, index, k, ani, af).select("a", "b"), "edges")
+        new = kept(_picked(ready, edges), "new")
+        if new.isEmpty():
+            raise RuntimeError("a round of dereplication chose no representative")
+        chosen = new if chosen is None else union(chosen, new)
+        others = kept(ranks.select("g").join(chosen, "g", "left_anti"), "others")
+        looked_up = _met(listed.join(others, "g", "left_semi"), listed.join(new, "g", "left_semi"), "true")
+        near = kept(_near(looked_up, index, k, ani, af), "near")
+        found = near if found is None else union(found, near)
+        gone = union(new, near.select(F.col("a").alias("g")).distinct())
+        left, front = kept(left.join(gone, "g", "left_anti"), "left"), 2 * front
+    if chosen is None:
+        return ranks.select("g", F.col("g").alias("representative"))
+    best = found.groupBy(F.col("a").alias("g")).agg(F.min(F.struct(-F.col("ani"), "b")).alias("x")).select("g", F.col("x.b").alias("representative"))
+    return union(chosen.select("g", F.col("g").alias("representative")), best)
+
+
 def dereplicate_sketches(genomes: DataFrame, sketch: DataFrame, k: int = 21, ani: float = 99, af: float = 30) -> DataFrame:
-    """(genome, representative) of every genome: dereplicate() over the best genome of each equal sketch; the others follow it.
+    """(genome, representative) of every genome: the greedy choice by quality, then length, then name; a member goes to its most similar representative.
 
-    genomes: (genome, quality_score, total_bp), names not null; sketch: (genome, hash). A genome without a sketch is its own
-    representative. Genomes with equal sketches have the same neighbours and each other, so the result is that over all pairs.
+    genomes: (genome, quality_score, total_bp), names unique and not null; sketch: (genome, hash). Genomes with equal
+    sketches have the same neighbours and each other, so only the best of each goes through representatives(), and the
+    others follow it. A genome without a sketch is its own representative.
     """
     order = F.struct(-F.col("quality_score"), -F.col("total_bp"), F.col("genome"))
     classes = genomes.join(sketch_classes(sketch), "genome", "left").withColumn("rep", F.coalesce("rep", "genome"))
     classes = kept(classes.select("genome", "quality_score", "total_bp", "rep"), "classes")
-    heads = kept(classes.groupBy("rep").agg(F.min(order).alias("o")).select("rep", F.col("o.genome").alias("head")), "heads")
-    best = genomes.join(heads.select(F.col("head").alias("genome")), "genome", "left_semi")
-    pairs = sketch_ani(sketch.join(heads.select(F.col("head").alias("genome")), "genome", "left_semi"), k, ani)
-    found = dereplicate(best, pairs, ani, af).withColumnRenamed("genome", "head")
-    return classes.join(heads, "rep").join(found, "head").select("genome", "representative")
+    heads = classes.groupBy("rep").agg(F.min(order).alias("o")).select("rep", F.col("o.genome").alias("genome"), F.col("o").alias("order"))
+    ranks = kept(running(heads, [F.col("order"), F.col("rep")], g=F.lit(1).cast("long")).select("rep", "genome", "g"), "ranks")
+    found = representatives(ranks.select("g"), sketch.join(ranks.select("genome", "g"), "genome").select("g", "hash"), k, ani, af)
+    names = ranks.select(F.col("g").alias("representative"), F.col("genome").alias("name"))
+    return classes.join(ranks.select("rep", "g"), "rep").join(found, "g").join(names, "representative").select("genome", F.col("name").alias("representative"))

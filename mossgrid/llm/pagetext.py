@@ -1,7 +1,10 @@
 """Main text of web pages with site template removal.
 
 Element subtrees are hashed and counted per host in Spark; a subtree that recurs across different pages of its host is the
-site's, not the page's, and is deleted, as are elements whose tag, role or class says that they are menus, adverts and the like.
+site's, not the page's, and is deleted, as are elements whose tag or role says that they are menus, forms and the like, and
+hidden ones. A class or id only raises a suspicion. One that is nothing but such words ("cookie-banner") deletes its element
+unless that holds most of the page's text; one that has such a word among others ("related-work") needs a second ground,
+mostly links or inputs. Readers' comments go even where they are longer than the article, also as articles of their own.
 Paragraphs, headings and other prose within the article stand whatever their class and even where pages share them.
 Counts are joined back to the subtrees of each page, so a page is compared with its own subtrees only, however many a host has.
 
@@ -27,7 +30,7 @@ from mossgrid.llm.common import kept, pieces, prepare
 LEAST_PAGES = 3
 PART = 0.01
 TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([A-Za-z][A-Za-z0-9:-]*)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+|[^>]*)>", re.S)
-NAMED = re.compile(r"(?:^|\s)(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
+ATTRIBUTE = re.compile(r"([^\s=\"'>/]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?")
 #: Element names of the HTML standard by what they are here.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style noscript template iframe textarea title".split())
@@ -38,25 +41,47 @@ BLOCKS = frozenset("address article aside blockquote body br caption center dd d
 PROSE = frozenset("p h1 h2 h3 h4 h5 h6 blockquote pre b i em strong span a u code sub sup small mark q cite br li dd dt td th tr".split())
 ENDS_P = BLOCKS - {"br", "body", "html", "head", "td", "th", "tr", "tbody", "thead", "tfoot", "caption"}
 ENDS_SAME = {"li": ("li", ("ul", "ol")), "dt": ("dt dd", ("dl",)), "dd": ("dt dd", ("dl",)), "tr": ("tr td th", ("table",)), "td": ("td th", ("tr",)), "th": ("td th", ("tr",)), "option": ("option", ("select",))}
-MARKS = frozenset("ad ads advert adverts advertisement advertising banner sponsor sponsored promo cookie cookies consent gdpr notice notices popup modal overlay newsletter subscribe subscription sidebar menu nav navbar navigation breadcrumb breadcrumbs pagination footer header masthead comment comments commentlist reply replies respond disqus share sharing social related recommended widget toolbar login signup search".split())
+COMMENTS = frozenset("comment comments commentlist commenting reply replies respond disqus".split())
+MARKS = COMMENTS | frozenset("ad ads advert adverts advertisement advertising banner sponsor sponsored promo cookie cookies consent gdpr notice notices popup modal overlay newsletter subscribe subscription sidebar menu nav navbar navigation breadcrumb breadcrumbs pagination footer header masthead share sharing social related recommended widget toolbar login signup search".split())
+#: Words that say nothing beside those; the second list beside those of comments.
+PLAIN = frozenset("bar block bottom box column container desktop fixed global group holder inner item items left links list main mobile module outer page panel primary region right row secondary section site slot sticky top unit wrap wrapper".split())
+PLAIN_COMMENTS = PLAIN | frozenset("article body entry post reader readers thread user users".split())
+INPUTS = frozenset("input select textarea button".split())
+HIDING = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
+#: Of the page's text an element may hold, and still go by its marks: three quarters, and for comments all but a twentieth.
+MOST, MOST_COMMENTS = 3 / 4, 19 / 20
 #: What holds the page or its text; never itself unwanted or the site's.
 SHELL = frozenset("html body main article".split())
 ROLES = frozenset("navigation banner contentinfo complementary search dialog alert alertdialog form menu menubar toolbar".split())
 
 
-def unwanted(attributes: str) -> str:
-    """The attribute, class, id or role, that says so; "" if none does. A role goes before the others."""
+def words(value: str) -> list[str]:
+    return [x for x in re.split(r"[^a-z0-9]+", re.sub(r"([a-z0-9])([A-Z])", r"\1-\2", value).lower()) if x]
+
+
+def mark(attributes: str) -> str:
+    """What an element's attributes say: `drop` for a role or hiding, `comment` or `strong` for a name of such words only, `weak` for one that has such a word, or nothing."""
     found = ""
-    for name, a, b, c in NAMED.findall(attributes):
-        value = (a or b or c).lower()
-        if value in ROLES if name.lower() == "role" else not MARKS.isdisjoint(re.split(r"[^a-z0-9]+", value)):
-            found = "role" if "role" in (found, name.lower()) else name.lower()
+    for name, a, b, c in ATTRIBUTE.findall(attributes):
+        name, value = name.lower(), a or b or c
+        if name == "hidden" or (name == "aria-hidden" and value.lower() == "true") or (name == "style" and HIDING.search(value)) or (name == "role" and value.lower() in ROLES):
+            return "drop"
+        if name not in ("class", "id"):
+            continue
+        for token in value.split():
+            own = set(words(token))
+            if own & COMMENTS and own <= COMMENTS | PLAIN_COMMENTS:
+                found = "comment"
+            elif own & MARKS and own <= MARKS | PLAIN:
+                found = found if found == "comment" else "strong"
+            elif own & MARKS:
+                found = found or "weak"
     return found
 
 
 def parse(page: str) -> list:
-    """The page's tree: nodes are [tag, unwanted, start tag, children, hash], children nodes or raw text. A raw element's start tag is all of it."""
-    root = ["html", "", "", [], 0]
+    """The page's tree: nodes are [tag, mark, start tag, children, hash, text, link text, inputs], children nodes or raw text, the last three numbers of characters and elements. A raw element's start tag is all of it."""
+    root = ["html", "", "", [], 0, 0, 0, 0]
     stack, nodes, opened, ends, at, n = [root], [], Counter(), {}, 0, len(page)
 
     def pop(k: int) -> None:
@@ -101,7 +126,7 @@ def parse(page: str) -> list:
             if end is None:
                 ends[tag] = None  # none further on either
             at = end.end() if end else n if tag in CODE else at
-        node = [tag, unwanted(m[3]) if "=" in m[3] and tag not in SHELL else "", page[m.start() : at], [], 0]
+        node = [tag, mark(m[3]) if m[3].strip() else "", page[m.start() : at], [], 0, 0, 0, tag in INPUTS]
         stack[-1][3].append(node)
         nodes.append(node)
         if not (tag in VOID or tag in RAW or m[3].endswith("/")):
@@ -112,6 +137,15 @@ def parse(page: str) -> list:
         for x in node[3]:
             h.update(x[4].to_bytes(8, "big", signed=True) if isinstance(x, list) else b" " + " ".join(x.split()).encode())
         node[4] = h.intdigest() - (1 << 63)
+    for node in [*reversed(nodes), root]:
+        for x in node[3]:
+            if isinstance(x, str):
+                node[5] += len(x.strip())
+            else:
+                if (x[0] not in DROPPED or x[0] == "form") and x[1] != "drop":
+                    node[5] += x[5]
+                    node[6] += x[5] if x[0] == "a" else x[6]
+                node[7] += x[7]
     return root
 
 
@@ -133,9 +167,27 @@ def main_text(page: str, site: frozenset = frozenset()) -> str:
     """Blocks of the article (else the main element, else the page), one a line."""
     root = parse(page)
 
+    def around(x: list) -> bool:
+        """Whether a form stands around the page's article or main element, as some servers write it."""
+        todo = [x] if x[0] == "form" else []
+        while todo:
+            found = [y for y in todo.pop()[3] if isinstance(y, list)]
+            if any(y[0] in ("article", "main") for y in found):
+                return True
+            todo.extend(found)
+        return False
+
+    def suspect(x: list, inside: bool) -> bool:
+        """Whether the marks of a container delete it."""
+        if x[1] == "comment" and (x[0] not in SHELL or x[0] == "article"):
+            return inside and x[0] == "article" or x[5] <= MOST_COMMENTS * root[5]
+        if x[0] in SHELL or x[5] > MOST * root[5]:
+            return False
+        return x[1] == "strong" or (x[1] == "weak" and (2 * x[6] >= x[5] or x[7] > 0))
+
     def wanted(x: list, inside: bool) -> bool:
         prose = inside and x[0] in PROSE
-        if x[0] in DROPPED or (x[1] and not (prose and x[1] != "role")):
+        if (x[0] in DROPPED and not around(x)) or (x[1] == "drop" and x[0] not in ("html", "body")) or (x[1] and not prose and suspect(x, inside)):
             return False
         return not (site and not prose and x[0] not in SHELL and x[4] in site)
 
@@ -153,7 +205,7 @@ def main_text(page: str, site: frozenset = frozenset()) -> str:
     blocks, run = [], []
 
     def flush() -> None:
-        text = " ".join(html.unescape("".join(run)).split())
+        text = " ".join("".join(run).split())
         run.clear()
         if text:
             blocks.append(text)
@@ -164,7 +216,7 @@ def main_text(page: str, site: frozenset = frozenset()) -> str:
         while todo:
             x = todo.pop()
             if isinstance(x, str):
-                run.append(x)
+                run.append(html.unescape(x))
             elif x is None:
                 flush()
             elif x is top or wanted(x, inside):
@@ -194,6 +246,7 @@ def site_templates(pages: DataFrame, least: int = LEAST_PAGES, part: float = PAR
     seen = trees.groupBy("host", "tree").agg(F.count("*").alias("n"))
     totals = seen.where("tree is null").select("host", F.col("n").alias("pages"))
     sites = seen.where((F.col("n") >= least) & F.col("tree").isNotNull()).join(totals, "host").where(F.col("n") >= part * F.col("pages")).select("host", "tree")
+    sites = kept(sites, "templates")  # with a plain table beside it, the rows of a tree on all pages of a host can be split in the join
     return trees.join(sites, ["host", "tree"]).groupBy("host", "page").agg(F.collect_list("tree").alias("site"))
 
 

@@ -344,6 +344,29 @@ def test_containers_stand_whatever_their_class(tag, mark):
     assert pagetext.main_text(plain.replace("<body>", "<body class=no-sidebar>")) == "one"
 
 
+@pytest.mark.parametrize(
+    ("page", "text"),
+    [
+        ("<main><section id='login-flow'><h2>How login works</h2><p>Body.</p></section></main>", "How login works\nBody."),
+        ("<body><div id='header-wrapper'><div><p>all text</p></div></div></body>", "all text"),
+        ("<article><div class='share-price'><p>stocks</p></div><p>x</p></article>", "stocks\nx"),
+        ("<article><h1>T</h1><section class='related-work'><p>papers</p></section></article>", "T\npapers"),
+        ("<body><div class='page-header-content'><p>abc</p></div></body>", "abc"),
+        ("<article><p>one</p><article class='comment'><p>a reader says much more</p></article></article>", "one"),
+        ("<article><p>one</p></article><section id='comments'><h2>Said</h2><article class='comment'>a reader says much more</article></section>", "one"),
+        ("<body><p>one</p><ol class='commentList'><li>a reader says much more</ol></body>", "one"),
+        ("<article>a<p hidden>b</p><div style='display: none'>c</div><span aria-hidden=true>d</span></article>", "a"),
+        ("<article>AT&<b>amp;</b>T &amp; x</article>", "AT&amp;T & x"),
+        ("<body><div class='cookieBanner'>We use them</div><p>the text of the page</p><div class='related-posts'><a href=x>other</a></div></body>", "the text of the page"),
+        ("<body><div class=ad>buy</div><div class='sidebar-left'>links</div><h1>Title</h1><p>one<p>two</body>", "Title\none\ntwo"),
+        ("<body><form id=aspnetForm><nav>menu</nav><main><p>one</p><form>name <input></form></main></form></body>", "one"),
+        ("<body><form>name <input></form><p>one</p></body>", "one"),
+    ],
+)
+def test_marks_only_suspect(page, text):
+    assert pagetext.main_text(page) == text
+
+
 def test_damaged_pages():
     for page in ("<article><p>one</p><svg><path d='x'><p>two</p></article>", "<article><p>one<title><p>two</article>", "<article><p>one<iframe src=x><p>two", "<article>one<svg><g/></svg><p>two</b></i>", "<article><p>one</p><p>two</p><script>var x = 1"):
         assert pagetext.main_text(page) == "one\ntwo"

@@ -95,7 +95,8 @@ class LineRuns:
 
 def batches_by_id(rows: DataFrame, batches: int) -> list[DataFrame]:
     """The rows in batches of falling doc_id; an id lies in one batch, rows without an id in the last."""
-    cuts = sorted({int(x) for x in rows.stat.approxQuantile("doc_id", [k / batches for k in range(1, batches)], 0.01)}, reverse=True)
+    shares = [k / batches for k in range(1, batches)]
+    cuts = sorted(set(rows.agg(F.percentile_approx("doc_id", shares, 100)).first()[0] or ()), reverse=True) if shares else []
     above = [F.col("doc_id") > x for x in cuts]
     parts = [rows.where(x if not k else x & ~above[k - 1]) for k, x in enumerate(above)]
     return [*parts, rows.where(F.col("doc_id").isNull() | ~above[-1]) if cuts else rows]

@@ -447,7 +447,7 @@ def test_neighbours_of_ids_that_many_rows_share(spark):
 @pytest.mark.parametrize("name", sorted(queries.ORACLE_SQL))
 def test_query_equals_sql(spark, name):
     con = duckdb.connect()
-    for t in ("documents", "pages"):
+    for t in ("documents", "pages", "embeddings", "benchmark"):
         con.sql(f"CREATE VIEW {t} AS SELECT * FROM '/root/testdata/sf0.001/{t}.parquet'")
     want = con.sql(queries.ORACLE_SQL[name])
     plain = lambda v: float(f"{v:.9g}") if isinstance(v, float) else v

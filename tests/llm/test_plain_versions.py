@@ -14,8 +14,9 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.parquet as pq
 import pytest
+from pyspark.sql import functions as F
 
-from mossgrid.llm import gif, imatch, langid, mixing, queries, secrets
+from mossgrid.llm import gif, imatch, langid, lexical, linededup, mixing, queries, secrets, vectorcodes
 from mossgrid.llm.sentencepieces import MARK, NBEST, UNIT, Vocabulary, n_best
 
 U = (1 << 64) - 1
@@ -377,3 +378,130 @@ def test_pipeline(spark, data):
 def test_masks_of_method_spans_are_the_scans(spark):
     text = "a token=abcdef1 b"
     assert [(k, a, b) for k, a, b in secrets.find_secrets(text)] == plain_spans(text)
+
+# op11 to op13
+
+
+def plain_ranking(rows, items, k=10):
+    """rows: (doc_id, text); items: (item_id, text). Every document scored for every item."""
+    terms = lambda t: re.findall(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+", re.sub("[A-Z]", lambda m: m[0].lower(), t or ""))
+    docs = [(i, Counter(terms(t))) for i, t in rows]
+    docs = [(i, c, sum(c.values())) for i, c in docs if c]
+    n_docs, n_terms = len(docs), sum(n for *_, n in docs)
+    df = Counter(t for _, c, _ in docs for t in c)
+    out = []
+    for item, text in items:
+        own = {t: math.floor(1000 * math.log((2 * n_docs + 2) / (2 * df[t] + 1))) for t in set(terms(text))}
+        scored = [(-sum(w * (10**9 * c[t] // (1000 * c[t] + 8 * (10 + 90 * n * n_docs // n_terms))) for t, w in own.items() if t in c), i is None, i) for i, c, n in docs]
+        out += [(item, rank, i, -s) for rank, (s, _, i) in enumerate(sorted((x for x in scored if x[0] < 0), key=lambda x: (x[0], x[1], x[2] or 0))[:k], 1)]
+    return out
+
+
+def test_op11(spark, data, monkeypatch):
+    _, rows = data
+    docs = [(r[0], r[1]) for r in rows] + [(200, "x" * 400_000 + " kala " * 100_000 + "z"), (201, "Kala\x00kala é😀É k7")]
+    items = [(1, "KALA mana toma5"), (1, "kala kala"), (2, None), (3, "..."), (4, "nowhere9"), (None, "grüt É k7"), (5, rows[30][1]), (6, "x" * 400_000)]
+    df = lambda x, s: spark.createDataFrame(x, s).withColumn("term", F.lit(1)).withColumn("shard", F.lit(1)).repartition(5)
+    want = plain_ranking(docs, items)
+    for shard, block, first in ((1 << 23, 1000, 4), (2000, 3, 1)):
+        monkeypatch.setattr(lexical, "SHARD_BYTES", shard)
+        monkeypatch.setattr(lexical, "QUERY_BLOCK", block)
+        monkeypatch.setattr(lexical, "FIRST_VISIT", first)
+        index = lexical.build_index(df(docs, "doc_id long, text string"))
+        got = lexical.search(index, df(items, "item_id long, text string")).collect()
+        assert sorted(map(str, map(tuple, got))) == sorted(map(str, want))
+    assert index[0].where("term is null").count() >= 5 and index[1:] == (sum(bool(re.search(r"[0-9a-zA-Z\x80-\U0010ffff]", t or "")) for _, t in docs), index[2])
+    empty = lexical.build_index(df(docs, "doc_id long, text string").limit(0))
+    assert empty[1:] == (0, 0) and lexical.search(empty, df(items, "item_id long, text string")).count() == 0
+    none = lexical.search(index, df(items, "item_id long, text string").limit(0))
+    assert none.count() == 0 and none.columns == ["item_id", "rank", "doc_id", "score"]
+
+
+def plain_codes(rows, entries, rounds, parts=4):
+    """rows: (vec_id, vector, label), all usable."""
+    cut = [[math.floor(x * 1024) for x in v] for _, v, _ in rows]
+    width = len(cut[0]) // parts
+    order = sorted(range(len(rows)), key=lambda k: (rows[k][0] is None, rows[k][0] or 0, cut[k]))
+    members = [[c[p * width : (p + 1) * width] for c in cut] for p in range(parts)]
+    books = [[m[k] for k in order[:entries]] for m in members]
+
+    def assign():
+        near = lambda x, book: min((sum((a - b) ** 2 for a, b in zip(x, c, strict=True)), k) for k, c in enumerate(book))
+        return [[near(x, books[p]) for x in members[p]] for p in range(parts)]
+
+    for _ in range(rounds):
+        found = assign()
+        for p in range(parts):
+            for e in range(len(books[p])):
+                own = [x for x, (_, k) in zip(members[p], found[p], strict=True) if k == e]
+                if own:
+                    books[p][e] = [sum(col) // len(own) for col in zip(*own, strict=True)]
+    found = assign()
+    digest = hashlib.sha256(",".join(str(x) for b in books for c in b for x in c).encode()).hexdigest()
+    errors = [sum(found[p][k][0] for p in range(parts)) for k in range(len(rows))]
+    by_label = {}
+    for (_, _, label), e in zip(rows, errors, strict=True):
+        by_label.setdefault(label, []).append(e)
+    long = lambda x: x if x < 1 << 63 else None
+    return [(i, label, "".join(f"{found[p][k][1]:02x}" for p in range(parts)), long(errors[k]), None if any(e >= 1 << 63 for e in by_label[label]) else sum(by_label[label]), digest) for k, (i, _, label) in enumerate(rows)]
+
+
+@pytest.mark.parametrize("big", [False, True])
+def test_op12(spark, big):
+    draw = random.Random(6)
+    vector = lambda: [draw.choice([draw.gauss(0, 1), -0.001, 0.5]) for _ in range(8)]
+    hot = vector()
+    rows = [(k, hot if k % 3 == 0 else vector(), draw.choice([0, 1, None])) for k in range(120)] + [(7, hot, 1), (7, vector(), 1), (None, vector(), None), (None, hot, 0)]
+    if big:
+        rows += [(300, [1e30] * 8, 5), (301, [-2e7, *[0.25] * 7], 6)]
+    bad = [(400, None, 1), (401, [1.0, None, *[0.0] * 6], 1), (402, [math.nan] * 8, 1), (403, [math.inf] * 8, None), (404, [0.5] * 12, 1), (405, [], 1)]
+    df = spark.createDataFrame(rows + bad, "vec_id long, embedding array<double>, label int").withColumn("_row", F.lit(1)).withColumn("code", F.lit("x")).repartition(4)
+    for entries, rounds in ((16, 4), (256, 2)):
+        got = vectorcodes.vector_codes(df, entries=entries, rounds=rounds).collect()
+        assert sorted(map(str, map(tuple, got))) == sorted(map(str, plain_codes(rows, entries, rounds)))
+    none = vectorcodes.vector_codes(df.limit(0))
+    assert none.count() == 0 and none.columns == ["vec_id", "label", "code", "error", "label_error", "codebooks_sha256"]
+
+
+def test_members_of_an_entry_stay_with_their_owner(spark):
+    """Only blocks of changing parts are shuffled after the first placement."""
+    blocks = [((0, k, 0), (np.arange(5), np.zeros((5, 2)), np.array([k, k, k, 9, k], np.int32), np.zeros(5, np.int64))) for k in range(4)]
+    looked_up = spark.sparkContext.parallelize(blocks, 3).partitionBy(3, vectorcodes.owner)
+    moved = vectorcodes.migrated(looked_up, 1, 3)
+    assert moved.getNumPartitions() == 3  # a union of one partitioner
+    got = {key: len(rows) for key, (rows, _) in moved.collect()}
+    assert got == {**{(0, k, 0): 4 for k in range(4)}, (0, 9, 0): 4}
+
+
+def plain_lines(rows, least=20, documents=3):
+    key = lambda x: re.sub("[A-Z]", lambda m: m[0].lower(), x.strip(" \t\n\x0b\x0c\r"))
+    split = [(i, (t or "").split("\n")) for i, t in rows]
+    held = {}
+    for k, (_, lines) in enumerate(split):
+        for x in {key(x) for x in lines if len(key(x)) >= least}:
+            held.setdefault(x, []).append(k)
+    out = []
+    for i, lines in split:
+        gone = [False] * len(lines)
+        for n, x in enumerate(lines):
+            own = held.get(key(x), [])
+            ids = [split[k][0] for k in own if split[k][0] is not None]
+            gone[n] = len(own) >= documents and bool(ids) and (i is None or i < max(ids))
+        text = "\n".join(x for x, g in zip(lines, gone, strict=True) if not g)
+        out.append((i, text, len(lines), sum(gone)))
+    return out
+
+
+def test_op13(spark):
+    draw = random.Random(8)
+    common = [f"line {k} that is long enough to count é" for k in range(12)] + ["short", "", "  ", "nineteen letters abc", "x" * 20, "ÄÖ" * 10]
+    texts = ["\n".join(draw.choice(["", "\t", " "]) + (x := draw.choice(common), x.upper(), x.title())[draw.randrange(3)] + draw.choice(["", "\x0b ", "\r"]) for _ in range(draw.randrange(0, 9))) for _ in range(80)]
+    rows = [(draw.choice([None, *range(40)]), t) for t in texts] + [(1000, "\n".join([common[0]] * 3)), (2, None), (2, ""), (3, texts[5]), (3, texts[5]), (None, "only without an id, three times"), (None, "only without an id, three times"), (None, "only without an id, three times")]
+    rows += [(50, (common[1] + "\n") * 60_000 + "end"), (-5, "\n" * 100_000 + common[1])]
+    df = spark.createDataFrame(rows, "doc_id long, text string").select("*", *(F.lit(k).alias(c) for k, c in enumerate(("h1", "h2", "at", "owner", "docs", "gone", "t1", "keys", "n_lines"))))
+    want = sorted(map(str, plain_lines(rows)))
+    for batches, fan in ((4, 3), (1, 2), (7, 2)):
+        got = linededup.dedup_lines(df, batches=batches, fan=fan)
+        assert sorted(str((r.doc_id, r.text, r.n_lines, r.n_dropped)) for r in got.collect()) == want
+    assert got.columns == ["doc_id", "text", "h1", "h2", "at", "owner", "docs", "gone", "t1", "keys", "n_lines", "n_dropped"] and sum(r[3] for r in plain_lines(rows)) > 50
+    assert linededup.dedup_lines(df.limit(0)).count() == 0 and not [x for x in spark.catalog.listTables() if x.name.startswith("line_")]

@@ -121,6 +121,24 @@ def word_spans(data: np.ndarray, offsets: np.ndarray, is_word: np.ndarray) -> tu
     return starts, ends, np.searchsorted(offsets, starts, "right") - 1
 
 
+def slices(data: np.ndarray, offsets: np.ndarray, is_word: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, int]]:
+    """(bytes, offsets, first row) of a batch: whole, or where it is one long text in parts of BATCH_BYTES that end between words. A part is longer only by one word."""
+    if len(offsets) != 2 or len(data) <= BATCH_BYTES:
+        yield data, offsets, 0
+        return
+    start = 0
+    while start < len(data):
+        end = min(start + BATCH_BYTES, len(data))
+        gaps = np.flatnonzero(~is_word[data[start:end]]) if end < len(data) else ()
+        if len(gaps):
+            end = start + int(gaps[-1]) + 1
+        while end < len(data) and not len(gaps):  # one word so far
+            gaps = np.flatnonzero(~is_word[data[end : end + BATCH_BYTES]])
+            end = end + int(gaps[0]) + 1 if len(gaps) else min(end + BATCH_BYTES, len(data))
+        yield data[start:end], np.array([0, end - start], np.int64), 0
+        start = end
+
+
 def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """64-bit hashes of byte spans, from one running polynomial sum over the buffer."""
     up, down = powers(len(data) + 1)

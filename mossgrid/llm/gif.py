@@ -7,6 +7,7 @@ resolved by following each output sample to the earlier sample that it copies.
 
 from __future__ import annotations
 
+import math
 import struct
 from collections.abc import Iterator
 
@@ -164,13 +165,14 @@ def encode_gif(samples: bytes, width: int = 64, rows: int = 1024, delay_cs: int
     return b"".join([*out, b"\x3b"])
 
 
-def decode_gif(data: bytes, whole: bool = True, most_pixels: int = MOST_PIXELS, most_bytes: int = MOST_BYTES) -> Iterator[dict]:
+def decode_gif(data: bytes, whole: bool = True, most_pixels: int | None = MOST_PIXELS, most_bytes: int | None = MOST_BYTES) -> Iterator[dict]:
     """Frames as they show: the canvas after each image is drawn (whole), or that image's rectangle of it.
 
     mode L holds one sample a pixel, where everything shown is grey and opaque; else RGBA. Disposal 2 clears the rectangle
     before the next image, 3 restores what was there. Damaged data and data beyond the bounds raise ValueError, IndexError
-    or struct.error, after the frames before the damage.
+    or struct.error, after the frames before the damage. A bound of None is none.
     """
+    most_pixels, most_bytes = (math.inf if x is None else x for x in (most_pixels, most_bytes))
     if data[:6] not in (b"GIF87a", b"GIF89a"):
         raise ValueError("no GIF header")
     width, height, flags, _, _ = struct.unpack_from("<HHBBB", data, 6)
@@ -256,11 +258,12 @@ def is_grey(colours: np.ndarray) -> bool:
     return bool((colours == colours[:, :1]).all())
 
 
-def gif_frames(df: DataFrame, media: str = "media", whole: bool = True, most_pixels: int = MOST_PIXELS, most_bytes: int = MOST_BYTES) -> DataFrame:
+def gif_frames(df: DataFrame, media: str = "media", whole: bool = True, most_pixels: int | None = MOST_PIXELS, most_bytes: int | None = MOST_BYTES) -> DataFrame:
     """Adds frames (array of timed frames with their pixels and a histogram of 3 x 16 colour bins) and gif_error.
 
     Null media give null frames and no error; damaged media, and media beyond the bounds, the error's text and the frames
-    before the damage, null where there are none. A file without images has no frames. Repeated rows have equal results.
+    before the damage, null where there are none. The bounds are for foreign files, whose headers can claim any size; files
+    of one's own take None. A file without images has no frames. Repeated rows have equal results.
     Tables may be empty. Other columns are kept, but for earlier ones named frames and gif_error, which are replaced.
     """
     prepare(df.sparkSession)

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, Row, SparkSession, Window
 from pyspark.sql import functions as F
 
 from mossgrid.functions.common import union
-from mossgrid.llm.common import BATCH_BYTES, LOWER, buffer, kept, pieces, prepare, release, span_hashes, word_spans
+from mossgrid.llm.common import LOWER, buffer, kept, pieces, prepare, release, slices, span_hashes, word_spans
 
 TOP = 10
 SHARD_BYTES = 1 << 23
@@ -34,29 +34,10 @@ _BYTES = np.arange(256)
 IS_TERM = ((_BYTES >= 48) & (_BYTES <= 57)) | ((_BYTES >= 65) & (_BYTES <= 90)) | ((_BYTES >= 97) & (_BYTES <= 122)) | (_BYTES >= 128)
 
 
-def slices(data: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, int]]:
-    """(bytes, offsets, first row) of at most BATCH_BYTES: a longer text is cut between terms, so a slice is longer only by one term."""
-    if len(offsets) > 2 or len(data) <= BATCH_BYTES:
-        yield data, offsets, 0
-        return
-    start = 0
-    while start < len(data):
-        end = min(start + BATCH_BYTES, len(data))
-        if end < len(data):
-            back = np.flatnonzero(~IS_TERM[data[start:end]])
-            if len(back):
-                end = start + int(back[-1]) + 1
-            else:
-                while end < len(data) and IS_TERM[data[end]]:
-                    end += 1
-        yield data[start:end], np.array([0, end - start], np.int64), 0
-        start = end
-
-
 def term_spans(batch: pa.RecordBatch, column: str) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
     """Lower-cased bytes with starts, ends and rows of their terms."""
     data, offsets = buffer(batch.column(column))
-    for part, at, row in slices(data, offsets):
+    for part, at, row in slices(data, offsets, IS_TERM):
         low = LOWER[part]
         starts, ends, rows = word_spans(low, at, IS_TERM)
         yield low, starts, ends, rows + row

@@ -23,7 +23,8 @@ def op1_gif_media(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document as a grey GIF, decoded again; feature is frames, duration and the histogram of grey levels."""
     prepare(spark)
     stored = gif.store_texts(table(spark, sf_dir, "documents").select("doc_id", "text"))
-    read = gif.gif_frames(stored.withColumn("media_bytes", F.octet_length("media").cast("long")).withColumn("media_sha256", F.sha2("media", 256)), whole=False).drop("media")
+    read = gif.gif_frames(stored.withColumn("media_bytes", F.octet_length("media").cast("long")).withColumn("media_sha256", F.sha2("media", 256)), whole=False, most_pixels=None, most_bytes=None).drop("media")
+    read = read.withColumn("frames", F.when(F.col("gif_error").isNull(), F.col("frames")).otherwise(F.raise_error("gif_error")))
     pixels = F.when(F.size("frames") == 1, F.col("frames")[0]["pixels"]).otherwise(F.unhex(F.array_join(F.transform("frames", lambda f: F.hex(f["pixels"])), "")))
     bins = F.transform(F.sequence(F.lit(0), F.lit(gif.BINS - 1)), lambda k: F.aggregate(F.col("frames"), F.lit(0).cast("long"), lambda s, f: s + F.get(f["histogram"], k)))
     last = F.col("frames")[F.size("frames") - 1]

@@ -25,14 +25,18 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from mossgrid.llm.common import LOWER, NOT_SPACE, U64, Counts, buffer, components, id_filter, kept, merged_counts, mix, pieces, prepare, random_words, signed, sketch_bits, span_hashes, word_spans
+from mossgrid.functions.common import running
+from mossgrid.llm.common import LOWER, NOT_SPACE, U64, Counts, buffer, components, id_filter, kept, merged_counts, mix, pieces, prepare, random_words, signed, sketch_bits, slices, span_hashes, word_spans
 
 WORDS = 5
 PERCENT = 80
 MOST_LIGHT = 24
-#: Bytes of a word and its separator, to size the sketch by; from here on numbers stand for rows without an id.
+#: Bytes of a word and its separator, to size the sketch by.
 WORD_BYTES = 6
+#: From here on numbers stand for rows without an id, where there are such rows.
 NO_ID = 1 << 62
+#: Pairs of one document that are compared in one place.
+PART_PAIRS = 256
 
 
 def least_overlap(size: int, percent: int = PERCENT) -> int:
@@ -74,9 +78,12 @@ def boundary(sizes: dict[int, int], list_length: float, percent: int = PERCENT)
 def shingle_sets(column: pa.Array, k: int = WORDS) -> tuple[np.ndarray, np.ndarray]:
     """Sorted distinct shingle hashes of all rows, and each row's offsets into them."""
     data, offsets = buffer(column)
-    data = LOWER[data]
-    starts, ends, row = word_spans(data, offsets, NOT_SPACE)
-    words = span_hashes(data, starts, ends)
+    found = []
+    for part, at, first in slices(data, offsets, NOT_SPACE):
+        low = LOWER[part]
+        starts, ends, row = word_spans(low, at, NOT_SPACE)
+        found.append((span_hashes(low, starts, ends), row + first))
+    words, row = (np.concatenate([x[i] for x in found]) if found else np.zeros(0, t) for i, t in enumerate((U64, np.int64)))
     times = random_words(k, 7) | U64(1)
     n = len(words)
     at = np.searchsorted(row, np.arange(len(offsets)))
@@ -138,28 +145,40 @@ def list_keys(docs: DataFrame, frequent: np.ndarray, most_light: int, k: int = W
 
 
 def verified(pairs: DataFrame, docs: DataFrame, k: int = WORDS, percent: int = PERCENT) -> DataFrame:
-    """(a, b, linked) for pairs of documents, by their whole texts. Only texts that the pairs name are moved."""
+    """(a, b, linked) for pairs of documents, by their whole texts. Only texts that the pairs name are moved.
+
+    The pairs of one a are dealt in parts of PART_PAIRS; its text goes to each part once, ahead of the texts of its b.
+    """
     named = id_filter(pairs.select("a").unionByName(pairs.select(F.col("b").alias("a"))))
     texts = docs.where(named("doc_id"))
-    joined = pairs.join(texts.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b")), "b").join(texts.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a")), "a")
+    parts = pairs.groupBy("a").agg(F.ceil(F.count("*") / PART_PAIRS).alias("parts"))
+    dealt = pairs.join(parts, "a").select("a", "b", F.pmod(F.xxhash64("b"), "parts").alias("part"))
+    second = dealt.join(texts.select(F.col("doc_id").alias("b"), "text"), "b").select("a", "part", "b", "text")
+    first = parts.join(texts.select(F.col("doc_id").alias("a"), "text"), "a").select("a", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("part"), F.lit(None).cast("long").alias("b"), "text")
+    together = first.unionByName(second).repartition("a", "part").sortWithinPartitions("a", "part", F.asc_nulls_first("b"))
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last, hub = None, None
-        for batch in pieces(pieces(batches, "text_b"), "text_a"):
-            grams, at = shingle_sets(batch.column("text_b"), k)
-            linked = []
-            for i, a in enumerate(batch.column("a").to_pylist()):
-                text = batch.column("text_a")[i].as_py()
-                if a != last or hub[0] != text:
-                    last, hub = a, (text, shingle_sets(pa.array([text], pa.string()), k)[0])
+        last, hubs = None, []
+        for batch in pieces(batches, "text"):
+            grams, at = shingle_sets(batch.column("text"), k)
+            out: tuple[list, list, list] = ([], [], [])
+            for i, (a, part, b) in enumerate(zip(*(batch.column(c).to_pylist() for c in ("a", "part", "b")), strict=True)):
                 own = grams[at[i] : at[i + 1]]
-                both = np.concatenate((hub[1], own))
-                both.sort()
-                shared = int((both[1:] == both[:-1]).sum())
-                linked.append(len(own) > 0 and 100 * shared >= percent * (len(both) - shared))
-            yield pa.record_batch([batch.column("a"), batch.column("b"), pa.array(linked, pa.bool_())], ["a", "b", "linked"])
-
-    return joined.select("a", "b", "text_a", "text_b").mapInArrow(compare, "a long, b long, linked boolean").groupBy("a", "b").agg(F.max("linked").alias("linked"))
+                if b is None:  # a may stand in several rows
+                    hubs = [*hubs, own] if (a, part) == last else [own]
+                    last = a, part
+                    continue
+                linked = False
+                for hub in hubs:
+                    both = np.concatenate((hub, own))
+                    both.sort()
+                    shared = int((both[1:] == both[:-1]).sum())
+                    linked = linked or (len(own) > 0 and 100 * shared >= percent * (len(both) - shared))
+                for column, value in zip(out, (a, b, linked), strict=True):
+                    column.append(value)
+            yield pa.record_batch([pa.array(out[0], pa.int64()), pa.array(out[1], pa.int64()), pa.array(out[2], pa.bool_())], ["a", "b", "linked"])
+
+    return together.mapInArrow(compare, "a long, b long, linked boolean").groupBy("a", "b").agg(F.max("linked").alias("linked"))
 
 
 def jaccard_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = WORDS, percent: int = PERCENT) -> DataFrame:
@@ -167,12 +186,17 @@ def jaccard_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
     Null or empty text: no shingles, own component. Rows of one id are one document (a link of any of its rows counts).
     Every row without an id is a document of its own and links like any other; a component in which no row has an id is
-    null. Ids are below NO_ID. Ties and repeated rows need no rule: classes are sets. Tables may be empty.
+    null. Ids may be any long. Ties and repeated rows need no rule: classes are sets. A long text's words are hashed in
+    slices, so it takes some 8 bytes a word and its distinct shingles. Tables may be empty.
     """
     spark = docs.sparkSession
     prepare(spark)
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    if not docs.where("doc_id is null").isEmpty():  # such rows get numbers behind all ids, which a table holds fast
+    nameless, numbers = not docs.where("doc_id is null").isEmpty(), None
+    if nameless:  # such rows get numbers behind all ids, which a table holds fast
+        if (docs.agg(F.max("doc_id")).first()[0] or 0) >= NO_ID:  # then ids get numbers too, in their order
+            numbers = kept(running(docs.where("doc_id is not null").select("doc_id").distinct(), [F.col("doc_id")], number=F.lit(1).cast("long")), "ids")
+            docs = docs.join(numbers, "doc_id", "left").select(F.col("number").alias("doc_id"), "text")
         docs = kept(docs.withColumn("doc_id", F.coalesce("doc_id", F.lit(NO_ID) + F.monotonically_increasing_id())), "numbered")
     bits = sketch_bits((docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0) // WORD_BYTES)
     scanned = kept(profiles(docs, bits, k), "profiles")
@@ -217,8 +241,12 @@ def jaccard_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         labels = spark.createDataFrame([], "node long, component long")
     moved = classes.join(labels, classes.rep == labels.node, "left").where("copies > 1 or component is not null").select("n", "s1", "s2", F.coalesce("component", "rep").alias("component"))
     out = rows.join(moved, ["n", "s1", "s2"], "left")
-    named = lambda c: F.when(c < NO_ID, c)
-    return out.select(named(F.col("doc_id")).alias("doc_id"), F.col("n").alias("n_shingles"), named(F.coalesce("component", "doc_id")).alias("component_id"))
+    named = lambda c: F.when(c < NO_ID, c) if nameless else c
+    out = out.select(named(F.col("doc_id")).alias("doc_id"), F.col("n").alias("n_shingles"), named(F.coalesce("component", "doc_id")).alias("component_id"))
+    if numbers is not None:
+        for c in ("doc_id", "component_id"):
+            out = out.join(numbers.select(F.col("doc_id").alias("_id"), F.col("number").alias(c)), c, "left").withColumn(c, F.col("_id")).drop("_id")
+    return out.select("doc_id", "n_shingles", "component_id")
 
 
 def shared_only(keys: DataFrame) -> DataFrame:

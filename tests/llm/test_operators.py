@@ -319,6 +319,19 @@ def test_large_groups_of_pages_in_parts(spark, monkeypatch, tmp_path):
     assert all(r.file.startswith("file:/") for r in index.collect())
 
 
+def test_own_gifs_have_no_bound(spark, monkeypatch, tmp_path):
+    """The query reads its own files whole, whatever the bounds for foreign ones, and never passes over an error."""
+    text = "words of a text " * 40_000
+    df = spark.createDataFrame([(1, text), (2, "")], "doc_id long, text string")
+    df.write.parquet(f"{tmp_path}/documents.parquet")
+    assert gif.gif_frames(gif.store_texts(df), most_bytes=1000).where("gif_error is not null").count() == 1
+    for name in ("MOST_BYTES", "MOST_PIXELS"):
+        monkeypatch.setattr(gif, name, 1000)
+    got = {r.doc_id: r for r in queries.op1_gif_media(spark, str(tmp_path)).collect()}
+    payload = text.encode() + b"\0" * (-len(text) % 64)
+    assert got[1].payload_bytes == len(payload) and got[1].payload_sha256 == hashlib.sha256(payload).hexdigest() and got[2].payload_bytes == 64
+
+
 # Page text
 
 

@@ -79,3 +79,24 @@ def test_empty_table_and_null_ids(spark):
     rows = [(None, "q"), (4, "r"), (None, "r"), (None, long), (9, long + " end"), (None, long + " end end"), (None, "s t"), (None, "s  t"), (None, None)]
     found = [tuple(r) for r in jaccard_groups(spark.createDataFrame(rows, "doc_id long, text string")).collect()]
     assert sorted(map(str, found)) == sorted(map(str, [(None, 1, None), (4, 1, 4), (None, 1, 4), (None, 36, 9), (9, 37, 9), (None, 38, 9), (None, 1, None), (None, 1, None), (None, 0, None)]))
+
+
+def test_any_id(spark):
+    """Ids up to the largest long keep their id and component, beside rows without one."""
+    top, text = (1 << 63) - 1, "one two three four five six seven"
+    rows = [(top, text), (1 << 62, text + " eight"), (top - 5, "else " * 9), (-(1 << 63), "quite another text of more words"), (None, text), (None, "alone here now"), (None, "quite another text of more words")]
+    rows = [(i, t, None, 0) for i, t in rows]
+    result = sorted(jaccard_groups(spark.createDataFrame(rows, SCHEMA)).collect(), key=str)
+    # 3 of 4 shingles are too few to link.
+    want = [(None, 3, top), (None, 1, None), (None, 2, -(1 << 63)), (top, 3, top), (1 << 62, 4, 1 << 62), (top - 5, 1, top - 5), (-(1 << 63), 2, -(1 << 63))]
+    assert sorted(map(str, map(tuple, result))) == sorted(map(str, want))
+    named = [r for r in rows if r[0] is not None]
+    assert sorted(map(tuple, got(spark, named))) == sorted(x for x in want if x[0] is not None)
+
+
+def test_one_hub_of_many(spark, monkeypatch):
+    """A hub's pairs are compared in parts, its text once in each."""
+    monkeypatch.setattr(shingles, "PART_PAIRS", 16)
+    base = [f"w{k}" for k in range(60)]
+    rows = [(i, " ".join([*base, f"x{i}"]), "en", 0) for i in range(300)] + [(400, " ".join(base[:30] + [f"y{k}" for k in range(30)]), "en", 0)]
+    assert got(spark, rows) == brute(rows)

@@ -43,6 +43,16 @@ def running(df: DataFrame, order: list[Column], **sums: Column) -> DataFrame:
     return ranges.join(per, "_range").select(*df.columns, *((F.col(f"_{k}") + F.sum(x).over(inside)).alias(k) for k, x in sums.items()))
 
 
+def numbered_rows(df: DataFrame, *keys: str) -> DataFrame:
+    """Adds _no, from 1 within equal keys, to rows that nothing else tells apart: they are written down and numbered by file and place in it, so a key's rows needn't meet."""
+    rows = kept(df, "numbered").select("*", F.struct("_metadata.file_path", "_metadata.row_index").alias("_row"))
+    files = rows.groupBy(*keys, F.col("_row.file_path").alias("_file")).agg(F.count("*").alias("n"))
+    files = files.withColumn("_skip", F.sum("n").over(Window.partitionBy(*keys).orderBy("_file")) - F.col("n")).select(*(F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)), "_file", "_skip")
+    rows = rows.withColumn("_place", F.row_number().over(Window.partitionBy(*keys, "_row.file_path").orderBy("_row.row_index")))
+    same = reduce(lambda a, b: a & b, (F.col(k).eqNullSafe(F.col(f"_k{i}")) for i, k in enumerate(keys)))
+    return rows.join(files, same & (F.col("_row.file_path") == F.col("_file"))).select(*df.columns, (F.col("_place") + F.col("_skip")).alias("_no"))
+
+
 def classified(taxon: Column) -> Column:
     """Whether a taxon names something: not null, empty, Unclassified or a bare rank prefix."""
     return F.coalesce(~taxon.rlike(UNCLASSIFIED), F.lit(False))

@@ -110,12 +110,21 @@ def pending_mags(mags: DataFrame, ledger: DataFrame) -> DataFrame:
     return mags.select("mag").distinct().join(ledger.select("mag").distinct(), "mag", "left_anti")
 
 
-def merge_annotations(old: DataFrame, new: DataFrame, settings: tuple = ()) -> DataFrame:
-    """Old and new rows together; rows of other settings may not mix."""
-    for c in settings:
-        if union(old.select(c), new.select(c)).distinct().limit(2).count() > 1:
-            raise ValueError(f"rows differ in {c}: write to a new folder")
-    return union(old, new)
+def merge_annotations(old: DataFrame, new: DataFrame, settings: tuple = (), batch: DataFrame | None = None, mag: str = "MAG") -> DataFrame:
+    """The table with a batch of MAGs put in: a MAG of the batch has the batch's rows only, so a repeated batch changes nothing.
+
+    batch: the ledger of MAGs that were annotated, also those without a hit; by default those with rows. Rows of other
+    settings may not mix: one value of each such column, nulls being one, or ValueError. Rows without a MAG stay from both.
+    """
+    if settings:
+        both = union(old.select(*settings), new.select(*settings))
+        # One pass: a column has one value if its least and largest are equal and nulls are all or none.
+        found = both.agg(F.count("*").alias("rows"), *(f(F.col(f"`{c}`")).alias(f"{k}{i}") for i, c in enumerate(settings) for k, f in (("least", F.min), ("most", F.max), ("count", F.count)))).first()
+        for i, c in enumerate(settings):
+            if found[f"least{i}"] != found[f"most{i}"] or found[f"count{i}"] not in (0, found["rows"]):
+                raise ValueError(f"rows differ in {c}: write to a new folder")
+    done = (new if batch is None else batch).select(F.col(mag).alias("_mag")).distinct()
+    return union(old.join(done, F.col(mag) == F.col("_mag"), "left_anti"), new)
 
 
 def merge_taxonomy(*batches: DataFrame) -> DataFrame:

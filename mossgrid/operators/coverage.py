@@ -17,6 +17,16 @@ def filter_alignments(alignments: DataFrame, identity: float = 95, aligned: floa
     return alignments.where((F.col("identity_pct") >= identity) & (F.col("aligned_pct") >= aligned))
 
 
+def mag_alignments(alignments: DataFrame, contig2bin: DataFrame) -> DataFrame:
+    """Alignments as readers give them, with the MAG of their contig; contig2bin: (contig_id, mag), a contig in one MAG. Those on other contigs are left out."""
+    return alignments.join(contig2bin.select(F.col("contig_id").alias("contig"), "mag"), "contig")
+
+
+def mag_lengths(contigs: DataFrame, contig2bin: DataFrame) -> DataFrame:
+    """(mag, length) from (contig_id, seq)."""
+    return contigs.select("contig_id", F.length("seq").cast("long").alias("bp")).join(contig2bin.select("contig_id", "mag"), "contig_id").groupBy("mag").agg(F.sum("bp").alias("length"))
+
+
 def covered_bases(alignments: DataFrame, tile: int = TILE) -> DataFrame:
     """(sample, mag, contig, covered): positions under at least one alignment, by tiles of a contig.
 

@@ -2,44 +2,63 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from mossgrid.functions.common import FASTQ_SUFFIX, NAME, union
+from mossgrid.functions.common import FASTA_SUFFIX, FASTQ_SUFFIX, NAME, union
 
 
 def read_type(reads: DataFrame) -> DataFrame:
     return reads.withColumn("read_type", F.when(F.size("reads") == 2, "short").when(F.size("reads") == 1, "long"))
 
 
-def validate_manifests(reads: DataFrame, coassembly: DataFrame | None = None, multi: DataFrame | None = None) -> DataFrame:
-    """(rule, key): every broken rule. reads: (sample, reads array); coassembly: (sample, group); multi: (sample)."""
+def validate_manifests(reads: DataFrame, coassembly: DataFrame | None = None, multi: DataFrame | None = None, contigs: DataFrame | None = None, genomes: DataFrame | None = None) -> DataFrame:
+    """(rule, key, detail): every broken rule, and what breaks it.
+
+    reads: (sample, reads array); coassembly: (sample, group); multi: (sample); contigs: (sample, contigs), some of the
+    samples; genomes: (mag, path). A null key stands for a row without a sample, group or MAG.
+    """
     typed = read_type(reads)
-    rows = lambda df, rule, key: df.select(F.lit(rule).alias("rule"), F.col(key).cast("string").alias("key")).distinct()
+    listed = lambda c: F.array_join(F.array_sort(F.collect_set(F.col(c).cast("string"))), ",")
+
+    def rows(df: DataFrame, rule: str, key: str, detail: Column | None = None) -> DataFrame:
+        text = F.lit("") if detail is None else F.coalesce(detail.cast("string"), F.lit(""))
+        return df.select(F.lit(rule).alias("rule"), F.col(key).cast("string").alias("key"), text.alias("detail")).distinct()
+
+    strange = lambda c, suffix: F.array_join(F.filter(c, lambda p: ~F.lower(p).rlike(suffix)), ",")
     out = [
-        rows(typed.where(~F.col("sample").rlike(NAME)), "bad_name", "sample"),
-        rows(typed.groupBy("sample").count().where("count > 1"), "duplicate_sample", "sample"),
-        rows(typed.where(F.col("read_type").isNull()), "not_one_or_two_files", "sample"),
-        rows(typed.where(F.exists("reads", lambda p: ~p.rlike(FASTQ_SUFFIX))), "bad_extension", "sample"),
+        rows(typed.where(F.col("sample").isNull() | ~F.col("sample").rlike(NAME)), "bad_name", "sample"),
+        rows(typed.groupBy("sample").count().where("count > 1"), "duplicate_sample", "sample", F.col("count")),
+        rows(typed.where(F.col("read_type").isNull()), "not_one_or_two_files", "sample", F.when(F.size("reads") >= 0, F.size("reads"))),
+        rows(typed.where(F.exists("reads", lambda p: ~F.lower(p).rlike(FASTQ_SUFFIX))), "bad_extension", "sample", strange(F.col("reads"), FASTQ_SUFFIX)),
     ]
     known = typed.select("sample", "read_type").distinct()
     if coassembly is not None:
         joined = coassembly.join(known, "sample", "left")
         independent = known.join(coassembly, "sample", "left_anti")
         out += [
-            rows(coassembly.join(known, "sample", "left_anti"), "unknown_sample", "sample"),
-            rows(coassembly.groupBy("group").agg(F.count_distinct("sample").alias("n")).where("n < 2"), "group_too_small", "group"),
-            rows(joined.groupBy("group").agg(F.count_distinct("read_type").alias("n")).where("n > 1"), "mixed_read_types", "group"),
-            rows(coassembly.groupBy("sample").agg(F.count_distinct("group").alias("n")).where("n > 1"), "sample_in_two_groups", "sample"),
+            rows(coassembly.join(known, "sample", "left_anti"), "unknown_sample", "sample", F.col("group")),
+            rows(coassembly.groupBy("group").agg(F.count_distinct("sample").alias("n"), listed("sample").alias("members")).where("n < 2"), "group_too_small", "group", F.col("members")),
+            rows(joined.groupBy("group").agg(F.count_distinct("read_type").alias("n"), listed("read_type").alias("types")).where("n > 1"), "mixed_read_types", "group", F.col("types")),
+            rows(coassembly.groupBy("sample").agg(F.count_distinct("group").alias("n"), listed("group").alias("groups")).where("n > 1"), "sample_in_two_groups", "sample", F.col("groups")),
             rows(coassembly.join(independent.select(F.col("sample").alias("group")), "group", "left_semi"), "group_named_as_sample", "group"),
         ]
     if multi is not None:
-        out += [rows(multi.join(known, "sample", "left_anti"), "unknown_sample", "sample"), rows(multi.agg(F.count_distinct("sample").alias("n")).where("n < 2"), "too_few_multi_samples", "n")]
+        out += [rows(multi.join(known, "sample", "left_anti"), "unknown_sample", "sample", F.lit("multi")), rows(multi.agg(F.count_distinct("sample").alias("n")).where("n < 2"), "too_few_multi_samples", "n")]
+    if contigs is not None:
+        out += [
+            rows(contigs.join(known, "sample", "left_anti"), "unknown_sample", "sample", F.lit("contigs")),
+            rows(contigs.groupBy("sample").count().where("count > 1"), "duplicate_contigs", "sample", F.col("count")),
+            rows(contigs.where(F.col("contigs").isNull() | ~F.lower("contigs").rlike(FASTA_SUFFIX)), "bad_extension", "sample", F.col("contigs")),
+        ]
+    if genomes is not None:
+        out += [duplicate_mags(genomes), rows(genomes.where(F.col("path").isNull() | ~F.lower("path").rlike(FASTA_SUFFIX)), "bad_extension", "mag", F.col("path"))]
     return union(*out)
 
 
 def duplicate_mags(genomes: DataFrame) -> DataFrame:
-    return genomes.groupBy("mag").count().where("count > 1").select(F.lit("duplicate_mag").alias("rule"), F.col("mag").alias("key"))
+    """(rule, key, detail) of names that several genomes bear."""
+    return genomes.groupBy("mag").count().where("count > 1").select(F.lit("duplicate_mag").alias("rule"), F.col("mag").alias("key"), F.col("count").cast("string").alias("detail"))
 
 
 def coverage_groups(reads: DataFrame, coassembly: DataFrame | None = None, multi: DataFrame | None = None) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from mossgrid.functions.common import kept, running
+from mossgrid.functions.common import kept, numbered_rows, running
 from mossgrid.functions.kmers import canonical_index, counted_codes, summed_counts
 
 #: Up to this k the counts of a sequence are one array.
@@ -30,17 +30,25 @@ def numbered(df: DataFrame, group: str, size: Column, name: str) -> Column:
 
 
 def rename_contigs(contigs: DataFrame, group: str = "sample") -> DataFrame:
-    """Adds new_id `<group>_<n>`, contigs by length and name.
+    """Adds new_id `<group>_<n>` to every row, contigs by length and name; names are different within a group.
 
-    Numbers are given to (group, contig_id, length) in one order over all groups, sorted in ranges, so neither sequences nor
-    a large group meet in one task; contig_id is unique in its group.
+    Numbers are given to (group, contig_id, length, hash of the sequence) in one order over all groups, sorted in ranges, so
+    neither sequences nor a large group meet in one task. Rows of one contig_id have a number each; those that are equal in
+    all of these take the next ones in any order. Rows without a group are named by number alone. A null sequence comes last.
     """
-    slim = contigs.select(F.col(group).alias("_group"), F.col("contig_id").alias("_contig"), F.length("seq").alias("_length"))
-    placed = kept(running(slim, [F.col("_group"), F.col("_length").desc(), F.col("_contig")], _place=F.lit(1)), "places")
+    length, text = F.length("seq"), F.xxhash64("seq")
+    slim = contigs.select(F.col(group).alias("_group"), F.col("contig_id").alias("_contig"), length.alias("_length"), text.alias("_text"))
+    placed = kept(running(slim, [F.col("_group"), F.col("_length").desc(), F.col("_contig"), F.col("_text")], _place=F.lit(1)), "places")
     first = placed.groupBy(F.col("_group").alias("_g")).agg(F.min("_place").alias("_first"))
-    number = (F.col("_place") - F.col("_first") + 1).cast("string")
-    named = placed.join(first, F.col("_group").eqNullSafe(F.col("_g"))).select("_group", "_contig", F.concat_ws("_", F.col("_group").cast("string"), number).alias("new_id"))
-    return contigs.join(named, F.col(group).eqNullSafe(F.col("_group")) & F.col("contig_id").eqNullSafe(F.col("_contig"))).drop("_group", "_contig")
+    equal = placed.groupBy("_group", "_contig", "_length", "_text").agg(F.min("_place").alias("_place"), F.count("*").alias("_rows"))
+    equal = kept(equal.join(first, F.col("_group").eqNullSafe(F.col("_g"))).withColumn("_place", F.col("_place") - F.col("_first")).drop("_g", "_first"), "equal")
+    same = F.col(group).eqNullSafe(F.col("_group")) & F.col("contig_id").eqNullSafe(F.col("_contig")) & length.eqNullSafe(F.col("_length")) & (text == F.col("_text"))
+    joined = lambda rows: contigs.join(rows, same)
+    named = lambda df, more: df.select(*contigs.columns, F.concat_ws("_", F.col("_group").cast("string"), (F.col("_place") + more).cast("string")).alias("new_id"))
+    if (several := equal.where("_rows > 1")).isEmpty():
+        return named(joined(equal), 1)
+    tied = numbered_rows(joined(several), "_group", "_contig", "_length", "_text")
+    return named(joined(equal.where("_rows = 1")), 1).unionByName(named(tied, F.col("_no")))
 
 
 def name_bins(stats: DataFrame, tool: str, group: str = "sample") -> DataFrame:

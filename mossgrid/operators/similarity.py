@@ -9,7 +9,7 @@ from mossgrid.functions.common import kept, running, union
 from mossgrid.functions.kmers import sampled_hashes
 
 #: Undecided genomes that a hash lists in the first round.
-FRONT = 32
+FRONT = 256
 
 
 def sketches(contigs: DataFrame, k: int = 21, scale: int = 50, min_size: int = 1) -> DataFrame:

@@ -272,12 +272,12 @@ def manifest_violations(spark: SparkSession, d: str) -> DataFrame:
 
 
 MANIFEST_SQL = """WITH s AS (SELECT s_name AS sample, s_suppkey % 3 + 1 AS n, s_nationkey FROM supplier), g AS (SELECT sample, n, 'g' || s_nationkey AS grp FROM s WHERE s_nationkey < 20)
-SELECT 'bad_name' AS rule, sample AS key FROM s WHERE NOT regexp_matches(sample, '^[A-Za-z0-9][A-Za-z0-9._-]*$')
-UNION ALL SELECT 'duplicate_sample', sample FROM s GROUP BY sample HAVING count(*) > 1
-UNION ALL SELECT DISTINCT 'not_one_or_two_files', sample FROM s WHERE n > 2
-UNION ALL SELECT 'group_too_small', grp FROM g GROUP BY grp HAVING count(DISTINCT sample) < 2
-UNION ALL SELECT 'mixed_read_types', grp FROM g GROUP BY grp HAVING count(DISTINCT CASE n WHEN 1 THEN 'long' WHEN 2 THEN 'short' END) > 1
-UNION ALL SELECT 'sample_in_two_groups', sample FROM g GROUP BY sample HAVING count(DISTINCT grp) > 1"""
+SELECT 'bad_name' AS rule, sample AS key, '' AS detail FROM s WHERE NOT regexp_matches(sample, '^[A-Za-z0-9][A-Za-z0-9._-]*$')
+UNION ALL SELECT 'duplicate_sample', sample, count(*)::VARCHAR FROM s GROUP BY sample HAVING count(*) > 1
+UNION ALL SELECT DISTINCT 'not_one_or_two_files', sample, n::VARCHAR FROM s WHERE n > 2
+UNION ALL SELECT 'group_too_small', grp, string_agg(DISTINCT sample, ',' ORDER BY sample) FROM g GROUP BY grp HAVING count(DISTINCT sample) < 2
+UNION ALL SELECT 'mixed_read_types', grp, string_agg(DISTINCT CASE n WHEN 1 THEN 'long' WHEN 2 THEN 'short' END, ',' ORDER BY CASE n WHEN 1 THEN 'long' WHEN 2 THEN 'short' END) FROM g GROUP BY grp HAVING count(DISTINCT CASE n WHEN 1 THEN 'long' WHEN 2 THEN 'short' END) > 1
+UNION ALL SELECT 'sample_in_two_groups', sample, string_agg(DISTINCT grp, ',' ORDER BY grp) FROM g GROUP BY sample HAVING count(DISTINCT grp) > 1"""
 
 
 def coverage_groups(spark: SparkSession, d: str) -> DataFrame:
@@ -311,6 +311,14 @@ SELECT p_partkey AS mag, 'missing' AS problem FROM part WHERE p_partkey NOT IN (
 UNION ALL SELECT mag, 'inconsistent' FROM c GROUP BY mag HAVING count(DISTINCT classification) > 1"""
 
 
+def merged_batches(spark: SparkSession, d: str) -> DataFrame:
+    """Hits of all classes but one, then a batch of that class and of another again, put in twice: the table as if annotated at once."""
+    rows = merged_annotations(spark, d).withColumn("evalue", F.lit("1e-50"))
+    batch = rows.where("MAG in ('PsaA', 'RHO')")
+    once = annotation.merge_annotations(rows.where("MAG <> 'PsaA'"), batch, ("evalue",))
+    return annotation.merge_annotations(once, batch, ("evalue",))
+
+
 def genomes_of(dna: DataFrame) -> DataFrame:
     return dna.groupBy("genome").agg(F.sum(F.length("seq").cast("long")).alias("total_bp")).withColumn("quality_score", F.col("genome") * 7919 % 101)
 
@@ -391,9 +399,42 @@ SELECT sample, binner, bin, contigs, round(coalesce(d, 0) * 100.0 / 12, 6)::DOUB
  round(coalesce(d, 0) * 100.0 / 12 - 5 * ((coalesce(n, 0) - coalesce(d, 0)) * 100.0 / 12), 6)::DOUBLE AS quality_score FROM z LEFT JOIN p USING (sample, binner, bin)"""
 
 
+REFINE_LIMITS = (30, 15)
+
+
+def fine_bins(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+    """Candidate bins of some ten contigs at any size of the table, so that contamination counts: label or id modulo 7, within every 500 ids."""
+    v = t(spark, d, "embeddings").select(F.col("vec_id").alias("contig"), (F.col("vec_id") % 5).alias("sample"), "label", F.floor(F.col("vec_id") / 500).alias("run")).where("sample < 4")
+    one = v.select("sample", F.lit("label").alias("binner"), (F.col("label") + 100 * F.col("run")).cast("long").alias("bin"), "contig")
+    two = v.select("sample", F.lit("modulo").alias("binner"), (F.col("contig") % 7 + 100 * F.col("run")).alias("bin"), "contig")
+    markers = v.where("contig % 3 <> 0").select("sample", "contig", (F.floor(F.col("contig") / 4) % 12).alias("marker"))
+    return one.unionByName(two), markers
+
+
 def refine_bins(spark: SparkSession, d: str) -> DataFrame:
-    """Bins without common contigs. Vectors are many to a marker, so any contamination is let pass."""
-    return refine.refine_bins(*candidate_bins(spark, d), 50, 1e9, "metawrap", "checkm").select("sample", "binner", "bin", "contig", F.col("round").cast("long").alias("round"))
+    """Bins without common contigs, at least 30 % complete and at most 15 % contaminated."""
+    return refine.refine_bins(*fine_bins(spark, d), *REFINE_LIMITS, "metawrap", "checkm").select("sample", "binner", "bin", "contig", F.col("round").cast("long").alias("round"))
+
+
+#: Tables up to taken(sample, binner, bin, contig, i): a step of the recursion is a round; rows marked done are out of the next.
+REFINE_STEPS = f"""v AS (SELECT vec_id AS contig, vec_id % 5 AS sample, label, vec_id // 500 AS run FROM embeddings WHERE vec_id % 5 < 4),
+own AS (SELECT sample, 'label' AS binner, label + 100 * run AS bin, contig FROM v UNION ALL SELECT sample, 'modulo', contig % 7 + 100 * run, contig FROM v),
+mk AS (SELECT DISTINCT contig, contig // 4 % 12 AS marker FROM v WHERE contig % 3 <> 0), tot AS (SELECT count(DISTINCT marker) AS total FROM mk),
+taken(i, sample, binner, bin, contig, done) AS (
+ SELECT 0::BIGINT, sample, binner, bin, contig, false FROM own
+ UNION ALL
+ SELECT * FROM (
+  WITH live AS (SELECT * FROM taken WHERE NOT done),
+  per AS (SELECT sample, binner, bin, count(DISTINCT live.contig) AS size, count(DISTINCT marker) AS kinds, count(marker) AS copies FROM live LEFT JOIN mk ON mk.contig = live.contig GROUP BY ALL),
+  pc AS (SELECT *, kinds * 100.0::DOUBLE / total AS com, (copies - kinds) * 100.0::DOUBLE / total AS con FROM per, tot),
+  good AS (SELECT * FROM pc WHERE com >= {REFINE_LIMITS[0]} AND con <= {REFINE_LIMITS[1]}),
+  ranked AS (SELECT live.sample, live.binner, live.bin, live.contig, size, row_number() OVER (PARTITION BY live.sample, live.contig ORDER BY com - 5 * con DESC, size DESC, live.binner, live.bin) AS k FROM live JOIN good ON good.sample = live.sample AND good.binner = live.binner AND good.bin = live.bin),
+  pick AS (SELECT sample, binner, bin FROM ranked WHERE k = 1 GROUP BY sample, binner, bin HAVING count(*) = any_value(size)),
+  gone AS (SELECT DISTINCT live.contig FROM live JOIN pick USING (sample, binner, bin))
+  SELECT i + 1, sample, binner, bin, contig, (sample, binner, bin) IN (SELECT (sample, binner, bin) FROM pick) FROM live
+  WHERE (SELECT count(*) FROM pick) > 0 AND ((sample, binner, bin) IN (SELECT (sample, binner, bin) FROM pick) OR contig NOT IN (SELECT contig FROM gone))))"""
+REFINE_SQL = f"WITH RECURSIVE {REFINE_STEPS} SELECT sample, binner, bin, contig, i AS round FROM taken WHERE done"
+REFINED_SQL = f"WITH RECURSIVE {REFINE_STEPS} SELECT s.sample, count(DISTINCT (binner, bin)) FILTER (WHERE done) AS bins FROM (SELECT DISTINCT vec_id % 5 AS sample FROM embeddings) s LEFT JOIN taken ON taken.sample = s.sample GROUP BY s.sample"
 
 
 def refined_counts(spark: SparkSession, d: str) -> DataFrame:
@@ -519,7 +560,7 @@ QUERIES = {
     "tetranucleotide": tetranucleotide, "pending_mags": pending_mags, "merged_annotations": merged_annotations, "manifest_violations": manifest_violations, "coverage_groups": coverage_groups,
     "differential_coverage": differential_coverage, "taxonomy_check": taxonomy_check, "dereplicate": dereplicate,
     "dereplication_pass": dereplication_pass, "sketch_pairs": sketch_pairs, "bin_scores": bin_scores, "refine_bins": refine_bins, "refined_counts": refined_counts,
-    "hydrogenase_table": hydrogenase_table, "terminal_table": terminal_table, "kegg_table": kegg_table, "missing_ko_descriptions": missing_ko_descriptions, "abundance_table": abundance_table,
+    "hydrogenase_table": hydrogenase_table, "terminal_table": terminal_table, "kegg_table": kegg_table, "missing_ko_descriptions": missing_ko_descriptions, "merged_batches": merged_batches, "abundance_table": abundance_table,
     "abundance_taxonomy": abundance_taxonomy, "multi_coverage_groups": multi_coverage_groups, "niche_gate_skip": niche_gate_skip, "contig_features": contig_features, "kmer_profile": kmer_profile,
 }
 
@@ -545,5 +586,5 @@ ORACLE_SQL = {
     "abundance_taxonomy": ABUNDANCE_TAXONOMY_SQL,
     "multi_coverage_groups": "SELECT 'multi' AS grp, a.s_name AS sample, b.s_name AS assembly FROM supplier a, supplier b WHERE a.s_nationkey < 5 AND b.s_nationkey < 5 UNION ALL SELECT s_name, s_name, s_name FROM supplier WHERE s_nationkey >= 5",
     "niche_gate_skip": "SELECT 'skipped' AS status, 'too_few_taxa' AS reason, count(DISTINCT l_partkey) AS mags, count(DISTINCT l_suppkey % 8) AS samples, count(DISTINCT l_partkey % 3) AS taxa FROM lineitem",
-    "contig_features": FEATURES_SQL, "kmer_profile": PROFILE_SQL,
+    "merged_batches": f"SELECT *, '1e-50' AS evalue FROM ({MERGED_SQL})", "refine_bins": REFINE_SQL, "refined_counts": REFINED_SQL, "contig_features": FEATURES_SQL, "kmer_profile": PROFILE_SQL,
 }

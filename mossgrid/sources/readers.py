@@ -2,22 +2,28 @@
 
 from __future__ import annotations
 
-import io
+import math
 import re
 from collections.abc import Iterator
-from typing import BinaryIO
+from dataclasses import dataclass
 
-import pyarrow.fs as pafs
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 from mossgrid.functions.common import FASTA_SUFFIX, union
+from mossgrid.sources.named import storage
+
+#: Bytes of a plain FASTQ file that a task reads, and those read at a time.
+RANGE_BYTES = 1 << 26
+READ_BYTES = 1 << 22
+FASTQ_ROWS = 4096
 
 
 def read_tsv(spark: SparkSession, path: str | list[str], schema: str | None = None, header: bool = False) -> DataFrame:
-    """Tab-separated text; `#` comments and blank lines are skipped. Without a schema the header names text columns."""
-    reader = spark.read.option("sep", "\t").option("comment", "#").option("header", header or schema is None).option("ignoreLeadingWhiteSpace", True).option("ignoreTrailingWhiteSpace", True)
+    """Tab-separated text; `#` comments and blank lines are skipped, quotes are text. Without a schema the header names text columns."""
+    reader = spark.read.option("sep", "\t").option("comment", "#").option("header", header or schema is None).option("ignoreLeadingWhiteSpace", True).option("ignoreTrailingWhiteSpace", True).option("quote", "")
     return (reader if schema is None else reader.schema(schema)).csv(path)
 
 
@@ -67,21 +73,82 @@ def read_fasta(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     return rows
 
 
-def qualified(spark: SparkSession, paths: list[str]) -> list[str]:
-    """The files as URIs of the file systems that Spark finds them on; a plain path belongs to the default one. Only names are read."""
-    found = spark.read.format("binaryFile").load(paths).select("path").collect()
-    return sorted({r.path for r in found})
-
-
-def opened(uri: str) -> BinaryIO:
-    """A file's bytes, unpacked if its name ends in .gz. Others than file: need a file system that Arrow knows."""
-    local = re.sub("^file:/*", "/", uri) if uri.startswith("file:") or "://" not in uri else None
-    files, path = (pafs.LocalFileSystem(), local) if local else pafs.FileSystem.from_uri(uri)
-    return files.open_input_stream(path, compression="gzip" if path.endswith(".gz") else None)
+def listed_files(spark: SparkSession, paths: list[str]) -> list[tuple[str, int]]:
+    """(URI, length) of all files at the paths, from one listing; a plain path belongs to the default file system. Nothing is read."""
+    found = spark.read.format("binaryFile").load(paths).select("path", "length").collect()
+    return sorted({(r.path, r.length) for r in found})
+
+
+def opened(uri: str, start: int = 0) -> pa.NativeFile:
+    """A file's bytes from a place on, unpacked if its name ends in .gz. Others than file: need a file system that Arrow knows."""
+    files, path = storage(uri)
+    if path.endswith(".gz"):
+        return files.open_input_stream(path, compression="gzip")
+    stream = files.open_input_file(path)
+    stream.seek(start)
+    return stream
+
+
+def is_head(lines: list[bytes], at: int) -> bool:
+    """Whether a record begins at a line: a quality line that starts like a header is followed, two lines on, by bases."""
+    return lines[at][:1] == b"@" and at + 2 < len(lines) and lines[at + 2][:1] == b"+"
+
+
+def fastq_batches(stream: pa.NativeFile, start: int, end: float, uri: str) -> Iterator[pa.RecordBatch]:
+    """Records whose header begins in the bytes from start up to end. stream stands one byte before start, or at 0."""
+    rest, place, framed = b"", max(0, start - 1), start == 0
+    while True:
+        more = stream.read(READ_BYTES)
+        rest += more
+        lines = rest.split(b"\n")
+        if more or not lines[-1]:
+            lines.pop()  # may go on, or stands after the last line end
+        at = 0
+        if not framed:  # the first whole line after start - 1, then the first header
+            at = next((k for k in range(1, len(lines)) if is_head(lines, k)), len(lines))
+            if at == len(lines) and more:
+                continue
+            place += sum(map(len, lines[:at])) + at
+            framed = True
+        used = at
+        columns: tuple[list, list, list] = ([], [], [])
+        while at < len(lines) and place < end:
+            if not lines[at].strip():  # blank lines between records
+                place += len(lines[at]) + 1
+                at += 1
+                used = at
+                continue
+            if at + 4 > len(lines):
+                if not more and at + 3 == len(lines) and not lines[at + 1].strip():
+                    lines.append(b"")  # the qualities of no base
+                    continue
+                if not more:
+                    raise ValueError(f"{uri} ends within a record")
+                break
+            head, seq, _, qual = lines[at : at + 4]
+            columns[0].append((head[1:].split(None, 1) or [b""])[0])
+            columns[1].append(seq.strip())
+            columns[2].append(qual.strip())
+            place += sum(map(len, lines[at : at + 4])) + 4
+            at += 4
+            used = at
+        for k in range(0, len(columns[0]), FASTQ_ROWS):
+            n = len(columns[0][k : k + FASTQ_ROWS])
+            yield pa.record_batch([pa.array([uri] * n), *(pa.array([x.decode("ascii", "replace") for x in c[k : k + FASTQ_ROWS]], pa.string()) for c in columns)], ["file", "read_id", "seq", "qual"])
+        if place >= end or not more:
+            return
+        rest = rest[sum(map(len, lines[:used])) + used :]
+
+
+@dataclass
+class FastqRange(InputPartition):
+    uri: str
+    start: int
+    end: float
 
 
 class FastqSource(DataSource):
-    """FASTQ files, one partition a file, streamed. Option `paths`: URIs separated by newlines."""
+    """FASTQ files; a plain file in ranges of bytes, a packed one whole. Option `files`: lines of URI, a tab and the length."""
 
     @classmethod
     def name(cls) -> str:
@@ -91,37 +158,52 @@ class FastqSource(DataSource):
         return "file string, read_id string, seq string, qual string"
 
     def reader(self, schema: object) -> DataSourceReader:
-        return FastqReader(self.options["paths"].split("\n"))
+        files = [x.rsplit("\t", 1) for x in self.options["files"].split("\n") if x]
+        return FastqReader([(uri, int(n)) for uri, n in files], int(self.options.get("rangebytes", RANGE_BYTES)))
 
 
 class FastqReader(DataSourceReader):
-    def __init__(self, paths: list[str]) -> None:
-        self.paths = paths
+    def __init__(self, files: list[tuple[str, int]], size: int) -> None:
+        self.files, self.size = files, size
 
     def partitions(self) -> list[InputPartition]:
-        return [InputPartition(p) for p in self.paths]
+        out = []
+        for uri, length in self.files:
+            if uri.endswith(".gz") or length <= self.size:
+                out.append(FastqRange(uri, 0, math.inf))
+            else:
+                out += [FastqRange(uri, a, min(a + self.size, length)) for a in range(0, length, self.size)]
+        return out or [FastqRange("", 0, 0)]
 
-    def read(self, partition: InputPartition) -> Iterator[tuple]:
-        with io.TextIOWrapper(io.BufferedReader(opened(partition.value)), "ascii", "replace") as f:
-            while head := f.readline():
-                if head.strip():
-                    seq, _, qual = f.readline().strip(), f.readline(), f.readline().strip()
-                    yield partition.value, head[1:].split()[0], seq, qual
+    def read(self, partition: FastqRange) -> Iterator[pa.RecordBatch]:
+        if partition.uri:
+            with opened(partition.uri, max(0, partition.start - 1)) as stream:
+                yield from fastq_batches(stream, partition.start, partition.end, partition.uri)
 
 
-def read_fastq(spark: SparkSession, paths: list[str]) -> DataFrame:
-    """(file, read_id, seq, qual) of plain or gzipped FASTQ on any storage that Spark and Arrow both know."""
+def fastq_of(spark: SparkSession, files: list[tuple[str, int]], range_bytes: int) -> DataFrame:
     spark.dataSource.register(FastqSource)
-    return spark.read.format("fastq").option("paths", "\n".join(qualified(spark, paths))).load()
+    return spark.read.format("fastq").option("files", "\n".join(f"{uri}\t{n}" for uri, n in files)).option("rangebytes", range_bytes).load()
+
+
+def read_fastq(spark: SparkSession, paths: list[str], range_bytes: int = RANGE_BYTES) -> DataFrame:
+    """(file, read_id, seq, qual) of plain or gzipped FASTQ on any storage that Spark and Arrow both know. Several tasks read a plain file of more than range_bytes."""
+    return fastq_of(spark, listed_files(spark, paths), range_bytes)
+
+
+def plain_path(uri: str) -> str:
+    """A path without its scheme and host."""
+    return re.sub("^[A-Za-z][A-Za-z0-9+.-]*:(?://[^/]*(?=/))?/*(?=/)", "", uri)
 
 
-def read_manifest_reads(spark: SparkSession, manifest: DataFrame) -> DataFrame:
-    """(sample, mate, file, read_id, seq, qual) of every file that a reads manifest names. The manifest is a list of files, small next to them."""
+def read_manifest_reads(spark: SparkSession, manifest: DataFrame, range_bytes: int = RANGE_BYTES) -> DataFrame:
+    """(sample, mate, file, read_id, seq, qual) of every file that a reads manifest names, listed at once. The manifest is a list of files, small next to them; its own table is joined by size."""
     named = manifest.select("sample", F.posexplode("reads").alias("mate", "path")).collect()
-    rows = [(r.sample, r.mate + 1, uri) for r in named for uri in qualified(spark, [r.path])]
+    found = {plain_path(uri): (uri, n) for uri, n in listed_files(spark, sorted({r.path for r in named}))} if named else {}
+    rows = [(r.sample, r.mate + 1, found[plain_path(r.path)][0]) for r in named]
     files = spark.createDataFrame(rows, "sample string, mate int, file string")
-    reads = read_fastq(spark, sorted({r[2] for r in rows}))
-    return reads.join(F.broadcast(files), "file").select("sample", "mate", "file", "read_id", "seq", "qual")
+    reads = fastq_of(spark, sorted(set(found.values())), range_bytes)
+    return reads.join(files, "file").select("sample", "mate", "file", "read_id", "seq", "qual")
 
 
 def read_alignments(spark: SparkSession, path: str, sample: str | None = None) -> DataFrame:

@@ -144,41 +144,59 @@ def list_keys(docs: DataFrame, frequent: np.ndarray, most_light: int, k: int = W
     return docs.mapInArrow(scan, "doc_id long, rare array<long>, common array<long>, subsets array<long>")
 
 
+def linked(one: np.ndarray, two: np.ndarray, percent: int) -> bool:
+    """Whether two sorted sets link."""
+    both = np.concatenate((one, two))
+    both.sort()
+    shared = int((both[1:] == both[:-1]).sum())
+    return len(two) > 0 and 100 * shared >= percent * (len(both) - shared)
+
+
 def verified(pairs: DataFrame, docs: DataFrame, k: int = WORDS, percent: int = PERCENT) -> DataFrame:
     """(a, b, linked) for pairs of documents, by their whole texts. Only texts that the pairs name are moved.
 
-    The pairs of one a are dealt in parts of PART_PAIRS; its text goes to each part once, ahead of the texts of its b.
+    A document with more than PART_PAIRS pairs as a is a hub: its pairs are dealt in parts of about so many, and its text
+    goes to each part once, ahead of the texts of its b.
     """
     named = id_filter(pairs.select("a").unionByName(pairs.select(F.col("b").alias("a"))))
     texts = docs.where(named("doc_id"))
-    parts = pairs.groupBy("a").agg(F.ceil(F.count("*") / PART_PAIRS).alias("parts"))
-    dealt = pairs.join(parts, "a").select("a", "b", F.pmod(F.xxhash64("b"), "parts").alias("part"))
-    second = dealt.join(texts.select(F.col("doc_id").alias("b"), "text"), "b").select("a", "part", "b", "text")
-    first = parts.join(texts.select(F.col("doc_id").alias("a"), "text"), "a").select("a", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("part"), F.lit(None).cast("long").alias("b"), "text")
-    together = first.unionByName(second).repartition("a", "part").sortWithinPartitions("a", "part", F.asc_nulls_first("b"))
+    hubs = kept(pairs.groupBy("a").agg(F.ceil(F.count("*") / PART_PAIRS).alias("parts")).where("parts > 1"), "hubs")
+    of_a, of_b = (texts.select(F.col("doc_id").alias(c), F.col("text").alias(f"text_{c}")) for c in ("a", "b"))
+    few = pairs.join(hubs, "a", "left_anti").join(of_b, "b").join(of_a, "a").select("a", "b", "text_a", "text_b")
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last, hubs = None, []
+        last, hub = None, None
+        for batch in pieces(pieces(batches, "text_b"), "text_a"):
+            grams, at = shingle_sets(batch.column("text_b"), k)
+            found = []
+            for i, a in enumerate(batch.column("a").to_pylist()):
+                text = batch.column("text_a")[i].as_py()
+                if a != last or hub[0] != text:
+                    last, hub = a, (text, shingle_sets(pa.array([text], pa.string()), k)[0])
+                found.append(linked(hub[1], grams[at[i] : at[i + 1]], percent))
+            yield pa.record_batch([batch.column("a"), batch.column("b"), pa.array(found, pa.bool_())], ["a", "b", "linked"])
+
+    def compare_parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last, sets = None, []
         for batch in pieces(batches, "text"):
             grams, at = shingle_sets(batch.column("text"), k)
-            out: tuple[list, list, list] = ([], [], [])
+            out = []
             for i, (a, part, b) in enumerate(zip(*(batch.column(c).to_pylist() for c in ("a", "part", "b")), strict=True)):
                 own = grams[at[i] : at[i + 1]]
-                if b is None:  # a may stand in several rows
-                    hubs = [*hubs, own] if (a, part) == last else [own]
+                if b is not None:
+                    out.append((a, b, any(linked(x, own, percent) for x in sets)))
+                else:  # a may stand in several rows
+                    sets = [*sets, own] if (a, part) == last else [own]
                     last = a, part
-                    continue
-                linked = False
-                for hub in hubs:
-                    both = np.concatenate((hub, own))
-                    both.sort()
-                    shared = int((both[1:] == both[:-1]).sum())
-                    linked = linked or (len(own) > 0 and 100 * shared >= percent * (len(both) - shared))
-                for column, value in zip(out, (a, b, linked), strict=True):
-                    column.append(value)
-            yield pa.record_batch([pa.array(out[0], pa.int64()), pa.array(out[1], pa.int64()), pa.array(out[2], pa.bool_())], ["a", "b", "linked"])
-
-    return together.mapInArrow(compare, "a long, b long, linked boolean").groupBy("a", "b").agg(F.max("linked").alias("linked"))
+            yield pa.record_batch([pa.array([x[c] for x in out], kind) for c, kind in enumerate((pa.int64(), pa.int64(), pa.bool_()))], ["a", "b", "linked"])
+
+    out = few.mapInArrow(compare, "a long, b long, linked boolean")
+    if not hubs.isEmpty():
+        second = pairs.join(hubs, "a").join(of_b, "b").select("a", F.pmod(F.xxhash64("b"), "parts").alias("part"), "b", F.col("text_b").alias("text"))
+        first = hubs.join(of_a, "a").select("a", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("part"), F.lit(None).cast("long").alias("b"), F.col("text_a").alias("text"))
+        dealt = first.unionByName(second).repartition("a", "part").sortWithinPartitions("a", "part", F.asc_nulls_first("b"))
+        out = out.unionByName(dealt.mapInArrow(compare_parts, "a long, b long, linked boolean"))
+    return out.groupBy("a", "b").agg(F.max("linked").alias("linked"))
 
 
 def jaccard_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = WORDS, percent: int = PERCENT) -> DataFrame:

@@ -48,9 +48,9 @@ def numbered_rows(df: DataFrame, *keys: str) -> DataFrame:
     rows = kept(df, "numbered").select("*", F.struct("_metadata.file_path", "_metadata.row_index").alias("_row"))
     files = rows.groupBy(*keys, F.col("_row.file_path").alias("_file")).agg(F.count("*").alias("n"))
     files = files.withColumn("_skip", F.sum("n").over(Window.partitionBy(*keys).orderBy("_file")) - F.col("n")).select(*(F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)), "_file", "_skip")
-    rows = rows.withColumn("_place", F.row_number().over(Window.partitionBy(*keys, "_row.file_path").orderBy("_row.row_index")))
+    rows = rows.withColumn("_in_file", F.row_number().over(Window.partitionBy(*keys, "_row.file_path").orderBy("_row.row_index")))
     same = reduce(lambda a, b: a & b, (F.col(k).eqNullSafe(F.col(f"_k{i}")) for i, k in enumerate(keys)))
-    return rows.join(files, same & (F.col("_row.file_path") == F.col("_file"))).select(*df.columns, (F.col("_place") + F.col("_skip")).alias("_no"))
+    return rows.join(files, same & (F.col("_row.file_path") == F.col("_file"))).select(*df.columns, (F.col("_in_file") + F.col("_skip")).alias("_no"))
 
 
 def classified(taxon: Column) -> Column:

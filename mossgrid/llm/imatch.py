@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from mossgrid.llm.common import LOWER, NOT_SPACE, U64, buffer, mix, pieces, prepare, random_words, signed, span_hashes, word_spans
+from mossgrid.llm.common import LOWER, NOT_SPACE, U64, buffer, mix, pieces, prepare, random_words, signed, slices, span_hashes, word_spans
 
 LEAST_PART = 1e-3
 MOST_PART = 0.1
@@ -34,15 +34,19 @@ MOST_RANGES = 20_000
 
 
 def terms(column: pa.Array, lexicon: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct term hashes of each row (of the lexicon, if given), sorted, and offsets. Terms are words `[^\\x20\\x09-\\x0D]+`, A-Z lower-cased."""
+    """Distinct term hashes of each row (of the lexicon, if given), sorted, and offsets. Terms are words `[^\\x20\\x09-\\x0D]+`, A-Z lower-cased. A long text is read in slices."""
     data, offsets = buffer(column)
-    data = LOWER[data]
-    starts, ends, row = word_spans(data, offsets, NOT_SPACE)
-    h = span_hashes(data, starts, ends)
-    if lexicon is not None:
-        at = np.minimum(np.searchsorted(lexicon, h), max(len(lexicon) - 1, 0))
-        inside = lexicon[at] == h if len(lexicon) else np.zeros(len(h), bool)
-        h, row = h[inside], row[inside]
+    found = []
+    for part, at, first in slices(data, offsets, NOT_SPACE):
+        low = LOWER[part]
+        starts, ends, row = word_spans(low, at, NOT_SPACE)
+        h = span_hashes(low, starts, ends)
+        if lexicon is not None:
+            at = np.minimum(np.searchsorted(lexicon, h), max(len(lexicon) - 1, 0))
+            inside = lexicon[at] == h if len(lexicon) else np.zeros(len(h), bool)
+            h, row = h[inside], row[inside]
+        found.append((h, row + first))
+    h, row = (np.concatenate([x[i] for x in found]) if found else np.zeros(0, t) for i, t in enumerate((U64, np.int64)))
     at = np.searchsorted(row, np.arange(len(offsets)))
     sets = []
     for a, b in zip(at[:-1].tolist(), at[1:].tolist(), strict=True):
@@ -182,7 +186,9 @@ def edited_neighbours(docs: DataFrame, words: np.ndarray) -> DataFrame:
 
     The edited text has its last third replaced by as many first characters of the next row's; the last row's next is the
     first. Null texts are empty. Null ids are last; rows of one id stand in order of a hash of their texts, so repeated rows
-    are neighbours. Other columns than doc_id and text don't come back. Tables may be empty.
+    are neighbours. A long text takes a few times its own bytes: it is hashed in slices. Ranges are of RANGE_BYTES, larger
+    ones from MOST_RANGES of them on; a task streams its range. Other columns than doc_id and text don't come back. Tables
+    may be empty.
     """
     prepare(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(words)

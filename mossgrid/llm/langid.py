@@ -20,9 +20,11 @@ from mossgrid.llm.common import U64, pieces, prepare
 BITS = 16
 ORDERS = (2, 3)
 SCALE = 1 << 12
-#: With so many, a task's counters and the broadcast matrix take 64 MB each.
+#: With so many, a task's counters take 128 MB and the broadcast matrix 64 MB.
 MOST_LANGUAGES = 256
 UNKNOWN = "und"
+#: Characters of a text that are counted together; longer ones come in slices.
+SLICE = 1 << 18
 _LETTER = np.zeros(0, bool)
 
 
@@ -47,23 +49,45 @@ def code_points(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     return joined, np.concatenate(([0], np.cumsum(keep)))[offsets]
 
 
+def feature_numbers(points: np.ndarray, k: int) -> np.ndarray:
+    """Feature numbers of all n-grams of k code points."""
+    n, wide = len(points), points.astype(U64)
+    h = np.full(max(0, n - k + 1), k, U64)
+    for i in range(k if len(h) else 0):
+        h = (h + wide[i : n - k + 1 + i]) * U64(0x9E3779B97F4A7C15)
+    h ^= h >> U64(29)
+    h *= U64(0xBF58476D1CE4E5B9)
+    return (h >> U64(64 - BITS)).astype(np.int32)
+
+
+def long_counts(text: str) -> np.ndarray:
+    """How often each feature stands in a long text, read in slices whose n-grams reach back into the slice before: what features() finds, in memory of a slice beside the text."""
+    low, counts = text.lower(), np.zeros(1 << BITS, np.int64)
+    tail, gap = np.array([32], np.uint32), True
+    for at in range(0, len(low) + 1, SLICE):
+        part = np.frombuffer(low[at : at + SLICE].encode("utf-32-le", "surrogatepass"), np.uint32)
+        if at + SLICE > len(low):
+            part = np.concatenate((part, np.array([32], np.uint32)))
+        other = ~letters(part)
+        keep = ~other | ~np.concatenate(([gap], other[:-1]))
+        points = np.concatenate((tail, np.where(other, np.uint32(32), part)[keep]))
+        for k in ORDERS:
+            counts += np.bincount(feature_numbers(points[max(0, len(tail) - k + 1) :], k), minlength=1 << BITS)
+        tail, gap = points[-(max(ORDERS) - 1) :], bool(other[-1])
+    return counts
+
+
 def features(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """Feature numbers of all n-grams of all texts, row by row, and offsets. An n-gram lies in one text."""
     points, offsets = code_points(texts)
     n = len(points)
     row = np.repeat(np.arange(len(texts)), np.diff(offsets))
-    wide, found, rows = points.astype(U64), [], []
+    found, rows = [], []
     for k in ORDERS:
-        if n < k:
-            continue
-        h = np.full(n - k + 1, k, U64)
-        for i in range(k):
-            h = (h + wide[i : n - k + 1 + i]) * U64(0x9E3779B97F4A7C15)
-        h ^= h >> U64(29)
-        h *= U64(0xBF58476D1CE4E5B9)
-        inside = row[: n - k + 1] == row[k - 1 :]
-        found.append((h >> U64(64 - BITS)).astype(np.int32)[inside])
-        rows.append(row[: n - k + 1][inside])
+        if n >= k:
+            inside = row[: n - k + 1] == row[k - 1 :]
+            found.append(feature_numbers(points, k)[inside])
+            rows.append(row[: n - k + 1][inside])
     if not found:
         return np.zeros(0, np.int32), np.zeros(len(texts) + 1, np.int64)
     rows, found = np.concatenate(rows), np.concatenate(found)
@@ -88,21 +112,25 @@ def train(labelled: DataFrame, text: str = "text", lang: str = "lang", most_lang
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[str, np.ndarray] = {}
         for batch in pieces(batches, "text"):
-            found, at = features(batch.column("text").to_pylist())
-            langs = batch.column("lang").to_pylist()
+            texts, langs = batch.column("text").to_pylist(), batch.column("lang").to_pylist()
+            if len(texts) == 1 and len(texts[0]) > SLICE:
+                got = long_counts(texts[0])
+                sums[langs[0]] = sums[langs[0]] + got if langs[0] in sums else got
+                continue
+            found, at = features(texts)
             index = {x: k for k, x in enumerate(sorted(set(langs)))}
             own = np.repeat(np.array([index[x] for x in langs]), np.diff(at))
-            got = np.bincount((own << BITS) + found, minlength=len(index) << BITS).reshape(len(index), -1).astype(np.uint32)
+            got = np.bincount((own << BITS) + found, minlength=len(index) << BITS).reshape(len(index), -1)
             for x, k in index.items():
                 sums[x] = sums[x] + got[k] if x in sums else got[k]
         for x, c in sums.items():
-            yield pa.record_batch([pa.array([x]), pa.array([zlib.compress(c.tobytes(), 1)], pa.binary())], ["lang", "counts"])
+            yield pa.record_batch([pa.array([x]), pa.array([zlib.compress(c.astype(np.int64).tobytes(), 1)], pa.binary())], ["lang", "counts"])
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[str, np.ndarray] = {}
         for batch in batches:
             for x, c in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                c = np.frombuffer(zlib.decompress(c), np.uint32).astype(np.int64)
+                c = np.frombuffer(zlib.decompress(c), np.int64)
                 sums[x] = sums[x] + c if x in sums else c
         for x, c in sums.items():
             yield pa.record_batch([pa.array([x]), pa.array([zlib.compress(c.astype(np.int64).tobytes(), 1)], pa.binary())], ["lang", "counts"])
@@ -117,7 +145,8 @@ def predict(df: DataFrame, model: tuple[list[str], np.ndarray], text: str = "tex
     """Adds lang_pred, the language of the highest likelihood under equal priors, and score, its posterior with the evidence divided by the square root of the number of n-grams (the plain posterior is 1 for nearly every text).
 
     `und` with score 0 where the text is null or has no letter, or no language was learned. A tie goes to the language
-    first in name order. Earlier columns of these names are replaced.
+    first in name order. A long text is counted in slices, so it takes a few times its own bytes. Earlier columns of these
+    names are replaced.
     """
     prepare(df.sparkSession)
     df = df.drop("lang_pred", "score")
@@ -127,12 +156,17 @@ def predict(df: DataFrame, model: tuple[list[str], np.ndarray], text: str = "tex
         names, table = shared.value
         for batch in pieces(batches, text):
             texts = [x or "" for x in batch.column(text).to_pylist()]
-            found, at = features(texts)
+            long = len(texts) == 1 and len(texts[0]) > SLICE
+            found, at = features([] if long else texts)
             best, sure = [UNKNOWN] * len(texts), np.zeros(len(texts))
-            if names and len(found):
-                full = np.flatnonzero(np.diff(at) > 0)
-                sums = np.stack([np.add.reduceat(table[:, k][found].astype(np.int64), at[:-1][full]) for k in range(len(names))])
-                n = np.diff(at)[full]
+            if names and (long or len(found)):
+                if long:
+                    counts, full = long_counts(texts[0]), np.zeros(1, np.int64)
+                    sums, n = (counts @ table.astype(np.int64))[:, None], counts.sum(keepdims=True)
+                else:
+                    full = np.flatnonzero(np.diff(at) > 0)
+                    sums = np.stack([np.add.reduceat(table[:, k][found].astype(np.int64), at[:-1][full]) for k in range(len(names))])
+                    n = np.diff(at)[full]
                 gap = (sums - sums.max(axis=0)) / (SCALE * np.sqrt(n))
                 p = np.exp(gap)
                 p = p.max(axis=0) / p.sum(axis=0)

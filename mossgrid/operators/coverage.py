@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from mossgrid.functions.common import kept
+from mossgrid.functions.common import kept, union
 from mossgrid.functions.kmers import counted_codes
 
 #: Positions of a contig that are united together.
@@ -103,6 +103,34 @@ def differential_coverage(alignments: DataFrame, groups: DataFrame) -> DataFrame
     return kept.groupBy("group", "contig", "sample").agg(F.try_divide(F.sum("aligned_len").cast("double"), F.first("contig_len")).alias("depth"))
 
 
+def depth_vectors(depths: DataFrame, groups: DataFrame, contigs: DataFrame | None = None) -> DataFrame:
+    """(group, contig, samples, depths): standardised log depths of every contig over the samples of its coverage group, in their order.
+
+    depths: (group, contig, sample, depth) as differential_coverage() gives, a row for each depth above 0; groups: (group,
+    sample, ...); contigs: (group, contig) to be there even without a depth. Zeros count by their number, so no grid of
+    contigs and samples is made: a contig's vector is sparse until its last step. A sample whose depth is the same for all
+    contigs is 0 everywhere. Rows of one contig and sample add up.
+    """
+    members = groups.select("group", "sample").distinct()
+    per_group = members.groupBy("group").agg(F.array_sort(F.collect_set("sample")).alias("samples"))
+    rows = depths.groupBy("group", "contig", "sample").agg(F.sum("depth").alias("depth")).join(members, ["group", "sample"]).select("group", "contig", "sample", F.log1p("depth").alias("x"))
+    rows = kept(rows, "depths")
+    named = rows.select("group", "contig") if contigs is None else union(rows.select("group", "contig"), contigs.select("group", "contig"))
+    named = named.distinct()
+    sizes = named.groupBy("group").agg(F.count("*").alias("n"))
+    sums = rows.groupBy("group", "sample").agg(F.sum("x").alias("sum"), F.sum(F.col("x") * F.col("x")).alias("squares"))
+    stats = members.join(sums, ["group", "sample"], "left").na.fill(0.0, ["sum", "squares"]).join(sizes, "group")
+    mean = F.col("sum") / F.col("n")
+    spread = F.sqrt(F.greatest(F.col("squares") / F.col("n") - mean * mean, F.lit(0.0)))
+    scale = stats.groupBy("group").agg(F.map_from_entries(F.collect_list(F.struct("sample", F.struct(mean.alias("mean"), spread.alias("spread"))))).alias("scale"))
+    scale = kept(per_group.join(scale, "group"), "scales")  # a row for each group
+    sparse = rows.groupBy("group", "contig").agg(F.map_from_entries(F.collect_list(F.struct("sample", "x"))).alias("held"))
+    found = named.join(sparse, ["group", "contig"], "left").join(scale, "group")
+    value = lambda s: F.coalesce(F.try_element_at("held", s), F.lit(0.0))
+    standard = lambda s: F.when(F.element_at("scale", s)["spread"] > 1e-9, (value(s) - F.element_at("scale", s)["mean"]) / F.element_at("scale", s)["spread"]).otherwise(0.0)
+    return found.select("group", "contig", "samples", F.transform("samples", standard).alias("depths"))
+
+
 #: What tells apart the sets of genomes that hold a k-mer: their number and two sums of their hashes.
 CLASS = ("genomes", "mixed", "summed")
 

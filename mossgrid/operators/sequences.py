@@ -71,20 +71,19 @@ def tetranucleotides(df: DataFrame, key: str, k: int = 4) -> DataFrame:
 
 
 def contig_features(df: DataFrame, key: str = "contig_id", depth: DataFrame | None = None) -> DataFrame:
-    """(key, features): frequencies of the 136 canonical tetranucleotides in name order, and the log of each depth given.
+    """(key, features): frequencies of the 136 canonical tetranucleotides in name order, then the depths given.
 
-    Sequences without a tetranucleotide have no row. depth: (key, depth) with one depth, or (key, depths) with a vector of
-    them, as depth_vectors() gives; a contig that isn't in it has depth 0 everywhere.
+    Sequences without a tetranucleotide have no row. depth: (key, depth), whose log is taken, or (key, depths) with vectors of
+    one length as coverage.depth_vectors() gives them, taken as they are; a contig without depths has zeros.
     """
     total = F.aggregate("counts", F.lit(0).cast("long"), lambda a, x: a + x)
     out = summed_counts(df, 4, key).select(key, F.transform("counts", lambda x: x / total).alias("features"))
     if depth is None:
         return out
     if "depths" not in depth.columns:
-        depth = depth.select(key, F.array(F.coalesce("depth", F.lit(0.0))).alias("depths"))
+        depth = depth.select(key, F.array(F.log1p(F.coalesce("depth", F.lit(0.0)))).alias("depths"))
     size = depth.select(F.max(F.size("depths"))).first()[0] or 0
-    logs = F.transform(F.coalesce("depths", F.array_repeat(F.lit(0.0), size)), lambda x: F.log1p(x))
-    return out.join(depth.select(key, "depths"), key, "left").select(key, F.concat("features", logs).alias("features"))
+    return out.join(depth.select(key, "depths"), key, "left").select(key, F.concat("features", F.coalesce("depths", F.array_repeat(F.lit(0.0), size))).alias("features"))
 
 
 def cluster_contigs(features: DataFrame, k: int, key: str = "contig_id", seed: int = 1) -> DataFrame:

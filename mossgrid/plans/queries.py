@@ -538,6 +538,27 @@ v AS (SELECT whole.doc_id, names.kmer, coalesce(n.n, 0) / total AS x FROM whole
 SELECT doc_id AS contig_id, count(*)::BIGINT AS features, round(max(x), 6) AS largest, string_agg(floor(x * 1e6 + 0.5)::BIGINT::VARCHAR, ',' ORDER BY kmer) AS vector FROM v GROUP BY 1"""
 
 
+def binning_features(spark: SparkSession, d: str) -> DataFrame:
+    """Composition and depths in eight samples of every document as a contig, whole vectors in ten-thousandths: parts' quantities are the bases aligned to documents of their number."""
+    dna = contigs(spark, d).where("contig_id is not null")
+    lengths = dna.where("length(seq) > 0").select(F.col("contig_id").alias("contig"), F.length("seq").cast("long").alias("contig_len"))
+    aligned = t(spark, d, "lineitem").select(F.col("l_partkey").alias("contig"), (F.col("l_suppkey") % 8).alias("sample"), F.lit("all").alias("assembly"), F.col("l_quantity").cast("long").alias("aligned_len")).join(lengths, "contig")
+    groups = spark.range(8).select(F.lit("multi").alias("group"), F.col("id").alias("sample"), F.lit("all").alias("assembly"))
+    depths = coverage.differential_coverage(aligned, groups)
+    vectors = coverage.depth_vectors(depths, groups, lengths.select(F.lit("multi").alias("group"), "contig"))
+    rows = sequences.contig_features(dna, "contig_id", vectors.select(F.col("contig").alias("contig_id"), "depths"))
+    return rows.select("contig_id", F.size("features").cast("long").alias("features"), F.array_join(F.transform("features", lambda x: F.floor(x * 1e4 + 0.5).cast("string")), ",").alias("vector"))
+
+
+BINNING_SQL = f"""WITH {{composition}},
+len AS (SELECT doc_id, length(seq) AS bp FROM s WHERE doc_id IS NOT NULL AND length(seq) > 0), smp AS (SELECT range AS sample FROM range(8)),
+dep AS (SELECT doc_id, l_suppkey % 8 AS sample, ln(1 + sum(l_quantity::BIGINT)::DOUBLE / any_value(bp)) AS x FROM lineitem JOIN len ON l_partkey = doc_id GROUP BY 1, 2),
+grid AS (SELECT len.doc_id, smp.sample, coalesce(x, 0) AS x FROM len CROSS JOIN smp LEFT JOIN dep ON dep.doc_id = len.doc_id AND dep.sample = smp.sample),
+z AS (SELECT doc_id, sample, CASE WHEN stddev_pop(x) OVER w > 1e-9 THEN (x - avg(x) OVER w) / stddev_pop(x) OVER w ELSE 0 END AS x FROM grid WINDOW w AS (PARTITION BY sample)),
+joint AS (SELECT doc_id, 0 AS part, kmer AS name, x FROM v UNION ALL SELECT doc_id, 1, sample::VARCHAR, x FROM z WHERE doc_id IN (SELECT doc_id FROM whole))
+SELECT doc_id AS contig_id, count(*)::BIGINT AS features, string_agg(floor(x * 1e4 + 0.5)::BIGINT::VARCHAR, ',' ORDER BY part, name) AS vector FROM joint GROUP BY 1""".replace("{composition}", FEATURES_SQL.removeprefix("WITH ").rpartition("\nSELECT")[0])
+
+
 def kmer_profile(spark: SparkSession, d: str) -> DataFrame:
     """Documents as reads against those of labelled quality as genomes."""
     dna = contigs(spark, d).where("contig_id is not null").select(F.col("contig_id").alias("read_id"), "seq")
@@ -561,7 +582,7 @@ QUERIES = {
     "differential_coverage": differential_coverage, "taxonomy_check": taxonomy_check, "dereplicate": dereplicate,
     "dereplication_pass": dereplication_pass, "sketch_pairs": sketch_pairs, "bin_scores": bin_scores, "refine_bins": refine_bins, "refined_counts": refined_counts,
     "hydrogenase_table": hydrogenase_table, "terminal_table": terminal_table, "kegg_table": kegg_table, "missing_ko_descriptions": missing_ko_descriptions, "merged_batches": merged_batches, "abundance_table": abundance_table,
-    "abundance_taxonomy": abundance_taxonomy, "multi_coverage_groups": multi_coverage_groups, "niche_gate_skip": niche_gate_skip, "contig_features": contig_features, "kmer_profile": kmer_profile,
+    "abundance_taxonomy": abundance_taxonomy, "multi_coverage_groups": multi_coverage_groups, "niche_gate_skip": niche_gate_skip, "contig_features": contig_features, "binning_features": binning_features, "kmer_profile": kmer_profile,
 }
 
 ORACLE_SQL = {
@@ -586,5 +607,5 @@ ORACLE_SQL = {
     "abundance_taxonomy": ABUNDANCE_TAXONOMY_SQL,
     "multi_coverage_groups": "SELECT 'multi' AS grp, a.s_name AS sample, b.s_name AS assembly FROM supplier a, supplier b WHERE a.s_nationkey < 5 AND b.s_nationkey < 5 UNION ALL SELECT s_name, s_name, s_name FROM supplier WHERE s_nationkey >= 5",
     "niche_gate_skip": "SELECT 'skipped' AS status, 'too_few_taxa' AS reason, count(DISTINCT l_partkey) AS mags, count(DISTINCT l_suppkey % 8) AS samples, count(DISTINCT l_partkey % 3) AS taxa FROM lineitem",
-    "merged_batches": f"SELECT *, '1e-50' AS evalue FROM ({MERGED_SQL})", "refine_bins": REFINE_SQL, "refined_counts": REFINED_SQL, "contig_features": FEATURES_SQL, "kmer_profile": PROFILE_SQL,
+    "merged_batches": f"SELECT *, '1e-50' AS evalue FROM ({MERGED_SQL})", "refine_bins": REFINE_SQL, "refined_counts": REFINED_SQL, "contig_features": FEATURES_SQL, "binning_features": BINNING_SQL, "kmer_profile": PROFILE_SQL,
 }

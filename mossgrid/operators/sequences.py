@@ -2,12 +2,18 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from mossgrid.functions.common import kept, numbered_rows, running
 from mossgrid.functions.kmers import canonical_index, counted_codes, summed_counts
 
+#: Centres that are broadcast: some 12 MB with 150 numbers each.
+MOST_CLUSTERS = 10_000
 #: Up to this k the counts of a sequence are one array.
 ARRAY_K = 5
 
@@ -96,3 +102,81 @@ def cluster_contigs(features: DataFrame, k: int, key: str = "contig_id", seed: i
     vectors = features.select(key, array_to_vector("features").alias("raw"))
     model = Pipeline(stages=[StandardScaler(inputCol="raw", outputCol="features", withMean=True), KMeans(k=k, seed=seed, predictionCol="bin")]).fit(vectors)
     return model.transform(vectors).select(key, F.col("bin").cast("long").alias("bin"))
+
+
+def standard_scale(features: DataFrame) -> tuple[list[float], list[float]]:
+    """Mean and spread of every place of the vectors; a place without spread has 1. As many numbers as a vector has come to the driver."""
+    rows = features.select(F.posexplode("features").alias("at", "x")).groupBy("at").agg(F.avg("x").alias("mean"), F.stddev_pop("x").alias("spread")).orderBy("at").collect()
+    return [r.mean for r in rows], [r.spread if r.spread > 1e-12 else 1.0 for r in rows]
+
+
+def marker_seeds(markers: DataFrame, key: str = "contig_id") -> DataFrame:
+    """The contigs (key) that hold the marker found in the median number of contigs, the first by name of equal ones: as many as genomes, if most markers are whole."""
+    counts = markers.groupBy("marker").agg(F.count_distinct(key).alias("n"))
+    middle = counts.agg(F.expr("percentile_disc(0.5) WITHIN GROUP (ORDER BY n)").alias("n"))
+    chosen = counts.join(F.broadcast(middle), "n").agg(F.min("marker").alias("marker"))  # one row
+    return markers.join(F.broadcast(chosen), "marker").select(key).distinct()
+
+
+def marker_clusters(features: DataFrame, markers: DataFrame, key: str = "contig_id", rounds: int = 4, choices: int = 16, most: int = MOST_CLUSTERS) -> DataFrame:
+    """(key, bin): contigs by nearest centre, where contigs that share a single-copy marker are never together.
+
+    features: (key, features) with vectors of one length; markers: (key, marker). Centres start from marker_seeds(); each
+    round contigs choose, then centres move to their members' mean. Contigs with markers ask for a bin in order of distance;
+    of those that ask for a bin with one marker the nearest is let in, the others ask for their next. One that is refused by
+    its `choices` nearest, as every contig where there are no markers, has a null bin. Centres are broadcast; more than
+    `most` of them are an error. It makes no claim to equal a binner.
+    """
+    spark = features.sparkSession
+    rows = kept(features.select(key, "features").where("features is not null"), "vectors")
+    marks = kept(markers.select(key, "marker").dropna().distinct().join(rows.select(key), key, "left_semi"), "markers")
+    mean, spread = standard_scale(rows)
+    kind = rows.schema[key].dataType.simpleString()
+    seeds = rows.join(marker_seeds(marks, key), key).orderBy(key).limit(most + 1).collect()
+    if len(seeds) > most:
+        raise ValueError(f"more than {most} seeds")
+    if not seeds:
+        return rows.select(key, F.lit(None).cast("long").alias("bin"))
+    centres = (np.array([r.features for r in seeds], float) - mean) / spread
+    placed = None
+    for _ in range(rounds):
+        placed = _placed(rows, marks, centres, np.array(mean), np.array(spread), key, kind, choices)
+        # Sums of whole numbers, so that their order doesn't matter.
+        scaled = rows.join(placed.where("bin is not null"), key).select("bin", F.posexplode("features").alias("at", "x")).groupBy("bin", "at").agg(F.sum(F.round(F.col("x") * (1 << 20)).cast("long")).alias("sum"), F.count("*").alias("n"))
+        moved = scaled.groupBy("bin").agg(F.array_sort(F.collect_list(F.struct("at", (F.col("sum") / F.col("n") / (1 << 20)).alias("x")))).alias("x")).select("bin", F.transform("x", lambda v: v["x"]).alias("x"))
+        centres = centres.copy()
+        for r in moved.toLocalIterator():
+            centres[r.bin] = (np.array(r.x) - mean) / spread
+    return placed
+
+
+def _placed(rows: DataFrame, marks: DataFrame, centres: np.ndarray, mean: np.ndarray, spread: np.ndarray, key: str, kind: str, choices: int) -> DataFrame:
+    there = rows.sparkSession.sparkContext.broadcast((centres, mean, spread))
+    few = min(choices, len(centres))
+
+    def nearest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own, low, scale = there.value
+        size = (own * own).sum(axis=1)
+        for batch in batches:
+            for start in range(0, batch.num_rows, 256):
+                part = batch.slice(start, 256)
+                x = (part.column(1).flatten().to_numpy(zero_copy_only=False).reshape(part.num_rows, -1) - low) / scale
+                apart = np.maximum((x * x).sum(axis=1)[:, None] - 2 * x @ own.T + size, 0)
+                order = np.argsort(apart, axis=1, kind="stable")[:, :few]
+                lists = lambda values, t: pa.ListArray.from_arrays(pa.array(np.arange(part.num_rows + 1, dtype=np.int32) * few), pa.array(values.ravel(), t))  # noqa: B023, E731
+                yield pa.record_batch({key: part.column(0), "near": lists(order, pa.int64()), "apart": lists(np.take_along_axis(apart, order, axis=1), pa.float64())})
+
+    near = kept(rows.mapInArrow(nearest, f"`{key}` {kind}, near array<long>, apart array<double>"), "nearest")
+    asking = kept(near.join(marks.select(key).distinct(), key, "left_semi").withColumn("turn", F.lit(0)), "asking")
+    for _ in range(few * 64):  # each turn refuses one at least; far fewer are needed
+        asked = asking.where(F.col("turn") < few).select(key, F.get("near", F.col("turn")).alias("bin"), F.get("apart", F.col("turn")).alias("apart"))
+        wanted = asked.join(marks, key).select("bin", "marker", F.struct("apart", key).alias("who"))
+        first = wanted.groupBy("bin", "marker").agg(F.min("who").alias("first"))
+        refused = kept(wanted.join(first, ["bin", "marker"]).where("who <> first").select(F.col(f"who.{key}").alias(key)).distinct(), "refused")
+        if refused.isEmpty():
+            break
+        asking = kept(asking.join(refused.withColumn("_no", F.lit(1)), key, "left").withColumn("turn", F.col("turn") + F.coalesce("_no", F.lit(0))).drop("_no"), "asking")
+    else:
+        raise RuntimeError("contigs are still refused")
+    free = near.join(asking.select(key), key, "left_anti").select(key, F.get("near", F.lit(0)).alias("bin"))
+    return kept(asking.select(key, F.when(F.col("turn") < few, F.get("near", F.col("turn"))).alias("bin")).unionByName(free), "placed")

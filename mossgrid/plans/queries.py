@@ -444,6 +444,17 @@ def refined_counts(spark: SparkSession, d: str) -> DataFrame:
     return quality.refined_counts(samples, bins).select("sample", F.col("bins").cast("long").alias("bins"))
 
 
+def marker_bins(spark: SparkSession, d: str) -> DataFrame:
+    """Vectors as contigs, clustered from their markers, and the bins' scores: contigs of one label and run of 50 share no marker."""
+    v = t(spark, d, "embeddings")
+    features = v.select(F.col("vec_id").alias("contig_id"), F.transform("embedding", lambda x: x.cast("double")).alias("features"))
+    marks = v.where("vec_id % 3 = 0").select(F.col("vec_id").alias("contig_id"), (F.floor(F.col("vec_id") / 3) % 12).alias("marker"))
+    bins = kept(sequences.marker_clusters(features, marks).where("bin is not null"), "bins")
+    placed = bins.select(F.lit(0).alias("sample"), F.lit("markers").alias("binner"), "bin", F.col("contig_id").alias("contig"))
+    out = refine.score_bins(placed, marks.select(F.lit(0).alias("sample"), F.col("contig_id").alias("contig"), "marker"), 12)
+    return out.select("bin", F.col("contigs").cast("long").alias("contigs"), F.round("completeness", 6).alias("completeness"), F.round("contamination", 6).alias("contamination"))
+
+
 def gene_map(spark: SparkSession, d: str) -> DataFrame:
     """Orders as proteins: customer modulo 400 is the MAG."""
     o = t(spark, d, "orders")
@@ -582,7 +593,7 @@ QUERIES = {
     "differential_coverage": differential_coverage, "taxonomy_check": taxonomy_check, "dereplicate": dereplicate,
     "dereplication_pass": dereplication_pass, "sketch_pairs": sketch_pairs, "bin_scores": bin_scores, "refine_bins": refine_bins, "refined_counts": refined_counts,
     "hydrogenase_table": hydrogenase_table, "terminal_table": terminal_table, "kegg_table": kegg_table, "missing_ko_descriptions": missing_ko_descriptions, "merged_batches": merged_batches, "abundance_table": abundance_table,
-    "abundance_taxonomy": abundance_taxonomy, "multi_coverage_groups": multi_coverage_groups, "niche_gate_skip": niche_gate_skip, "contig_features": contig_features, "binning_features": binning_features, "kmer_profile": kmer_profile,
+    "abundance_taxonomy": abundance_taxonomy, "multi_coverage_groups": multi_coverage_groups, "niche_gate_skip": niche_gate_skip, "contig_features": contig_features, "binning_features": binning_features, "marker_bins": marker_bins, "kmer_profile": kmer_profile,
 }
 
 ORACLE_SQL = {

@@ -174,3 +174,54 @@ def test_a_batch_merged_twice(spark):
     for other in ("1e-5", None):
         with pytest.raises(ValueError, match="evalue"):
             annotation.merge_annotations(old, new.withColumn("evalue", F.lit(other).cast("string")), ("evalue",))
+
+
+def test_bins_from_markers(spark):
+    """Genomes of their own composition: bins follow them, and no bin holds a marker twice."""
+    rng = np.random.default_rng(9)
+    centres = rng.normal(size=(6, 10)) * 3
+    rows, marks = [], []
+    for k in range(300):
+        genome = k % 6
+        rows.append((k, (centres[genome] + rng.normal(size=10) * (0.3 if k < 290 else 6)).tolist()))
+        if k % 5 < 2:
+            marks += [(k, f"m{(k // 6) % 9}")] * (1 + k % 2)
+    features = spark.createDataFrame(rows, "contig_id long, features array<double>")
+    df = spark.createDataFrame([*marks, (None, "m1"), (3, None), (5000, "m1")], "contig_id long, marker string")
+    got = {r.contig_id: r.bin for r in sequences.marker_clusters(features, df).collect()}
+    assert len(got) == 300
+    held = Counter((got[c], m) for c, m in set(marks) if got[c] is not None)
+    assert max(held.values()) == 1
+    free = [(got[k], k % 6) for k in range(290) if k not in {c for c, _ in marks}]
+    main = {g: Counter(b for b, h in free if h == g).most_common(1)[0] for g in range(6)}
+    assert sum(n for _, n in main.values()) > 0.6 * len(free)
+    seeds = sequences.marker_seeds(df.dropna().where("contig_id < 5000")).collect()
+    counts = Counter(m for c, m in set(marks))
+    assert len(seeds) == sorted(counts.values())[(len(counts) - 1) // 2]
+    assert {r.bin for r in sequences.marker_clusters(features, df.limit(0)).collect()} == {None}
+    assert sequences.marker_clusters(features.limit(0), df).count() == 0
+    with pytest.raises(ValueError):
+        sequences.marker_clusters(features, df, most=2)
+
+
+def test_depth_vectors_equal_plain(spark):
+    draw = random.Random(10)
+    groups = [("g", s) for s in "abcd"] + [("h", "x")]
+    rows = [(g, draw.randrange(12), s, float(draw.randrange(1, 9))) for g, s in groups if s != "d" for _ in range(15)] + [("g", 3, "z", 5.0)]
+    named = [("g", c) for c in range(14)]
+    depth = {}
+    for g, c, s, x in rows:
+        if (g, s) in groups:
+            depth[g, c, s] = depth.get((g, c, s), 0) + x
+    contigs = sorted({(g, c) for g, c, _ in depth} | set(named))
+    want = {}
+    for g in "gh":
+        own = [c for h, c in contigs if h == g]
+        columns = []
+        for s in sorted(s for h, s in groups if h == g):
+            x = np.log1p([depth.get((g, c, s), 0.0) for c in own])
+            columns.append((x - x.mean()) / x.std() if x.std() > 1e-9 else x * 0)
+        want |= {(g, c): v for c, v in zip(own, np.array(columns).T, strict=True)}
+    got = coverage.depth_vectors(spark.createDataFrame(rows, "group string, contig long, sample string, depth double"), spark.createDataFrame(groups, "group string, sample string"), spark.createDataFrame(named, "group string, contig long"))
+    found = {(r.group, r.contig): r.depths for r in got.collect()}
+    assert found.keys() == want.keys() and all(np.allclose(found[k], want[k]) for k in want)

@@ -45,12 +45,18 @@ def running(df: DataFrame, order: list[Column], **sums: Column) -> DataFrame:
 
 def numbered_rows(df: DataFrame, *keys: str) -> DataFrame:
     """Adds _no, from 1 within equal keys, to rows that nothing else tells apart: they are written down and numbered by file and place in it, so a key's rows needn't meet."""
-    rows = kept(df, "numbered").select("*", F.struct("_metadata.file_path", "_metadata.row_index").alias("_row"))
-    files = rows.groupBy(*keys, F.col("_row.file_path").alias("_file")).agg(F.count("*").alias("n"))
+    rows = kept(df, "numbered").select("*", F.struct("_metadata.file_path", "_metadata.row_index").alias("_written"))
+    files = rows.groupBy(*keys, F.col("_written.file_path").alias("_file")).agg(F.count("*").alias("n"))
     files = files.withColumn("_skip", F.sum("n").over(Window.partitionBy(*keys).orderBy("_file")) - F.col("n")).select(*(F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)), "_file", "_skip")
-    rows = rows.withColumn("_in_file", F.row_number().over(Window.partitionBy(*keys, "_row.file_path").orderBy("_row.row_index")))
+    rows = rows.withColumn("_in_file", F.row_number().over(Window.partitionBy(*keys, "_written.file_path").orderBy("_written.row_index")))
     same = reduce(lambda a, b: a & b, (F.col(k).eqNullSafe(F.col(f"_k{i}")) for i, k in enumerate(keys)))
-    return rows.join(files, same & (F.col("_row.file_path") == F.col("_file"))).select(*df.columns, (F.col("_in_file") + F.col("_skip")).alias("_no"))
+    return rows.join(files, same & (F.col("_written.file_path") == F.col("_file"))).select(*df.columns, (F.col("_in_file") + F.col("_skip")).alias("_no"))
+
+
+def one_per(df: DataFrame, key: str, *columns: str) -> DataFrame:
+    """A table to look up in, (key, columns): of different rows under one key the greatest in the columns' order, nulls least."""
+    best = df.groupBy(key).agg(F.max(F.struct(*columns)).alias("_best"))
+    return best.select(key, *(F.col(f"_best.{c}").alias(c) for c in columns))
 
 
 def classified(taxon: Column) -> Column:

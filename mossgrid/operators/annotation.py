@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from mossgrid.functions.common import union
+from mossgrid.functions.common import one_per, union
 
 COMMON = ("protein_id", "MAG", "MAG_contig_raw_id", "MAG_contig_id", "MAG_contig_gene_id")
 FEFE = ("FeFe_subject", "FeFe_identity", "FeFe_evalue", "FeFe_bitscore")
@@ -44,7 +44,8 @@ def terminal_hits(hits: DataFrame, evalue: float = 1e-50, coverage: float = 0.8)
 
 
 def add_hyd_group(hits: DataFrame, groups: DataFrame) -> DataFrame:
-    return hits.join(groups.select(F.col("id").alias("subject"), "HydDB_group", "class"), "subject", "left")
+    """Adds HydDB_group and class of the subject, null where the reference has none; of several rows of a reference one is taken (see one_per)."""
+    return hits.join(one_per(groups.withColumnRenamed("id", "subject"), "subject", "HydDB_group", "class"), "subject", "left")
 
 
 def confirm_fefe(hyd_hits: DataFrame, fefe_hits: DataFrame, evalue: float = 1e-50) -> DataFrame:
@@ -58,8 +59,8 @@ def confirm_fefe(hyd_hits: DataFrame, fefe_hits: DataFrame, evalue: float = 1e-5
 
 
 def annotate_ko(assignments: DataFrame, descriptions: DataFrame) -> DataFrame:
-    """Adds gene name and description; an unmatched KO keeps its row with nulls."""
-    return assignments.join(descriptions.select("KO", "KO_gene_name", "KO_description"), "KO", "left")
+    """Adds gene name and description; an unmatched or null KO keeps its row with nulls. Of several descriptions of a KO one is taken (see one_per)."""
+    return assignments.join(one_per(descriptions, "KO", "KO_gene_name", "KO_description"), "KO", "left")
 
 
 def missing_ko_descriptions(annotated: DataFrame) -> DataFrame:
@@ -145,7 +146,8 @@ def taxonomy_violations(mags: DataFrame, taxonomy: DataFrame) -> DataFrame:
 
 
 def add_taxonomy(abundance: DataFrame, taxonomy: DataFrame) -> DataFrame:
-    """Abundance rows with the seven ranks of their lineage."""
+    """Abundance rows with the seven ranks of their lineage, nulls without one; of several lineages of a MAG one is taken (see one_per)."""
+    taxonomy = one_per(taxonomy, "mag", "classification")
     lineage = F.split("classification", ";")
     ranks = ("domain", "phylum", "class", "order", "family", "genus", "species")
     return abundance.join(taxonomy.select("mag", *(F.get(lineage, k).alias(r) for k, r in enumerate(ranks))), "mag", "left")

@@ -109,14 +109,14 @@ def depth_vectors(depths: DataFrame, groups: DataFrame, contigs: DataFrame | Non
     depths: (group, contig, sample, depth) as differential_coverage() gives, a row for each depth above 0; groups: (group,
     sample, ...); contigs: (group, contig) to be there even without a depth. Zeros count by their number, so no grid of
     contigs and samples is made: a contig's vector is sparse until its last step. A sample whose depth is the same for all
-    contigs is 0 everywhere. Rows of one contig and sample add up.
+    contigs is 0 everywhere. Rows of one contig and sample add up, those without a group, sample or contig are left out.
     """
-    members = groups.select("group", "sample").distinct()
+    members = groups.select("group", "sample").dropna().distinct()
     per_group = members.groupBy("group").agg(F.array_sort(F.collect_set("sample")).alias("samples"))
-    rows = depths.groupBy("group", "contig", "sample").agg(F.sum("depth").alias("depth")).join(members, ["group", "sample"]).select("group", "contig", "sample", F.log1p("depth").alias("x"))
+    rows = depths.groupBy("group", "contig", "sample").agg(F.sum("depth").alias("depth")).join(members, ["group", "sample"]).where("contig is not null").select("group", "contig", "sample", F.log1p(F.coalesce("depth", F.lit(0.0))).alias("x"))
     rows = kept(rows, "depths")
     named = rows.select("group", "contig") if contigs is None else union(rows.select("group", "contig"), contigs.select("group", "contig"))
-    named = named.distinct()
+    named = named.dropna().distinct()
     sizes = named.groupBy("group").agg(F.count("*").alias("n"))
     sums = rows.groupBy("group", "sample").agg(F.sum("x").alias("sum"), F.sum(F.col("x") * F.col("x")).alias("squares"))
     stats = members.join(sums, ["group", "sample"], "left").na.fill(0.0, ["sum", "squares"]).join(sizes, "group")

@@ -9,8 +9,8 @@ from mossgrid.functions.common import classified, kept, reasons, running
 
 
 def taxon_abundance(abundance: DataFrame, taxonomy: DataFrame) -> DataFrame:
-    """(taxon, sample, abundance, reads): sums over the members of each classified taxon."""
-    known = taxonomy.where(classified(F.col("taxon"))).select("mag", "taxon")
+    """(taxon, sample, abundance, reads): sums over the members of each classified taxon. Repeated rows of taxonomy count once, those of abundance add up; rows without a MAG belong to no taxon."""
+    known = taxonomy.where(classified(F.col("taxon"))).select("mag", "taxon").distinct()
     return summed(abundance.join(known, "mag"))
 
 
@@ -77,9 +77,13 @@ def classify_niche(stats: DataFrame, method: str = "cv", cv_correct: bool = Fals
 
 
 def niche_classification(abundance: DataFrame, taxonomy: DataFrame, rank: str = "family", metric: str = "relative_abundance", method: str = "cv", cv_correct: bool = False, min_reads: int = 20, min_percent: float = 0.001) -> DataFrame:
-    """The whole chain from long abundances (mag, sample, abundance, reads) and taxonomy (mag, taxon). Abundances are read once."""
+    """The whole chain from long abundances (mag, sample, abundance, reads) and taxonomy (mag, taxon). Abundances are read once.
+
+    Repeated rows of taxonomy count once, those of abundance add up. A MAG of several taxa counts in each. Rows without a MAG
+    belong to no taxon, but to their sample's total. Without a sample, there are no taxa to rank, and the table is empty.
+    """
     used = within_sample_percent(abundance) if method == "occupancy" and metric != "relative_abundance" else abundance
-    known = taxonomy.where(classified(F.col("taxon"))).select("mag", "taxon")
+    known = taxonomy.where(classified(F.col("taxon"))).select("mag", "taxon").distinct()
     rows = kept(used.join(known, "mag", "left").select("mag", "taxon", "sample", "abundance", "reads"), "taxa")
     samples = rows.agg(F.count_distinct("sample").alias("k")).first()["k"]
     named = rows.where("taxon is not null")
@@ -99,5 +103,5 @@ def niche_gate(abundance: DataFrame, taxonomy: DataFrame, least: int = 4) -> Dat
 
 
 def genome_to_taxon(taxonomy: DataFrame, niche: DataFrame) -> DataFrame:
-    """(mag, taxon, niche, correct_cv_classification) of every MAG."""
-    return taxonomy.join(niche.select("taxon", "niche", "correct_cv_classification"), "taxon", "left").select("mag", "taxon", "niche", "correct_cv_classification")
+    """(mag, taxon, niche, correct_cv_classification) of every MAG; repeated rows stand once, a taxon without a class has nulls."""
+    return taxonomy.select("mag", "taxon").distinct().join(niche.select("taxon", "niche", "correct_cv_classification"), "taxon", "left").select("mag", "taxon", "niche", "correct_cv_classification")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from mossgrid.functions.common import reasons
+from mossgrid.functions.common import one_per, reasons
 
 RRNA = ("5S", "16S", "23S")
 
@@ -27,7 +27,7 @@ def gunc_status(bins: DataFrame, gunc: DataFrame | None, least_score: float = 0.
         return bins.withColumn("pass_gunc", F.lit("not_run"))
     call = F.lower(F.col("call"))
     known = F.coalesce(call.isin("true", "false") & (F.col("score") >= least_score), F.lit(False))
-    calls = gunc.select("bin", F.col("pass").cast("string").alias("call"), F.col("reference_representation_score").alias("score"))
+    calls = one_per(gunc.select("bin", F.col("pass").cast("string").alias("call"), F.col("reference_representation_score").alias("score")), "bin", "score", "call")
     return bins.join(calls, "bin", "left").withColumn("pass_gunc", F.when(known, call).otherwise("unscored")).drop("call", "score")
 
 
@@ -65,8 +65,8 @@ def select_quality(df: DataFrame, com: float = 50, con: float = 10, score: float
 
 
 def quality_summary(candidates: DataFrame, quality: DataFrame, gunc: DataFrame | None = None, rna: DataFrame | None = None, com: float = 50, con: float = 10, score: float | None = None, trna_pass: int | None = None, rrna_pass: bool = False) -> DataFrame:
-    """Every candidate with its estimates, flags, selection and reason."""
-    df = with_quality_score(candidates.select("bin").join(quality, "bin", "left"))
+    """Every candidate with its estimates, flags, selection and reason. Of several rows of a bin in another table one is taken (see one_per); a candidate without estimates isn't selected."""
+    df = with_quality_score(candidates.select("bin").join(one_per(quality, "bin", "completeness", "contamination"), "bin", "left"))
     df = gunc_status(df, gunc)
     df = df if rna is None else df.join(rna_quality(rna).withColumnRenamed("genome", "bin"), "bin", "left")
     df = df.withColumn("pass_rna", rna_status(trna_pass, rrna_pass, True) if rna is not None else F.lit("not_run"))

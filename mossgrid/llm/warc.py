@@ -26,8 +26,10 @@ MOST_FILE = 1 << 30
 GAP = 1 << 16
 MOST_READ = 1 << 22
 BLOCK = 1 << 25
+#: Rows, and bytes of payload, that meet under one key; and parts of a group at most.
 SALT_ROWS = 100_000
-MOST_SALTS = 4096
+SALT_BYTES = 1 << 26
+MOST_SALTS = 1 << 16
 MOST_BROADCAST = 100_000
 DATE = "1970-01-01T00:00:00Z"
 #: Fixed value: the profile that the format names for records of an equal payload.
@@ -94,15 +96,16 @@ def with_revisits(pages: DataFrame, least: int = LEAST_REVISIT) -> DataFrame:
 
     A null page_id never is the largest; equal rows of the largest page_id are all responses. Payloads that only rows
     without a page_id have are responses. Groups are (digest, largest page_id), written first: their size then decides how
-    they meet the payloads, which move only where groups are many, and a group of many rows moves in several parts.
+    they meet the payloads, which move only where groups are many, and a group of many rows or bytes moves in several parts.
     """
     pages = pages.select(F.col("page_id").cast("long").alias("page_id"), "url", F.coalesce("html", F.lit("")).cast("binary").alias("payload")).withColumn("digest", F.sha1("payload"))
-    groups = pages.where(F.octet_length("payload") >= least).groupBy("digest").agg(F.max("page_id").alias("last"), F.count("*").alias("n")).where("n > 1 and last is not null")
-    # A group of many rows stands under several salts, and each row looks for one of them.
-    salts = F.least(F.floor(F.col("n") / SALT_ROWS), F.lit(MOST_SALTS - 1)).cast("int")
+    groups = pages.where(F.octet_length("payload") >= least).groupBy("digest").agg(F.max("page_id").alias("last"), F.count("*").alias("n"), F.max(F.octet_length("payload")).alias("size")).where("n > 1 and last is not null")
+    # A group of many rows or bytes stands under several salts, and each row looks for one of them.
+    parts = F.greatest(F.col("n") / SALT_ROWS, F.col("n") * F.col("size") / SALT_BYTES)
+    salts = F.least(F.floor(parts), F.lit(MOST_SALTS - 1)).cast("int")
     groups = kept(groups.select("digest", "last", F.explode(F.sequence(F.lit(0), salts)).alias("salt"), (salts + 1).alias("salts")), "groups")
     large = groups.where("salt = 0 and salts > 1").select("digest", "salts")
-    large = F.broadcast(large) if large.count() <= MOST_BROADCAST else large  # one group for SALT_ROWS pages at most
+    large = F.broadcast(large) if large.count() <= MOST_BROADCAST else large  # one group for SALT_ROWS pages or SALT_BYTES at most
     row_salt = F.pmod(F.xxhash64("page_id", "url"), F.coalesce("salts", F.lit(1))).cast("int")
     salted = pages.join(large, "digest", "left").withColumn("salt", row_salt).drop("salts")
     out = salted.join(groups.select("digest", "salt", "last"), ["digest", "salt"], "left").drop("salt")

@@ -309,8 +309,9 @@ def test_warc(spark):
         warc.parse(warc.record(1, "u", b"abc", "0" * 40, None, False))
 
 
-def test_large_groups_of_pages_in_parts(spark, monkeypatch, tmp_path):
-    monkeypatch.setattr(warc, "SALT_ROWS", 10)
+@pytest.mark.parametrize(("what", "most"), [("SALT_ROWS", 10), ("SALT_BYTES", 5000)])
+def test_large_groups_of_pages_in_parts(spark, monkeypatch, tmp_path, what, most):
+    monkeypatch.setattr(warc, what, most)
     rows = [(i, f"http://a/{i}", ("x" if i % 3 else "y") * 1200 if i < 100 else "z" * 1500 + str(i), "d", 1) for i in range(120)]
     df = spark.createDataFrame(rows, "page_id long, url string, html string, digest string, salt int")
     index = warc.write_archives(df, f"{tmp_path}/a b")

@@ -413,19 +413,21 @@ class Decoder:
         return "".join(out).removeprefix(" ")
 
 
-def encode_texts(df: DataFrame, path: str, text: str = "text", n: int = NBEST, column: str = "nbest") -> DataFrame:
+def encode_texts(df: DataFrame, path: str, text: str = "text", n: int = NBEST, column: str = "nbest", decoded: str | None = None) -> DataFrame:
     """Adds nbest, the n best segmentations of each whole text, best first: score, n_pieces and ids (little-endian 32-bit).
 
     Null texts have null, empty ones one empty segmentation. A text with fewer segmentations has fewer. The vocabulary is
-    read once on the driver and broadcast (its size is the file's). An earlier column of the name is replaced.
+    read once on the driver and broadcast (its size is the file's). An earlier column of the name is replaced. decoded: a
+    column for the text that the best segmentation decodes to, in the same pass (as decode_ids() gives it).
     """
     prepare(df.sparkSession)
-    df = df.drop(column)
+    df = df.drop(column, *([decoded] if decoded else []))
     v = Vocabulary.load(path)
     shared = df.sparkSession.sparkContext.broadcast((v.names, v.kinds))
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(Vocabulary(*shared.value))
+        own = Vocabulary(*shared.value)
+        encoder, decoder = Encoder(own), Decoder(own.names, {i: b for b, i in own.bytes.items()})
         for batch in batches_of(batches, text):
             texts = batch.column(text)
             found = encoder.encode_all([x or "" for x in texts.to_pylist()], n)
@@ -435,10 +437,15 @@ def encode_texts(df: DataFrame, path: str, text: str = "text", n: int = NBEST, c
             lists = pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum([len(x) for x in found]))), pa.int32()), ways)
             if texts.null_count:
                 lists = pa.compute.if_else(texts.is_valid(), lists, pa.scalar(None, lists.type))
-            yield pa.RecordBatch.from_arrays([*batch.columns, lists], [*batch.schema.names, column])
+            more, names = [lists], [column]
+            if decoded:
+                back = (decoder.decode(np.frombuffer(ways[0][1], "<i4")) for ways in found)
+                more.append(pa.array([x if t else None for t, x in zip(texts.is_valid().to_pylist(), back, strict=True)] if texts.null_count else list(back), pa.string()))
+                names.append(decoded)
+            yield pa.RecordBatch.from_arrays([*batch.columns, *more], [*batch.schema.names, *names])
 
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema)
-    return df.mapInArrow(encode, f"{fields}, `{column}` {PATHS}")
+    return df.mapInArrow(encode, f"{fields}, `{column}` {PATHS}" + (f", `{decoded}` string" if decoded else ""))
 
 
 def decode_ids(df: DataFrame, path: str, ids: str = "ids", column: str = "decoded") -> DataFrame:

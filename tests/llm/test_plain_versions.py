@@ -297,6 +297,46 @@ def test_op10(spark, data):
     assert len({(r.doc_id, r.ids_sha256, r.nbest_sha256) for r in got if r.doc_id == 107}) == 1
 
 
+def plain_ways(names, kinds, text):
+    """Every segmentation of a short text into pieces of the file, best first: scores by rank as Zipf's law has them."""
+    rank, score, place = {}, {}, 0
+    for i, (p, kind) in enumerate(zip(names, kinds, strict=True)):
+        if kind == "piece":
+            place += 1
+            if p not in rank:
+                rank[p], score[p] = i, -round((1 << 20) * math.log(place + 1))
+    marked, out = "\u2581" + text.replace(" ", "\u2581"), []
+
+    def go(at, ids, total):
+        if at == len(marked):
+            out.append((-total, ids))
+        for end in range(at + 1, len(marked) + 1):
+            if (p := marked[at:end]) in rank:
+                go(end, (*ids, rank[p]), total + score[p])
+
+    go(0, (), 0)
+    return sorted(out)
+
+
+def test_op10_ids_by_trying_all_ways(spark, tmp_path):
+    """ids, pieces and digests against every segmentation there is, for texts whose best four are different."""
+    v = Vocabulary.load(queries.VOCABULARY)
+    texts = ["the cat", "A bird", "word", "in a", "go on up", "zebra", "an ox", "to be", "Then", "x y z", "moment"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    got = {r.doc_id: r for r in queries.op10_pieces(spark, str(tmp_path)).collect()}
+    seen = 0
+    for k, text in enumerate(texts):
+        ways = plain_ways(v.names, v.kinds, text)[:NBEST]
+        r = got[k]
+        assert r.n_best == len(ways) and near(r.score, -ways[0][0] / UNIT) and near(r.spread, (ways[-1][0] - ways[0][0]) / UNIT) and r.round_trip
+        if len({s for s, _ in ways}) == len(ways) and len(plain_ways(v.names, v.kinds, text)) > 1:
+            packed = [np.array(ids, "<i4").tobytes() for _, ids in ways]
+            seen += 1
+            assert r.n_pieces == len(ways[0][1]) and r.ids_sha256 == hashlib.sha256(packed[0]).hexdigest() and r.nbest_sha256 == hashlib.sha256(b"".join(packed)).hexdigest()
+    assert seen > 5
+
+
 def shingle_set(text):
     words = re.findall(r"[^\x20\x09-\x0D]+", "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or ""))
     return {tuple(words[k : k + 5]) for k in range(max(1, len(words) - 4))} if words else set()

@@ -1,8 +1,10 @@
 """Registered queries and the pipeline against plain Python versions, row by row, on a small table with every odd case."""
 
+import base64
 import hashlib
 import html
 import html.parser
+import json
 import math
 import random
 import re
@@ -134,6 +136,60 @@ def test_op6(spark, data):
     same_rows(queries.op6_secrets(spark, folder).select("doc_id", "n_assign", "n_access", "n_hex", "base_sha256", "spans").collect(), want)
 
 
+def tlv(tag, *parts):
+    body = b"".join(parts)
+    size = len(body)
+    return bytes([tag]) + (bytes([size]) if size < 128 else bytes([0x81, size]) if size < 256 else b"\x82" + size.to_bytes(2, "big")) + body
+
+
+def planted_secrets(draw):
+    """(kind or None, text) of structures built here: keys and tokens in every form, and what only looks like them."""
+    number = lambda n: tlv(2, bytes([draw.randrange(1, 128)]) + draw.randbytes(n - 1))
+    rsa_id, curve = bytes.fromhex("2a864886f70d010101"), bytes.fromhex("2a8648ce3d030107")
+    pkcs1 = tlv(0x30, tlv(2, b"\0"), number(128), tlv(2, b"\1\0\1"), *(number(n) for n in (128, 64, 64, 64, 64, 64)))
+    pkcs8 = tlv(0x30, tlv(2, b"\0"), tlv(0x30, tlv(6, rsa_id), tlv(5)), tlv(4, pkcs1))
+    sec1 = tlv(0x30, tlv(2, b"\1"), tlv(4, draw.randbytes(32)), tlv(0xA0, tlv(6, curve)), tlv(0xA1, tlv(3, b"\0" + draw.randbytes(64))))
+    public = tlv(0x30, tlv(0x30, tlv(6, rsa_id), tlv(5)), tlv(3, b"\0" + draw.randbytes(140)))
+    text = lambda x: base64.b64encode(x).decode()
+    wrapped = lambda x, end: end.join(text(x)[k : k + 64] for k in range(0, len(text(x)), 64))
+    part = lambda x: base64.urlsafe_b64encode(x if isinstance(x, bytes) else json.dumps(x).encode()).decode().rstrip("=")
+    out = []
+    for label, key in (("RSA PRIVATE KEY", pkcs1), ("PRIVATE KEY", pkcs8), ("EC PRIVATE KEY", sec1)):
+        armour = lambda body, end, label=label: f"-----BEGIN {label}-----{end}{body}{end}-----END {label}-----"
+        out += [("pem", armour(wrapped(key, "\n"), "\n")), ("pem", armour(wrapped(key, "\\n"), "\\n")), ("pem", armour(wrapped(key, "\r\n"), "\r\n"))]
+        out += [("key", text(key)), ("key", wrapped(key, "\n")), ("key", base64.urlsafe_b64encode(key).decode()), ("key", part(key)), ("key", key.hex()), ("key", key.hex().upper())]
+        out += [(None, armour(wrapped(key[:-5], "\n"), "\n")), (None, text(key[:-9]) + "#"), (None, text(b"\x30" + draw.randbytes(len(key)))), (None, armour(wrapped(public, "\n"), "\n"))]
+    out += [(None, text(public)), (None, wrapped(public, "\n")), (None, public.hex().upper()), (None, text(draw.randbytes(300)))]
+    out += [("jwt", f"{part({'alg': 'HS256', 'typ': 'JWT'})}.{part({'sub': '1', 'n': draw.randrange(99)})}.{part(draw.randbytes(32))}"), ("jwt", f"{part({'typ': 'JWT', 'alg': 'none'})}.{part({})}.")]
+    out += [(None, f"{part({'typ': 'JWT'})}.{part({'sub': '1'})}.{part(draw.randbytes(32))}"), (None, f"{part({'alg': 'HS256'})}.{part([1, 2])}.x"), (None, f"{part({'alg': ''})}.{part({})}.x"), (None, f"{part({'alg': 'HS256'})}.{part({'a': 1})[:-2]}.x")]
+    return out
+
+
+def test_op6_finds_what_is_planted_and_nothing_else(spark, tmp_path):
+    """Spans of keys and tokens that were put there, in whole documents of words, beside look-alikes."""
+    rows, want = [], []
+    for i in range(40):
+        draw, at, spans, parts = random.Random(i), 0, [], []
+        chosen = planted_secrets(draw)
+        draw.shuffle(chosen)
+        for kind, secret in chosen[: draw.choice([1, 3, 8, len(chosen)])]:
+            filler = " ".join(draw.choice(["kala", "mana", "été", "toma.", "😀", "M", "ey", "30"]) for _ in range(draw.randrange(1, 30))) + draw.choice([": ", " ", "\n", " = '"])
+            parts.append(filler)
+            at += len(filler)
+            if kind is not None:
+                spans.append((kind, at, at + len(secret)))
+            parts += [secret, draw.choice([" ", "\n", "' ", ", "])]
+            at += len(secret) + len(parts[-1])
+        text = "".join([*parts, "end"])
+        rows.append((i, text))
+        found = sorted([*plain_spans(text), *spans], key=lambda x: (x[1], ("assign", "access", "hex", "pem", "key", "jwt").index(x[0])))
+        want.append((i, ",".join(f"{k}:{a}:{b}" for k, a, b in found)))
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = queries.op6_secrets(spark, str(tmp_path)).select("doc_id", "spans").collect()
+    assert sum(len(s) > 0 for _, s in want) > 30
+    same_rows(got, want)
+
+
 # op7
 
 

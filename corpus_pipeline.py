@@ -10,6 +10,8 @@ from mossgrid.llm.common import kept
 from mossgrid.llm.queries import piece_digests
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
+#: Row numbers that are broadcast: some 16 MB.
+MOST_BROADCAST = 1_000_000
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -29,7 +31,10 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     groups = shingles.jaccard_groups(rows, id_col="_row")
     order = rows.select(F.col("_row").alias("doc_id"), F.struct(F.col("doc_id").isNull(), "doc_id", F.xxhash64(*COLUMNS), "_row").alias("order"))
     first = groups.join(order, "doc_id").groupBy("component_id").agg(F.min("order").alias("order")).select("order._row")
-    return rows.join(first, "_row", "left_semi").select(*COLUMNS)
+    gone = kept(groups.select(F.col("doc_id").alias("_row")).join(first, "_row", "left_anti"), "gone")
+    # A copy's number is all that is needed of it; texts move only where the copies are too many to send to all.
+    gone = F.broadcast(gone) if gone.count() <= MOST_BROADCAST else gone
+    return rows.join(gone, "_row", "left_anti").select(*COLUMNS)
 
 
 def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -10,7 +10,6 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
-from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -23,8 +22,9 @@ from mossgrid.llm.common import LOWER, buffer, kept, pieces, prepare, release, s
 
 TOP = 10
 SHARD_BYTES = 1 << 23
-#: Queries that are searched together: their terms and weights are broadcast.
+#: Queries, and terms in all, that are searched together: their terms and weights are broadcast. A query of more terms goes alone.
 QUERY_BLOCK = 1000
+BLOCK_TERMS = 1 << 20
 #: Documents of the first strata that a query visits, in multiples of k.
 FIRST_VISIT = 4
 INDEX = "shard long, term string, df long, strata array<long>, tf array<int>, n array<int>, docs array<int>, ids array<long>"
@@ -181,6 +181,19 @@ def query_terms(queries: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return queries.select(F.col(id_col).alias("item"), text_col).mapInArrow(find, f"item {kind}, terms array<string>").where(F.size("terms") > 0)
 
 
+def blocks(queries: Iterator[Row]) -> Iterator[list[Row]]:
+    """Queries in blocks of QUERY_BLOCK at most, with BLOCK_TERMS terms at most."""
+    block, size = [], 0
+    for row in queries:
+        if block and (len(block) == QUERY_BLOCK or size + len(row.terms) > BLOCK_TERMS):
+            yield block
+            block, size = [], 0
+        block.append(row)
+        size += len(row.terms)
+    if block:
+        yield block
+
+
 class Postings:
     """One term in one shard: for every posting its stratum, document and impact, and the largest impact of each stratum."""
 
@@ -220,7 +233,7 @@ def search(index: tuple[DataFrame, int, int], queries: DataFrame, k: int = TOP,
     """(id_col, rank, doc_id, score): the k best documents with a score above 0 for every query, ties by rising doc_id (none is last).
 
     Each row of queries is a query, also under a repeated or null id; those without a term, or whose terms no document
-    holds, have no rows. Queries go through in blocks of QUERY_BLOCK: a block's terms and weights are broadcast, and only
+    holds, have no rows. Queries go through in blocks (see blocks()): a block's terms and weights are broadcast, and only
     postings of its terms are moved, a shard's to one task. Tables may be empty.
     """
     rows, documents, _ = index
@@ -228,9 +241,8 @@ def search(index: tuple[DataFrame, int, int], queries: DataFrame, k: int = TOP,
     prepare(spark)
     terms = kept(query_terms(queries, id_col, text_col), "queries")
     kind = terms.schema["item"].dataType.simpleString()
-    results, asked = [], terms.toLocalIterator() if documents else iter(())
-    while block := list(islice(asked, QUERY_BLOCK)):
-        results.append(_searched(spark, rows, documents, block, kind, k))
+    asked = terms.toLocalIterator() if documents else iter(())
+    results = [_searched(spark, rows, documents, block, kind, k) for block in blocks(asked)]
     if not results:
         return terms.where("false").select(F.col("item").alias(id_col), F.lit(1).alias("rank"), F.lit(0).cast("long").alias("doc_id"), F.lit(0).cast("long").alias("score"))
     return union(*results).select(F.col("item").alias(id_col), "rank", "doc_id", "score")

@@ -499,7 +499,8 @@ def test_op11(spark, data, monkeypatch):
     items = [(1, "KALA mana toma5"), (1, "kala kala"), (2, None), (3, "..."), (4, "nowhere9"), (None, "grüt É k7"), (5, rows[30][1]), (6, "x" * 400_000)]
     df = lambda x, s: spark.createDataFrame(x, s).withColumn("term", F.lit(1)).withColumn("shard", F.lit(1)).repartition(5)
     want = plain_ranking(docs, items)
-    for shard, block, first in ((1 << 23, 1000, 4), (2000, 3, 1)):
+    for shard, block, first, most in ((1 << 23, 1000, 4, 1 << 20), (2000, 3, 1, 1 << 20), (2000, 1000, 1, 4)):
+        monkeypatch.setattr(lexical, "BLOCK_TERMS", most)
         monkeypatch.setattr(lexical, "SHARD_BYTES", shard)
         monkeypatch.setattr(lexical, "QUERY_BLOCK", block)
         monkeypatch.setattr(lexical, "FIRST_VISIT", first)

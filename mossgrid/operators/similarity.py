@@ -114,6 +114,8 @@ def _near(pairs: DataFrame, index: DataFrame, k: int, ani: float, af: float) ->
 
 def _picked(ready: DataFrame, edges: DataFrame) -> DataFrame:
     """Of the ready genomes (g) those that the greedy order chooses; edges: (a, b), a before b and near, for every b that is ready. An a that isn't ready keeps its b from being chosen."""
+    if edges.isEmpty():
+        return ready
     chosen = None
     while True:
         picked = kept(ready.join(edges.select(F.col("b").alias("g")), "g", "left_anti"), "picked")
@@ -147,11 +149,11 @@ def representatives(ranks: DataFrame, sketch: DataFrame, k: int = 21, ani: float
         ready = kept(left.join(waiting, "g", "left_anti"), "ready")
         pairs = _met(first, first.join(ready, "g", "left_semi"), "a < b")
         edges = kept(_near(pairs, index, k, ani, af).select("a", "b"), "edges")
-        new = kept(_picked(ready, edges), "new")
+        new = _picked(ready, edges)
         if new.isEmpty():
             raise RuntimeError("a round of dereplication chose no representative")
         chosen = new if chosen is None else union(chosen, new)
-        others = kept(ranks.select("g").join(chosen, "g", "left_anti"), "others")
+        others = ranks.select("g").join(chosen, "g", "left_anti")
         looked_up = _met(listed.join(others, "g", "left_semi"), listed.join(new, "g", "left_semi"), "true")
         near = kept(_near(looked_up, index, k, ani, af), "near")
         found = near if found is None else union(found, near)

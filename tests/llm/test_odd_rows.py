@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from mossgrid.llm import gif, imatch, langid, licenses, mixing, pagetext, queries, secrets, sentencepieces, shingles, warc
+from mossgrid.llm import gif, imatch, langid, lexical, licenses, linededup, mixing, pagetext, queries, secrets, sentencepieces, shingles, warc
 
 #: Names that operators use for results or inside, beside those that they replace.
 CLASHES = ["media_", "frames_", "batch", "low", "words", "key", "own", "w", "at", "place", "m", "rate", "rank", "part", "bucket", "cut", "n", "s1", "s2", "rep", "component", "hub", "range", "guard", "p", "term", "rows", "page", "host", "site", "tree", "digest", "last", "salt", "file", "offset", "length", "payload", "revisit", "names", "score_", "copy", "order", "value", "col"]
@@ -23,6 +23,7 @@ WITH_ALL = {
     "licenses": lambda df: licenses.scan_licenses(df),
     "mix": lambda df: mixing.mix_documents(df),
     "secrets": lambda df: secrets.scan_secrets(df),
+    "lines": lambda df: linededup.dedup_lines(df),
     "masked": lambda df: secrets.scan_secrets(df, redact=True),
     "imatch": lambda df: imatch.fingerprint_documents(df, imatch.lexicon(df)),
     "language": lambda df: langid.predict(df, langid.train(df)),
@@ -53,3 +54,13 @@ def test_odd_rows(spark, name):
         assert len({plain(r) for r in rows if r.doc_id == 1}) == 1 and len({plain(r) for r in rows if r.doc_id is None}) == 2
     none = operator(table(spark, []))
     assert none.columns == out.columns and none.count() == 0
+
+
+def test_odd_rows_in_an_index(spark):
+    """Rows without text aren't found, all others are, whatever their ids and other columns."""
+    df = table(spark, ROWS)
+    found = lexical.search(lexical.build_index(df), df.selectExpr("doc_id AS item_id", "text"), 20).collect()
+    of = lambda item: [r.doc_id for r in found if r.item_id == item]
+    assert set(of(5)) == set(of(3)) == set() and set(of(6)) == {6} and set(of(2)) == set()
+    assert set(of(4)) == {1, 4, None} and len(of(1)) == 2 * len(set(of(4))) + 4  # two equal items, each with both rows of 1 and of no id
+    assert [r.rank for r in found if r.item_id == 6] == [1]

@@ -116,6 +116,13 @@ def md5_prefix(texts: np.ndarray) -> np.ndarray:
     return ((first << np.uint64(32)) | second) >> np.uint64(4)
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Sequences that few tasks would read, as from a file of one row group, dealt out over the cores; others stay where they are. Counting the tasks reads no sequence."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    used = df.select(F.spark_partition_id().alias("task")).distinct().count()
+    return df if 2 * used >= cores else df.repartition(cores)
+
+
 def sampled_hashes(contigs: DataFrame, k: int, scale: int, key: str = "genome") -> DataFrame:
     """(key, hash): hashes of canonical k-mers that are multiples of scale, sampled before a row leaves the scan; a long or repeated sequence may give one twice."""
     if not 1 <= k <= MOST_K:
@@ -133,7 +140,7 @@ def sampled_hashes(contigs: DataFrame, k: int, scale: int, key: str = "genome")
                         yield pa.record_batch({key: batch.column(0).take(pa.array(rows[start + hit] + first)), "hash": pa.array(hashes[hit].astype(np.int64))})
 
     kind = contigs.schema[key].dataType.simpleString()
-    return contigs.select(key, "seq").mapInArrow(sample, f"`{key}` {kind}, hash long")
+    return spread(contigs.select(key, "seq")).mapInArrow(sample, f"`{key}` {kind}, hash long")
 
 
 def counted_codes(contigs: DataFrame, k: int, key: str) -> DataFrame:
@@ -154,7 +161,7 @@ def counted_codes(contigs: DataFrame, k: int, key: str) -> DataFrame:
                     yield pa.record_batch({key: batch.column(0).take(pa.array(r[at] + first)), "code": pa.array(c[at].astype(np.int64)), "n": pa.array(n[start : start + (1 << 16)].astype(np.int64))})
 
     kind = contigs.schema[key].dataType.simpleString()
-    return contigs.select(key, "seq").mapInArrow(code, f"`{key}` {kind}, code long, n long")
+    return spread(contigs.select(key, "seq")).mapInArrow(code, f"`{key}` {kind}, code long, n long")
 
 
 def code_counts(contigs: DataFrame, k: int, key: str) -> DataFrame:
@@ -184,7 +191,7 @@ def code_counts(contigs: DataFrame, k: int, key: str) -> DataFrame:
                 yield pa.record_batch({key: batch.column(0).take(pa.array([r for r, _ in ready])), "counts": lists})
 
     kind = contigs.schema[key].dataType.simpleString()
-    return contigs.select(key, "seq").mapInArrow(count, f"`{key}` {kind}, counts array<long>")
+    return spread(contigs.select(key, "seq")).mapInArrow(count, f"`{key}` {kind}, counts array<long>")
 
 
 def summed_counts(contigs: DataFrame, k: int, key: str) -> DataFrame:

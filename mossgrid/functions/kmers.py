@@ -16,6 +16,12 @@ from pyspark.sql import functions as F
 
 MOST_K = 31
 SLICE = 1 << 18
+#: Bases of a minimizer, and the k-mers that are sent together at most.
+MINIMIZER = 9
+MOST_RUN = 200
+#: Rows and bytes of an Arrow batch of sequences.
+BATCH_ROWS = 1 << 11
+BATCH_BYTES = 1 << 22
 
 _CODE = np.full(256, 4, np.uint8)
 _CODE[np.frombuffer(b"ACGTacgt", np.uint8)] = [0, 1, 2, 3, 0, 1, 2, 3]
@@ -42,12 +48,9 @@ def sequence_slices(column: pa.Array, k: int) -> Iterator[tuple[np.ndarray, np.n
         row = end
 
 
-def canonical_codes(data: np.ndarray, offsets: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-    """(codes, rows) of all k-mers of ACGT in either case; places with another letter are left out."""
-    n = len(data) - k + 1
-    if n <= 0:
-        return np.zeros(0, np.uint64), np.zeros(0, np.int64)
-    base = _CODE[data]
+def _canonical(base: np.ndarray, k: int) -> np.ndarray:
+    """The canonical code at every place, whatever its letters."""
+    n = len(base) - k + 1
     forward, backward = np.zeros(n, np.uint64), np.zeros(n, np.uint64)
     # Codes of 1, 2, 4, ... bases; those that make up k are chained.
     ahead, behind = (base & 3).astype(np.uint64), (3 - (base & 3)).astype(np.uint64)
@@ -60,10 +63,90 @@ def canonical_codes(data: np.ndarray, offsets: np.ndarray, k: int) -> tuple[np.n
         if 2 * size <= k:
             ahead, behind = (ahead[:-size] << np.uint64(2 * size)) | ahead[size:], behind[:-size] | (behind[size:] << np.uint64(2 * size))
         size *= 2
+    return np.minimum(forward, backward)
+
+
+def _sound(base: np.ndarray, offsets: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """(whether a k-mer of ACGT within its row starts there, row) of every place."""
+    n = len(base) - k + 1
     bad = np.concatenate(([0], np.cumsum(base > 3)))
     rows = np.repeat(np.arange(len(offsets) - 1), np.diff(offsets))[:n]
-    sound = (bad[k:] == bad[:-k]) & (offsets[1:][rows] - np.arange(n) >= k)
-    return np.minimum(forward, backward)[sound], rows[sound]
+    return (bad[k:] == bad[:-k]) & (offsets[1:][rows] - np.arange(n) >= k), rows
+
+
+def canonical_codes(data: np.ndarray, offsets: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """(codes, rows) of all k-mers of ACGT in either case; places with another letter are left out."""
+    if len(data) < k:
+        return np.zeros(0, np.uint64), np.zeros(0, np.int64)
+    base = _CODE[data]
+    sound, rows = _sound(base, offsets, k)
+    return _canonical(base, k)[sound], rows[sound]
+
+
+def _mixed(x: np.ndarray) -> np.ndarray:
+    """A bijection of 64-bit words (the finalizer of splitmix64)."""
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(31))
+
+
+def kmer_runs(data: np.ndarray, offsets: np.ndarray, k: int, buckets: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(bucket, row, k-mers, bytes of bases, all bases) of the stretches of neighbouring k-mers in one bucket, by bucket.
+
+    The least hash of its canonical m-mers (its minimizer) chooses a k-mer's bucket, so neighbours mostly share it, and every
+    occurrence of the k-mer, or of its reverse complement, is in the same one. Bases are packed by four.
+    """
+    if len(data) < k:
+        none = np.zeros(0, np.int64)
+        return none, none, none, none, np.zeros(0, np.uint8)
+    base = _CODE[data]
+    m = min(k, MINIMIZER)
+    n, width, size = len(data) - k + 1, k - m + 1, 1
+    least = _mixed(_canonical(base, m) + np.uint64(1))
+    while 2 * size <= width:
+        least, size = np.minimum(least[:-size], least[size:]), 2 * size
+    bucket = (np.minimum(least[:n], least[width - size : width - size + n]) % np.uint64(buckets)).astype(np.int64)
+    sound, rows = _sound(base, offsets, k)
+    same = np.concatenate(([False], sound[1:] & sound[:-1] & (bucket[1:] == bucket[:-1]) & (rows[1:] == rows[:-1])))
+    start = np.flatnonzero(sound & ~same)
+    count = np.flatnonzero(sound & ~np.concatenate((same[1:], [False]))) - start + 1
+    parts = -(-count // MOST_RUN)
+    if (parts > 1).any():
+        nth = np.arange(parts.sum()) - np.repeat(np.cumsum(parts) - parts, parts)
+        start, count = np.repeat(start, parts) + MOST_RUN * nth, np.minimum(np.repeat(count, parts) - MOST_RUN * nth, MOST_RUN)
+    order = np.argsort(bucket[start], kind="stable")
+    start, count = start[order], count[order]
+    letters = np.concatenate((base & 3, np.zeros(3, np.uint8)))
+    four = (letters[:-3] << 6) | (letters[1:-2] << 4) | (letters[2:-1] << 2) | letters[3:]
+    held = (count + k + 2) // 4
+    inside = np.arange(held.sum()) - np.repeat(np.cumsum(held) - held, held)
+    return bucket[start], rows[start], count, held, four[np.repeat(start, held) + 4 * inside]
+
+
+def run_codes(counts: np.ndarray, bases: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """(codes, run) of the k-mers of stretches as kmer_runs() packs them."""
+    size = counts.astype(np.int64) + k - 1
+    held = (size + 3) // 4
+    letters = ((bases[:, None] >> np.array([6, 4, 2, 0], np.uint8)) & 3).ravel()
+    inside = np.arange(len(letters)) - np.repeat(4 * (np.cumsum(held) - held), 4 * held)
+    letters = letters[inside < np.repeat(size, 4 * held)]
+    if len(letters) < k:
+        return np.zeros(0, np.uint64), np.zeros(0, np.int64)
+    sound, runs = _sound(letters, np.concatenate(([0], np.cumsum(size))), k)
+    return _canonical(letters, k)[sound], runs[sound]
+
+
+def distinct_pairs(codes: np.ndarray, rows: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """The different pairs of (code, row), by row and code; codes are of 2 k bits, rows count from 0."""
+    if not len(codes):
+        return codes, rows
+    if 2 * k + int(rows.max()).bit_length() <= 64:
+        both = np.unique((rows.astype(np.uint64) << np.uint64(2 * k)) | codes)
+        return both & np.uint64((1 << 2 * k) - 1), (both >> np.uint64(2 * k)).astype(np.int64)
+    order = np.lexsort((codes, rows))
+    c, r = codes[order], rows[order]
+    new = np.concatenate(([True], (c[1:] != c[:-1]) | (r[1:] != r[:-1])))
+    return c[new], r[new]
 
 
 def code_text(codes: np.ndarray, k: int) -> np.ndarray:
@@ -116,6 +199,13 @@ def md5_prefix(texts: np.ndarray) -> np.ndarray:
     return ((first << np.uint64(32)) | second) >> np.uint64(4)
 
 
+def small_batches(df: DataFrame) -> DataFrame:
+    """Keeps Arrow batches small in rows and bytes, so that memory doesn't follow the lengths of sequences. The session keeps the settings, since plans run later."""
+    df.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
+    df.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
+    return df
+
+
 def spread(df: DataFrame) -> DataFrame:
     """Sequences that few tasks would read, as from a file of one row group, dealt out over the cores; others stay where they are. Counting the tasks reads no sequence."""
     cores = df.sparkSession.sparkContext.defaultParallelism
@@ -140,7 +230,7 @@ def sampled_hashes(contigs: DataFrame, k: int, scale: int, key: str = "genome")
                         yield pa.record_batch({key: batch.column(0).take(pa.array(rows[start + hit] + first)), "hash": pa.array(hashes[hit].astype(np.int64))})
 
     kind = contigs.schema[key].dataType.simpleString()
-    return spread(contigs.select(key, "seq")).mapInArrow(sample, f"`{key}` {kind}, hash long")
+    return small_batches(spread(contigs.select(key, "seq"))).mapInArrow(sample, f"`{key}` {kind}, hash long")
 
 
 def counted_codes(contigs: DataFrame, k: int, key: str) -> DataFrame:
@@ -161,7 +251,7 @@ def counted_codes(contigs: DataFrame, k: int, key: str) -> DataFrame:
                     yield pa.record_batch({key: batch.column(0).take(pa.array(r[at] + first)), "code": pa.array(c[at].astype(np.int64)), "n": pa.array(n[start : start + (1 << 16)].astype(np.int64))})
 
     kind = contigs.schema[key].dataType.simpleString()
-    return spread(contigs.select(key, "seq")).mapInArrow(code, f"`{key}` {kind}, code long, n long")
+    return small_batches(spread(contigs.select(key, "seq"))).mapInArrow(code, f"`{key}` {kind}, code long, n long")
 
 
 def code_counts(contigs: DataFrame, k: int, key: str) -> DataFrame:
@@ -191,7 +281,7 @@ def code_counts(contigs: DataFrame, k: int, key: str) -> DataFrame:
                 yield pa.record_batch({key: batch.column(0).take(pa.array([r for r, _ in ready])), "counts": lists})
 
     kind = contigs.schema[key].dataType.simpleString()
-    return spread(contigs.select(key, "seq")).mapInArrow(count, f"`{key}` {kind}, counts array<long>")
+    return small_batches(spread(contigs.select(key, "seq"))).mapInArrow(count, f"`{key}` {kind}, counts array<long>")
 
 
 def summed_counts(contigs: DataFrame, k: int, key: str) -> DataFrame:
@@ -200,3 +290,99 @@ def summed_counts(contigs: DataFrame, k: int, key: str) -> DataFrame:
     rows = code_counts(contigs, k, key)
     sums = rows.groupBy(key).agg(*(F.sum(F.col("counts")[i]).alias(f"n{i}") for i in range(len(names))))
     return sums.select(key, F.array(*(F.col(f"n{i}") for i in range(len(names)))).alias("counts"))
+
+
+def code_runs(sequences: DataFrame, k: int, buckets: int) -> DataFrame:
+    """(bucket, block, low, counts, bases): all k-mers of (number, seq), packed as stretches; number is 2^16 * block + low. Some 1.4 bytes a k-mer of 21."""
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            number = batch.column(0).to_numpy()
+            for data, offsets, first in sequence_slices(batch.column(1), k):
+                bucket, rows, count, held, bases = kmer_runs(data, offsets, k, buckets)
+                if not len(bucket):
+                    continue
+                own = number[rows + first]
+                new = np.flatnonzero(np.concatenate(([True], (bucket[1:] != bucket[:-1]) | (own[1:] >> 16 != own[:-1] >> 16))))
+                ends, at = np.append(new, len(bucket)), np.concatenate(([0], np.cumsum(held)))
+                cut = lambda x, places: pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(new), [None, pa.py_buffer(places.astype(np.int64)), pa.py_buffer(np.ascontiguousarray(x))]).cast(pa.binary())  # noqa: B023, E731
+                low, counts, packed = cut((own & 0xFFFF).astype(np.uint16), 2 * ends), cut(count.astype(np.uint8), ends), cut(bases, at[ends])
+                yield pa.record_batch({"bucket": pa.array(bucket[new]), "block": pa.array(own[new] >> 16), "low": low, "counts": counts, "bases": packed})
+
+    return small_batches(sequences.select("number", "seq")).mapInArrow(pack, "bucket long, block long, low binary, counts binary, bases binary")
+
+
+def distinct_sizes(sequences: DataFrame, k: int) -> DataFrame:
+    """(number, size): the different k-mers of every row of (number, seq) of up to SLICE bases."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for data, offsets, first in sequence_slices(batch.column(1), k):
+                sizes = np.bincount(distinct_pairs(*canonical_codes(data, offsets, k), k)[1], minlength=len(offsets) - 1)
+                yield pa.record_batch({"number": batch.column(0).slice(first, len(sizes)), "size": pa.array(sizes.astype(np.int64))})
+
+    return small_batches(sequences.select("number", "seq")).mapInArrow(count, "number long, size long")
+
+
+def opened(rows: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(number, k-mers, bases) of all stretches in rows of code_runs()."""
+    join = lambda c, kind: np.frombuffer(b"".join(x.as_py() for x in rows[c]), kind)
+    counts, bases = join("counts", np.uint8), join("bases", np.uint8)
+    block = np.repeat(rows["block"].to_numpy(), [len(x.as_py()) for x in rows["counts"]])
+    return (block << 16) | join("low", np.uint16).astype(np.int64), counts, bases
+
+
+def class_hits(rows: pa.Table, k: int, most: int = 1 << 20) -> Iterator[pa.RecordBatch]:
+    """Of one bucket (code_runs() with `known`): (number, genomes, mixed, summed, n), k-mers that a read holds of each class; and with n 0 the genomes of every class of several.
+
+    A class is a set of genomes that hold a k-mer alike, told by their number and two sums of hashes; a class of one genome is
+    that genome's number. Reads pass in parts of about `most` k-mers.
+    """
+    known = rows["known"].to_numpy().astype(bool)
+    number, counts, bases = opened(rows.filter(pa.array(known)))
+    if not len(counts):
+        return
+    codes, runs = run_codes(counts, bases, k)
+    genomes, at = np.unique(number, return_inverse=True)
+    codes, holder = distinct_pairs(codes, at[runs], k)
+    order = np.argsort(codes, kind="stable")
+    codes, holder = codes[order], genomes[holder[order]]
+    new = np.flatnonzero(np.concatenate(([True], codes[1:] != codes[:-1])))
+    held = np.diff(np.append(new, len(codes)))
+    hashed = _mixed(holder.astype(np.uint64) + np.uint64(0x9E3779B97F4A7C15))
+    mixed, summed = np.bitwise_xor.reduceat(hashed, new).view(np.int64), np.add.reduceat(_mixed(hashed), new).view(np.int64)
+    mixed, summed = np.where(held == 1, holder[new], mixed), np.where(held == 1, 0, summed)
+    # Classes of one genome by its place, then those of several.
+    single, own = held == 1, np.searchsorted(genomes, holder[new])
+    several = np.flatnonzero(~single)
+    order = several[np.lexsort((summed[several], mixed[several], held[several]))]
+    start = np.concatenate(([True], (held[order][1:] != held[order][:-1]) | (mixed[order][1:] != mixed[order][:-1]) | (summed[order][1:] != summed[order][:-1])))[: len(order)]
+    which = np.where(single, own, 0)
+    which[order] = len(genomes) + np.cumsum(start) - 1
+    first = order[start]
+    classes = np.concatenate((np.stack((np.ones_like(genomes), genomes, np.zeros_like(genomes)), axis=1), np.stack((held[first], mixed[first], summed[first]), axis=1)))
+    codes = codes[new]
+    columns = lambda a, c, n: pa.record_batch({"number": pa.array(a), "genomes": pa.array(classes[c, 0]), "mixed": pa.array(classes[c, 1]), "summed": pa.array(classes[c, 2]), "n": pa.array(n)})
+    size = held[first]
+    inside = np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size)
+    yield columns(holder[np.repeat(new[first], size) + inside], np.repeat(len(genomes) + np.arange(len(first)), size), np.zeros(len(inside), np.int64))
+    number, counts, bases = opened(rows.filter(pa.array(~known)))
+    byte = (counts.astype(np.int64) + k + 2) // 4
+    start = np.cumsum(byte) - byte
+    order = np.argsort(number, kind="stable")
+    number, counts, byte, start = number[order], counts[order], byte[order], start[order]
+    total, low = np.cumsum(counts, dtype=np.int64), 0
+    while low < len(number):
+        # Up to the end of a read, so that its k-mers are told apart.
+        high = max(low + 1, int(np.searchsorted(total, (total[low - 1] if low else 0) + most)))
+        high = int(np.searchsorted(number, number[high - 1], "right"))
+        part = slice(low, high)
+        inside = np.arange(byte[part].sum()) - np.repeat(np.cumsum(byte[part]) - byte[part], byte[part])
+        found, runs = run_codes(counts[part], bases[np.repeat(start[part], byte[part]) + inside], k)
+        reads, own = np.unique(number[part], return_inverse=True)
+        place = np.minimum(np.searchsorted(codes, found), len(codes) - 1)
+        hit = codes[place] == found
+        place, who = distinct_pairs(place[hit].astype(np.uint64), own[runs[hit]], (len(codes).bit_length() + 1) // 2)
+        both, n = np.unique(who * len(classes) + which[place.astype(np.int64)], return_counts=True)
+        yield columns(reads[both // len(classes)], both % len(classes), n.astype(np.int64))
+        low = high

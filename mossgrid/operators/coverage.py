@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from mossgrid.functions.common import kept, union
-from mossgrid.functions.kmers import counted_codes
+from mossgrid.functions.kmers import SLICE, class_hits, code_runs, counted_codes, distinct_sizes, spread
 
 #: Positions of a contig that are united together.
 TILE = 1 << 14
@@ -133,37 +134,72 @@ def depth_vectors(depths: DataFrame, groups: DataFrame, contigs: DataFrame | Non
 
 #: What tells apart the sets of genomes that hold a k-mer: their number and two sums of their hashes.
 CLASS = ("genomes", "mixed", "summed")
+HIT = ("number", *CLASS, "n")
+#: Bases of reads and genomes whose k-mers meet in one bucket.
+BUCKET = 1 << 22
 
 
 def kmer_profile(reads: DataFrame, genomes: DataFrame, k: int = 21, min_shared: float = 0.5) -> DataFrame:
     """(read_id, mag, shared, fraction): each read's best genome by shared k-mers (of equal ones the last by name), if it shares that part of the read's.
 
-    K-mers held by an equal set of genomes are a class. Reads meet classes, not genomes, so a k-mer of all genomes brings a
-    read one row; reads of equal class counts are one profile, whose counts spread to genomes once. Of a profile the classes
-    of most genomes are left out, as far as a genome can't reach min_shared by them alone, and only asked about genomes
-    that its other classes name. Reads and genomes without a k-mer have no rows.
+    K-mers go to buckets by their minimizers, as stretches of packed bases, so what is shuffled is about twice the bases; a
+    bucket's k-mers are told apart in one task, some BUCKET of them. K-mers held by an equal set of genomes are a class.
+    Reads meet classes, not genomes, so a k-mer of all genomes brings a read one row a bucket; reads of equal class counts
+    are one profile, whose counts spread to genomes once. Of a profile the classes of most genomes are left out, as far as a
+    genome can't reach min_shared by them alone, and only asked about genomes that its other classes name. Reads and genomes
+    without a k-mer have no rows.
     """
-    own = counted_codes(reads, k, "read_id").select("read_id", "code").distinct()
-    known = kept(counted_codes(genomes.withColumnRenamed("genome", "mag"), k, "mag").select("mag", "code").distinct(), "known")
-    named = F.xxhash64("mag")
-    sets = kept(known.groupBy("code").agg(F.count("*").alias("genomes"), F.bit_xor(named).alias("mixed"), F.sum(named % 2147483629).alias("summed"), F.max("mag").alias("last")), "sets")
-    members = kept(known.join(sets.groupBy(*CLASS).agg(F.min("code").alias("code")), "code").select(*CLASS, "mag"), "members")
-    hits = own.join(sets, "code", "left").groupBy("read_id", *CLASS, "last").agg(F.count("*").alias("shared"))
-    entry = F.when(F.col("genomes").isNotNull(), F.struct((-F.col("genomes")).alias("rarity"), *CLASS, "last", "shared"))
-    found = kept(hits.groupBy("read_id").agg(F.sum("shared").alias("size"), F.array_sort(F.collect_list(entry)).alias("profile")).where(F.size("profile") > 0), "profiles")
-    profiles = kept(found.select("profile").distinct().withColumn("number", F.monotonically_increasing_id()), "numbered")
-
-    need = F.ceil(F.aggregate("profile", F.lit(0).cast("long"), lambda a, x: a + x["shared"]) * min_shared - 1e-9)
+    reads, genomes = _numbered(reads, "read_id"), _numbered(genomes.withColumnRenamed("genome", "mag"), "mag")
+    bases = sum(x.agg(F.sum(F.length("seq").cast("long"))).first()[0] or 0 for x in (reads, genomes))
+    buckets = bases // BUCKET + 1
+    packed = code_runs(genomes, k, buckets).withColumn("known", F.lit(True)).unionByName(code_runs(reads, k, buckets).withColumn("known", F.lit(False)))
+
+    def look_up(rows: pa.Table) -> pa.Table:
+        batches = list(class_hits(rows, k))
+        return pa.Table.from_batches(batches) if batches else pa.table({c: pa.array([], pa.int64()) for c in HIT})
+
+    hits = kept(packed.groupBy("bucket").applyInArrow(look_up, ", ".join(f"{c} long" for c in HIT)), "hits")
+    members = kept(hits.where("n = 0").select(*CLASS, F.col("number").alias("mag")).distinct(), "members")
+    own = hits.where("n > 0").repartition("number").groupBy("number", *CLASS).agg(F.sum("n").alias("shared"))
+    entry = F.struct((-F.col("genomes")).alias("rarity"), *CLASS, "shared")
+    found = own.groupBy("number").agg(F.sum("shared").alias("met"), F.array_sort(F.collect_list(entry)).alias("profile"))
+    need = F.greatest(F.ceil(F.col("size") * min_shared - 1e-9), F.lit(1)).alias("need")
+    found = kept(found.join(_sizes(reads, k), "number").select("number", "size", need, "met", "profile").where("met >= need"), "profiles")
+    profiles = kept(found.select("profile", "need").distinct().withColumn("at", F.monotonically_increasing_id()), "numbered")
+
     start = F.struct(F.lit(0).cast("long").alias("sum"), F.lit(0).alias("n"), F.lit(True).alias("on"))
-    fits = lambda a, x: a["on"] & (a["sum"] + x["shared"] < need)
+    fits = lambda a, x: a["on"] & (a["sum"] + x["shared"] < F.col("need"))
     heavy = F.aggregate("profile", start, lambda a, x: F.struct(F.when(fits(a, x), a["sum"] + x["shared"]).otherwise(a["sum"]).alias("sum"), F.when(fits(a, x), a["n"] + 1).otherwise(a["n"]).alias("n"), fits(a, x).alias("on")))["n"]
-    several = profiles.where(F.size("profile") > 1).withColumn("heavy", heavy)
-    part = lambda first, n: several.select("number", F.explode(F.slice("profile", first, n)).alias("x")).select("number", *(f"x.{c}" for c in CLASS), "x.shared")
-    light = kept(part(F.col("heavy") + 1, F.size("profile")).join(members, list(CLASS)).groupBy("number", "mag").agg(F.sum("shared").alias("shared")), "light")
-    asked = light.select("number", "mag").join(part(F.lit(1), F.col("heavy")), "number").join(members, [*CLASS, "mag"]).select("number", "mag", "shared")
-    sums = light.unionByName(asked).groupBy("number", "mag").agg(F.sum("shared").alias("shared"))
-    best = sums.groupBy("number").agg(F.max(F.struct("shared", "mag")).alias("b")).select("number", "b.mag", "b.shared")
-    single = profiles.where(F.size("profile") == 1).select("number", F.col("profile")[0]["last"].alias("mag"), F.col("profile")[0]["shared"].alias("shared"))
-    per_profile = profiles.join(best.unionByName(single), "number").select("profile", "mag", "shared")
-    fraction = F.col("shared") / F.col("size")
-    return found.join(per_profile, "profile").select("read_id", "mag", "shared", fraction.alias("fraction")).where(F.col("fraction") >= min_shared)
+    profiles = profiles.withColumn("heavy", heavy)
+    part = lambda first, n: profiles.select("at", "need", F.explode(F.slice("profile", first, n)).alias("x")).select("at", "need", *(f"x.{c}" for c in CLASS), "x.shared")
+    alone = lambda rows: rows.where("genomes = 1").withColumn("mag", F.col("mixed"))
+    light = part(F.col("heavy") + 1, F.size("profile"))
+    light = union(alone(light), light.where("genomes > 1").join(members, list(CLASS))).groupBy("at", "need", "mag").agg(F.sum("shared").alias("shared"))
+    light = kept(light, "light")
+    dense = part(F.lit(1), F.col("heavy"))
+    asked = union(alone(dense).join(light.select("at", "mag"), ["at", "mag"], "left_semi"), light.select("at", "mag").join(dense.where("genomes > 1"), "at").join(members, [*CLASS, "mag"]))
+    sums = union(light, asked.select("at", "need", "mag", "shared")).groupBy("at", "mag").agg(F.sum("shared").alias("shared"), F.first("need").alias("need")).where("shared >= need")
+    names = genomes.select(F.col("number"), F.col("mag").alias("name")).distinct()
+    best = sums.join(names, F.col("mag") == F.col("number")).groupBy("at").agg(F.max(F.struct("shared", "name")).alias("b")).select("at", F.col("b.name").alias("mag"), "b.shared")
+    per_profile = profiles.select("at", "profile", "need").join(best, "at").drop("at")
+    told = found.join(per_profile, ["profile", "need"]).select("number", "mag", "shared", (F.col("shared") / F.col("size")).alias("fraction"))
+    return told.join(reads.select("number", "read_id").distinct(), "number").select("read_id", "mag", "shared", "fraction").where(F.col("fraction") >= min_shared)
+
+
+def _numbered(df: DataFrame, key: str) -> DataFrame:
+    """(number, key, seq) as written down, one number for all rows of a key; rows without a key or sequence are left out."""
+    rows = kept(spread(df.select(key, "seq")).where(F.col(key).isNotNull() & (F.length("seq") > 0)).withColumn("number", F.monotonically_increasing_id()), "sequences")
+    several = kept(rows.groupBy(key).agg(F.min("number").alias("_first"), F.count("*").alias("_rows")).where("_rows > 1").drop("_rows"), "several")
+    if several.isEmpty():
+        return rows
+    return kept(rows.join(several, key, "left").withColumn("number", F.coalesce("_first", "number")).drop("_first"), "sequences")
+
+
+def _sizes(reads: DataFrame, k: int) -> DataFrame:
+    """(number, size): different k-mers of every read; those of several or long rows are counted by shuffling them."""
+    spans = reads.groupBy("number").agg(F.count("*").alias("rows"), F.max(F.length("seq")).alias("longest"))
+    apart = kept(spans.where((F.col("rows") > 1) | (F.col("longest") > SLICE)).select("number"), "long")
+    if apart.isEmpty():
+        return distinct_sizes(reads, k)
+    codes = counted_codes(reads.join(apart, "number", "left_semi"), k, "number").select("number", "code").distinct()
+    return distinct_sizes(reads.join(apart, "number", "left_anti"), k).unionByName(codes.groupBy("number").agg(F.count("*").alias("size")))

@@ -225,3 +225,36 @@ def test_depth_vectors_equal_plain(spark):
     got = coverage.depth_vectors(spark.createDataFrame(rows, "group string, contig long, sample string, depth double"), spark.createDataFrame(groups, "group string, sample string"), spark.createDataFrame(named, "group string, contig long"))
     found = {(r.group, r.contig): r.depths for r in got.collect()}
     assert found.keys() == want.keys() and all(np.allclose(found[k], want[k]) for k in want)
+
+
+@pytest.mark.parametrize("k", [3, 9, 21, 31])
+def test_packed_stretches_keep_every_kmer_in_its_bucket(k):
+    """Each k-mer comes back once for each place, and with its reverse complement always in the same bucket; neighbours share bytes."""
+    draw = random.Random(k)
+    texts = ["".join(draw.choices("ACGTN", [5, 5, 5, 5, 0.1], k=n)) for n in (0, 2, k, 40, 3000)] + ["A" * 900]
+    texts += [x[::-1].translate(FLIP) for x in texts]
+    data = np.frombuffer("".join(texts).encode(), np.uint8)
+    offsets = np.concatenate(([0], np.cumsum([len(x) for x in texts])))
+    codes, rows = kmers.canonical_codes(data, offsets, k)
+    bucket, row, count, held, bases = kmers.kmer_runs(data, offsets, k, 7)
+    again, runs = kmers.run_codes(count, bases, k)
+    assert sorted(zip(rows.tolist(), codes.tolist())) == sorted(zip(row[runs].tolist(), again.tolist()))
+    places = {}
+    for code, b in zip(again.tolist(), bucket[runs].tolist()):
+        places.setdefault(code, set()).add(b)
+    assert all(len(x) == 1 for x in places.values()) and len({b for x in places.values() for b in x}) > 1
+    if k == 21:
+        assert len(bases) + 3 * len(count) < 2 * len(codes)  # 16 bytes each as rows
+
+
+def test_profile_counts_repeated_and_long_reads_once(spark, monkeypatch):
+    """Rows of one id are one read, also where slices or rows share k-mers; a read of one genome in several buckets is one row."""
+    monkeypatch.setattr(coverage, "BUCKET", 500)
+    monkeypatch.setattr(coverage, "SLICE", 700)
+    draw = random.Random(2)
+    dna = lambda n: "".join(draw.choices("ACGT", k=n))
+    one, two = dna(900), dna(300)
+    reads = [("a", one), ("b", two[:200]), ("b", two[100:]), ("c", one[:150] + dna(140)), ("d", None), ("e", "ACG"), ("f", dna(80))]
+    genomes = [("x", one), ("y", two[:160]), ("y", two[150:]), ("z", one)]
+    found = coverage.kmer_profile(spark.createDataFrame([*reads, (None, two)], "read_id string, seq string"), spark.createDataFrame(genomes, "genome string, seq string"), 21, 0.4)
+    assert {tuple(r) for r in found.collect()} == plain_profile(reads, genomes, 21, 0.4)

@@ -5,7 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from mossgrid.functions.common import FASTA_SUFFIX, FASTQ_SUFFIX, NAME, union
+from mossgrid.functions.common import FASTA_SUFFIX, FASTQ_SUFFIX, NAME, kept, union
+
+#: Pairs of listed samples that one task makes.
+TASK_PAIRS = 1 << 24
 
 
 def read_type(reads: DataFrame) -> DataFrame:
@@ -71,9 +74,12 @@ def coverage_groups(reads: DataFrame, coassembly: DataFrame | None = None, multi
         grouped = samples.join(coassembly, "sample").select("group", "sample", F.col("group").alias("assembly"))
         rest = samples.join(coassembly, "sample", "left_anti")
     elif multi is not None:
-        listed = samples.join(multi.select("sample").distinct(), "sample", "left_semi")
-        # The list is the user's: every read sample of it against every assembly of it is what was asked for.
-        grouped = listed.crossJoin(listed.select(F.col("sample").alias("assembly"))).select(F.lit("multi").alias("group"), "sample", "assembly")
+        listed = kept(samples.join(multi.select("sample").distinct(), "sample", "left_semi"), "listed")
+        # The list is the user's: every read sample of it against every assembly of it is what was asked for. A list that one
+        # task holds makes pairs for many, so samples are dealt out by the pairs they make.
+        n = listed.count()
+        parts = max(1, min(n, max(reads.sparkSession.sparkContext.defaultParallelism, n * n // TASK_PAIRS)))
+        grouped = listed.repartition(parts).crossJoin(listed.select(F.col("sample").alias("assembly"))).select(F.lit("multi").alias("group"), "sample", "assembly")
         rest = samples.join(multi, "sample", "left_anti")
     else:
         return samples.select(F.col("sample").alias("group"), "sample", F.col("sample").alias("assembly"))

@@ -10,7 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from mossgrid.functions import kmers
-from mossgrid.operators import annotation, coverage, refine, sequences, similarity
+from mossgrid.operators import annotation, coverage, manifests, refine, sequences, similarity
 
 FLIP = str.maketrans("ACGT", "TGCA")
 
@@ -258,3 +258,13 @@ def test_profile_counts_repeated_and_long_reads_once(spark, monkeypatch):
     genomes = [("x", one), ("y", two[:160]), ("y", two[150:]), ("z", one)]
     found = coverage.kmer_profile(spark.createDataFrame([*reads, (None, two)], "read_id string, seq string"), spark.createDataFrame(genomes, "genome string, seq string"), 21, 0.4)
     assert {tuple(r) for r in found.collect()} == plain_profile(reads, genomes, 21, 0.4)
+
+
+def test_pairs_of_a_long_list_are_dealt_out(spark, monkeypatch):
+    """No task makes all pairs: they are as many as the square of the list."""
+    monkeypatch.setattr(manifests, "TASK_PAIRS", 1000)
+    reads = spark.range(210).select(F.col("id").cast("string").alias("sample"), F.array(F.lit("a.fq")).alias("reads"))
+    found = manifests.coverage_groups(reads, multi=reads.where("sample < 200").select("sample"))
+    per = [r["count"] for r in found.where("group = 'multi'").groupBy(F.spark_partition_id()).count().collect()]
+    assert sum(per) == 200 * 200 and max(per) <= 1200
+    assert found.where("group <> 'multi'").count() == 10 and found.distinct().count() == 40010

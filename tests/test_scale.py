@@ -268,3 +268,29 @@ def test_pairs_of_a_long_list_are_dealt_out(spark, monkeypatch):
     per = [r["count"] for r in found.where("group = 'multi'").groupBy(F.spark_partition_id()).count().collect()]
     assert sum(per) == 200 * 200 and max(per) <= 1200
     assert found.where("group <> 'multi'").count() == 10 and found.distinct().count() == 40010
+
+
+def test_depths_are_computed_once(spark):
+    """The vectors' size is asked for before they are joined, which must not compute them again."""
+    contigs = spark.createDataFrame([(i, "ACGT" * 5) for i in range(20)], "contig_id long, seq string")
+    seen = spark.sparkContext.accumulator(0)
+
+    @F.udf("array<double>")
+    def vector(i):
+        seen.add(1)
+        return [float(i), 1.0]
+
+    depth = contigs.where("contig_id < 15").select("contig_id", vector("contig_id").alias("depths"))
+    rows = {r.contig_id: r.features for r in sequences.contig_features(contigs, "contig_id", depth).collect()}
+    assert seen.value == 15
+    assert len(rows) == 20 and rows[3][-2:] == [3.0, 1.0] and rows[19][-2:] == [0.0, 0.0]
+
+
+def test_sequences_reach_python_in_small_batches(spark):
+    """A batch is bounded in bytes, whatever the lengths of its sequences."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 10000)
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", (1 << 31) - 2)
+    rows = spark.range(0, 400, 1, 1).select(F.col("id").alias("contig_id"), F.repeat(F.lit("ACGTTGCA"), 12500).alias("seq"))
+    sized = lambda batches: (pa.record_batch({"n": [b.nbytes]}) for b in batches)
+    sequences.contig_features(rows)
+    assert max(r.n for r in rows.mapInArrow(sized, "n long").collect()) < 3 * kmers.BATCH_BYTES

@@ -294,3 +294,10 @@ def test_sequences_reach_python_in_small_batches(spark):
     sized = lambda batches: (pa.record_batch({"n": [b.nbytes]}) for b in batches)
     sequences.contig_features(rows)
     assert max(r.n for r in rows.mapInArrow(sized, "n long").collect()) < 3 * kmers.BATCH_BYTES
+
+
+def test_least_places_equal_a_whole_sort():
+    draw = np.random.default_rng(1)
+    for high in (3, 50, 10**6):  # many ties, some, hardly any
+        values = draw.integers(0, high, (300, 500)).astype(float)
+        assert (sequences.least_places(values, 16) == np.argsort(values, axis=1, kind="stable")[:, :16]).all()

@@ -86,11 +86,16 @@ def dereplicate(genomes: DataFrame, pairs: DataFrame, ani: float = 99, af: float
     return union(own, best)
 
 
+def dealt(df: DataFrame) -> DataFrame:
+    """A side of a join that grows with the genomes: it's shuffled, as what is broadcast passes through the driver, anew in every round."""
+    return df.hint("merge")
+
+
 def _index(sketch: DataFrame, least: float) -> DataFrame:
     """(hash, g, n, prefix) of a written sketch (g, hash), without hashes of one genome. A genome's prefix is its rarest hashes, as many as a near one of its size or more may lack and one."""
     held = sketch.groupBy("hash").agg(F.count("*").alias("held"))
     sizes = sketch.groupBy("g").agg(F.count("*").alias("n"))
-    rows = kept(sketch.join(held, "hash").where("held > 1").join(sizes, "g"), "held")
+    rows = kept(sketch.join(dealt(held), "hash").where("held > 1").join(dealt(sizes), "g"), "held")
     order = Window.partitionBy("g").orderBy("held", "hash")  # a genome's own sketch, which its length bounds
     place = F.row_number().over(order) + F.col("n") - F.count("*").over(Window.partitionBy("g"))
     need = F.greatest(F.ceil(F.lit(least) * F.col("n") - 1e-9), F.lit(1))
@@ -100,14 +105,14 @@ def _index(sketch: DataFrame, least: float) -> DataFrame:
 def _met(one: DataFrame, two: DataFrame, where: str) -> DataFrame:
     """(a, b) of rows of the index that meet under a hash of the smaller one's prefix."""
     x, y = (df.select("hash", F.col("g").alias(c), F.col("n").alias(f"{c}n"), F.col("prefix").alias(f"{c}p")) for df, c in ((one, "a"), (two, "b")))
-    return x.join(y, "hash").where(f"({where}) AND (ap AND an <= bn OR bp AND bn <= an)").select("a", "b").distinct()
+    return x.join(dealt(y), "hash").where(f"({where}) AND (ap AND an <= bn OR bp AND bn <= an)").select("a", "b").distinct()
 
 
 def _near(pairs: DataFrame, index: DataFrame, k: int, ani: float, af: float) -> DataFrame:
     """(a, b, ani) of the pairs that are near."""
     own = index.select("g", "hash", "n")
     x, y = (own.select(F.col("g").alias(c), "hash", F.col("n").alias(f"{c}n")) for c in ("a", "b"))
-    shared = pairs.join(x, "a").join(y, ["b", "hash"]).groupBy("a", "b").agg(F.count("*").alias("shared"), F.first(F.least("an", "bn")).alias("smaller"))
+    shared = pairs.join(dealt(x), "a").join(dealt(y), ["b", "hash"]).groupBy("a", "b").agg(F.count("*").alias("shared"), F.first(F.least("an", "bn")).alias("smaller"))
     found = shared.withColumn("ani", 100 * F.pow(F.col("shared") / F.col("smaller"), 1.0 / k))
     return found.where((F.col("ani") >= ani) & (100 * F.col("shared") / F.col("smaller") >= af)).select("a", "b", "ani")
 
@@ -138,27 +143,27 @@ def representatives(ranks: DataFrame, sketch: DataFrame, k: int = 21, ani: float
     """
     index = _index(kept(sketch.select("g", "hash"), "sketch"), (ani / 100) ** k)
     # Hashes of no prefix bring no pairs; they only count.
-    listed = kept(index.join(index.where("prefix").select("hash").distinct(), "hash", "left_semi"), "listed")
+    listed = kept(index.join(dealt(index.where("prefix").select("hash").distinct()), "hash", "left_semi"), "listed")
     left, found, chosen = kept(ranks.select("g"), "left"), None, None
     while not left.isEmpty():
-        live = listed.join(left, "g", "left_semi")
+        live = listed.join(dealt(left), "g", "left_semi")
         first = live.withColumn("at", F.row_number().over(Window.partitionBy("hash").orderBy("g"))).where(F.col("at") <= front).drop("at")
         first = kept(first, "front")
-        held = live.groupBy("g").agg(F.count("*").alias("all")).join(first.groupBy("g").agg(F.count("*").alias("first")), "g", "left")
+        held = live.groupBy("g").agg(F.count("*").alias("all")).join(dealt(first.groupBy("g").agg(F.count("*").alias("first"))), "g", "left")
         waiting = held.where("first IS NULL OR first < all").select("g")
-        ready = kept(left.join(waiting, "g", "left_anti"), "ready")
-        pairs = _met(first, first.join(ready, "g", "left_semi"), "a < b")
+        ready = kept(left.join(dealt(waiting), "g", "left_anti"), "ready")
+        pairs = _met(first, first.join(dealt(ready), "g", "left_semi"), "a < b")
         edges = kept(_near(pairs, index, k, ani, af).select("a", "b"), "edges")
         new = _picked(ready, edges)
         if new.isEmpty():
             raise RuntimeError("a round of dereplication chose no representative")
         chosen = new if chosen is None else union(chosen, new)
-        others = ranks.select("g").join(chosen, "g", "left_anti")
-        looked_up = _met(listed.join(others, "g", "left_semi"), listed.join(new, "g", "left_semi"), "true")
+        others = ranks.select("g").join(dealt(chosen), "g", "left_anti")
+        looked_up = _met(listed.join(dealt(others), "g", "left_semi"), listed.join(dealt(new), "g", "left_semi"), "true")
         near = kept(_near(looked_up, index, k, ani, af), "near")
         found = near if found is None else union(found, near)
         gone = union(new, near.select(F.col("a").alias("g")).distinct())
-        left, front = kept(left.join(gone, "g", "left_anti"), "left"), 2 * front
+        left, front = kept(left.join(dealt(gone), "g", "left_anti"), "left"), 2 * front
     if chosen is None:
         return ranks.select("g", F.col("g").alias("representative"))
     best = found.groupBy(F.col("a").alias("g")).agg(F.min(F.struct(-F.col("ani"), "b")).alias("x")).select("g", F.col("x.b").alias("representative"))

@@ -301,3 +301,12 @@ def test_least_places_equal_a_whole_sort():
     for high in (3, 50, 10**6):  # many ties, some, hardly any
         values = draw.integers(0, high, (300, 500)).astype(float)
         assert (sequences.least_places(values, 16) == np.argsort(values, axis=1, kind="stable")[:, :16]).all()
+
+
+def test_dereplication_sends_no_growing_table_through_the_driver(spark):
+    """Tables of genomes and hashes are shuffled in every round, however small they look."""
+    sketch = spark.createDataFrame([(g, h) for g in range(30) for h in range(g % 5, 40)], "g long, hash long")
+    index = similarity._index(sketch, 0.8)
+    met = similarity._met(index, index, "a < b")
+    for df in (met, similarity._near(met, index, 21, 99, 30)):
+        assert "Broadcast" not in df._jdf.queryExecution().executedPlan().toString()

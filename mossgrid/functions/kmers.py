@@ -16,6 +16,8 @@ from pyspark.sql import functions as F
 
 MOST_K = 31
 SLICE = 1 << 18
+#: Bases that are read at once where nothing needs more: their codes stay in the processor's cache.
+NEAR_SLICE = 1 << 16
 #: Bases of a minimizer, and the k-mers that are sent together at most.
 MINIMIZER = 9
 MOST_RUN = 200
@@ -28,8 +30,9 @@ _CODE[np.frombuffer(b"ACGTacgt", np.uint8)] = [0, 1, 2, 3, 0, 1, 2, 3]
 _LETTER = np.frombuffer(b"ACGT", np.uint8)
 
 
-def sequence_slices(column: pa.Array, k: int) -> Iterator[tuple[np.ndarray, np.ndarray, int]]:
-    """(bytes, offsets, first row) of about SLICE bases; a longer sequence comes in overlapping parts. Null is empty."""
+def sequence_slices(column: pa.Array, k: int, most: int | None = None) -> Iterator[tuple[np.ndarray, np.ndarray, int]]:
+    """(bytes, offsets, first row) of about `most` bases (else SLICE); a longer sequence comes in overlapping parts. Null is empty."""
+    most = most or SLICE
     flat = column.cast(pa.large_string()).fill_null("")
     if not len(flat):
         return
@@ -37,13 +40,13 @@ def sequence_slices(column: pa.Array, k: int) -> Iterator[tuple[np.ndarray, np.n
     data = np.frombuffer(flat.buffers()[2], np.uint8) if flat.buffers()[2] is not None else np.zeros(0, np.uint8)
     row = 0
     while row < len(flat):
-        end = max(row + 1, int(np.searchsorted(offsets, offsets[row] + SLICE, "right")) - 1)
+        end = max(row + 1, int(np.searchsorted(offsets, offsets[row] + most, "right")) - 1)
         low, high = int(offsets[row]), int(offsets[end])
-        if end > row + 1 or high - low <= SLICE:
+        if end > row + 1 or high - low <= most:
             yield data[low:high], offsets[row : end + 1] - low, row
         else:
-            for at in range(low, max(low + 1, high - k + 1), SLICE):
-                part = data[at : min(at + SLICE + k - 1, high)]
+            for at in range(low, max(low + 1, high - k + 1), most):
+                part = data[at : min(at + most + k - 1, high)]
                 yield part, np.array([0, len(part)], np.int64), row
         row = end
 
@@ -175,26 +178,66 @@ _TURNS = ((7, 12, 17, 22), (5, 9, 14, 20), (4, 11, 16, 23), (6, 10, 15, 21))
 def md5_prefix(texts: np.ndarray) -> np.ndarray:
     """The first 60 bits of the MD5 of every row of bytes (55 at most), as whole numbers: what the first 15 hex digits say."""
     count, width = texts.shape
-    block = np.zeros((count, 64), np.uint8)
+    block = np.zeros((count, 56), np.uint8)
     block[:, :width] = texts
     block[:, width] = 0x80
-    block[:, 56:60] = np.frombuffer(np.uint32(8 * width).tobytes(), np.uint8)
-    words = np.ascontiguousarray(block.view("<u4").T)
+    return _md5(list(np.ascontiguousarray(block.view("<u4").T[: width // 4 + 1])), width)
+
+
+@cache
+def _code_words(letters: int, end: bool) -> np.ndarray:
+    """The word that up to four letters make, by their code; at the end of a text the byte 0x80 follows."""
+    block = np.zeros((1 << 2 * letters, 4), np.uint8)
+    block[:, :letters] = code_text(np.arange(1 << 2 * letters, dtype=np.uint64), letters)
+    if end:
+        block[:, letters] = 0x80
+    return block.view("<u4")[:, 0].copy()
+
+
+def code_md5(codes: np.ndarray, k: int) -> np.ndarray:
+    """md5_prefix() of the texts of codes, by words of four letters."""
+    words = [_code_words(4, False)[((codes >> np.uint64(2 * (k - at - 4))) & np.uint64(0xFF)).astype(np.intp)] for at in range(0, k - 3, 4)]
+    rest = k % 4
+    words.append(_code_words(rest, True)[(codes & np.uint64((1 << 2 * rest) - 1)).astype(np.intp)])
+    return _md5(words, k)
+
+
+def _md5(words: list[np.ndarray], width: int) -> np.ndarray:
+    """The first 60 bits for texts of that many bytes; words: those up to the one with the byte 0x80. Every step works in place."""
     start = [np.uint32(x) for x in (0x67452301, 0xEFCDAB89, 0x98BADCFE, 0x10325476)]
-    a, b, c, d = (np.full(count, x, np.uint32) for x in start)
+    a, b, c, d = (np.full(len(words[0]), x, np.uint32) for x in start)
+    mixed = np.empty_like(a)
     for step in range(64):
         kind = step // 16
         if kind == 0:
-            mixed, word = d ^ (b & (c ^ d)), step
+            np.bitwise_xor(c, d, out=mixed)
+            mixed &= b
+            mixed ^= d
+            word = step
         elif kind == 1:
-            mixed, word = c ^ (d & (b ^ c)), (5 * step + 1) % 16
+            np.bitwise_xor(b, c, out=mixed)
+            mixed &= d
+            mixed ^= c
+            word = (5 * step + 1) % 16
         elif kind == 2:
-            mixed, word = b ^ c ^ d, (3 * step + 5) % 16
+            np.bitwise_xor(b, c, out=mixed)
+            mixed ^= d
+            word = (3 * step + 5) % 16
         else:
-            mixed, word = c ^ (b | ~d), 7 * step % 16
-        total = a + mixed + words[word] + _SINES[step]
-        turn = np.uint32(_TURNS[kind][step % 4])
-        a, d, c, b = d, c, b, b + ((total << turn) | (total >> (np.uint32(32) - turn)))
+            np.invert(d, out=mixed)
+            mixed |= b
+            mixed ^= c
+            word = 7 * step % 16
+        a += mixed
+        a += np.uint32((int(_SINES[step]) + (8 * width if word == 14 else 0)) & 0xFFFFFFFF)
+        if word < len(words):
+            a += words[word]
+        turn = _TURNS[kind][step % 4]
+        np.left_shift(a, np.uint32(turn), out=mixed)
+        a >>= np.uint32(32 - turn)
+        a |= mixed
+        a += b
+        a, d, c, b = d, c, b, a
     first, second = (a + start[0]).byteswap().astype(np.uint64), (b + start[1]).byteswap().astype(np.uint64)
     return ((first << np.uint64(32)) | second) >> np.uint64(4)
 
@@ -220,11 +263,10 @@ def sampled_hashes(contigs: DataFrame, k: int, scale: int, key: str = "genome")
 
     def sample(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for data, offsets, first in sequence_slices(batch.column(1), k):
+            for data, offsets, first in sequence_slices(batch.column(1), k, NEAR_SLICE):
                 codes, rows = canonical_codes(data, offsets, k)
                 for start in range(0, len(codes), 1 << 14):  # stays in the processor's cache
-                    part = codes[start : start + (1 << 14)]
-                    hashes = md5_prefix(code_text(part, k))
+                    hashes = code_md5(codes[start : start + (1 << 14)], k)
                     hit = np.flatnonzero(hashes % np.uint64(scale) == 0)
                     if len(hit):
                         yield pa.record_batch({key: batch.column(0).take(pa.array(rows[start + hit] + first)), "hash": pa.array(hashes[hit].astype(np.int64))})
@@ -262,7 +304,7 @@ def code_counts(contigs: DataFrame, k: int, key: str) -> DataFrame:
         for batch in batches:
             last, sums = -1, np.zeros(len(names), np.int64)
             ready: list[tuple[int, np.ndarray]] = []
-            for data, offsets, first in sequence_slices(batch.column(1), k):
+            for data, offsets, first in sequence_slices(batch.column(1), k, NEAR_SLICE):
                 codes, rows = canonical_codes(data, offsets, k)
                 n = len(offsets) - 1
                 table = np.bincount(rows * len(names) + place[codes.astype(np.int64)], minlength=n * len(names)).reshape(n, len(names))

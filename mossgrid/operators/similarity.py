@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -10,6 +14,10 @@ from mossgrid.functions.kmers import sampled_hashes
 
 #: Undecided genomes that a hash lists in the first round.
 FRONT = 256
+#: For pairs: classes in a range of lists at most, their hashes, and hashes of the classes whose pairs one task counts.
+RANGE = 1 << 20
+LISTED = 1 << 24
+BLOCK = 1 << 18
 
 
 def sketches(contigs: DataFrame, k: int = 21, scale: int = 50, min_size: int = 1) -> DataFrame:
@@ -19,41 +27,119 @@ def sketches(contigs: DataFrame, k: int = 21, scale: int = 50, min_size: int = 1
 
 
 def candidate_pairs(sketch: DataFrame, least: float = 0.0) -> DataFrame:
-    """(g1, g2, shared), g1 < g2, of genomes that share at least that part of the smaller one's hashes, and any at all.
+    """(g1, g2, shared), g1 < g2, of genomes that share at least that part of the smaller one's hashes, and any at all."""
+    return _pairs(sketch, least).select("g1", "g2", "shared")
+
+
+def _pairs(sketch: DataFrame, least: float) -> DataFrame:
+    """candidate_pairs() with the sizes n1 and n2 of the sketches.
 
-    The smaller of such a pair shares one of its rarest hashes, as many as it may lack and one: only those are looked up,
-    against the sketches of genomes of its size or more. So a hash that most genomes hold brings pairs only where a genome
-    has nothing rarer. With least 0 every shared hash is looked up.
+    Genomes with equal sketches are one class until the end. Classes are numbered by size, so the smaller of a pair comes
+    first; what it shares with all later ones is counted in one task, from the lists of its hashes. A task has the classes of
+    one block, for the lists, and of the later classes one range. So neither pairs that only meet nor the hashes of pairs
+    are shuffled: a hash's list goes to a block once, if the block has it, and what comes out are the pairs looked for.
     """
-    held = sketch.groupBy("hash").agg(F.count("*").alias("held"))
-    sizes = sketch.groupBy("genome").agg(F.count("*").alias("n"))
-    rows = kept(sketch.join(held, "hash").join(sizes, "genome").where("held > 1"), "held")  # a hash of one genome pairs nothing
-    order = Window.partitionBy("genome").orderBy("held", "hash")  # a genome's own sketch, which its length bounds
-    shared_alone = F.col("n") - F.count("*").over(Window.partitionBy("genome"))
-    place = F.row_number().over(order) + shared_alone  # hashes that no other genome holds come first
-    need = F.greatest(F.ceil(F.lit(least) * F.col("n") - 1e-9), F.lit(1))
-    prefix = rows.withColumn("place", place).where(F.col("place") <= F.col("n") - need + 1).select(F.col("genome").alias("a"), F.col("n").alias("an"), "hash")
-    larger = rows.select(F.col("genome").alias("b"), F.col("n").alias("bn"), "hash")
-    found = prefix.join(larger, "hash").where("an < bn or an = bn and a <> b").select(F.least("a", "b").alias("g1"), F.greatest("a", "b").alias("g2"))
-    pairs = kept(found.distinct(), "candidates")
-    one, two = (rows.select(F.col("genome").alias(g), "hash") for g in ("g1", "g2"))
-    counted = pairs.join(one, "g1").join(two, ["g2", "hash"]).groupBy("g1", "g2").agg(F.count("*").alias("shared"))
-    smaller = counted.join(sizes.select(F.col("genome").alias("g1"), F.col("n").alias("x")), "g1").join(sizes.select(F.col("genome").alias("g2"), F.col("n").alias("y")), "g2")
-    return smaller.where(F.col("shared") >= F.lit(least) * F.least("x", "y") - 1e-9).select("g1", "g2", "shared")
+    sums = sketch_classes(sketch)
+    ranks = kept(running(sums.groupBy("rep").agg(F.first("n").alias("n")), [F.col("n"), F.col("rep")], g=F.lit(1).cast("long")), "ranks")
+    members = kept(sums.select("genome", "rep").join(dealt(ranks), "rep").select("genome", "g", "n"), "members")
+    held = sketch.join(dealt(ranks.select(F.col("rep").alias("genome"), "g", "n")), "genome")
+    most = ranks.agg(F.max("g"), F.sum("n")).first()
+    classes, rows = (most[0] or 0), (most[1] or 0)
+    width = min(classes, RANGE, LISTED * classes // max(rows, 1)) + 1
+    lists = held.groupBy("hash", F.expr(f"g div {width}").alias("range")).agg(F.array_sort(F.collect_list(F.struct("g", "n"))).alias("list"))
+    lists = lists.withColumn("held", F.sum(F.size("list")).over(Window.partitionBy("hash")))  # a row per range
+    lists = kept(lists.where("held > 1").select("hash", "range", "list"), "lists")
+    entries = lists.agg(F.sum(F.size("list"))).first()[0] or 0
+    blocks = max(sketch.sparkSession.sparkContext.defaultParallelism, entries // BLOCK + 1)
+    own = lists.select("hash", F.explode("list").alias("x")).groupBy("hash", F.expr(f"x.g % {blocks}").alias("block")).agg(F.array_sort(F.collect_list("x")).alias("own"))
+    later = lists.select("hash", "range", F.col("list.g").alias("list"))
+    # Of the block's classes those before the last one listed.
+    met = own.join(dealt(later), "hash").where(F.col("own")[0]["g"] < F.element_at("list", -1))
+    met = met.select("block", "range", F.col("own.g").alias("own"), F.col("own.n").alias("size"), "list")
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from later_counts(batches, least)
+
+    found = kept(met.groupBy("block", "range").applyInArrow(count, "a long, b long, shared long"), "shared")
+    one, two = (members.select(F.col("g").alias(g), F.col("genome").alias(f"{g}_genome"), F.col("n").alias(f"{g}_n")) for g in ("a", "b"))
+    apart = found.join(dealt(one), "a").join(dealt(two), "b")
+    copies = members.alias("one").join(dealt(members.alias("two")), "g").where("one.genome < two.genome")
+    copies = copies.select(F.col("one.genome").alias("g1"), F.col("two.genome").alias("g2"), F.col("one.n").alias("shared"), F.col("one.n").alias("n1"), F.col("one.n").alias("n2"))
+    first = F.col("a_genome") < F.col("b_genome")
+    swap = lambda x, y: F.when(first, F.col(x)).otherwise(F.col(y))
+    return union(copies, apart.select(swap("a_genome", "b_genome").alias("g1"), swap("b_genome", "a_genome").alias("g2"), "shared", swap("a_n", "b_n").alias("n1"), swap("b_n", "a_n").alias("n2")))
+
+
+def later_counts(batches: Iterator[pa.RecordBatch], least: float, dense: int = 1 << 20, most: int = 1 << 17) -> Iterator[pa.RecordBatch]:
+    """(a, b, shared) of classes a and later listed ones b that share at least that part of a's hashes, and any at all; rows (own, size, list) of a hash each: the block's classes with their sizes, and those listed, both in order.
+
+    Of a's lists as many as it may lack can't bring a first meeting: where these are much longer than what the others have
+    brought, they are only asked about that. From `dense` listed classes on, those of one a are counted in an array over the range.
+    """
+    flat = lambda x: x.flatten().to_numpy(zero_copy_only=False)
+    parts = [[flat(batch.column(c)) for c in ("own", "size", "list")] + [batch.column(c).value_lengths().to_numpy() for c in ("own", "list")] for batch in batches if batch.num_rows]
+    if not parts:
+        return
+    own, size, listed, owns, lengths = (np.concatenate(x) for x in zip(*parts, strict=True))
+    del parts
+    row = np.repeat(np.arange(len(owns)), owns)
+    low = int(listed.min())
+    high = int(max(listed.max(), own.max())) + 1
+    at = np.repeat(np.arange(len(lengths)) * (high + 1), lengths)
+    end = np.cumsum(lengths)[row]
+    start = np.searchsorted(listed + at, row * (high + 1) + own, "right")
+    order = np.flatnonzero(start < end)
+    order = order[np.lexsort((end[order] - start[order], own[order]))]
+    own, size, start, end = own[order], size[order], start[order], end[order]
+    need = np.maximum(np.ceil(least * size - 1e-9), 1).astype(np.int64)
+    first = np.flatnonzero(np.concatenate(([True], own[1:] != own[:-1])))[: len(own)]
+    ready: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+    held = 0
+    for i, j in zip(first.tolist(), [*first[1:].tolist(), len(own)], strict=True):
+        least_shared = int(need[i])
+        asked = j - i - least_shared + 1  # the shorter lists come first
+        if asked <= 0:
+            continue
+        lists = [listed[x:y] for x, y in zip(start[i:j].tolist(), end[i:j].tolist(), strict=True)]
+        total, short = int((end[i:j] - start[i:j]).sum()), int((end[i : i + asked] - start[i : i + asked]).sum())
+        probe = total - short > 8 * short * (j - i - asked)
+        for_all = lists[:asked] if probe else lists
+        if (short if probe else total) < dense:
+            later = np.sort(np.concatenate(for_all))
+            new = np.flatnonzero(np.concatenate(([True], later[1:] != later[:-1])))
+            shared, later = np.diff(np.append(new, len(later))), later[new]
+        else:
+            counts = np.zeros(high - low, np.int32)
+            for x in for_all:
+                counts[x - low] += 1  # a list has no class twice
+            later = np.flatnonzero(counts)
+            shared, later = counts[later].astype(np.int64), later + low
+        if probe:
+            for x in lists[asked:]:
+                shared = shared + (x[np.minimum(np.searchsorted(x, later), len(x) - 1)] == later)
+        enough = shared >= least_shared
+        later, shared = later[enough], shared[enough]
+        if len(later):
+            ready.append((np.full(len(later), own[i]), later, shared))
+            held += len(later)
+        if held >= most:
+            yield pa.record_batch({c: np.concatenate(x) for c, x in zip(("a", "b", "shared"), zip(*ready, strict=True), strict=True)})
+            ready, held = [], 0
+    if ready:
+        yield pa.record_batch({c: np.concatenate(x) for c, x in zip(("a", "b", "shared"), zip(*ready, strict=True), strict=True)})
 
 
 def sketch_classes(sketch: DataFrame) -> DataFrame:
-    """(genome, rep): genomes with equal sketches share the smallest name; their similarity is 100 and needs no join."""
-    sums = sketch.groupBy("genome").agg(F.count("*").alias("n"), F.sum(F.col("hash") % 1000000007).alias("a"), F.bit_xor("hash").alias("b"))
+    """(genome, rep, n): genomes with equal sketches, of n hashes, share the smallest name; their similarity is 100 and needs no join."""
+    mixed = F.xxhash64("hash")  # small numbers have equal sums too often
+    sums = sketch.groupBy("genome").agg(F.count("*").alias("n"), F.sum(mixed % 1000000007).alias("a"), F.bit_xor(mixed).alias("b"))
     reps = sums.groupBy("n", "a", "b").agg(F.min("genome").alias("rep"))
-    return sums.join(reps, ["n", "a", "b"]).select("genome", "rep")
+    return sums.join(reps, ["n", "a", "b"]).select("genome", "rep", "n")
 
 
 def sketch_ani(sketch: DataFrame, k: int = 21, ani: float = 0) -> DataFrame:
     """(g1, g2, ani, af1, af2) in percent of pairs from an identity on: identity from the k-th root of containment, aligned fractions from shared parts."""
-    sizes = sketch.groupBy("genome").agg(F.count("*").alias("n"))
-    one, two = (sizes.select(F.col("genome").alias(g), F.col("n").alias(n)) for g, n in (("g1", "n1"), ("g2", "n2")))
-    pairs = candidate_pairs(sketch, (ani / 100) ** k).join(one, "g1").join(two, "g2")
+    pairs = _pairs(sketch, (ani / 100) ** k)
     identity = 100 * F.pow(F.col("shared") / F.least("n1", "n2"), 1.0 / k)
     return pairs.select("g1", "g2", identity.alias("ani"), (100 * F.col("shared") / F.col("n1")).alias("af1"), (100 * F.col("shared") / F.col("n2")).alias("af2"))
 

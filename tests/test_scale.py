@@ -310,3 +310,28 @@ def test_dereplication_sends_no_growing_table_through_the_driver(spark):
     met = similarity._met(index, index, "a < b")
     for df in (met, similarity._near(met, index, 21, 99, 30)):
         assert "Broadcast" not in df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_pairs_of_common_hashes_are_counted_where_their_lists_are(spark, monkeypatch):
+    """Many near genomes, copies and a hash of all: every pair with its exact number, over several ranges and blocks, by arrays and by probes too."""
+    monkeypatch.setattr(similarity, "LISTED", 400)
+    monkeypatch.setattr(similarity, "BLOCK", 200)
+    rng = random.Random(3)
+    sets = {g: {1, *rng.sample(range(10 + g % 4, 40 + g % 4), rng.randint(1, 12))} for g in range(150)} | {g: {1, *range(100, 100 + g // 8)} for g in range(150, 190)}
+    df = spark.createDataFrame([(f"g{g}", h) for g, held in sets.items() for h in held], "genome string, hash long")
+    for least in (0.0, 0.34, 0.9):
+        want = {(a, b, n) for i in sets for j in sets if (a := f"g{i}") < (b := f"g{j}") and (n := len(sets[i] & sets[j])) >= least * min(len(sets[i]), len(sets[j])) - 1e-9 and n}
+        assert {tuple(r) for r in similarity.candidate_pairs(df, least).collect()} == want
+    own, size, listed = [[1, 2]] * 3, [[3, 3]] * 3, [[1, 2, 5], [2, 5, 9], list(range(1, 400))]
+    batch = pa.record_batch({c: pa.array(x, pa.list_(pa.int64())) for c, x in (("own", own), ("size", size), ("list", listed))})
+    for least in (0.0, 0.5, 1.0):
+        want = {(a, b, n) for a in (1, 2) for b in range(a + 1, 400) if (n := sum(b in x for x in listed)) >= max(least * 3, 1)}
+        for dense in (1, 1 << 20):
+            got = {x for b in similarity.later_counts(iter([batch]), least, dense, 4) for x in zip(*(c.to_pylist() for c in b.columns), strict=True)}
+            assert got == want, (least, dense)
+
+
+def test_hashes_of_codes_are_those_of_their_texts():
+    for k in range(1, kmers.MOST_K + 1):
+        codes = np.array([0, 1, (1 << 2 * k) - 1, (1 << 2 * k) // 3, 0x1234567 % (1 << 2 * k)], np.uint64)
+        assert kmers.code_md5(codes, k).tolist() == kmers.md5_prefix(kmers.code_text(codes, k)).tolist()

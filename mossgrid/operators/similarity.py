@@ -194,15 +194,24 @@ def _met(one: DataFrame, two: DataFrame, where: str) -> DataFrame:
     return x.join(dealt(y), "hash").where(f"({where}) AND (ap AND an <= bn OR bp AND bn <= an)").select("a", "b").distinct()
 
 
-def _near(pairs: DataFrame, index: DataFrame, k: int, ani: float, af: float) -> DataFrame:
-    """(a, b, ani) of the pairs that are near."""
-    own = index.select("g", "hash", "n")
-    x, y = (own.select(F.col("g").alias(c), "hash", F.col("n").alias(f"{c}n")) for c in ("a", "b"))
-    shared = pairs.join(dealt(x), "a").join(dealt(y), ["b", "hash"]).groupBy("a", "b").agg(F.count("*").alias("shared"), F.first(F.least("an", "bn")).alias("smaller"))
+def _whole(index: DataFrame) -> DataFrame:
+    """(g, n, hashes): a row per genome of an index, so that a round's pairs meet genomes, not rows of hashes."""
+    return kept(index.groupBy("g").agg(F.first("n").alias("n"), F.collect_list("hash").alias("hashes")), "whole")
+
+
+def _alike(pairs: DataFrame, whole: DataFrame, k: int, ani: float, af: float) -> DataFrame:
+    """(a, b, ani) of the pairs that are near; whole: as _whole() gives it."""
+    x, y = (whole.select(F.col("g").alias(c), F.col("hashes").alias(f"{c}h"), F.col("n").alias(f"{c}n")) for c in ("a", "b"))
+    shared = pairs.join(dealt(x), "a").join(dealt(y), "b").select("a", "b", F.size(F.array_intersect("ah", "bh")).alias("shared"), F.least("an", "bn").alias("smaller"))
     found = shared.withColumn("ani", 100 * F.pow(F.col("shared") / F.col("smaller"), 1.0 / k))
     return found.where((F.col("ani") >= ani) & (100 * F.col("shared") / F.col("smaller") >= af)).select("a", "b", "ani")
 
 
+def _near(pairs: DataFrame, index: DataFrame, k: int, ani: float, af: float) -> DataFrame:
+    """_alike() by an index."""
+    return _alike(pairs, _whole(index), k, ani, af)
+
+
 def _picked(ready: DataFrame, edges: DataFrame) -> DataFrame:
     """Of the ready genomes (g) those that the greedy order chooses; edges: (a, b), a before b and near, for every b that is ready. An a that isn't ready keeps its b from being chosen."""
     if edges.isEmpty():
@@ -228,6 +237,7 @@ def representatives(ranks: DataFrame, sketch: DataFrame, k: int = 21, ani: float
     doubles by the round, so a round can be needed for each doubling up to the longest list.
     """
     index = _index(kept(sketch.select("g", "hash"), "sketch"), (ani / 100) ** k)
+    whole = _whole(index)
     # Hashes of no prefix bring no pairs; they only count.
     listed = kept(index.join(dealt(index.where("prefix").select("hash").distinct()), "hash", "left_semi"), "listed")
     left, found, chosen = kept(ranks.select("g"), "left"), None, None
@@ -239,14 +249,14 @@ def representatives(ranks: DataFrame, sketch: DataFrame, k: int = 21, ani: float
         waiting = held.where("first IS NULL OR first < all").select("g")
         ready = kept(left.join(dealt(waiting), "g", "left_anti"), "ready")
         pairs = _met(first, first.join(dealt(ready), "g", "left_semi"), "a < b")
-        edges = kept(_near(pairs, index, k, ani, af).select("a", "b"), "edges")
+        edges = kept(_alike(pairs, whole, k, ani, af).select("a", "b"), "edges")
         new = _picked(ready, edges)
         if new.isEmpty():
             raise RuntimeError("a round of dereplication chose no representative")
         chosen = new if chosen is None else union(chosen, new)
         others = ranks.select("g").join(dealt(chosen), "g", "left_anti")
         looked_up = _met(listed.join(dealt(others), "g", "left_semi"), listed.join(dealt(new), "g", "left_semi"), "true")
-        near = kept(_near(looked_up, index, k, ani, af), "near")
+        near = kept(_alike(looked_up, whole, k, ani, af), "near")
         found = near if found is None else union(found, near)
         gone = union(new, near.select(F.col("a").alias("g")).distinct())
         left, front = kept(left.join(dealt(gone), "g", "left_anti"), "left"), 2 * front

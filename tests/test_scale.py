@@ -335,3 +335,12 @@ def test_hashes_of_codes_are_those_of_their_texts():
     for k in range(1, kmers.MOST_K + 1):
         codes = np.array([0, 1, (1 << 2 * k) - 1, (1 << 2 * k) // 3, 0x1234567 % (1 << 2 * k)], np.uint64)
         assert kmers.code_md5(codes, k).tolist() == kmers.md5_prefix(kmers.code_text(codes, k)).tolist()
+
+
+def test_pairs_of_a_round_meet_a_row_per_genome(spark):
+    """What a pair is joined with is one row on each side, however many hashes its genomes have."""
+    index = spark.range(3000).selectExpr("id % 300 AS hash", "id div 300 AS g", "300L AS n", "true AS prefix")
+    whole = similarity._whole(index)
+    assert whole.count() == 10 and {r.n for r in whole.collect()} == {300}
+    pairs = spark.createDataFrame([(0, 1), (2, 9)], "a long, b long")
+    assert {tuple(r) for r in similarity._alike(pairs, whole, 21, 99, 30).collect()} == {(0, 1, 100.0), (2, 9, 100.0)}

@@ -344,3 +344,10 @@ def test_pairs_of_a_round_meet_a_row_per_genome(spark):
     assert whole.count() == 10 and {r.n for r in whole.collect()} == {300}
     pairs = spark.createDataFrame([(0, 1), (2, 9)], "a long, b long")
     assert {tuple(r) for r in similarity._alike(pairs, whole, 21, 99, 30).collect()} == {(0, 1, 100.0), (2, 9, 100.0)}
+
+
+def test_what_needs_no_long_slices_reads_short_ones():
+    """The arrays of a slice follow its bases, whatever the length of a sequence; slices overlap by k - 1 and leave nothing out."""
+    text = "ACGT" * (kmers.NEAR_SLICE // 2)
+    parts = [bytes(data) for data, _, _ in kmers.sequence_slices(pa.array([text]), 4, kmers.NEAR_SLICE)]
+    assert max(map(len, parts)) <= kmers.NEAR_SLICE + 3 and parts[0] + b"".join(x[3:] for x in parts[1:]) == text.encode()

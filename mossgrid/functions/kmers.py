@@ -52,7 +52,17 @@ def sequence_slices(column: pa.Array, k: int, most: int | None = None) -> Iterat
 
 
 def _canonical(base: np.ndarray, k: int) -> np.ndarray:
-    """The canonical code at every place, whatever its letters."""
+    """The canonical code at every place, whatever its letters; NEAR_SLICE places at a time."""
+    n = len(base) - k + 1
+    if n <= NEAR_SLICE:
+        return _near_canonical(base, k)
+    out = np.empty(n, np.uint64)
+    for at in range(0, n, NEAR_SLICE):
+        out[at : at + NEAR_SLICE] = _near_canonical(base[at : at + NEAR_SLICE + k - 1], k)
+    return out
+
+
+def _near_canonical(base: np.ndarray, k: int) -> np.ndarray:
     n = len(base) - k + 1
     forward, backward = np.zeros(n, np.uint64), np.zeros(n, np.uint64)
     # Codes of 1, 2, 4, ... bases; those that make up k are chained.
@@ -139,17 +149,26 @@ def run_codes(counts: np.ndarray, bases: np.ndarray, k: int) -> tuple[np.ndarray
     return _canonical(letters, k)[sound], runs[sound]
 
 
+def _different(first: np.ndarray, then: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """The different pairs in order, as words of 64 bits; then is below 2^bits."""
+    first, then = first.astype(np.uint64), then.astype(np.uint64)
+    if not len(first):
+        return first, then
+    if bits + int(first.max()).bit_length() <= 64:
+        both = (first << np.uint64(bits)) | then
+        both.sort()
+        both = both[np.concatenate(([True], both[1:] != both[:-1]))]
+        return both >> np.uint64(bits), both & np.uint64((1 << bits) - 1)
+    order = np.lexsort((then, first))
+    a, b = first[order], then[order]
+    new = np.concatenate(([True], (a[1:] != a[:-1]) | (b[1:] != b[:-1])))
+    return a[new], b[new]
+
+
 def distinct_pairs(codes: np.ndarray, rows: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
     """The different pairs of (code, row), by row and code; codes are of 2 k bits, rows count from 0."""
-    if not len(codes):
-        return codes, rows
-    if 2 * k + int(rows.max()).bit_length() <= 64:
-        both = np.unique((rows.astype(np.uint64) << np.uint64(2 * k)) | codes)
-        return both & np.uint64((1 << 2 * k) - 1), (both >> np.uint64(2 * k)).astype(np.int64)
-    order = np.lexsort((codes, rows))
-    c, r = codes[order], rows[order]
-    new = np.concatenate(([True], (c[1:] != c[:-1]) | (r[1:] != r[:-1])))
-    return c[new], r[new]
+    rows, codes = _different(rows, codes, 2 * k)
+    return codes, rows.astype(np.int64)
 
 
 def code_text(codes: np.ndarray, k: int) -> np.ndarray:
@@ -375,10 +394,10 @@ def opened(rows: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 
 def class_hits(rows: pa.Table, k: int, most: int = 1 << 20) -> Iterator[pa.RecordBatch]:
-    """Of one bucket (code_runs() with `known`): (number, genomes, mixed, summed, n), k-mers that a read holds of each class; and with n 0 the genomes of every class of several.
+    """Of one bucket (code_runs() with `known`): (number, genomes, first, mixed, n), k-mers that a read holds of each class; and with n 0 the genomes of every class of several.
 
-    A class is a set of genomes that hold a k-mer alike, told by their number and two sums of hashes; a class of one genome is
-    that genome's number. Reads pass in parts of about `most` k-mers.
+    A class is a set of genomes that hold a k-mer alike, told by their number, the first of them and a sum of 64-bit hashes, which
+    is 0 for one genome. Reads pass in parts of about `most` k-mers.
     """
     known = rows["known"].to_numpy().astype(bool)
     number, counts, bases = opened(rows.filter(pa.array(known)))
@@ -386,25 +405,22 @@ def class_hits(rows: pa.Table, k: int, most: int = 1 << 20) -> Iterator[pa.Recor
         return
     codes, runs = run_codes(counts, bases, k)
     genomes, at = np.unique(number, return_inverse=True)
-    codes, holder = distinct_pairs(codes, at[runs], k)
-    order = np.argsort(codes, kind="stable")
-    codes, holder = codes[order], genomes[holder[order]]
+    codes, holder = _different(codes, at[runs], len(genomes).bit_length())
+    holder = genomes[holder.astype(np.int64)]
     new = np.flatnonzero(np.concatenate(([True], codes[1:] != codes[:-1])))
     held = np.diff(np.append(new, len(codes)))
-    hashed = _mixed(holder.astype(np.uint64) + np.uint64(0x9E3779B97F4A7C15))
-    mixed, summed = np.bitwise_xor.reduceat(hashed, new).view(np.int64), np.add.reduceat(_mixed(hashed), new).view(np.int64)
-    mixed, summed = np.where(held == 1, holder[new], mixed), np.where(held == 1, 0, summed)
+    mixed, leads = np.add.reduceat(_mixed(holder.astype(np.uint64) + np.uint64(0x9E3779B97F4A7C15)), new).view(np.int64), holder[new]
     # Classes of one genome by its place, then those of several.
-    single, own = held == 1, np.searchsorted(genomes, holder[new])
+    single, own = held == 1, np.searchsorted(genomes, leads)
     several = np.flatnonzero(~single)
-    order = several[np.lexsort((summed[several], mixed[several], held[several]))]
-    start = np.concatenate(([True], (held[order][1:] != held[order][:-1]) | (mixed[order][1:] != mixed[order][:-1]) | (summed[order][1:] != summed[order][:-1])))[: len(order)]
+    order = several[np.lexsort((mixed[several], leads[several], held[several]))]
+    start = np.concatenate(([True], (held[order][1:] != held[order][:-1]) | (leads[order][1:] != leads[order][:-1]) | (mixed[order][1:] != mixed[order][:-1])))[: len(order)]
     which = np.where(single, own, 0)
     which[order] = len(genomes) + np.cumsum(start) - 1
     first = order[start]
-    classes = np.concatenate((np.stack((np.ones_like(genomes), genomes, np.zeros_like(genomes)), axis=1), np.stack((held[first], mixed[first], summed[first]), axis=1)))
+    classes = np.concatenate((np.stack((np.ones_like(genomes), genomes, np.zeros_like(genomes)), axis=1), np.stack((held[first], leads[first], mixed[first]), axis=1)))
     codes = codes[new]
-    columns = lambda a, c, n: pa.record_batch({"number": pa.array(a), "genomes": pa.array(classes[c, 0]), "mixed": pa.array(classes[c, 1]), "summed": pa.array(classes[c, 2]), "n": pa.array(n)})
+    columns = lambda a, c, n: pa.record_batch({"number": pa.array(a), "genomes": pa.array(classes[c, 0]), "first": pa.array(classes[c, 1]), "mixed": pa.array(classes[c, 2]), "n": pa.array(n)})
     size = held[first]
     inside = np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size)
     yield columns(holder[np.repeat(new[first], size) + inside], np.repeat(len(genomes) + np.arange(len(first)), size), np.zeros(len(inside), np.int64))
@@ -422,9 +438,57 @@ def class_hits(rows: pa.Table, k: int, most: int = 1 << 20) -> Iterator[pa.Recor
         inside = np.arange(byte[part].sum()) - np.repeat(np.cumsum(byte[part]) - byte[part], byte[part])
         found, runs = run_codes(counts[part], bases[np.repeat(start[part], byte[part]) + inside], k)
         reads, own = np.unique(number[part], return_inverse=True)
+        found, who = _different(found, own[runs], len(reads).bit_length())
         place = np.minimum(np.searchsorted(codes, found), len(codes) - 1)
         hit = codes[place] == found
-        place, who = distinct_pairs(place[hit].astype(np.uint64), own[runs[hit]], (len(codes).bit_length() + 1) // 2)
-        both, n = np.unique(who * len(classes) + which[place.astype(np.int64)], return_counts=True)
+        both, n = np.unique(who[hit].astype(np.int64) * len(classes) + which[place[hit]], return_counts=True)
         yield columns(reads[both // len(classes)], both % len(classes), n.astype(np.int64))
         low = high
+
+
+def class_best(profiles: pa.Table, known: pa.Table, most: int = 1 << 21) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(row of profiles, row of known, shared) of every profile's best genome, of equal ones the last by name; profiles that share nothing are left out.
+
+    profiles: first, mixed, shared, lists alike of a profile's classes in one order; known: mag, name and lists first, mixed of
+    its classes of several genomes. Counted are at most some `most` cells and members of classes at once, equal profiles once.
+    """
+    known = known.append_column("_row", pa.array(np.arange(len(known)))).sort_by("name")
+    number, none = known["mag"].to_numpy(), np.zeros(0, np.int64)
+    if not len(known) or not len(profiles):
+        return none, none, none
+    flat = lambda t, c: t[c].combine_chunks().flatten().to_numpy()
+    lengths = lambda t: t["first"].combine_chunks().value_lengths().fill_null(0).to_numpy().astype(np.int64)
+    member = np.concatenate((np.repeat(np.arange(len(known)), lengths(known)), np.arange(len(known))))
+    first = np.concatenate((flat(profiles, "first"), flat(known, "first"), number))
+    mixed = np.concatenate((flat(profiles, "mixed"), flat(known, "mixed"), np.zeros_like(number)))
+    order = np.lexsort((mixed, first))
+    a, b = first[order], mixed[order]
+    which = np.empty(len(order), np.int64)
+    which[order] = np.cumsum(np.concatenate(([0], (a[1:] != a[:-1]) | (b[1:] != b[:-1]))))
+    held, own = which[: len(which) - len(member)], which[len(which) - len(member) :]
+    order = np.argsort(own, kind="stable")
+    member, start = member[order], np.searchsorted(own[order], np.arange(which.max() + 2))
+    shared, size = flat(profiles, "shared"), np.diff(start)[held]
+    at = np.concatenate(([0], np.cumsum(lengths(profiles))))
+    both, seen = np.stack((held, shared), axis=1), {}
+    same = np.array([seen.setdefault(both[x:y].tobytes(), (len(seen), row))[0] for row, (x, y) in enumerate(zip(at[:-1], at[1:], strict=True))])
+    rows = np.array([row for _, row in seen.values()])
+    wide, best, top = len(known), np.zeros(len(rows), np.int64), np.zeros(len(rows), np.int64)
+    step = max(1, most // wide)
+    for low in range(0, len(rows), step):
+        block = rows[low : low + step]
+        count = at[block + 1] - at[block]
+        entries = np.repeat(at[block] - np.cumsum(count) + count, count) + np.arange(count.sum())
+        line, sums, total = np.repeat(np.arange(len(block)) * wide, count), np.zeros(len(block) * wide), np.cumsum(size[entries])
+        begin = 0
+        while begin < len(entries):
+            end = max(begin + 1, int(np.searchsorted(total, (total[begin - 1] if begin else 0) + most, "right")))
+            e, n = entries[begin:end], size[entries[begin:end]]
+            inside = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+            sums += np.bincount(np.repeat(line[begin:end], n) + member[np.repeat(start[held[e]], n) + inside], np.repeat(shared[e], n), len(sums))
+            begin = end
+        sums = sums.reshape(len(block), wide)
+        best[low : low + step] = wide - 1 - sums[:, ::-1].argmax(axis=1)
+        top[low : low + step] = sums.max(axis=1).astype(np.int64)
+    row = np.flatnonzero(top[same] > 0)
+    return row, known["_row"].to_numpy()[best[same[row]]], top[same[row]]

@@ -6,8 +6,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from mossgrid.functions.common import kept, union
-from mossgrid.functions.kmers import SLICE, class_hits, code_runs, counted_codes, distinct_sizes, spread
+from mossgrid.functions.common import kept, settled, union
+from mossgrid.functions.kmers import SLICE, class_best, class_hits, code_runs, counted_codes, distinct_sizes, spread
 
 #: Positions of a contig that are united together.
 TILE = 1 << 14
@@ -132,11 +132,14 @@ def depth_vectors(depths: DataFrame, groups: DataFrame, contigs: DataFrame | Non
     return found.select("group", "contig", "samples", F.transform("samples", standard).alias("depths"))
 
 
-#: What tells apart the sets of genomes that hold a k-mer: their number and two sums of their hashes.
-CLASS = ("genomes", "mixed", "summed")
+#: What tells apart the sets of genomes that hold a k-mer: their number, the first one and a sum of their hashes.
+CLASS = ("genomes", "first", "mixed")
 HIT = ("number", *CLASS, "n")
 #: Bases of reads and genomes whose k-mers meet in one bucket.
 BUCKET = 1 << 22
+#: Classes of reads, summed over the reads, that meet genomes in one group; and those of one kin, whose genomes each of its groups gets.
+GROUP = 1 << 18
+KIN = 1 << 20
 
 
 def kmer_profile(reads: DataFrame, genomes: DataFrame, k: int = 21, min_shared: float = 0.5) -> DataFrame:
@@ -144,10 +147,11 @@ def kmer_profile(reads: DataFrame, genomes: DataFrame, k: int = 21, min_shared:
 
     K-mers go to buckets by their minimizers, as stretches of packed bases, so what is shuffled is about twice the bases; a
     bucket's k-mers are told apart in one task, some BUCKET of them. K-mers held by an equal set of genomes are a class.
-    Reads meet classes, not genomes, so a k-mer of all genomes brings a read one row a bucket; reads of equal class counts
-    are one profile, whose counts spread to genomes once. Of a profile the classes of most genomes are left out, as far as a
-    genome can't reach min_shared by them alone, and only asked about genomes that its other classes name. Reads and genomes
-    without a k-mer have no rows.
+    Reads meet classes, not genomes, so a k-mer of all genomes brings a read one row a bucket. Of a read the classes of most
+    genomes a k-mer are left out, as far as a genome can't reach min_shared by them alone; those of its other classes are its
+    candidates. Reads are dealt by their kin, the genome that leads the classes of most of their k-mers, to groups of some
+    GROUP classes, a kin of over KIN to several. A group gets each candidate of any of its reads once, with its list of classes,
+    and counts in place, so pairs of reads and genomes near each other are never rows. Reads and genomes without a k-mer have no rows.
     """
     reads, genomes = _numbered(reads, "read_id"), _numbered(genomes.withColumnRenamed("genome", "mag"), "mag")
     bases = sum(x.agg(F.sum(F.length("seq").cast("long"))).first()[0] or 0 for x in (reads, genomes))
@@ -158,47 +162,56 @@ def kmer_profile(reads: DataFrame, genomes: DataFrame, k: int = 21, min_shared:
         batches = list(class_hits(rows, k))
         return pa.Table.from_batches(batches) if batches else pa.table({c: pa.array([], pa.int64()) for c in HIT})
 
-    hits = kept(packed.groupBy("bucket").applyInArrow(look_up, ", ".join(f"{c} long" for c in HIT)), "hits")
-    members = kept(hits.where("n = 0").select(*CLASS, F.col("number").alias("mag")).distinct(), "members")
+    hits = settled(packed.groupBy("bucket").applyInArrow(look_up, ", ".join(f"{c} long" for c in HIT)), "hits")
+    members = settled(hits.where("n = 0").select(*CLASS, F.col("number").alias("mag")).distinct(), "members")
     own = hits.where("n > 0").repartition("number").groupBy("number", *CLASS).agg(F.sum("n").alias("shared"))
-    entry = F.struct((-F.col("genomes")).alias("rarity"), *CLASS, "shared")
-    found = own.groupBy("number").agg(F.sum("shared").alias("met"), F.array_sort(F.collect_list(entry)).alias("profile"))
+    entry = F.struct((-F.col("genomes") / F.col("shared")).alias("dear"), *CLASS, "shared")
+    led = own.groupBy("number", "first").agg(F.sum("shared").alias("met"), F.collect_list(entry).alias("entries"))
+    found = led.groupBy("number").agg(F.sum("met").alias("met"), F.max(F.struct("met", "first"))["first"].alias("kin"), F.array_sort(F.flatten(F.collect_list("entries"))).alias("profile"))
     need = F.greatest(F.ceil(F.col("size") * min_shared - 1e-9), F.lit(1)).alias("need")
-    found = kept(found.join(_sizes(reads, k), "number").select("number", "size", need, "met", "profile").where("met >= need"), "profiles")
-    profiles = kept(found.select("profile", "need").distinct().withColumn("at", F.monotonically_increasing_id()), "numbered")
-
+    found = found.join(_sizes(reads, k), "number").select("number", "kin", "size", need, "met", "profile").where("met >= need")
     start = F.struct(F.lit(0).cast("long").alias("sum"), F.lit(0).alias("n"), F.lit(True).alias("on"))
     fits = lambda a, x: a["on"] & (a["sum"] + x["shared"] < F.col("need"))
     heavy = F.aggregate("profile", start, lambda a, x: F.struct(F.when(fits(a, x), a["sum"] + x["shared"]).otherwise(a["sum"]).alias("sum"), F.when(fits(a, x), a["n"] + 1).otherwise(a["n"]).alias("n"), fits(a, x).alias("on")))["n"]
-    profiles = profiles.withColumn("heavy", heavy)
-    part = lambda first, n: profiles.select("at", "need", F.explode(F.slice("profile", first, n)).alias("x")).select("at", "need", *(f"x.{c}" for c in CLASS), "x.shared")
-    alone = lambda rows: rows.where("genomes = 1").withColumn("mag", F.col("mixed"))
-    light = part(F.col("heavy") + 1, F.size("profile"))
-    light = union(alone(light), light.where("genomes > 1").join(members, list(CLASS))).groupBy("at", "need", "mag").agg(F.sum("shared").alias("shared"))
-    light = kept(light, "light")
-    dense = part(F.lit(1), F.col("heavy"))
-    asked = union(alone(dense).join(light.select("at", "mag"), ["at", "mag"], "left_semi"), light.select("at", "mag").join(dense.where("genomes > 1"), "at").join(members, [*CLASS, "mag"]))
-    sums = union(light, asked.select("at", "need", "mag", "shared")).groupBy("at", "mag").agg(F.sum("shared").alias("shared"), F.first("need").alias("need")).where("shared >= need")
-    names = genomes.select(F.col("number"), F.col("mag").alias("name")).distinct()
-    best = sums.join(names, F.col("mag") == F.col("number")).groupBy("at").agg(F.max(F.struct("shared", "name")).alias("b")).select("at", F.col("b.name").alias("mag"), "b.shared")
-    per_profile = profiles.select("at", "profile", "need").join(best, "at").drop("at")
-    told = found.join(per_profile, ["profile", "need"]).select("number", "mag", "shared", (F.col("shared") / F.col("size")).alias("fraction"))
+    found = settled(found.select("number", "kin", "size", "need", heavy.alias("heavy"), *(F.col(f"profile.{c}").alias(c) for c in (*CLASS, "shared"))), "profiles")
+
+    total = found.agg(F.sum(F.size("shared"))).first()[0] or 0
+    groups = max(found.sparkSession.sparkContext.defaultParallelism, total // GROUP + 1)
+    large = found.groupBy("kin").agg(F.sum(F.size("shared")).alias("entries")).where(F.col("entries") > KIN).select("kin", F.ceil(F.col("entries") / KIN).alias("pieces"))
+    # At most a row for each KIN entries.
+    dealt = found.join(F.broadcast(large), "kin", "left").withColumn("group", F.pmod(F.xxhash64("kin"), F.lit(groups))).withColumn("piece", F.coalesce(F.pmod(F.xxhash64("number"), "pieces"), F.lit(0).cast("long")))
+    place = ["group", "piece"]
+    light = dealt.select(*place, F.explode(F.slice(F.arrays_zip(*CLASS), F.col("heavy") + 1, F.size("shared"))).alias("x")).select(*place, *(f"x.{c}" for c in CLASS)).distinct()
+    light = settled(light, "light")
+    asked = union(light.where("genomes = 1").select(*place, F.col("first").alias("mag")), light.where("genomes > 1").join(members, list(CLASS)).select(*place, "mag")).distinct()
+    lists = members.groupBy("mag").agg(F.sort_array(F.collect_list(F.struct("first", "mixed"))).alias("x")).select("mag", "x.first", "x.mixed")
+    names = genomes.select(F.col("number").alias("mag"), F.col("mag").alias("name")).distinct()
+    known = asked.join(names, "mag").join(lists, "mag", "left")
+
+    def best(reads: pa.Table, known: pa.Table) -> pa.Table:
+        row, genome, shared = class_best(reads, known)
+        told = pa.table({"number": reads["number"].take(pa.array(row)), "mag": known["name"].take(pa.array(genome)), "shared": pa.array(shared), "size": reads["size"].take(pa.array(row))})
+        return told.filter(pa.array(shared >= reads["need"].to_numpy()[row]))
+
+    kind = genomes.schema["mag"].dataType.simpleString()
+    told = dealt.select(*place, "number", "need", "size", "first", "mixed", "shared").groupBy(*place).cogroup(known.groupBy(*place)).applyInArrow(best, f"number long, mag {kind}, shared long, size long")
+    told = settled(told, "told").select("number", "mag", "shared", (F.col("shared") / F.col("size")).alias("fraction"))
     return told.join(reads.select("number", "read_id").distinct(), "number").select("read_id", "mag", "shared", "fraction").where(F.col("fraction") >= min_shared)
 
 
 def _numbered(df: DataFrame, key: str) -> DataFrame:
     """(number, key, seq) as written down, one number for all rows of a key; rows without a key or sequence are left out."""
-    rows = kept(spread(df.select(key, "seq")).where(F.col(key).isNotNull() & (F.length("seq") > 0)).withColumn("number", F.monotonically_increasing_id()), "sequences")
-    several = kept(rows.groupBy(key).agg(F.min("number").alias("_first"), F.count("*").alias("_rows")).where("_rows > 1").drop("_rows"), "several")
+    rows = settled(spread(df.select(key, "seq")).where(F.col(key).isNotNull() & (F.length("seq") > 0)).withColumn("number", F.monotonically_increasing_id()), "sequences")
+    several = settled(rows.groupBy(key).agg(F.min("number").alias("_first"), F.count("*").alias("_rows")).where("_rows > 1").drop("_rows"), "several")
     if several.isEmpty():
         return rows
-    return kept(rows.join(several, key, "left").withColumn("number", F.coalesce("_first", "number")).drop("_first"), "sequences")
+    return settled(rows.join(several, key, "left").withColumn("number", F.coalesce("_first", "number")).drop("_first"), "sequences")
 
 
 def _sizes(reads: DataFrame, k: int) -> DataFrame:
     """(number, size): different k-mers of every read; those of several or long rows are counted by shuffling them."""
     spans = reads.groupBy("number").agg(F.count("*").alias("rows"), F.max(F.length("seq")).alias("longest"))
-    apart = kept(spans.where((F.col("rows") > 1) | (F.col("longest") > SLICE)).select("number"), "long")
+    apart = settled(spans.where((F.col("rows") > 1) | (F.col("longest") > SLICE)).select("number"), "long")
     if apart.isEmpty():
         return distinct_sizes(reads, k)
     codes = counted_codes(reads.join(apart, "number", "left_semi"), k, "number").select("number", "code").distinct()

@@ -1,7 +1,10 @@
 """What one key, one long sequence or one large group would break, and k-mer codes against plain Python."""
 
+import contextlib
 import hashlib
+import pathlib
 import random
+import threading
 from collections import Counter
 
 import numpy as np
@@ -351,3 +354,54 @@ def test_what_needs_no_long_slices_reads_short_ones():
     text = "ACGT" * (kmers.NEAR_SLICE // 2)
     parts = [bytes(data) for data, _, _ in kmers.sequence_slices(pa.array([text]), 4, kmers.NEAR_SLICE)]
     assert max(map(len, parts)) <= kmers.NEAR_SLICE + 3 and parts[0] + b"".join(x[3:] for x in parts[1:]) == text.encode()
+
+
+def test_best_genomes_by_classes_equal_plain_sums():
+    """In small parts, with equal profiles, ties, classes that no genome of the group has, and genomes without a list."""
+    draw = random.Random(11)
+    genomes = [(g, f"g{draw.randrange(10**6):06}", [(draw.randrange(12) - 6, draw.randrange(3)) for _ in range(g % 7)] or None) for g in range(50, 90)]
+    genomes = [(g, name, sorted(set(c)) if c else None) for g, name, c in genomes]
+    profiles = [sorted({((m, s) if draw.random() < 0.9 else (draw.randrange(50, 95), 0)): draw.randrange(1, 4) for m, s in ((draw.randrange(14) - 7, draw.randrange(3)) for _ in range(draw.randrange(9)))}.items()) for _ in range(200)] * 2
+    cells = lambda rows, at: pa.array([r and [c[at] for c in r] for r in rows], pa.list_(pa.int64()))
+    known = pa.table({"mag": [g for g, _, _ in genomes], "name": [n for _, n, _ in genomes], "first": cells([c for _, _, c in genomes], 0), "mixed": cells([c for _, _, c in genomes], 1)})
+    rows = [[(*c, n) for c, n in p] for p in profiles]
+    table = pa.table({"first": cells(rows, 0), "mixed": cells(rows, 1), "shared": cells(rows, 2)})
+    want = {}
+    for row, p in enumerate(profiles):
+        sums = [(sum(n for c, n in p if c in {*(own or ()), (g, 0)}), name, at) for at, (g, name, own) in enumerate(genomes)]
+        if max(sums)[0]:
+            want[row] = (max(sums)[2], max(sums)[0])
+    for most in (1, 100, 1 << 21):
+        row, genome, shared = kmers.class_best(table, known, most)
+        assert {r: (g, n) for r, g, n in zip(row.tolist(), genome.tolist(), shared.tolist(), strict=True)} == want
+    assert not len(kmers.class_best(table, known.slice(0, 0))[0]) and not len(kmers.class_best(table.slice(0, 0), known)[0])
+
+
+def test_profile_of_a_near_group_stays_small_on_disk(spark, monkeypatch):
+    """Reads near many genomes near each other: pairs of them are counted in place, so shuffled files don't grow with pairs by classes; and they go with each step."""
+    monkeypatch.setattr(coverage, "KIN", 60_000)
+    draw = random.Random(12)
+    base = draw.choices("ACGT", k=800)
+    near = lambda: "".join(draw.choice("ACGT") if draw.random() < 0.004 else x for x in base)
+    genomes = [(g, near()) for g in range(120)]
+    reads = [(r, near()) for r in range(300)]
+    folders = [str(x) for x in spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirs()]
+    held = lambda: sum(p.stat().st_size for d in folders for p in pathlib.Path(d).rglob("shuffle_*.data") if p.exists())
+    most, on, before = [0], threading.Event(), held()
+
+    def watch():
+        while not on.wait(0.1):
+            with contextlib.suppress(FileNotFoundError):
+                most[0] = max(most[0], held() - before)
+
+    thread = threading.Thread(target=watch)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # as if tables were large
+    thread.start()
+    try:
+        got = {tuple(r) for r in coverage.kmer_profile(spark.createDataFrame(reads, "read_id long, seq string"), spark.createDataFrame(genomes, "genome long, seq string"), 21, 0.6).collect()}
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        on.set()
+        thread.join()
+    assert got == plain_profile(reads, genomes, 21, 0.6) and len(got) == 300
+    assert most[0] < 2e7

@@ -405,3 +405,12 @@ def test_profile_of_a_near_group_stays_small_on_disk(spark, monkeypatch):
         thread.join()
     assert got == plain_profile(reads, genomes, 21, 0.6) and len(got) == 300
     assert most[0] < 2e7
+
+
+@pytest.mark.parametrize("bits", [4, 40])
+def test_different_pairs_in_and_beyond_one_word(bits):
+    draw = random.Random(bits)
+    rows = [(draw.choice([0, 5, (1 << 62) - 1 if bits == 40 else 9]), draw.randrange(1 << bits) >> draw.choice([0, bits - 2])) for _ in range(500)]
+    first, then = kmers._different(np.array([a for a, _ in rows], np.uint64), np.array([b for _, b in rows]), bits)
+    assert list(zip(first.tolist(), then.tolist(), strict=True)) == sorted(set(rows))
+    assert not len(kmers._different(first[:0], then[:0], bits)[0])
